@@ -18,7 +18,8 @@ ACCEPTED = {
 def json_type(value: Column) -> Column:
     """BIGINT, DECIMAL, DOUBLE, STRING, BOOLEAN, OBJECT, ARRAY, or VOID for null and absent."""
     described = F.schema_of_variant(value)
-    return F.coalesce(F.regexp_extract(described, r"^\w+", 0), F.lit("VOID"))
+    bare = F.substring_index(F.substring_index(described, "(", 1), "<", 1)
+    return F.coalesce(bare, F.lit("VOID"))
 
 
 def accepts(declared: str, found: Column) -> Column:

@@ -1,11 +1,12 @@
-"""Response envelopes: tell failed, empty and data responses apart, and unnest records."""
+"""Response envelopes: tell failed, empty and data responses apart, and take out records."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructType
 
-STRICT_JSON = {"allowSingleQuotes": "false"}
+MALFORMED = "_malformed"
 
 
 def answered() -> Column:
@@ -15,6 +16,12 @@ def answered() -> Column:
     )
 
 
+def _parsed(field: str, element) -> Column:
+    """The body as struct<field: array<element>, _malformed>."""
+    schema = StructType().add(field, ArrayType(element)).add(MALFORMED, StringType())
+    return F.from_json("body", schema, {"columnNameOfCorruptRecord": MALFORMED, "allowSingleQuotes": "false"})
+
+
 def classify(responses: DataFrame, field: str = "value") -> DataFrame:
     """(feed, skip, outcome, records) of landed responses.
 
@@ -24,16 +31,9 @@ def classify(responses: DataFrame, field: str = "value") -> DataFrame:
 
     Store the result when landing; paging then reads only the narrow columns.
     """
-    parsed = responses.withColumn(
-        "parsed",
-        F.from_json(
-            "body",
-            f"`{field}` array<string>, _malformed string",
-            {**STRICT_JSON, "columnNameOfCorruptRecord": "_malformed"},
-        ),
-    )
-    broken = ~answered() | F.col("parsed").isNull() | F.col("parsed._malformed").isNotNull()
-    records = F.col("parsed")[field]
+    parsed = responses.withColumn("_doc", _parsed(field, StringType()))
+    broken = ~answered() | F.col("_doc").isNull() | F.col("_doc")[MALFORMED].isNotNull()
+    records = F.col("_doc")[field]
     outcome = F.when(broken, "failed").when(F.size(records) > 0, "data").otherwise("empty")
     return parsed.select("feed", "skip", outcome.alias("outcome"), records.alias("records"))
 
@@ -43,3 +43,35 @@ def unnest(pages: DataFrame, *keep: Column | str) -> DataFrame:
     return pages.where(F.col("outcome") == "data").select(
         *(keep or ("feed",)), F.explode("records").alias("record")
     )
+
+
+def explode_typed(
+    responses: DataFrame,
+    element: StructType,
+    field: str = "value",
+    on_failure: str = "empty",
+    strict: bool = True,
+) -> DataFrame:
+    """(feed, record) with typed records, for feeds of single documents: one parse, no shuffle.
+
+    A failed response gives no rows, or with on_failure="raise" stops the job. A
+    well-formed response is never lost: a mistyped record stops the job, or unless
+    `strict` gets NULLs where it is mistyped.
+    """
+    if on_failure not in ("raise", "empty"):
+        raise ValueError(f"on_failure must be 'raise' or 'empty', not {on_failure!r}")
+    documents = responses.select("feed", "body", F.when(answered(), _parsed(field, element)).alias("_doc"))
+    typed = F.col("_doc")[field]
+    corrupt = F.col("_doc")[MALFORMED].isNotNull()
+    # Evaluated for corrupt bodies only: is the envelope sound, so that a record is at fault?
+    unreadable = typed.isNull() & _parsed(field, StringType())[MALFORMED].isNull()
+    mistyped = corrupt & ((typed.isNotNull() | unreadable) if strict else unreadable)
+    failed = F.col("_doc").isNull() | (corrupt & typed.isNull())
+    if on_failure == "raise":
+        on_failed = F.raise_error(F.concat(F.lit("failed response of "), F.col("feed")))
+    else:
+        on_failed = F.lit(None)
+    stop = F.raise_error(F.concat(F.lit("mistyped record in the response of "), F.col("feed")))
+    return documents.select(
+        "feed", F.explode(F.when(mistyped, stop).when(failed, on_failed).otherwise(typed)).alias("record")
+    )

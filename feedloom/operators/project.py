@@ -1,61 +1,89 @@
-"""Records projected to a declared schema by name, and the audit of their JSON types."""
+"""Records projected to a declared schema by name, and the audit of their JSON types.
+
+Strict, a double field takes only JSON numbers with a fraction or an exponent; an
+integer, a quoted number or anything else stops the job when the column is read.
+Otherwise parser rules apply: 1 becomes 1.0 and a mistyped value NULL. Unknown keys
+vanish and missing keys are NULL either way.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType, VariantType
+from pyspark.sql.types import DoubleType, StructType, VariantType
 
 from feedloom.functions.json_types import accepts, json_type, strict_double
+from feedloom.operators.envelope import explode_typed
+
+
+def _read_as(schema: StructType, strict: bool) -> StructType:
+    """The schema to parse with: strict doubles are read as variants to see their JSON type."""
+    read = StructType()
+    for field in schema.fields:
+        checked = strict and isinstance(field.dataType, DoubleType)
+        read = read.add(field.name, VariantType() if checked else field.dataType)
+    return read
+
+
+def _declared(row: Column, schema: StructType, strict: bool) -> list[Column]:
+    return [
+        (
+            strict_double(row[field.name], field.name)
+            if strict and isinstance(field.dataType, DoubleType)
+            else row[field.name]
+        ).alias(field.name)
+        for field in schema.fields
+    ]
 
 
 def project_declared(
     records: DataFrame, schema: StructType, *keep: Column | str, strict: bool = True
 ) -> DataFrame:
-    """Declared columns of each `record`: unknown keys vanish, missing keys are NULL.
-
-    Strict, a double field takes only JSON numbers with a fraction or exponent and a
-    record must be an object; anything else stops the job when its column is read.
-    Otherwise `from_json` rules apply: 1 becomes 1.0, a mistyped value NULL.
-    """
-    doubles = {f.name for f in schema.fields if strict and isinstance(f.dataType, DoubleType)}
-    read_as = StructType(
-        [StructField(f.name, VariantType()) if f.name in doubles else f for f in schema.fields]
-    )
-    parsed = records.select(
-        *keep,
-        F.from_json("record", read_as, {"mode": "FAILFAST" if strict else "PERMISSIVE"}).alias("_row"),
-    )
+    """Declared columns of each `record` (JSON text); strict, a record must be an object."""
+    mode = "FAILFAST" if strict else "PERMISSIVE"
+    parsed = records.select(*keep, F.from_json("record", _read_as(schema, strict), {"mode": mode}).alias("_row"))
     kept = [F.col(f"`{name}`") for name in parsed.columns[:-1]]
-    row = F.col("_row")
-    return parsed.select(
-        *kept,
-        *[
-            (strict_double(row[f.name], f.name) if f.name in doubles else row[f.name]).alias(f.name)
-            for f in schema.fields
-        ],
-    )
+    return parsed.select(*kept, *_declared(F.col("_row"), schema, strict))
+
+
+def project_documents(
+    responses: DataFrame,
+    schema: StructType,
+    *keep: Column | str,
+    field: str = "value",
+    on_failure: str = "empty",
+    strict: bool = True,
+) -> DataFrame:
+    """Declared columns straight from single-document responses, parsed once."""
+    records = explode_typed(responses, _read_as(schema, strict), field, on_failure, strict)
+    return records.select(*keep, *_declared(F.col("record"), schema, strict))
+
 
+def type_audit(responses: DataFrame, schema: StructType, field: str = "value") -> DataFrame:
+    """(field, json_type, accepted, n): the JSON types each declared field really holds.
 
-def type_audit(records: DataFrame, schema: StructType) -> DataFrame:
-    """(field, json_type, accepted, n): what JSON types each declared field really holds."""
-    as_variant = StructType([StructField(f.name, VariantType()) for f in schema.fields])
-    found = records.select(F.from_json("record", as_variant).alias("_row")).select(
+    Counted per combination of types first, so the rows are not multiplied by the fields.
+    """
+    variants = StructType()
+    for declared in schema.fields:
+        variants = variants.add(declared.name, VariantType())
+    types = explode_typed(responses, variants, field).select(
+        *[json_type(F.col("record")[f.name]).alias(f.name) for f in schema.fields]
+    )
+    combined = types.groupBy(*schema.names).agg(F.count(F.lit(1)).alias("_n"))
+    found = combined.select(
+        "_n",
         F.explode(
             F.array(
                 *[
                     F.struct(
                         F.lit(f.name).alias("field"),
-                        F.lit(f.dataType.simpleString()).alias("declared"),
-                        json_type(F.col("_row")[f.name]).alias("json_type"),
+                        F.col(f"`{f.name}`").alias("json_type"),
+                        accepts(f.dataType.simpleString(), F.col(f"`{f.name}`")).alias("accepted"),
                     )
                     for f in schema.fields
                 ]
             )
-        ).alias("_found")
+        ).alias("_found"),
     )
-    counted = found.select("_found.*").groupBy("field", "declared", "json_type").agg(F.count(F.lit(1)).alias("n"))
-    verdict = F.lit(False)
-    for declared in sorted({f.dataType.simpleString() for f in schema.fields}):
-        verdict = F.when(F.col("declared") == declared, accepts(declared, F.col("json_type"))).otherwise(verdict)
-    return counted.select("field", "json_type", verdict.alias("accepted"), "n")
+    return found.select("_found.*", "_n").groupBy("field", "json_type", "accepted").agg(F.sum("_n").alias("n"))

@@ -23,8 +23,9 @@ def flatten_slots(
     Slots are map<string,string>, because only a map can tell an object without keys
     (no row) from an object whose values are all null or unknown (a row of NULLs).
     """
-    taken = df.select(*keep, F.posexplode(F.array(*slots)).alias("_pos", "_slot"))
-    kept = [F.col(f"`{name}`") for name in taken.columns[:-2]]
+    gathered = df.select(*keep, F.array(*slots).alias("_slots"))
+    kept = [F.col(f"`{name}`") for name in gathered.columns[:-1]]
+    taken = gathered.select(*kept, F.posexplode("_slots").alias("_pos", "_slot"))
     return taken.where(F.size("_slot") > 0).select(
         *kept,
         *[F.col("_slot")[field].alias(field) for field in fields],

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, MapType, StringType, StructType
 
 from feedloom.functions import month_key, request_key
-from feedloom.operators.envelope import STRICT_JSON, answered, classify
+from feedloom.operators.envelope import classify, explode_typed
 from feedloom.operators.lookup import BROADCAST_BYTES, lookup_join
 from feedloom.operators.paging import resolve_batches
-from feedloom.operators.project import project_declared
+from feedloom.operators.project import project_declared, project_documents
 from feedloom.operators.slots import flatten_slots
 from feedloom.sources.archives import first_member_lines
 from feedloom.sources.delimited import parse_lines
@@ -20,66 +20,38 @@ from feedloom.workspace import settle
 # Field names of the feeds, in table order.
 SLOT_KEYS = ("NextBus", "NextBus2", "NextBus3")
 SLOT_FIELDS = ("EstimatedArrival", "Latitude", "Longitude", "VisitNumber", "Load", "Feature", "Type")
-STOPS = StructType(
-    [
-        StructField("BusStopCode", StringType()),
-        StructField("RoadName", StringType()),
-        StructField("Description", StringType()),
-        StructField("Latitude", DoubleType()),
-        StructField("Longitude", DoubleType()),
-    ]
+STOPS = (
+    StructType()
+    .add("BusStopCode", StringType())
+    .add("RoadName", StringType())
+    .add("Description", StringType())
+    .add("Latitude", DoubleType())
+    .add("Longitude", DoubleType())
 )
-INCIDENTS = StructType(
-    [
-        StructField("Type", StringType()),
-        StructField("Latitude", DoubleType()),
-        StructField("Longitude", DoubleType()),
-        StructField("Message", StringType()),
-    ]
+INCIDENTS = (
+    StructType()
+    .add("Type", StringType())
+    .add("Latitude", DoubleType())
+    .add("Longitude", DoubleType())
+    .add("Message", StringType())
 )
-
-_SLOTS_DDL = ", ".join(f"{key}: map<string,string>" for key in SLOT_KEYS)
-_SERVICES_DDL = f"Services array<struct<ServiceNo: string, Operator: string, {_SLOTS_DDL}>>, _malformed string"
+SERVICE = StructType().add("ServiceNo", StringType()).add("Operator", StringType())
+for _key in SLOT_KEYS:
+    SERVICE = SERVICE.add(_key, MapType(StringType(), StringType()))
 
 
 def arrivals(responses: DataFrame, on_failure: str = "empty") -> DataFrame:
-    """Arrival rows of all stops; the stop code is the response's feed.
+    """Arrival rows of all stops in one narrow pass; the stop code is the response's feed.
 
-    One narrow pass. A failed response gives no rows, or with on_failure="raise"
-    stops the job. A well-formed document with a mistyped service or slot always
-    stops it, rather than lose rows.
+    A failed response gives no rows, or with on_failure="raise" stops the job.
     """
-    if on_failure not in ("raise", "empty"):
-        raise ValueError(f"on_failure must be 'raise' or 'empty', not {on_failure!r}")
-    parsed = F.from_json("body", _SERVICES_DDL, {**STRICT_JSON, "columnNameOfCorruptRecord": "_malformed"})
-    documents = responses.select("feed", "body", F.when(answered(), parsed).alias("_doc"))
-    services = F.col("_doc.Services")
-    corrupt = F.col("_doc._malformed").isNotNull()
-    # Looked at only for corrupt documents: does the envelope parse without types?
-    envelope = F.from_json(
-        "body", "Services array<string>, _malformed string", {**STRICT_JSON, "columnNameOfCorruptRecord": "_malformed"}
-    )
-    mistyped = corrupt & (services.isNotNull() | envelope["_malformed"].isNull())
-    broken = F.col("_doc").isNull() | corrupt
-    if on_failure == "raise":
-        on_broken = F.raise_error(F.concat(F.lit("failed response of "), F.col("feed")))
-    else:
-        on_broken = F.lit(None)
-    exploded = documents.select(
-        "feed",
-        F.explode(
-            F.when(mistyped, F.raise_error(F.concat(F.lit("mistyped service in the document of "), F.col("feed"))))
-            .when(broken, on_broken)
-            .otherwise(services)
-        ).alias("service"),
-    )
     return flatten_slots(
-        exploded,
-        slots=[f"service.{key}" for key in SLOT_KEYS],
+        explode_typed(responses, SERVICE, "Services", on_failure),
+        slots=[f"record.{key}" for key in SLOT_KEYS],
         fields=SLOT_FIELDS,
         label="BusInstance",
         label_prefix="NextBus",
-        keep=[F.col("feed").alias("BusStopCode"), "service.ServiceNo", "service.Operator"],
+        keep=[F.col("feed").alias("BusStopCode"), "record.ServiceNo", "record.Operator"],
     )
 
 
@@ -92,8 +64,7 @@ def stops(responses: DataFrame, fallback: DataFrame | None = None, strict: bool
 
 def incidents(responses: DataFrame, on_failure: str = "empty", strict: bool = True) -> DataFrame:
     """Incident rows of single documents; a failed one gives no rows by default."""
-    pages = settle(classify(responses), "pages")
-    return project_declared(resolve_batches(pages, on_failure), INCIDENTS, strict=strict)
+    return project_documents(responses, INCIDENTS, on_failure=on_failure, strict=strict)
 
 
 def volume_requests(dates: DataFrame, date: str, template: str) -> DataFrame:

@@ -25,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def div(column: Column | str, by: int) -> Column:
     column = F.col(column) if isinstance(column, str) else column
-    return F.floor(column / by).cast("bigint")
+    return F.call_function("div", column, F.lit(by))
 
 
 def arrival_responses(events: DataFrame) -> DataFrame:
@@ -38,14 +38,18 @@ def arrival_responses(events: DataFrame) -> DataFrame:
     value = F.col("value")
     number = F.get_json_object("props", "$.k")
     blank = ",".join(f'"{field}":""' for field in SLOT_FIELDS)
-    full = F.format_string(
-        '{"OriginCode":"1","Monitored":1,"EstimatedArrival":"%s+00:00","Latitude":"%s","Longitude":"%s",'
-        '"VisitNumber":%s,"Load":"%s","Feature":"","Type":true}',
+    full = F.concat(
+        F.lit('{"OriginCode":"1","Monitored":1,"EstimatedArrival":"'),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"),
+        F.lit('+00:00","Latitude":"'),
         value.cast("string"),
+        F.lit('","Longitude":"'),
         F.col("user_id").cast("string"),
+        F.lit('","VisitNumber":'),
         number,
+        F.lit(',"Load":"'),
         F.col("event_type"),
+        F.lit('","Feature":"","Type":true}'),
     )
     slot = (
         F.when(value < 2, "{}")
@@ -71,7 +75,7 @@ def arrival_responses(events: DataFrame) -> DataFrame:
         F.min("value").alias("low"),
         F.max("value").alias("high"),
     )
-    head = F.format_string('"ServiceNo":"%d","Operator":"%s"', "service_no", "operator")
+    head = F.concat(F.lit('"ServiceNo":"'), "service_no", F.lit('","Operator":"'), "operator", F.lit('"'))
     documents = services.groupBy("stop").agg(
         F.collect_list(F.concat(F.lit("{"), F.concat_ws(",", head, "members"), F.lit("}"))).alias("services"),
         F.min("low").alias("low"),

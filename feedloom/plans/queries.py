@@ -19,6 +19,7 @@ from feedloom.operators import (
     feed_bounds,
     preview,
     project_declared,
+    project_documents,
     resolve_batches,
     type_audit,
     unnest,
@@ -79,15 +80,14 @@ def envelope_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(200).alias("status"),
         F.to_json(F.struct(lines.alias("value"))).alias("body"),
     )
-    return project_declared(unnest(classify(documents)), LINE)
+    return project_documents(documents, LINE)
 
 
 def project_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A declared key, a declared key no record has, and the undeclared rest dropped."""
     events = table(spark, sf_dir, "events")
     documents = packing.single_records(events, F.col("event_id").cast("string"), F.col("props"))
-    records = unnest(classify(documents))
-    projected = project_declared(records, PROPS, "feed")
+    projected = project_documents(documents, PROPS, "feed")
     return projected.select(F.col("feed").cast("bigint").alias("event_id"), "k", "absent")
 
 
@@ -102,29 +102,28 @@ def unpivot_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event records whose value is written as an integer, a decimal, text or null."""
+def _mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event documents whose value is written as an integer, a decimal, text or null."""
     value = F.col("value")
     text = (
         F.when(F.col("event_type") == "click", F.floor(value).cast("string"))
-        .when(F.col("event_type") == "view", F.format_string('"%s"', value.cast("string")))
+        .when(F.col("event_type") == "view", F.concat(F.lit('"'), value.cast("string"), F.lit('"')))
         .when(F.col("event_type") == "error", "null")
         .otherwise(value.cast("string"))
     )
     record = F.concat(
-        F.format_string('{"event_id":%d,"event_type":"%s","value":', "event_id", "event_type"), text, F.lit("}")
+        F.lit('{"event_id":'), "event_id", F.lit(',"event_type":"'), "event_type", F.lit('","value":'), text, F.lit("}")
     )
-    documents = packing.single_records(table(spark, sf_dir, "events"), F.col("event_id").cast("string"), record)
-    return unnest(classify(documents))
+    return packing.single_records(table(spark, sf_dir, "events"), F.col("event_id").cast("string"), record)
 
 
 def type_audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return type_audit(_records(spark, sf_dir), EVENT)
+    return type_audit(_mixed(spark, sf_dir), EVENT)
 
 
 def project_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mistyped values by parser rules: integers become doubles, quoted numbers NULL."""
-    return project_declared(_records(spark, sf_dir), EVENT, strict=False)
+    return project_documents(_mixed(spark, sf_dir), EVENT, strict=False)
 
 
 # Paged feeds and failed feeds
@@ -304,7 +303,7 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, target, checkpoint = (new_path(spark, name) for name in ("landing", "loaded", "load-checkpoint"))
 
     def rows(responses: DataFrame) -> DataFrame:
-        return project_declared(unnest(classify(responses)), EVENT)
+        return project_documents(responses, EVENT)
 
     odd_page = F.pmod(F.col("skip") / PAGE_STEP, F.lit(2)) == 1
     for lot in (odd_page, ~odd_page):

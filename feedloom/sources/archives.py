@@ -59,12 +59,14 @@ def first_member_lines(archives: DataFrame, columns: list[str], *keep: str) -> D
 def stage_lines(lines: DataFrame, path: str, partition: str) -> None:
     """Keep extracted lines as text under path/partition=…, the replayable raw input.
 
-    The rebalance lets Spark split a partition value that holds much of the data.
+    Partitions staged earlier stay unless staged again. The rebalance lets Spark split
+    a partition value that holds much of the data.
     """
     (
         lines.select(partition, F.col("line").alias("value"))
         .hint("rebalance", partition)
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .text(path)
     )

@@ -33,12 +33,22 @@ def read_documents(spark: SparkSession, path: str, feed: Column | str | None = N
 
 
 def page_requests(feeds: DataFrame, pages: Column | str, step: int = 500) -> DataFrame:
-    """One row per page to land: (feed, skip, request) for `pages` pages of each feed."""
+    """One row per page to land: (feed, skip, request) for `pages` pages of each feed.
+
+    Pages come in runs of up to 1000, spread over the cluster, so that a feed with very
+    many pages is neither one array nor one task's work.
+    """
     count = F.col(pages) if isinstance(pages, str) else pages
-    last = (count - 1).cast("bigint") * step
+    partitions = int(feeds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    run = step * 1000
+    end = count.cast("bigint") * step
+    runs = feeds.where(count > 0).select(
+        "feed", end.alias("end"), F.explode(F.sequence(F.lit(0).cast("bigint"), end - 1, F.lit(run).cast("bigint"))).alias("first")
+    )
+    skips = F.sequence("first", F.least(F.col("first") + run, "end") - 1, F.lit(step).cast("bigint"))
     return (
-        feeds.where(count > 0)
-        .select("feed", F.explode(F.sequence(F.lit(0).cast("bigint"), last, F.lit(step).cast("bigint"))).alias("skip"))
+        runs.repartition(partitions, "feed", "first")
+        .select("feed", F.explode(skips).alias("skip"))
         .withColumn("request", request_key("%s?$skip=%d", "feed", "skip"))
     )
 
