@@ -38,10 +38,19 @@ def classify(responses: DataFrame, field: str = "value") -> DataFrame:
     return parsed.select("feed", "skip", outcome.alias("outcome"), records.alias("records"))
 
 
+def classified(landed: DataFrame, field: str = "value") -> DataFrame:
+    """Landed responses classified; pages that already are stay as they are."""
+    return landed if "outcome" in landed.columns else classify(landed, field)
+
+
 def unnest(pages: DataFrame, *keep: Column | str) -> DataFrame:
-    """One `record` row (JSON text) per record of the classified data pages."""
-    return pages.where(F.col("outcome") == "data").select(
-        *(keep or ("feed",)), F.explode("records").alias("record")
+    """One `record` row (JSON text) per record of the classified data pages.
+
+    The outcome is tested inside the explode: as a filter it would be pushed below the
+    classification and parse every body again.
+    """
+    return pages.select(
+        *(keep or ("feed",)), F.explode(F.when(F.col("outcome") == "data", F.col("records"))).alias("record")
     )
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.operators.envelope import unnest
-from feedloom.operators.lookup import BROADCAST_BYTES, lookup_join
+from feedloom.operators.envelope import classified, unnest
+from feedloom.operators.lookup import BROADCAST_BYTES, lookup_join, width
 from feedloom.workspace import settle
 
 POLICIES = ("raise", "empty", "fallback")
@@ -22,18 +22,23 @@ def feed_bounds(pages: DataFrame) -> DataFrame:
     Two minimums per feed over narrow columns, combined before the shuffle, so a feed
     with a third of all pages costs no more than any other.
     """
-    first = pages.where(F.col("outcome") != "data").groupBy("feed").agg(
-        F.min(F.when(F.col("outcome") == "empty", F.col("skip"))).alias("empty_at"),
+    first = pages.groupBy("feed").agg(
+        F.min(F.when(F.col("outcome") == "empty", F.col("skip"))).alias("stop_at"),
         F.min(F.when(F.col("outcome") == "failed", F.col("skip"))).alias("failed_at"),
     )
-    failed = F.col("failed_at").isNotNull() & (
-        F.col("empty_at").isNull() | (F.col("failed_at") < F.col("empty_at"))
+    failed = F.col("failed_at").isNotNull() & (F.col("stop_at").isNull() | (F.col("failed_at") < F.col("stop_at")))
+    return first.select("feed", failed.alias("failed"), "stop_at").where(
+        F.col("failed") | F.col("stop_at").isNotNull()
     )
-    return first.select("feed", failed.alias("failed"), F.col("empty_at").alias("stop_at"))
 
 
-def pages_before_end(pages: DataFrame, bounds: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """The pages a page-by-page scan would have kept; none for a failed feed."""
+def pages_before_end(
+    pages: DataFrame, bounds: DataFrame, size: int | None = None, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """The pages a page-by-page scan would have kept; none for a failed feed.
+
+    Needs only feed and skip, so it can run on responses before they are parsed.
+    """
     return lookup_join(
         pages,
         bounds,
@@ -41,36 +46,39 @@ def pages_before_end(pages: DataFrame, bounds: DataFrame, broadcast_bytes: int =
         "left_anti",
         where=F.col("failed") | (F.col("skip") >= F.col("stop_at")),
         spread=F.col("skip"),
+        size=size,
         broadcast_bytes=broadcast_bytes,
     )
 
 
 def resolve_batches(
-    pages: DataFrame,
+    landed: DataFrame,
     on_failure: str = "raise",
     fallback: DataFrame | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """(feed, record) of every feed, from classified pages.
+    """(feed, record) of every feed, from landed responses or classified pages.
 
     A feed whose scan failed stops the job ("raise"), gives no rows ("empty"), or
     takes its rows from `fallback`, a (feed, record) snapshot ("fallback"). An empty
     feed is not a failed one: it gives no rows under any policy.
 
-    `pages` is scanned twice, the first time for feed, skip and outcome only; pass
-    pages that were classified when landed, or settle them first.
+    `landed` is read twice, the first time at once, to find where each feed ends. Pages
+    classified when landed make that read a narrow one; responses are parsed in both,
+    the second time only up to their feed's end.
     """
     if on_failure not in POLICIES:
         raise ValueError(f"on_failure must be one of {POLICIES}, not {on_failure!r}")
     if (on_failure == "fallback") != (fallback is not None):
         raise ValueError("a fallback is needed for, and only for, on_failure='fallback'")
-    bounds = settle(feed_bounds(pages), "feed-bounds")
+    bounds = settle(feed_bounds(classified(landed)), "feed-bounds")
     failed = bounds.where("failed").select("feed")
     if on_failure == "raise":
         some = [row["feed"] for row in failed.limit(10).collect()]
         if some:
             raise RuntimeError(f"failed feeds, among them: {some}")
-    fetched = unnest(pages_before_end(pages.where(F.col("outcome") == "data"), bounds, broadcast_bytes))
+    size = width(bounds)
+    fetched = unnest(classified(pages_before_end(landed, bounds, size, broadcast_bytes)))
     if fallback is None:
         return fetched
     replaced = lookup_join(
@@ -79,6 +87,7 @@ def resolve_batches(
         "feed",
         "left_semi",
         spread=F.col("record"),
+        size=size,
         broadcast_bytes=broadcast_bytes,
     )
     return fetched.unionByName(replaced)

@@ -23,9 +23,11 @@ def flatten_slots(
     Slots are map<string,string>, because only a map can tell an object without keys
     (no row) from an object whose values are all null or unknown (a row of NULLs).
     """
-    gathered = df.select(*keep, F.array(*slots).alias("_slots"))
-    kept = [F.col(f"`{name}`") for name in gathered.columns[:-1]]
-    taken = gathered.select(*kept, F.posexplode("_slots").alias("_pos", "_slot"))
+    slots = [F.col(slot) if isinstance(slot, str) else slot for slot in slots]
+    named = [f"_slot{at}" for at in range(len(slots))]
+    apart = df.select(*keep, *[slot.alias(name) for slot, name in zip(slots, named)])
+    kept = [F.col(f"`{name}`") for name in apart.columns[: -len(slots)]]
+    taken = apart.select(*kept, F.posexplode(F.array(*named)).alias("_pos", "_slot"))
     return taken.where(F.size("_slot") > 0).select(
         *kept,
         *[F.col("_slot")[field].alias(field) for field in fields],

@@ -56,9 +56,11 @@ def arrivals(responses: DataFrame, on_failure: str = "empty") -> DataFrame:
 
 
 def stops(responses: DataFrame, fallback: DataFrame | None = None, strict: bool = True) -> DataFrame:
-    """Stop rows of a paged collection, from the fallback snapshot where a scan failed."""
-    pages = settle(classify(responses), "pages")
-    records = resolve_batches(pages, "raise" if fallback is None else "fallback", fallback)
+    """Stop rows of paged collections, from the (feed, record) fallback where a scan failed.
+
+    Takes landed responses, or pages that were classified when landed.
+    """
+    records = resolve_batches(responses, "raise" if fallback is None else "fallback", fallback)
     return project_declared(records, STOPS, strict=strict)
 
 

@@ -62,16 +62,11 @@ def arrival_responses(events: DataFrame) -> DataFrame:
     )
     position = F.pmod("event_id", F.lit(3))
     keyed = F.element_at(F.array(*map(F.lit, SLOT_KEYS)), (position + 1).cast("int"))
-    slots = events.select(
-        div("event_id", 30).alias("stop"),
-        div("event_id", 3).alias("service_no"),
-        "event_type",
-        "value",
-        F.concat(F.lit('"'), keyed, F.lit('":'), slot).alias("member"),
-    ).repartition("stop")
-    services = slots.groupBy("stop", "service_no").agg(
+    member = F.concat(F.lit('"'), keyed, F.lit('":'), slot)
+    by_stop = events.withColumn("stop", div("event_id", 30)).repartition("stop")
+    services = by_stop.groupBy("stop", div("event_id", 3).alias("service_no")).agg(
         F.min("event_type").alias("operator"),
-        F.collect_list("member").alias("members"),
+        F.collect_list(member).alias("members"),
         F.min("value").alias("low"),
         F.max("value").alias("high"),
     )
@@ -109,9 +104,10 @@ def paged_responses(
     """
     record = F.struct("event_id", "event_type", "value")
     pages = (
-        events.select(feed.alias("feed"), (page * PAGE_STEP).alias("skip"), F.when(kept, record).alias("record"), "value")
+        events.withColumns({"feed": feed, "skip": page * PAGE_STEP})
+        .repartition("feed", "skip")
         .groupBy("feed", "skip")
-        .agg(F.collect_list("record").alias("value"), F.max("value").alias("high"))
+        .agg(F.max("value").alias("high"), F.collect_list(F.when(kept, record)).alias("value"))
     )
     body = F.to_json(F.struct("value"))
     status = F.lit(200)

@@ -165,7 +165,7 @@ def pages_of_hot_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _troubled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feeds of 500 events in pages of 10, some of them empty, refused or cut short."""
-    responses = packing.paged_responses(
+    return packing.paged_responses(
         table(spark, sf_dir, "events"),
         feed=div("event_id", SPAN).cast("string"),
         page=div(F.pmod("event_id", F.lit(SPAN)), 10),
@@ -173,23 +173,25 @@ def _troubled(spark: SparkSession, sf_dir: str) -> DataFrame:
         error_above=350,
         broken_above=300,
     )
-    return settle(classify(responses), "pages")
 
 
 def batch_or_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fallback snapshot of a feed is its signups."""
+    """Pages classified when landed; the fallback snapshot of a feed is its signups."""
     signups = table(spark, sf_dir, "events").where(F.col("event_type") == "signup")
     snapshot = packing.single_records(
         signups,
         div("event_id", SPAN).cast("string"),
         F.to_json(F.struct("event_id", "event_type", "value")),
     )
-    records = resolve_batches(_troubled(spark, sf_dir), "fallback", unnest(classify(snapshot), "feed"))
+    pages = settle(classify(_troubled(spark, sf_dir)), "pages")
+    records = resolve_batches(pages, "fallback", unnest(classify(snapshot)))
     return project_declared(records, EVENT, "feed")
 
 
 def batch_or_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return project_declared(resolve_batches(_troubled(spark, sf_dir), "empty"), EVENT, "feed")
+    """Responses landed as they came, parsed when resolved."""
+    responses = settle(_troubled(spark, sf_dir), "responses")
+    return project_declared(resolve_batches(responses, "empty"), EVENT, "feed")
 
 
 def batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,11 +232,11 @@ def archive_by_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     orders = table(spark, sf_dir, "orders")
     ym = month_key("o_orderdate")
-    slice_no = div("o_orderkey", 2000)
+    slice_no = div("o_orderkey", 20000)
     path = F.format_string("%s/%d.zip", ym, slice_no)
     decoy = orders.withColumn("o_orderkey", -1 - F.col("o_orderkey"))
     archives = packing.archives(orders, path, ORDER_COLUMNS).unionByName(
-        packing.archives(decoy, F.format_string("%s/decoy%d.zip", ym, div(-1 - F.col("o_orderkey"), 2000)), ORDER_COLUMNS)
+        packing.archives(decoy, F.format_string("%s/decoy%d.zip", ym, div(-1 - F.col("o_orderkey"), 20000)), ORDER_COLUMNS)
     )
     requests = (
         orders.select(ym.alias("ym"), slice_no.alias("slice"))
