@@ -1,0 +1,146 @@
+"""CSV, zip archives, links, keys, and the staged raw input."""
+
+from __future__ import annotations
+
+import datetime as dt
+import io
+import json
+import zipfile
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from feedloom.functions import calendar_month_key, month_key, request_key
+from feedloom.operators import classify
+from feedloom.plans.feeds import passenger_volume, volume_requests
+from feedloom.sources import (
+    LANDED,
+    first_link,
+    first_member_lines,
+    parse_lines,
+    read_archives,
+    read_csv,
+    stage_lines,
+)
+
+COLUMNS = ["code", "month", "n"]
+SCHEMA = "code string, month string, n int"
+
+
+def zipped(*members):
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for name, text in members:
+            archive.writestr(name, text)
+    return packed.getvalue()
+
+
+def archive_rows(spark, *contents):
+    return spark.createDataFrame(
+        [(f"{at}.zip", content) for at, content in enumerate(contents)], "path string, content binary"
+    )
+
+
+@pytest.mark.parametrize(
+    "date,days,calendar",
+    [
+        ("2025-01-11", "202412", "202412"),
+        ("2025-03-01", "202501", "202502"),
+        ("2025-03-11", "202502", "202502"),
+        ("2025-07-31", "202507", "202506"),
+    ],
+)
+def test_month_keys(spark, date, days, calendar):
+    df = spark.createDataFrame([(dt.date.fromisoformat(date),)], "d date")
+    assert tuple(df.select(month_key("d"), calendar_month_key("d")).first()) == (days, calendar)
+
+
+def test_request_key(spark):
+    df = spark.createDataFrame([("stops", 500)], "feed string, skip bigint")
+    assert df.select(request_key("%s?$skip=%d", "feed", "skip")).first()[0] == "stops?$skip=500"
+    runs = spark.createDataFrame([(dt.date(2025, 3, 11),), (dt.date(2025, 3, 12),)], "d date")
+    assert [tuple(r) for r in volume_requests(runs, "d", "volume?Date=%s").collect()] == [("202502", "volume?Date=202502")]
+
+
+def test_inference_changes_values_and_a_declared_schema_does_not(spark, tmp_path):
+    (tmp_path / "v.csv").write_text("code,month,n\n01012,2025-07,\n")
+    inferred = read_csv(spark, str(tmp_path)).first()
+    assert (inferred.code, inferred.month, inferred.n) == (1012, dt.datetime(2025, 7, 1), None)
+    assert tuple(read_csv(spark, str(tmp_path), SCHEMA).first()) == ("01012", "2025-07", None)
+
+
+def test_only_the_first_member_is_read(spark):
+    archives = archive_rows(spark, zipped(("b.csv", "code,month,n\n01,2025-07,5\n"), ("a.csv", "x\n1\n")))
+    assert [tuple(r) for r in parse_lines(first_member_lines(archives, COLUMNS), SCHEMA).collect()] == [("01", "2025-07", 5)]
+
+
+def test_member_lines_parse_as_the_csv_scan_does(spark, tmp_path):
+    text = '﻿code,month,n\r\n"a,b",2025-07,1\r\n"say ""x""",,2\n\n"",q,\nshort\nlong,m,3,4\nbad,m,x'
+    (tmp_path / "v.csv").write_text(text.lstrip("﻿"), newline="")
+    want = sorted(map(tuple, read_csv(spark, str(tmp_path), SCHEMA).collect()), key=str)
+    archives = archive_rows(spark, zipped(("v.csv", text)))
+    got = sorted(map(tuple, parse_lines(first_member_lines(archives, COLUMNS), SCHEMA).collect()), key=str)
+    assert got == want and len(got) == 6
+
+
+def test_header_only_member_gives_no_rows(spark):
+    archives = archive_rows(spark, zipped(("v.csv", "code,month,n\n")))
+    assert first_member_lines(archives, COLUMNS).count() == 0
+
+
+def test_members_longer_than_a_batch_come_whole(spark):
+    lines = [f"{i},m,{i}" for i in range(45_001)]
+    archives = archive_rows(spark, *[zipped(("v.csv", "\n".join(["code,month,n", *lines])))] * 3)
+    got = parse_lines(first_member_lines(archives, COLUMNS, "path"), SCHEMA, "path")
+    assert {tuple(r) for r in got.groupBy("path").agg(F.count("n"), F.sum("n")).collect()} == {
+        (f"{at}.zip", 45_001, sum(range(45_001))) for at in range(3)
+    }
+
+
+def test_another_header_stops_the_job(spark):
+    archives = archive_rows(spark, zipped(("v.csv", "code,n,month\n1,2,3\n")))
+    with pytest.raises(PySparkException, match="0.zip: header"):
+        first_member_lines(archives, COLUMNS).collect()
+
+
+def test_archive_files_scan(spark, tmp_path):
+    (tmp_path / "v.zip").write_bytes(zipped(("v.csv", "code,month,n\n01,2025-07,5\n")))
+    [row] = first_member_lines(read_archives(spark, str(tmp_path)), COLUMNS, "path").collect()
+    assert (row.path.endswith("/v.zip"), row.line) == (True, "01,2025-07,5")
+
+
+def links(spark, **feeds):
+    return spark.createDataFrame(
+        [(feed, 0, 200, body if isinstance(body, str) else json.dumps(body)) for feed, body in feeds.items()], LANDED
+    )
+
+
+def test_first_link_wins(spark):
+    pages = classify(links(spark, m={"value": [{"Link": "0.zip"}, {"Link": "1.zip"}]}))
+    assert [tuple(r) for r in first_link(pages).collect()] == [("m", "0.zip")]
+
+
+@pytest.mark.parametrize("body", [{"value": []}, {}, "oops"])
+def test_no_link_stops_the_job(spark, body):
+    with pytest.raises(PySparkException, match="no data for m"):
+        first_link(classify(links(spark, m=body))).collect()
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_volume_of_linked_archives_only(spark, broadcast, monkeypatch):
+    if not broadcast:
+        monkeypatch.setattr("feedloom.operators.lookup.width", lambda df: 1 << 60)
+    archives = archive_rows(spark, *[zipped(("v.csv", f"code,month,n\n0{at},m,{at}\n")) for at in range(3)])
+    documents = links(spark, a={"value": [{"Link": "0.zip"}, {"Link": "1.zip"}]}, b={"value": [{"Link": "2.zip"}]})
+    got = passenger_volume(documents, archives, COLUMNS, SCHEMA, "feed")
+    assert sorted(map(tuple, got.collect())) == [("a", "00", "m", 0), ("b", "02", "m", 2)]
+
+
+def test_staging_again_replaces_only_the_staged_month(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    lines = "ym string, line string"
+    stage_lines(spark.createDataFrame([("202501", "a,m,1"), ("202502", "b,m,2")], lines), raw, "ym")
+    stage_lines(spark.createDataFrame([("202502", "c,m,3")], lines), raw, "ym")
+    got = read_csv(spark, raw, f"{SCHEMA}, ym string", header=False)
+    assert sorted(map(tuple, got.collect())) == [("a", "m", 1, "202501"), ("c", "m", 3, "202502")]

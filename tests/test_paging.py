@@ -1,0 +1,173 @@
+"""Page order, feed policies, and the skew-safe lookup join behind them."""
+
+from __future__ import annotations
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedloom.operators import classify, feed_bounds, lookup_join, pages_before_end, resolve_batches
+from feedloom.operators import lookup
+from feedloom.plans.feeds import stops
+from feedloom.sources import LANDED, page_requests
+from feedloom.workspace import settle
+
+DATA, EMPTY, MISSING, NULL, BAD, REFUSED = "data", '{"value":[]}', "{}", '{"value":null}', '{"value":[', "refused"
+
+
+def feed(name, *pages):
+    """One response per page; a data page holds two records named after it."""
+    out = []
+    for at, page in enumerate(pages):
+        body = f'{{"value":[{{"id":"{name}{at}a"}},{{"id":"{name}{at}b"}}]}}' if page in (DATA, REFUSED) else page
+        out.append((name, at * 500, 500 if page == REFUSED else 200, body))
+    return out
+
+
+def kept(df):
+    return sorted(r.record.split('"')[3] for r in df.collect())
+
+
+def records(name, *pages):
+    return sorted(f"{name}{page}{half}" for page in pages for half in "ab")
+
+
+@pytest.mark.parametrize(
+    "pages,expected",
+    [
+        ((DATA, DATA, EMPTY), (0, 1)),
+        ((DATA, DATA), (0, 1)),
+        ((DATA, EMPTY, DATA), (0,)),
+        ((DATA, MISSING, DATA), (0,)),
+        ((DATA, NULL, DATA), (0,)),
+        ((DATA, EMPTY, BAD), (0,)),
+        ((EMPTY, DATA), ()),
+    ],
+)
+@pytest.mark.parametrize("classified", [False, True])
+def test_scan_ends_at_the_first_empty_page(spark, pages, expected, classified):
+    landed = spark.createDataFrame(feed("f", *pages), LANDED)
+    if classified:
+        landed = classify(landed)
+    assert kept(resolve_batches(landed)) == records("f", *expected)
+
+
+@pytest.mark.parametrize("bad", [BAD, REFUSED, "", None, "[1]"])
+def test_failed_page_voids_the_feed(spark, bad):
+    landed = spark.createDataFrame(feed("f", DATA, bad, DATA, EMPTY) + feed("g", DATA, EMPTY), LANDED)
+    fallback = spark.createDataFrame([("f", '{"id":"fallback"}'), ("g", '{"id":"unused"}')], "feed string, record string")
+    assert kept(resolve_batches(landed, "fallback", fallback)) == ["fallback", *records("g", 0)]
+    assert kept(resolve_batches(landed, "empty")) == records("g", 0)
+    with pytest.raises(RuntimeError, match="f"):
+        resolve_batches(landed, "raise")
+
+
+def test_empty_feed_is_not_a_failed_one(spark):
+    landed = spark.createDataFrame(feed("f", EMPTY, BAD), LANDED)
+    fallback = spark.createDataFrame([("f", '{"id":"fallback"}')], "feed string, record string")
+    assert kept(resolve_batches(landed, "fallback", fallback)) == []
+
+
+def test_page_order_is_by_skip_not_by_arrival(spark):
+    landed = spark.createDataFrame(list(reversed(feed("f", DATA, DATA, EMPTY, BAD))), LANDED)
+    assert kept(resolve_batches(landed)) == records("f", 0, 1)
+
+
+def test_policies_are_checked(spark):
+    landed = spark.createDataFrame(feed("f", DATA), LANDED)
+    with pytest.raises(ValueError, match="on_failure"):
+        resolve_batches(landed, "ignore")
+    with pytest.raises(ValueError, match="fallback"):
+        resolve_batches(landed, "fallback")
+
+
+def test_stops_from_pages_or_snapshot(spark):
+    page = '{"value":[{"BusStopCode":"01","RoadName":"r","Description":"d","Latitude":1.5,"Longitude":2.5,"x":1}]}'
+    good = spark.createDataFrame([("s", 0, 200, page), ("s", 500, 200, EMPTY)], LANDED)
+    assert [tuple(r) for r in stops(good).collect()] == [("01", "r", "d", 1.5, 2.5)]
+    failed = spark.createDataFrame([("s", 0, 200, page), ("s", 500, 503, "")], LANDED)
+    snapshot = spark.createDataFrame([("s", '{"BusStopCode":"09"}')], "feed string, record string")
+    assert [r.BusStopCode for r in stops(failed, snapshot).collect()] == ["09"]
+    with pytest.raises(RuntimeError):
+        stops(failed)
+
+
+def brute_force(responses, fallback):
+    feeds: dict[str, list] = {}
+    for name, skip, status, body in responses:
+        feeds.setdefault(name, []).append((skip, status, body))
+    out = []
+    for name, pages in feeds.items():
+        got: list[str] = []
+        for _, status, body in sorted(pages):
+            if status != 200 or body == BAD:
+                got = fallback.get(name, [])
+                break
+            if body in (EMPTY, MISSING, NULL):
+                break
+            got += [record["id"] for record in json.loads(body)["value"]]
+        out += got
+    return sorted(out)
+
+
+def skewed_landing():
+    """200 feeds; one of them holds a third of all pages and never ends."""
+    rng = random.Random(7)
+    responses = feed("hot", *[DATA] * 1500)
+    for n in range(199):
+        responses += feed(f"c{n}x", *rng.choices([DATA, EMPTY, BAD, REFUSED, MISSING], [90, 4, 2, 2, 2], k=15))
+    return responses
+
+
+@pytest.mark.parametrize("broadcast_bytes", [lookup.BROADCAST_BYTES, 0])
+def test_both_join_ways_match_brute_force_on_a_hot_feed(spark, broadcast_bytes):
+    responses = skewed_landing()
+    names = sorted({r[0] for r in responses})
+    snapshot = {name: [f"fb-{name}"] for name in names}
+    fallback = spark.createDataFrame(
+        [(name, f'{{"id":"{values[0]}"}}') for name, values in snapshot.items()], "feed string, record string"
+    )
+    landed = settle(spark.createDataFrame(responses, LANDED), "responses")
+    got = kept(resolve_batches(landed, "fallback", fallback, broadcast_bytes))
+    assert got == brute_force(responses, snapshot)
+
+
+def test_hot_feed_is_spread_over_tasks(spark):
+    """Without the broadcast, no partition of the join holds more than a fraction of the hot feed."""
+    responses = feed("hot", *[DATA] * 4000) + [r for n in range(400) for r in feed(f"c{n}", *[DATA] * 20)]
+    pages = settle(classify(spark.createDataFrame(responses, LANDED)), "pages")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        bounds = settle(feed_bounds(pages), "bounds")
+        joined = pages_before_end(pages, bounds, broadcast_bytes=0)
+        assert sorted(joined.columns) == sorted(pages.columns)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == len(responses)
+        assert max(sizes) < 2 * len(responses) / 8
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("how", ["inner", "left_semi", "left_anti"])
+@pytest.mark.parametrize("broadcast_bytes", [lookup.BROADCAST_BYTES, 0])
+def test_lookup_join_equals_a_plain_join(spark, how, broadcast_bytes):
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("feed"), "id"
+    )
+    small = spark.createDataFrame([("hot", 1), ("k1", 2), ("k7", 3)], "feed string, tag int")
+    want = sorted(map(tuple, rows.join(small, "feed", how).collect()))
+    got = lookup_join(rows, small, "feed", how, spread=F.col("id"), broadcast_bytes=broadcast_bytes)
+    assert sorted(map(tuple, got.collect())) == want
+    assert sorted(map(tuple, lookup_join(rows, small, "feed", how, broadcast_bytes=broadcast_bytes).collect())) == want
+
+
+def test_page_requests_cover_every_page_once(spark):
+    feeds = spark.createDataFrame([("a", 1), ("b", 0), ("c", 2503)], "feed string, n int")
+    got = page_requests(feeds, "n").collect()
+    assert sorted(r.skip for r in got if r.feed == "c") == [500 * i for i in range(2503)]
+    assert [r.request for r in got if r.feed == "a"] == ["a?$skip=0"]
+    assert not [r for r in got if r.feed == "b"]
