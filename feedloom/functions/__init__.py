@@ -1,7 +1,8 @@
 from feedloom.functions.json_types import json_type, strict_double
-from feedloom.functions.keys import calendar_month_key, month_key, ordinal_label, request_key
+from feedloom.functions.keys import base_name, calendar_month_key, month_key, ordinal_label, request_key
 
 __all__ = [
+    "base_name",
     "calendar_month_key",
     "json_type",
     "month_key",

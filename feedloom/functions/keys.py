@@ -24,3 +24,8 @@ def request_key(template: str, *values: Column | str) -> Column:
 def ordinal_label(prefix: str, position: Column) -> Column:
     """prefix1, prefix2, … for a zero-based position."""
     return F.concat(F.lit(prefix), (position + 1).cast("string"))
+
+
+def base_name(path: Column | str) -> Column:
+    """The last part of a path or link."""
+    return F.element_at(F.split(path, "/"), -1)

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, MapType, StringType, StructType
 
-from feedloom.functions import month_key, request_key
-from feedloom.operators.envelope import classify, explode_typed
+from feedloom.functions import base_name, month_key, request_key
+from feedloom.operators.envelope import classified, explode_typed
 from feedloom.operators.lookup import BROADCAST_BYTES, lookup_join
 from feedloom.operators.paging import resolve_batches
 from feedloom.operators.project import project_declared, project_documents
@@ -78,19 +78,35 @@ def archive_lines(
     link_pages: DataFrame,
     archives: DataFrame,
     columns: list[str],
+    by_name: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(feed, line) of the archives that the link documents' first records name.
 
-    Links are narrow; within the measured limit the archive bytes are not shuffled.
+    A link is an archive's path, or `by_name` ends in its file's name. One without an
+    archive stops the job. Links are narrow; within the measured limit the archive
+    bytes are not shuffled.
     """
-    links = settle(first_link(link_pages), "links")
+    links = first_link(link_pages)
+    if by_name:
+        links = links.withColumn("path", base_name("path"))
+        archives = archives.withColumn("path", base_name("path"))
+    links = settle(links, "links")
+    missing = links.join(archives.select("path"), "path", "left_anti").head()
+    if missing is not None:
+        raise FileNotFoundError(f"{missing['feed']}: no archive {missing['path']}")
     linked = lookup_join(archives, links, "path", broadcast_bytes=broadcast_bytes)
     return first_member_lines(linked, columns, "feed")
 
 
 def passenger_volume(
-    link_responses: DataFrame, archives: DataFrame, columns: list[str], schema: str, *keep: Column | str
+    link_responses: DataFrame,
+    archives: DataFrame,
+    columns: list[str],
+    schema: str,
+    *keep: Column | str,
+    by_name: bool = False,
 ) -> DataFrame:
     """Typed CSV rows of each month's linked archive, from the link documents on."""
-    return parse_lines(archive_lines(classify(link_responses), archives, columns), schema, *keep)
+    lines = archive_lines(classified(link_responses), archives, columns, by_name)
+    return parse_lines(lines, schema, *keep)

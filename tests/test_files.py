@@ -137,6 +137,12 @@ def test_volume_of_linked_archives_only(spark, broadcast, monkeypatch):
     assert sorted(map(tuple, got.collect())) == [("a", "00", "m", 0), ("b", "02", "m", 2)]
 
 
+def test_link_without_an_archive_stops_the_job(spark):
+    documents = links(spark, a={"value": [{"Link": "gone.zip"}]})
+    with pytest.raises(FileNotFoundError, match="a: no archive gone.zip"):
+        passenger_volume(documents, archive_rows(spark, zipped(("v.csv", "code,month,n\n"))), COLUMNS, SCHEMA)
+
+
 def test_staging_again_replaces_only_the_staged_month(spark, tmp_path):
     raw = str(tmp_path / "raw")
     lines = "ym string, line string"

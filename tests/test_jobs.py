@@ -1,0 +1,68 @@
+"""The loads from landed input to their tables."""
+
+from __future__ import annotations
+
+import io
+import json
+import zipfile
+
+import pytest
+
+from feedloom import jobs
+from feedloom.sources import LANDED
+
+
+def land(spark, path, *responses):
+    spark.createDataFrame([(f, s, 200, json.dumps(b)) for f, s, b in responses], LANDED).write.parquet(path)
+    return path
+
+
+def test_arrivals(spark, tmp_path, capsys):
+    body = {"Services": [{"ServiceNo": "7", "Operator": "AB", "NextBus": {"Load": "x"}, "NextBus2": {"Load": "y"}}]}
+    landed = land(spark, str(tmp_path / "landed"), ("83", 0, body), ("84", 0, body))
+    target = str(tmp_path / "t")
+    assert jobs.run(["arrivals", "--landed", landed, "--target", target, "--preview", "2"]) == 4
+    assert "NextBus1" in capsys.readouterr().out
+    assert {r.BusStopCode for r in spark.read.parquet(target).collect()} == {"83", "84"}
+
+
+def test_incidents_after_a_failed_fetch_leave_an_empty_table(spark, tmp_path):
+    (tmp_path / "incidents.json").write_text("<html>")
+    target = str(tmp_path / "t")
+    argv = ["incidents", "--documents", str(tmp_path / "incidents.json"), "--target", target]
+    assert jobs.run(argv) == 0
+    assert spark.read.parquet(target).columns == ["Type", "Latitude", "Longitude", "Message"]
+
+
+def test_stops_fall_back_to_the_snapshot(spark, tmp_path):
+    landed = land(spark, str(tmp_path / "landed"), ("stops", 0, {"value": [{"BusStopCode": "1"}]}), ("stops", 500, []))
+    snapshot = tmp_path / "snapshot"
+    snapshot.mkdir()
+    (snapshot / "stops.json").write_text(json.dumps({"value": [{"BusStopCode": "9", "Latitude": 1.5}]}))
+    target = str(tmp_path / "t")
+    assert jobs.run(["stops", "--landed", landed, "--fallback", str(snapshot), "--target", target]) == 1
+    assert spark.read.parquet(target).first().BusStopCode == "9"
+
+
+def test_volume_appends_the_months_archive(spark, tmp_path):
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        archive.writestr("v.csv", "code,n\n01,5\n02,6\n")
+    (tmp_path / "zips").mkdir()
+    (tmp_path / "zips" / "202502.zip").write_bytes(packed.getvalue())
+    link = {"value": [{"Link": "https://files.example/x/202502.zip"}]}
+    landed = land(spark, str(tmp_path / "landed"), ("volume?Date=202502", 0, link))
+    target = str(tmp_path / "t")
+    argv = ["volume", "--landed", landed, "--archives", str(tmp_path / "zips"), "--schema", "code string, n int"]
+    argv += ["--request", "volume?Date=%s", "--target", target, "--date"]
+    assert jobs.run([*argv, "2025-03-11"]) == 2
+    assert jobs.run([*argv, "2025-03-11"]) == 2
+    assert spark.read.parquet(target).count() == 4
+    with pytest.raises(ValueError, match="no data for the month"):
+        jobs.run([*argv, "2025-05-11"])
+
+
+def test_credentials_are_checked_before_anything_is_read():
+    argv = ["stops", "--landed", "/does/not/exist", "--url", "jdbc:postgresql://db/x"]
+    with pytest.raises(ValueError, match="DB_USER, DB_PASSWORD"):
+        jobs.run(argv, env={})
