@@ -36,7 +36,7 @@ def arrival_responses(events: DataFrame) -> DataFrame:
     error status, those with a value under 0.05 are cut short.
     """
     value = F.col("value")
-    number = F.get_json_object("props", "$.k")
+    number = F.regexp_extract("props", r"\d+", 0)
     blank = ",".join(f'"{field}":""' for field in SLOT_FIELDS)
     full = F.concat(
         F.lit('{"OriginCode":"1","Monitored":1,"EstimatedArrival":"'),
@@ -62,30 +62,39 @@ def arrival_responses(events: DataFrame) -> DataFrame:
     )
     position = F.pmod("event_id", F.lit(3))
     keyed = F.element_at(F.array(*map(F.lit, SLOT_KEYS)), (position + 1).cast("int"))
-    member = F.concat(F.lit('"'), keyed, F.lit('":'), slot)
-    by_stop = events.withColumn("stop", div("event_id", 30)).repartition("stop")
-    services = by_stop.groupBy("stop", div("event_id", 3).alias("service_no")).agg(
-        F.min("event_type").alias("operator"),
-        F.collect_list(member).alias("members"),
-        F.min("value").alias("low"),
-        F.max("value").alias("high"),
+    item = F.struct(
+        div("event_id", 3).alias("number"),
+        F.col("event_type").alias("operator"),
+        F.concat(F.lit('"'), keyed, F.lit('":'), slot).alias("member"),
     )
-    head = F.concat(F.lit('"ServiceNo":"'), "service_no", F.lit('","Operator":"'), "operator", F.lit('"'))
-    documents = services.groupBy("stop").agg(
-        F.collect_list(F.concat(F.lit("{"), F.concat_ws(",", head, "members"), F.lit("}"))).alias("services"),
-        F.min("low").alias("low"),
-        F.max("high").alias("high"),
+    by_stop = events.withColumn("stop", div("event_id", 30)).repartition("stop")
+    documents = by_stop.groupBy("stop").agg(
+        F.collect_list(item).alias("items"), F.min("value").alias("low"), F.max("value").alias("high")
     )
+
+    def service(number: Column) -> Column:
+        own = F.filter("items", lambda item: item["number"] == number)
+        return F.concat(
+            F.lit('{"ServiceNo":"'),
+            number.cast("string"),
+            F.lit('","Operator":"'),
+            F.array_min(own["operator"]),
+            F.lit('"'),
+            F.concat_ws("", F.transform(own["member"], lambda member: F.concat(F.lit(","), member))),
+            F.lit("}"),
+        )
+
     body = F.concat(
         F.format_string('{"metadata":"packed","BusStopCode":"%d","Services":[', "stop"),
-        F.concat_ws(",", "services"),
+        F.concat_ws(",", F.transform(F.array_distinct(F.col("items")["number"]), service)),
         F.lit("]}"),
     )
+    documents = documents.select("stop", "low", "high", body.alias("whole"))
     return documents.select(
         F.format_string("%05d", "stop").alias("feed"),
         F.lit(0).cast("bigint").alias("skip"),
         F.when(F.col("high") > 400, 500).otherwise(200).alias("status"),
-        F.when(F.col("low") < 0.05, F.substring(body, F.lit(1), F.length(body) - 3)).otherwise(body).alias("body"),
+        F.when(F.col("low") < 0.05, F.expr("left(whole, length(whole) - 3)")).otherwise(F.col("whole")).alias("body"),
     )
 
 
