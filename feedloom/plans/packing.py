@@ -127,6 +127,40 @@ def paged_responses(
     return pages.select("feed", "skip", status.alias("status"), body.alias("body"))
 
 
+def stop_pages(customer: DataFrame, feed: Column, page: Column, last: int) -> DataFrame:
+    """Pages of customers as stops; each feed gets an empty page `last` and a stray one after it."""
+    record = F.struct(
+        F.col("c_custkey").cast("string").alias("BusStopCode"),
+        F.col("c_name").alias("RoadName"),
+        F.col("c_mktsegment").alias("Description"),
+        F.col("c_acctbal").alias("Latitude"),
+        (F.col("c_nationkey") / 2).alias("Longitude"),
+    )
+    pages = (
+        customer.withColumns({"feed": feed, "skip": page * PAGE_STEP})
+        .repartition("feed", "skip")
+        .groupBy("feed", "skip")
+        .agg(F.min("c_acctbal").alias("low"), F.collect_list(record).alias("value"))
+        .select(
+            "feed",
+            "skip",
+            F.when(F.col("low") < -980, 503).otherwise(200).alias("status"),
+            F.to_json(F.struct("value")).alias("body"),
+        )
+    )
+    closing = F.array(
+        F.struct(F.lit(last).alias("page"), F.lit('{"value":[]}').alias("body")),
+        F.struct(F.lit(last + 1).alias("page"), F.lit('{"value":[{"BusStopCode":"stray"}]}').alias("body")),
+    )
+    ends = (
+        customer.select(feed.alias("feed"))
+        .distinct()
+        .select("feed", F.inline(closing))
+        .select("feed", (F.col("page") * PAGE_STEP).cast("bigint").alias("skip"), F.lit(200).alias("status"), "body")
+    )
+    return pages.unionByName(ends)
+
+
 def single_records(df: DataFrame, feed: Column, record: Column) -> DataFrame:
     """One response per row, holding that row's one record; no shuffle."""
     return df.select(

@@ -26,7 +26,7 @@ from feedloom.operators import (
     unpivot_columns,
 )
 from feedloom.plans import packing
-from feedloom.plans.feeds import archive_lines, arrivals
+from feedloom.plans.feeds import archive_lines, arrivals, incidents, stops
 from feedloom.plans.packing import PAGE_STEP, div, table
 from feedloom.sinks import append_table, month_replace, replace_table
 from feedloom.sources import (
@@ -53,6 +53,8 @@ LINE = (
     .add("line_no", LongType())
     .add("line", StringType())
 )
+# Ids to a feed.
+SPAN = 500
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"]
 ORDER_CSV = "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderpriority string"
 PART_COLUMNS = ["p_partkey", "p_name", "p_brand", "p_size", "p_retailprice"]
@@ -83,6 +85,30 @@ def envelope_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project_documents(documents, LINE)
 
 
+def incidents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each web page is one incident document whose message is the page's whole text."""
+    pages = table(spark, sf_dir, "pages")
+    record = F.struct(
+        F.regexp_extract("url", r"^\w+://([^/?]*)", 1).alias("Type"),
+        (F.col("page_id") / 8).alias("Latitude"),
+        F.col("html").alias("Message"),
+        F.col("page_id").alias("Undeclared"),
+    )
+    return incidents(packing.single_records(pages, F.col("page_id").cast("string"), F.to_json(record)))
+
+
+def stops_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as stops: feeds of 500 in pages of 50, closed by an empty page and
+    followed by one that must not be read. A page with a balance under -980 is refused;
+    the fallback snapshot of its feed has the stops' codes only."""
+    customer = table(spark, sf_dir, "customer")
+    feed = div("c_custkey", SPAN).cast("string")
+    pages = packing.stop_pages(customer, feed, div(F.pmod("c_custkey", F.lit(SPAN)), 50), last=SPAN // 50)
+    code = F.to_json(F.struct(F.col("c_custkey").cast("string").alias("BusStopCode")))
+    snapshot = packing.single_records(customer, feed, code)
+    return stops(settle(pages, "responses"), unnest(classify(snapshot)))
+
+
 def project_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A declared key, a declared key no record has, and the undeclared rest dropped."""
     events = table(spark, sf_dir, "events")
@@ -128,8 +154,6 @@ def project_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Paged feeds and failed feeds
 
-SPAN = 500
-
 
 def _paged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feeds of 500 events in pages of 20; errors are the records kept."""
@@ -330,6 +354,8 @@ def month_replace_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "arrivals_flatten": arrivals_flatten,
+    "stops_table": stops_table,
+    "incidents_table": incidents_table,
     "envelope_unnest": envelope_unnest,
     "project_named": project_named,
     "project_lenient": project_lenient,
@@ -402,6 +428,21 @@ SELECT printf('%05d', event_id // 30) AS "BusStopCode",
        'NextBus' || CAST(event_id % 3 + 1 AS VARCHAR) AS "BusInstance"
 FROM docs
 WHERE high <= 400 AND low >= 0.05 AND value >= 2 AND NOT (value >= 4 AND value < 6)
+""",
+    "stops_table": """
+WITH failed AS (
+  SELECT DISTINCT c_custkey // 500 AS feed FROM customer WHERE c_acctbal < -980)
+SELECT CAST(c_custkey AS VARCHAR) AS "BusStopCode",
+       CASE WHEN f.feed IS NULL THEN c_name END AS "RoadName",
+       CASE WHEN f.feed IS NULL THEN c_mktsegment END AS "Description",
+       CASE WHEN f.feed IS NULL THEN c_acctbal END AS "Latitude",
+       CASE WHEN f.feed IS NULL THEN c_nationkey / 2 END AS "Longitude"
+FROM customer LEFT JOIN failed f ON c_custkey // 500 = f.feed
+""",
+    "incidents_table": """
+SELECT regexp_extract(url, '^\\w+://([^/?]*)', 1) AS "Type", page_id / 8 AS "Latitude",
+       CAST(NULL AS DOUBLE) AS "Longitude", html AS "Message"
+FROM pages
 """,
     "envelope_unnest": """
 SELECT conv_id, turn, role, line_no, line FROM (

@@ -122,6 +122,20 @@ def test_month_replace_can_run_again(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == [(1, "202501"), (3, "202502"), (4, "202503")]
 
 
+def test_a_large_month_is_split_over_files(spark, tmp_path):
+    path = tmp_path / "t"
+    month = F.when(F.col("id") % 3 == 0, "202501").otherwise(F.concat(F.lit("2024"), F.lpad(F.col("id") % 12 + 1, 2, "0")))
+    rows = spark.range(300_000).select(F.md5(F.col("id").cast("string")).alias("v"), month.alias("ym"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "512KB")
+    try:
+        month_replace(rows, str(path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {folder.name: len(list(folder.glob("*.parquet"))) for folder in path.glob("ym=*")}
+    assert files["ym=202501"] > 3
+    assert spark.read.parquet(str(path)).count() == 300_000
+
+
 def test_incremental_load_takes_each_file_once(spark, tmp_path):
     landing, target, checkpoint = (str(tmp_path / name) for name in ("landing", "target", "checkpoint"))
 
