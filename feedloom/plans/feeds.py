@@ -9,8 +9,8 @@ from pyspark.sql.types import DoubleType, MapType, StringType, StructType
 from feedloom.functions import base_name, month_key, request_key
 from feedloom.operators.envelope import classified, explode_typed
 from feedloom.operators.lookup import BROADCAST_BYTES, lookup_join
-from feedloom.operators.paging import resolve_batches
-from feedloom.operators.project import project_declared, project_documents
+from feedloom.operators.paging import project_batches
+from feedloom.operators.project import project_documents
 from feedloom.operators.slots import flatten_slots
 from feedloom.sources.archives import first_member_lines
 from feedloom.sources.delimited import parse_lines
@@ -60,8 +60,8 @@ def stops(responses: DataFrame, fallback: DataFrame | None = None, strict: bool
 
     Takes landed responses, or pages that were classified when landed.
     """
-    records = resolve_batches(responses, "raise" if fallback is None else "fallback", fallback)
-    return project_declared(records, STOPS, strict=strict)
+    policy = "raise" if fallback is None else "fallback"
+    return project_batches(responses, STOPS, on_failure=policy, fallback=fallback, strict=strict)
 
 
 def incidents(responses: DataFrame, on_failure: str = "empty", strict: bool = True) -> DataFrame:

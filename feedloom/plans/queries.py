@@ -15,12 +15,9 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 from feedloom.functions import calendar_month_key, month_key, request_key
 from feedloom.operators import (
     classify,
-    pages_before_end,
-    feed_bounds,
     preview,
-    project_declared,
+    project_batches,
     project_documents,
-    resolve_batches,
     type_audit,
     unnest,
     unpivot_columns,
@@ -165,26 +162,19 @@ def _paged(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _until_empty(responses: DataFrame) -> DataFrame:
-    pages = settle(classify(responses), "pages")
-    bounds = settle(feed_bounds(pages), "feed-bounds")
-    return project_declared(unnest(pages_before_end(pages, bounds)), EVENT, "feed")
-
-
 def pages_until_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _until_empty(_paged(spark, sf_dir))
+    return project_batches(settle(_paged(spark, sf_dir), "responses"), EVENT, "feed")
 
 
 def pages_of_hot_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five feeds, one per event type, however large the table: each holds a fifth of it."""
-    return _until_empty(
-        packing.paged_responses(
-            table(spark, sf_dir, "events"),
-            feed=F.col("event_type"),
-            page=div("event_id", 100),
-            kept=F.col("value") >= 90,
-        )
+    responses = packing.paged_responses(
+        table(spark, sf_dir, "events"),
+        feed=F.col("event_type"),
+        page=div("event_id", 100),
+        kept=F.col("value") >= 90,
     )
+    return project_batches(settle(classify(responses), "pages"), EVENT, "feed")
 
 
 def _troubled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,14 +198,13 @@ def batch_or_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json(F.struct("event_id", "event_type", "value")),
     )
     pages = settle(classify(_troubled(spark, sf_dir)), "pages")
-    records = resolve_batches(pages, "fallback", unnest(classify(snapshot)))
-    return project_declared(records, EVENT, "feed")
+    return project_batches(pages, EVENT, "feed", on_failure="fallback", fallback=unnest(classify(snapshot)))
 
 
 def batch_or_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses landed as they came, parsed when resolved."""
     responses = settle(_troubled(spark, sf_dir), "responses")
-    return project_declared(resolve_batches(responses, "empty"), EVENT, "feed")
+    return project_batches(responses, EVENT, "feed", on_failure="empty")
 
 
 def batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,8 +7,9 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
-from feedloom.operators import classify, feed_bounds, lookup_join, pages_before_end, resolve_batches
+from feedloom.operators import classify, feed_bounds, lookup_join, pages_before_end, project_batches, resolve_batches
 from feedloom.operators import lookup
 from feedloom.plans.feeds import stops
 from feedloom.sources import LANDED, page_requests
@@ -94,6 +95,26 @@ def test_stops_from_pages_or_snapshot(spark):
         stops(failed)
 
 
+@pytest.mark.parametrize("classified", [False, True])
+def test_typed_batches_agree_with_their_records(spark, classified):
+    landed = spark.createDataFrame(
+        feed("f", DATA, BAD) + feed("g", DATA, DATA, EMPTY, DATA) + feed("h", EMPTY), LANDED
+    )
+    if classified:
+        landed = classify(landed)
+    fallback = spark.createDataFrame([("f", '{"id":"fallback"}')], "feed string, record string")
+    schema = StructType().add("id", StringType())
+
+    def ids(**policy):
+        return sorted((r.feed, r.id) for r in project_batches(landed, schema, "feed", **policy).collect())
+
+    g = [("g", name) for name in records("g", 0, 1)]
+    assert ids(on_failure="empty") == g
+    assert ids(on_failure="fallback", fallback=fallback) == [("f", "fallback"), *g]
+    with pytest.raises(RuntimeError, match="f"):
+        ids()
+
+
 def brute_force(responses, fallback):
     feeds: dict[str, list] = {}
     for name, skip, status, body in responses:
