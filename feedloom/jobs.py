@@ -21,7 +21,7 @@ from pyspark.sql.types import StructType
 from feedloom.functions import month_key, request_key
 from feedloom.operators import classified, preview, require_rows, row_counter, unnest
 from feedloom.plans.feeds import arrivals, incidents, passenger_volume, stops
-from feedloom.sinks import append_table, jdbc_options, replace_table
+from feedloom.sinks import append_table, jdbc_options, month_replace, replace_table
 from feedloom.sources import read_archives, read_documents, read_landed
 
 # The tables of the four loads.
@@ -57,7 +57,8 @@ def parser() -> argparse.ArgumentParser:
             load.add_argument("--archives", required=True, help="zip files; a link ends in its file's name")
             load.add_argument("--schema", required=True, help="DDL of the CSV columns, in header order")
             load.add_argument("--request", default="%s", help="feed of a month's link document, e.g. 'volume?Date=%%s'")
-            load.add_argument("--date", type=dt.date.fromisoformat, default=None, help="run date, today by default")
+            load.add_argument("--date", type=dt.date.fromisoformat, default=dt.date.today(), help="run date")
+            load.add_argument("--by-month", action="store_true", help="replace the month in --target, not append")
     return top
 
 
@@ -70,7 +71,7 @@ def rows_of(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.load == "stops":
         fallback = args.fallback and unnest(classified(read_documents(spark, args.fallback)))
         return stops(landed, fallback, strict=not args.lenient)
-    month = request_key(args.request, month_key(F.lit(args.date or dt.date.today())))
+    month = request_key(args.request, month_key(F.lit(args.date)))
     links = require_rows(landed.where(F.col("feed") == month), "the month")
     columns = StructType.fromDDL(args.schema).names
     return passenger_volume(links, read_archives(spark, args.archives), columns, args.schema, by_name=True)
@@ -78,7 +79,10 @@ def rows_of(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 def run(argv: Sequence[str] | None = None, env: Mapping[str, str] = os.environ) -> int:
     """Run one load and return the number of rows written."""
-    args = parser().parse_args(argv)
+    arguments = parser()
+    args = arguments.parse_args(argv)
+    if args.load == "volume" and args.by_month and args.url:
+        arguments.error("--by-month needs --target")
     # Before anything is read: a run that cannot write should not start.
     options = jdbc_options(args.url, args.table, env) if args.url else {"path": args.target}
     fmt = "jdbc" if args.url else "parquet"
@@ -87,8 +91,10 @@ def run(argv: Sequence[str] | None = None, env: Mapping[str, str] = os.environ)
     if args.preview:
         preview(rows, args.preview).show(args.preview, truncate=False)
     counted, seen = row_counter(rows)
-    if args.load == "volume":
-        append_table(counted, options, fmt, args.connections, schema=rows.schema)
+    if args.load == "volume" and args.by_month:
+        month_replace(counted.withColumn("ym", month_key(F.lit(args.date))), args.target)
+    elif args.load == "volume":
+        append_table(counted, options, fmt, args.connections)
     else:
         replace_table(counted, options, fmt, args.connections)
     return seen.get["rows"]

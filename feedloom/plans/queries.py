@@ -298,7 +298,7 @@ def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     target = {"path": new_path(spark, "customer")}
     replace_table(customer, target, fmt="parquet")
-    append_table(customer.select(*reversed(customer.columns)), target, fmt="parquet")
+    append_table(customer.select(*reversed(customer.columns)), target, fmt="parquet", schema=customer.schema)
     return spark.read.schema(customer.schema).parquet(target["path"])
 
 

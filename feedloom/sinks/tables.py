@@ -20,7 +20,8 @@ def jdbc_options(
 ) -> dict[str, str]:
     """Options of a JDBC table; the credentials come from DB_USER and DB_PASSWORD.
 
-    `truncate` keeps the table's own column types and grants when it is replaced.
+    A replace drops and creates the table. With truncate="true" it keeps the table's
+    own column types and grants, but then fails on a column the table does not have.
     """
     found = require_settings(settings, "DB_USER", "DB_PASSWORD")
     return {
@@ -29,7 +30,6 @@ def jdbc_options(
         "user": found["DB_USER"],
         "password": found["DB_PASSWORD"],
         "driver": driver,
-        "truncate": "true",
         "batchsize": "10000",
         **options,
     }
@@ -71,12 +71,13 @@ def append_table(
     connections: int | None = None,
     schema: StructType | None = None,
 ) -> None:
-    """Add rows to the table, columns matched by name against `schema`, which by
-    default is read from the target. Running it twice adds the rows twice; use
-    `month_replace` where a run may be repeated."""
-    if schema is None:
-        schema = df.sparkSession.read.format(fmt).options(**options).load().schema
-    _write(align(df, schema), fmt, options, "append", connections)
+    """Add rows to the table, creating it if need be; columns are matched by name.
+
+    A JDBC table refuses unknown columns by itself. Files do not, so give their
+    `schema`: absent columns are then NULL and unknown ones an error. Running an append
+    twice adds the rows twice; use `month_replace` where a run may be repeated.
+    """
+    _write(df if schema is None else align(df, schema), fmt, options, "append", connections)
 
 
 def month_replace(df: DataFrame, path: str, partition: str = "ym", fmt: str = "parquet") -> None:

@@ -58,6 +58,12 @@ def test_volume_appends_the_months_archive(spark, tmp_path):
     assert jobs.run([*argv, "2025-03-11"]) == 2
     assert jobs.run([*argv, "2025-03-11"]) == 2
     assert spark.read.parquet(target).count() == 4
+    months = str(tmp_path / "months")
+    by_month = [months if value == target else value for value in argv]
+    for _ in range(2):
+        assert jobs.run([*by_month, "2025-03-11", "--by-month"]) == 2
+    assert {(r.code, str(r.ym)) for r in spark.read.parquet(months).collect()} == {("01", "202502"), ("02", "202502")}
+    assert spark.read.parquet(months).count() == 2
     with pytest.raises(ValueError, match="no data for the month"):
         jobs.run([*argv, "2025-05-11"])
 

@@ -74,7 +74,7 @@ def test_jdbc_replace_asks_for_an_overwrite(spark, saved):
         ("mode", ("overwrite",), {}),
         ("save", ["id"], {}),
     ]
-    assert options["dbtable"] == "bus_stops" and options["user"] == "u" and options["truncate"] == "true"
+    assert options["dbtable"] == "bus_stops" and options["user"] == "u"
 
 
 def test_jdbc_append_matches_columns_by_name(spark, saved):
@@ -96,13 +96,14 @@ def test_align_refuses_unknown_columns_and_fills_absent_ones(spark):
     assert aligned.schema.simpleString() == schema.simpleString() and tuple(aligned.first()) == (1, None)
 
 
-def test_append_reads_the_target_schema(spark, tmp_path):
+def test_append_creates_the_table_and_then_adds_to_it(spark, tmp_path):
     target = {"path": str(tmp_path / "t")}
-    replace_table(spark.createDataFrame([(1, "x")], "a bigint, b string"), target, fmt="parquet")
-    append_table(spark.createDataFrame([("y", 2)], "b string, a int"), target, fmt="parquet")
+    rows = spark.createDataFrame([(1, "x")], "a bigint, b string")
+    append_table(rows, target, fmt="parquet")
+    append_table(spark.createDataFrame([("y", 2)], "b string, a int"), target, fmt="parquet", schema=rows.schema)
     assert sorted(map(tuple, spark.read.parquet(target["path"]).collect())) == [(1, "x"), (2, "y")]
     with pytest.raises(ValueError):
-        append_table(spark.range(1), target, fmt="parquet")
+        append_table(spark.range(1), target, fmt="parquet", schema=rows.schema)
 
 
 def test_replace_with_nothing_leaves_nothing(spark, tmp_path):
