@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from feedloom.functions import month_key, request_key
-from feedloom.operators import classified, preview, require_rows, row_counter, unnest
+from feedloom.operators import preview, require_rows, row_counter
 from feedloom.plans.feeds import arrivals, incidents, passenger_volume, stops
 from feedloom.sinks import append_table, jdbc_options, month_replace, replace_table
 from feedloom.sources import read_archives, read_documents, read_landed
@@ -52,6 +52,7 @@ def parser() -> argparse.ArgumentParser:
         if name in ("stops", "incidents"):
             load.add_argument("--lenient", action="store_true", help="mistyped numbers become NULL")
         if name == "stops":
+            load.add_argument("--classified", action="store_true", help="the landed responses have an outcome")
             load.add_argument("--fallback", help="JSON snapshot files, named after their feeds")
         if name == "volume":
             load.add_argument("--archives", required=True, help="zip files; a link ends in its file's name")
@@ -63,13 +64,16 @@ def parser() -> argparse.ArgumentParser:
 
 
 def rows_of(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    landed = read_landed(spark, args.landed) if args.landed else read_documents(spark, args.documents)
+    if args.landed:
+        landed = read_landed(spark, args.landed, classified=getattr(args, "classified", False))
+    else:
+        landed = read_documents(spark, args.documents)
     if args.load == "arrivals":
         return arrivals(landed, args.on_failure)
     if args.load == "incidents":
         return incidents(landed, args.on_failure, strict=not args.lenient)
     if args.load == "stops":
-        fallback = args.fallback and unnest(classified(read_documents(spark, args.fallback)))
+        fallback = read_documents(spark, args.fallback) if args.fallback else None
         return stops(landed, fallback, strict=not args.lenient)
     month = request_key(args.request, month_key(F.lit(args.date)))
     links = require_rows(landed.where(F.col("feed") == month), "the month")

@@ -1,27 +1,22 @@
 from feedloom.operators.checks import preview, require_rows, require_settings, row_counter
-from feedloom.operators.envelope import classified, classify, explode_typed, unnest
+from feedloom.operators.envelope import classify, unnest
 from feedloom.operators.lookup import lookup_join
-from feedloom.operators.paging import feed_bounds, pages_before_end, project_batches, resolve_batches, scan_feeds
-from feedloom.operators.project import project_declared, project_documents, type_audit
+from feedloom.operators.paging import feed_bounds, pages_before_end, resolve_batches
+from feedloom.operators.project import project_documents, type_audit
 from feedloom.operators.slots import flatten_slots, unpivot_columns
 
 __all__ = [
-    "classified",
     "classify",
-    "explode_typed",
     "feed_bounds",
     "flatten_slots",
     "lookup_join",
     "pages_before_end",
     "preview",
-    "project_batches",
-    "project_declared",
     "project_documents",
     "require_rows",
     "require_settings",
     "resolve_batches",
     "row_counter",
-    "scan_feeds",
     "type_audit",
     "unnest",
     "unpivot_columns",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 MALFORMED = "_malformed"
 
@@ -16,52 +16,37 @@ def answered() -> Column:
     )
 
 
-def _parsed(field: str, element) -> Column:
+def parsed_body(field: str, element: DataType) -> Column:
     """The body as struct<field: array<element>, _malformed>."""
     schema = StructType().add(field, ArrayType(element)).add(MALFORMED, StringType())
     return F.from_json("body", schema, {"columnNameOfCorruptRecord": MALFORMED, "allowSingleQuotes": "false"})
 
 
 def classify(responses: DataFrame, field: str = "value") -> DataFrame:
-    """(feed, skip, outcome, records) of landed responses.
+    """The responses with their `outcome`; those that have one already stay as they are.
 
-    outcome is "failed" (error status, no text, malformed text or not an object),
-    "empty" (no records under `field`) or "data". Records stay JSON text here: a
-    mistyped field inside a record must not make its page look malformed.
+    "failed" is an error status, no text, malformed text or a body that is no object,
+    "empty" has no records under `field`, and the rest is "data". Records are not typed
+    here: a mistyped field inside a record must not make its page look malformed.
 
-    Store the result when landing; paging then reads only the narrow columns.
+    Classify when landing, and paging reads narrow columns instead of bodies.
     """
-    parsed = responses.withColumn("_doc", _parsed(field, StringType()))
+    if "outcome" in responses.columns:
+        return responses
+    parsed = responses.withColumn("_doc", parsed_body(field, StringType()))
     broken = ~answered() | F.col("_doc").isNull() | F.col("_doc")[MALFORMED].isNotNull()
-    records = F.col("_doc")[field]
-    outcome = F.when(broken, "failed").when(F.size(records) > 0, "data").otherwise("empty")
-    return parsed.select("feed", "skip", outcome.alias("outcome"), records.alias("records"))
+    outcome = F.when(broken, "failed").when(F.size(F.col("_doc")[field]) > 0, "data").otherwise("empty")
+    return parsed.select(*responses.columns, outcome.alias("outcome"))
 
 
-def classified(landed: DataFrame, field: str = "value") -> DataFrame:
-    """Landed responses classified; pages that already are stay as they are."""
-    return landed if "outcome" in landed.columns else classify(landed, field)
-
-
-def unnest(pages: DataFrame, *keep: Column | str) -> DataFrame:
-    """One `record` row (JSON text) per record of the classified data pages.
-
-    The outcome is tested inside the explode: as a filter it would be pushed below the
-    classification and parse every body again.
-    """
-    return pages.select(
-        *(keep or ("feed",)), F.explode(F.when(F.col("outcome") == "data", F.col("records"))).alias("record")
-    )
-
-
-def explode_typed(
+def unnest(
     responses: DataFrame,
     element: StructType,
     field: str = "value",
     on_failure: str = "empty",
     strict: bool = True,
 ) -> DataFrame:
-    """(feed, record) with typed records, for feeds of single documents: one parse, no shuffle.
+    """(feed, record) with typed records: one parse, no shuffle.
 
     A failed response gives no rows, or with on_failure="raise" stops the job. A
     well-formed response is never lost: a mistyped record stops the job, or unless
@@ -69,11 +54,11 @@ def explode_typed(
     """
     if on_failure not in ("raise", "empty"):
         raise ValueError(f"on_failure must be 'raise' or 'empty', not {on_failure!r}")
-    documents = responses.select("feed", "body", F.when(answered(), _parsed(field, element)).alias("_doc"))
+    documents = responses.select("feed", "body", F.when(answered(), parsed_body(field, element)).alias("_doc"))
     typed = F.col("_doc")[field]
     corrupt = F.col("_doc")[MALFORMED].isNotNull()
     # Evaluated for corrupt bodies only: is the envelope sound, so that a record is at fault?
-    unreadable = typed.isNull() & _parsed(field, StringType())[MALFORMED].isNull()
+    unreadable = typed.isNull() & parsed_body(field, StringType())[MALFORMED].isNull()
     mistyped = corrupt & ((typed.isNotNull() | unreadable) if strict else unreadable)
     failed = F.col("_doc").isNull() | (corrupt & typed.isNull())
     if on_failure == "raise":

@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from feedloom.operators.envelope import classified, unnest
+from feedloom.operators.envelope import classify
 from feedloom.operators.lookup import BROADCAST_BYTES, lookup_join, width
-from feedloom.operators.project import project_declared, project_documents
 from feedloom.workspace import settle
 
 POLICIES = ("raise", "empty", "fallback")
@@ -55,92 +51,43 @@ def pages_before_end(
     )
 
 
-@dataclass(frozen=True)
-class Scan:
-    """What page-by-page scans of all feeds come to."""
-
-    kept: DataFrame  # landed rows of the feeds that did not fail, up to their ends
-    failed: DataFrame  # (feed)
-    size: int  # upper bound of either table of feeds, in bytes
-    broadcast_bytes: int
-
-    def require_complete(self) -> None:
-        some = [row["feed"] for row in self.failed.limit(10).collect()]
-        if some:
-            raise RuntimeError(f"failed feeds, among them: {some}")
-
-    def substitutes(self, fallback: DataFrame) -> DataFrame:
-        """The (feed, record) rows of the failed feeds' snapshots."""
-        return lookup_join(
-            fallback.select("feed", "record"),
-            self.failed,
-            "feed",
-            "left_semi",
-            spread=F.col("record"),
-            size=self.size,
-            broadcast_bytes=self.broadcast_bytes,
-        )
-
-
-def scan_feeds(landed: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> Scan:
-    """Scan landed responses or classified pages of any number of feeds.
-
-    `landed` is read here, to find where each feed ends, and again by whoever uses
-    `kept`. Pages classified when landed make this first read a narrow one.
-    """
-    bounds = settle(feed_bounds(classified(landed)), "feed-bounds")
-    size = width(bounds)
-    kept = pages_before_end(landed, bounds, size, broadcast_bytes)
-    return Scan(kept, bounds.where("failed").select("feed"), size, broadcast_bytes)
-
-
-def _scan(landed: DataFrame, on_failure: str, fallback: DataFrame | None, broadcast_bytes: int) -> Scan:
-    if on_failure not in POLICIES:
-        raise ValueError(f"on_failure must be one of {POLICIES}, not {on_failure!r}")
-    if (on_failure == "fallback") != (fallback is not None):
-        raise ValueError("a fallback is needed for, and only for, on_failure='fallback'")
-    scan = scan_feeds(landed, broadcast_bytes)
-    if on_failure == "raise":
-        scan.require_complete()
-    return scan
-
-
 def resolve_batches(
     landed: DataFrame,
     on_failure: str = "raise",
     fallback: DataFrame | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """(feed, record) of every feed, the records as JSON text.
+    """The responses to read records from, after each feed's scan has ended or failed.
 
-    A feed whose scan failed stops the job ("raise"), gives no rows ("empty"), or
-    takes its rows from `fallback`, a (feed, record) snapshot ("fallback"). An empty
-    feed is not a failed one: it gives no rows under any policy.
-    """
-    scan = _scan(landed, on_failure, fallback, broadcast_bytes)
-    fetched = unnest(classified(scan.kept))
-    return fetched if fallback is None else fetched.unionByName(scan.substitutes(fallback))
-
-
-def project_batches(
-    landed: DataFrame,
-    schema: StructType,
-    *keep: Column | str,
-    on_failure: str = "raise",
-    fallback: DataFrame | None = None,
-    strict: bool = True,
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """Declared columns of every feed's records, by the policies of `resolve_batches`.
+    A feed whose scan failed stops the job ("raise"), gives no responses ("empty"), or
+    is replaced by its documents in `fallback`, which has the landed columns too
+    ("fallback"). An empty feed is not a failed one: it gives no records either way.
 
-    The pages kept are known to be sound, so landed responses go from body to typed
-    columns in one parse.
+    `landed` is read here, to find where each feed ends, and again by whoever uses the
+    result. Where it was classified when landed this first read is a narrow one.
     """
-    scan = _scan(landed, on_failure, fallback, broadcast_bytes)
-    if "outcome" in landed.columns:
-        fetched = project_declared(unnest(scan.kept), schema, *keep, strict=strict)
-    else:
-        fetched = project_documents(scan.kept, schema, *keep, on_failure="raise", strict=strict)
+    if on_failure not in POLICIES:
+        raise ValueError(f"on_failure must be one of {POLICIES}, not {on_failure!r}")
+    if (on_failure == "fallback") != (fallback is not None):
+        raise ValueError("a fallback is needed for, and only for, on_failure='fallback'")
+    bounds = settle(feed_bounds(classify(landed)), "feed-bounds")
+    failed = bounds.where("failed").select("feed")
+    if on_failure == "raise":
+        some = [row["feed"] for row in failed.limit(10).collect()]
+        if some:
+            raise RuntimeError(f"failed feeds, among them: {some}")
+    size = width(bounds)
+    columns = ["feed", "skip", "status", "body"]
+    kept = pages_before_end(landed.select(columns), bounds, size, broadcast_bytes)
     if fallback is None:
-        return fetched
-    return fetched.unionByName(project_declared(scan.substitutes(fallback), schema, *keep, strict=strict))
+        return kept
+    substitutes = lookup_join(
+        fallback.select(columns),
+        failed,
+        "feed",
+        "left_semi",
+        spread=F.col("body"),
+        size=size,
+        broadcast_bytes=broadcast_bytes,
+    )
+    return kept.unionByName(substitutes)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType, VariantType
 
 from feedloom.functions.json_types import accepts, json_type, strict_double
-from feedloom.operators.envelope import explode_typed
+from feedloom.operators.envelope import unnest
 
 
 def _read_as(schema: StructType, strict: bool) -> StructType:
@@ -36,16 +36,6 @@ def _declared(row: Column, schema: StructType, strict: bool) -> list[Column]:
     ]
 
 
-def project_declared(
-    records: DataFrame, schema: StructType, *keep: Column | str, strict: bool = True
-) -> DataFrame:
-    """Declared columns of each `record` (JSON text); strict, a record must be an object."""
-    mode = "FAILFAST" if strict else "PERMISSIVE"
-    parsed = records.select(*keep, F.from_json("record", _read_as(schema, strict), {"mode": mode}).alias("_row"))
-    kept = [F.col(f"`{name}`") for name in parsed.columns[:-1]]
-    return parsed.select(*kept, *_declared(F.col("_row"), schema, strict))
-
-
 def project_documents(
     responses: DataFrame,
     schema: StructType,
@@ -54,8 +44,8 @@ def project_documents(
     on_failure: str = "empty",
     strict: bool = True,
 ) -> DataFrame:
-    """Declared columns straight from single-document responses, parsed once."""
-    records = explode_typed(responses, _read_as(schema, strict), field, on_failure, strict)
+    """Declared columns of the responses' records, from body to columns in one parse."""
+    records = unnest(responses, _read_as(schema, strict), field, on_failure, strict)
     return records.select(*keep, *_declared(F.col("record"), schema, strict))
 
 
@@ -67,7 +57,7 @@ def type_audit(responses: DataFrame, schema: StructType, field: str = "value") -
     variants = StructType()
     for declared in schema.fields:
         variants = variants.add(declared.name, VariantType())
-    types = explode_typed(responses, variants, field).select(
+    types = unnest(responses, variants, field).select(
         *[json_type(F.col("record")[f.name]).alias(f.name) for f in schema.fields]
     )
     combined = types.groupBy(*schema.names).agg(F.count(F.lit(1)).alias("_n"))

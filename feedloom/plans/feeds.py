@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, MapType, StringType, StructType
 
 from feedloom.functions import base_name, month_key, request_key
-from feedloom.operators.envelope import classified, explode_typed
+from feedloom.operators.envelope import unnest
 from feedloom.operators.lookup import BROADCAST_BYTES, lookup_join
-from feedloom.operators.paging import project_batches
+from feedloom.operators.paging import resolve_batches
 from feedloom.operators.project import project_documents
 from feedloom.operators.slots import flatten_slots
 from feedloom.sources.archives import first_member_lines
@@ -46,7 +46,7 @@ def arrivals(responses: DataFrame, on_failure: str = "empty") -> DataFrame:
     A failed response gives no rows, or with on_failure="raise" stops the job.
     """
     return flatten_slots(
-        explode_typed(responses, SERVICE, "Services", on_failure),
+        unnest(responses, SERVICE, "Services", on_failure),
         slots=[f"record.{key}" for key in SLOT_KEYS],
         fields=SLOT_FIELDS,
         label="BusInstance",
@@ -56,12 +56,9 @@ def arrivals(responses: DataFrame, on_failure: str = "empty") -> DataFrame:
 
 
 def stops(responses: DataFrame, fallback: DataFrame | None = None, strict: bool = True) -> DataFrame:
-    """Stop rows of paged collections, from the (feed, record) fallback where a scan failed.
-
-    Takes landed responses, or pages that were classified when landed.
-    """
-    policy = "raise" if fallback is None else "fallback"
-    return project_batches(responses, STOPS, on_failure=policy, fallback=fallback, strict=strict)
+    """Stop rows of paged collections, from the fallback documents where a scan failed."""
+    pages = resolve_batches(responses, "raise" if fallback is None else "fallback", fallback)
+    return project_documents(pages, STOPS, on_failure="raise", strict=strict)
 
 
 def incidents(responses: DataFrame, on_failure: str = "empty", strict: bool = True) -> DataFrame:
@@ -75,7 +72,7 @@ def volume_requests(dates: DataFrame, date: str, template: str) -> DataFrame:
 
 
 def archive_lines(
-    link_pages: DataFrame,
+    link_responses: DataFrame,
     archives: DataFrame,
     columns: list[str],
     by_name: bool = False,
@@ -87,7 +84,7 @@ def archive_lines(
     archive stops the job. Links are narrow; within the measured limit the archive
     bytes are not shuffled.
     """
-    links = first_link(link_pages)
+    links = first_link(link_responses)
     if by_name:
         links = links.withColumn("path", base_name("path"))
         archives = archives.withColumn("path", base_name("path"))
@@ -108,5 +105,5 @@ def passenger_volume(
     by_name: bool = False,
 ) -> DataFrame:
     """Typed CSV rows of each month's linked archive, from the link documents on."""
-    lines = archive_lines(classified(link_responses), archives, columns, by_name)
+    lines = archive_lines(link_responses, archives, columns, by_name)
     return parse_lines(lines, schema, *keep)

@@ -16,10 +16,9 @@ from feedloom.functions import calendar_month_key, month_key, request_key
 from feedloom.operators import (
     classify,
     preview,
-    project_batches,
     project_documents,
+    resolve_batches,
     type_audit,
-    unnest,
     unpivot_columns,
 )
 from feedloom.plans import packing
@@ -103,7 +102,7 @@ def stops_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = packing.stop_pages(customer, feed, div(F.pmod("c_custkey", F.lit(SPAN)), 50), last=SPAN // 50)
     code = F.to_json(F.struct(F.col("c_custkey").cast("string").alias("BusStopCode")))
     snapshot = packing.single_records(customer, feed, code)
-    return stops(settle(pages, "responses"), unnest(classify(snapshot)))
+    return stops(settle(pages, "responses"), snapshot)
 
 
 def project_named(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,8 +161,12 @@ def _paged(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _rows(pages: DataFrame) -> DataFrame:
+    return project_documents(pages, EVENT, "feed", on_failure="raise")
+
+
 def pages_until_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return project_batches(settle(_paged(spark, sf_dir), "responses"), EVENT, "feed")
+    return _rows(resolve_batches(settle(_paged(spark, sf_dir), "responses")))
 
 
 def pages_of_hot_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,7 +177,7 @@ def pages_of_hot_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
         page=div("event_id", 100),
         kept=F.col("value") >= 90,
     )
-    return project_batches(settle(classify(responses), "pages"), EVENT, "feed")
+    return _rows(resolve_batches(settle(classify(responses), "pages")))
 
 
 def _troubled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,13 +201,13 @@ def batch_or_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json(F.struct("event_id", "event_type", "value")),
     )
     pages = settle(classify(_troubled(spark, sf_dir)), "pages")
-    return project_batches(pages, EVENT, "feed", on_failure="fallback", fallback=unnest(classify(snapshot)))
+    return _rows(resolve_batches(pages, "fallback", snapshot))
 
 
 def batch_or_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses landed as they came, parsed when resolved."""
     responses = settle(_troubled(spark, sf_dir), "responses")
-    return project_batches(responses, EVENT, "feed", on_failure="empty")
+    return _rows(resolve_batches(responses, "empty"))
 
 
 def batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,7 +264,7 @@ def archive_by_link(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("feed"),
         F.format_string('{"Link":"%s/%d.zip"},{"Link":"%s/decoy%d.zip"}', "ym", "slice", "ym", "slice"),
     )
-    lines = archive_lines(classify(links), archives, ORDER_COLUMNS)
+    lines = archive_lines(links, archives, ORDER_COLUMNS)
     month = F.regexp_extract("feed", r"Date=(\d{6})", 1)
     raw = new_path(spark, "raw")
     stage_lines(lines.select(month.alias("ym"), "line"), raw, "ym")

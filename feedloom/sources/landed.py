@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from feedloom.functions import request_key
+from feedloom.operators.envelope import answered, parsed_body
 
 LANDED = "feed string, skip bigint, status int, body string"
 
 
-def read_landed(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """All landed responses of all feeds in one scan."""
-    return spark.read.schema(LANDED).format(fmt).load(path)
+def read_landed(spark: SparkSession, path: str, fmt: str = "parquet", classified: bool = False) -> DataFrame:
+    """All landed responses of all feeds in one scan, `classified` if they were landed so."""
+    schema = f"{LANDED}, outcome string" if classified else LANDED
+    return spark.read.schema(schema).format(fmt).load(path)
 
 
 def read_documents(spark: SparkSession, path: str, feed: Column | str | None = None) -> DataFrame:
@@ -53,13 +56,14 @@ def page_requests(feeds: DataFrame, pages: Column | str, step: int = 500) -> Dat
     )
 
 
-def first_link(pages: DataFrame, field: str = "Link") -> DataFrame:
-    """(feed, path) from the first record of each classified link document.
+def first_link(responses: DataFrame, field: str = "value", link: str = "Link") -> DataFrame:
+    """(feed, path) from the first record of each link document.
 
     A failed or empty link document stops the job: there is nothing to load for it.
     """
-    checked = F.when(
-        F.col("outcome") == "data",
-        F.from_json(F.element_at("records", 1), f"{field} string")[field],
-    ).otherwise(F.raise_error(F.concat(F.lit("no data for "), F.col("feed"))))
-    return pages.select("feed", checked.alias("path"))
+    documents = responses.select(
+        "feed", F.when(answered(), parsed_body(field, StructType().add(link, StringType()))[field]).alias("_records")
+    )
+    path = F.when(F.size("_records") > 0, F.element_at("_records", 1)[link])
+    missing = F.raise_error(F.concat(F.lit("no data for "), F.col("feed")))
+    return documents.select("feed", F.coalesce(path, missing).alias("path"))

@@ -8,15 +8,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql.types import DoubleType, StringType, StructType
 
-from feedloom.operators import (
-    classify,
-    explode_typed,
-    project_declared,
-    project_documents,
-    type_audit,
-    unnest,
-    unpivot_columns,
-)
+from feedloom.operators import classify, project_documents, type_audit, unnest, unpivot_columns
 from feedloom.plans.feeds import INCIDENTS, arrivals, incidents
 from feedloom.sources import LANDED, read_documents
 
@@ -115,7 +107,7 @@ def test_mistyped_service_stops_rather_than_lose_rows(spark, body):
 
 def test_unknown_policy_is_refused(spark):
     with pytest.raises(ValueError, match="on_failure"):
-        explode_typed(landed(spark, {}), INCIDENTS, on_failure="ignore")
+        unnest(landed(spark, {}), INCIDENTS, on_failure="ignore")
 
 
 def test_classify_tells_the_outcomes_apart(spark):
@@ -130,9 +122,13 @@ def test_classify_tells_the_outcomes_apart(spark):
 
 
 def test_mistyped_record_leaves_its_page_a_data_page(spark):
-    pages = classify(landed(spark, {"value": [{"Latitude": "1.5"}, {"Latitude": 2.5}]}))
-    assert pages.first().outcome == "data"
-    assert unnest(pages).count() == 2
+    assert classify(landed(spark, {"value": [{"Latitude": "1.5"}, 3]})).first().outcome == "data"
+
+
+def test_classified_responses_stay_as_they_are(spark):
+    pages = classify(landed(spark, {"value": []}))
+    assert classify(pages) is pages
+    assert pages.columns == ["feed", "skip", "status", "body", "outcome"]
 
 
 def test_incidents_match_by_name_and_fill_with_null(spark):
@@ -145,35 +141,26 @@ def test_incidents_match_by_name_and_fill_with_null(spark):
 @pytest.mark.parametrize("value,found", [("1", "BIGINT"), ('"1.5"', "STRING"), ("true", "BOOLEAN"), ("{}", "OBJECT"), ("[1]", "ARRAY")])
 def test_strict_doubles_refuse_other_json_types(spark, value, found):
     documents = landed(spark, f'{{"value":[{{"Latitude":{value}}}]}}')
-    for strict_rows in (
-        project_documents(documents, INCIDENTS),
-        project_declared(unnest(classify(documents)), INCIDENTS),
-    ):
-        with pytest.raises(PySparkException, match=f"field Latitude: double expected, found {found}"):
-            rows(strict_rows)
+    with pytest.raises(PySparkException, match=f"field Latitude: double expected, found {found}"):
+        rows(project_documents(documents, INCIDENTS))
 
 
 def test_strict_doubles_take_fractions_exponents_and_null(spark):
     body = '{"value":[{"Latitude":1.0},{"Latitude":2.5e3},{"Latitude":null},{"Latitude":103.81719033333333},{}]}'
-    documents = landed(spark, body)
-    for df in (project_documents(documents, INCIDENTS), project_declared(unnest(classify(documents)), INCIDENTS)):
-        assert [r.Latitude for r in df.collect()] == [1.0, 2500.0, None, 103.81719033333333, None]
+    got = project_documents(landed(spark, body), INCIDENTS).collect()
+    assert [r.Latitude for r in got] == [1.0, 2500.0, None, 103.81719033333333, None]
 
 
 def test_lenient_doubles_follow_the_parser(spark):
     documents = landed(spark, '{"value":[{"Latitude":1,"Message":"a"},{"Latitude":"1.5","Message":"b"}]}')
-    for df in (
-        project_documents(documents, INCIDENTS, strict=False),
-        project_declared(unnest(classify(documents)), INCIDENTS, strict=False),
-    ):
-        assert [(r.Latitude, r.Message) for r in df.collect()] == [(1.0, "a"), (None, "b")]
+    got = project_documents(documents, INCIDENTS, strict=False).collect()
+    assert [(r.Latitude, r.Message) for r in got] == [(1.0, "a"), (None, "b")]
 
 
-def test_record_that_is_no_object_stops_a_strict_projection(spark):
-    with pytest.raises(Exception, match="Malformed records"):
-        rows(project_declared(unnest(classify(landed(spark, {"value": [1]}))), INCIDENTS))
+@pytest.mark.parametrize("strict", [True, False])
+def test_record_that_is_no_object_stops_the_job(spark, strict):
     with pytest.raises(PySparkException, match="mistyped record"):
-        rows(project_documents(landed(spark, {"value": [1]}), INCIDENTS))
+        rows(project_documents(landed(spark, {"value": [1, {"Message": "m"}]}), INCIDENTS, strict=strict))
 
 
 def test_keep_columns_travel_along(spark):

@@ -12,7 +12,6 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from feedloom.functions import calendar_month_key, month_key, request_key
-from feedloom.operators import classify
 from feedloom.plans.feeds import passenger_volume, volume_requests
 from feedloom.sources import (
     LANDED,
@@ -117,14 +116,14 @@ def links(spark, **feeds):
 
 
 def test_first_link_wins(spark):
-    pages = classify(links(spark, m={"value": [{"Link": "0.zip"}, {"Link": "1.zip"}]}))
-    assert [tuple(r) for r in first_link(pages).collect()] == [("m", "0.zip")]
+    documents = links(spark, m={"value": [{"Link": "0.zip"}, {"Link": "1.zip"}]})
+    assert [tuple(r) for r in first_link(documents).collect()] == [("m", "0.zip")]
 
 
-@pytest.mark.parametrize("body", [{"value": []}, {}, "oops"])
+@pytest.mark.parametrize("body", [{"value": []}, {"value": [{}]}, {}, "oops"])
 def test_no_link_stops_the_job(spark, body):
     with pytest.raises(PySparkException, match="no data for m"):
-        first_link(classify(links(spark, m=body))).collect()
+        first_link(links(spark, m=body)).collect()
 
 
 @pytest.mark.parametrize("broadcast", [True, False])

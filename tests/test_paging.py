@@ -6,15 +6,17 @@ import json
 import random
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from feedloom.operators import classify, feed_bounds, lookup_join, pages_before_end, project_batches, resolve_batches
+from feedloom.operators import classify, feed_bounds, lookup_join, pages_before_end, project_documents, resolve_batches
 from feedloom.operators import lookup
 from feedloom.plans.feeds import stops
 from feedloom.sources import LANDED, page_requests
 from feedloom.workspace import settle
 
+ID = StructType().add("id", StringType())
 DATA, EMPTY, MISSING, NULL, BAD, REFUSED = "data", '{"value":[]}', "{}", '{"value":null}', '{"value":[', "refused"
 
 
@@ -27,8 +29,14 @@ def feed(name, *pages):
     return out
 
 
-def kept(df):
-    return sorted(r.record.split('"')[3] for r in df.collect())
+def kept(pages):
+    return sorted(r.id for r in project_documents(pages, ID, on_failure="raise").collect())
+
+
+def snapshot(spark, **ids):
+    return spark.createDataFrame(
+        [(name, 0, 200, json.dumps({"value": [{"id": one}]})) for name, one in ids.items()], LANDED
+    )
 
 
 def records(name, *pages):
@@ -58,7 +66,7 @@ def test_scan_ends_at_the_first_empty_page(spark, pages, expected, classified):
 @pytest.mark.parametrize("bad", [BAD, REFUSED, "", None, "[1]"])
 def test_failed_page_voids_the_feed(spark, bad):
     landed = spark.createDataFrame(feed("f", DATA, bad, DATA, EMPTY) + feed("g", DATA, EMPTY), LANDED)
-    fallback = spark.createDataFrame([("f", '{"id":"fallback"}'), ("g", '{"id":"unused"}')], "feed string, record string")
+    fallback = snapshot(spark, f="fallback", g="unused")
     assert kept(resolve_batches(landed, "fallback", fallback)) == ["fallback", *records("g", 0)]
     assert kept(resolve_batches(landed, "empty")) == records("g", 0)
     with pytest.raises(RuntimeError, match="f"):
@@ -67,7 +75,7 @@ def test_failed_page_voids_the_feed(spark, bad):
 
 def test_empty_feed_is_not_a_failed_one(spark):
     landed = spark.createDataFrame(feed("f", EMPTY, BAD), LANDED)
-    fallback = spark.createDataFrame([("f", '{"id":"fallback"}')], "feed string, record string")
+    fallback = snapshot(spark, f="fallback")
     assert kept(resolve_batches(landed, "fallback", fallback)) == []
 
 
@@ -89,30 +97,17 @@ def test_stops_from_pages_or_snapshot(spark):
     good = spark.createDataFrame([("s", 0, 200, page), ("s", 500, 200, EMPTY)], LANDED)
     assert [tuple(r) for r in stops(good).collect()] == [("01", "r", "d", 1.5, 2.5)]
     failed = spark.createDataFrame([("s", 0, 200, page), ("s", 500, 503, "")], LANDED)
-    snapshot = spark.createDataFrame([("s", '{"BusStopCode":"09"}')], "feed string, record string")
-    assert [r.BusStopCode for r in stops(failed, snapshot).collect()] == ["09"]
+    fallback = spark.createDataFrame([("s", 0, 200, '{"value":[{"BusStopCode":"09"}]}')], LANDED)
+    assert [r.BusStopCode for r in stops(failed, fallback).collect()] == ["09"]
     with pytest.raises(RuntimeError):
         stops(failed)
 
 
-@pytest.mark.parametrize("classified", [False, True])
-def test_typed_batches_agree_with_their_records(spark, classified):
-    landed = spark.createDataFrame(
-        feed("f", DATA, BAD) + feed("g", DATA, DATA, EMPTY, DATA) + feed("h", EMPTY), LANDED
-    )
-    if classified:
-        landed = classify(landed)
-    fallback = spark.createDataFrame([("f", '{"id":"fallback"}')], "feed string, record string")
-    schema = StructType().add("id", StringType())
-
-    def ids(**policy):
-        return sorted((r.feed, r.id) for r in project_batches(landed, schema, "feed", **policy).collect())
-
-    g = [("g", name) for name in records("g", 0, 1)]
-    assert ids(on_failure="empty") == g
-    assert ids(on_failure="fallback", fallback=fallback) == [("f", "fallback"), *g]
-    with pytest.raises(RuntimeError, match="f"):
-        ids()
+def test_broken_snapshot_stops_the_job(spark):
+    landed = spark.createDataFrame(feed("f", BAD), LANDED)
+    fallback = spark.createDataFrame([("f", 0, 200, "oops")], LANDED)
+    with pytest.raises(PySparkException, match="failed response of f"):
+        kept(resolve_batches(landed, "fallback", fallback))
 
 
 def brute_force(responses, fallback):
@@ -146,13 +141,10 @@ def skewed_landing():
 def test_both_join_ways_match_brute_force_on_a_hot_feed(spark, broadcast_bytes):
     responses = skewed_landing()
     names = sorted({r[0] for r in responses})
-    snapshot = {name: [f"fb-{name}"] for name in names}
-    fallback = spark.createDataFrame(
-        [(name, f'{{"id":"{values[0]}"}}') for name, values in snapshot.items()], "feed string, record string"
-    )
+    fallback = snapshot(spark, **{name: f"fb-{name}" for name in names})
     landed = settle(spark.createDataFrame(responses, LANDED), "responses")
     got = kept(resolve_batches(landed, "fallback", fallback, broadcast_bytes))
-    assert got == brute_force(responses, snapshot)
+    assert got == brute_force(responses, {name: [f"fb-{name}"] for name in names})
 
 
 def test_hot_feed_is_spread_over_tasks(spark):

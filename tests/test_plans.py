@@ -9,8 +9,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from feedloom.operators import classify, feed_bounds, scan_feeds, type_audit, unnest
-from feedloom.operators.project import project_documents
+from feedloom.operators import classify, feed_bounds, project_documents, resolve_batches, type_audit
 from feedloom.plans.feeds import INCIDENTS, archive_lines, arrivals, incidents
 from feedloom.plans.packing import archives, single_records
 from feedloom.sources import LANDED, read_landed
@@ -49,8 +48,7 @@ def test_one_parse_per_document(landed):
     assert re.search(r"isnotnull\(_doc#\d+\._malformed\) AND \(?\(?isnull\(_doc#\d+\.value\) AND isnull\(from_json", text)
 
 
-def test_classification_parses_once_even_below_a_join(landed):
-    assert plan(unnest(classify(landed))).count("from_json(") == 1
+def test_classification_parses_once(landed):
     assert plan(feed_bounds(classify(landed))).count("from_json(") == 1
 
 
@@ -63,14 +61,12 @@ def test_feed_ends_come_from_narrow_columns_and_partial_minimums(landed):
 
 
 def test_bodies_are_not_shuffled_and_pages_past_the_end_not_parsed(landed):
-    kept = scan_feeds(landed).kept
-    text = plan(unnest(classify(kept)))
+    text = plan(project_documents(resolve_batches(landed), INCIDENTS, on_failure="raise", strict=False))
     assert nodes(text, "BroadcastHashJoin") == 1 and nodes(text, "Exchange") == 0
     sections = re.split(r"^\((\d+)\) ", text, flags=re.MULTILINE)[1:]
     steps = {int(at): step for at, step in zip(sections[::2], sections[1::2])}
     [join] = [at for at, step in steps.items() if step.startswith("BroadcastHashJoin")]
-    [parse] = [at for at, step in steps.items() if "from_json(" in step]
-    assert join < parse
+    assert join < min(at for at, step in steps.items() if "from_json(" in step)
 
 
 def test_type_audit_shuffles_counts_only(landed):
@@ -82,6 +78,6 @@ def test_archives_are_joined_without_shuffling_their_bytes(spark, landed):
     rows = spark.range(10).select(F.col("id").cast("string").alias("a"))
     zips = settle(archives(rows, F.lit("0.zip"), ["a"]), "zips")
     links = single_records(spark.range(1), F.lit("m"), F.lit('{"Link":"0.zip"}'))
-    text = plan(archive_lines(classify(links), zips, ["a"]))
+    text = plan(archive_lines(links, zips, ["a"]))
     assert nodes(text, "Exchange") == 0 and nodes(text, "BroadcastHashJoin") == 1
     assert nodes(text, "MapInArrow") == 1
