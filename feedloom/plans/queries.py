@@ -26,12 +26,10 @@ from feedloom.plans.feeds import archive_lines, arrivals, incidents, stops
 from feedloom.plans.packing import PAGE_STEP, div, table
 from feedloom.sinks import append_table, month_replace, replace_table
 from feedloom.sources import (
-    LANDED,
     first_member_lines,
     page_requests,
     parse_lines,
     read_csv,
-    read_landed,
     stage_lines,
 )
 from feedloom.streaming import load_available

@@ -45,9 +45,8 @@ def page_requests(feeds: DataFrame, pages: Column | str, step: int = 500) -> Dat
     partitions = int(feeds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     run = step * 1000
     end = count.cast("bigint") * step
-    runs = feeds.where(count > 0).select(
-        "feed", end.alias("end"), F.explode(F.sequence(F.lit(0).cast("bigint"), end - 1, F.lit(run).cast("bigint"))).alias("first")
-    )
+    starts = F.sequence(F.lit(0).cast("bigint"), end - 1, F.lit(run).cast("bigint"))
+    runs = feeds.where(count > 0).select("feed", end.alias("end"), F.explode(starts).alias("first"))
     skips = F.sequence("first", F.least(F.col("first") + run, "end") - 1, F.lit(step).cast("bigint"))
     return (
         runs.repartition(partitions, "feed", "first")

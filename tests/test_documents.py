@@ -16,10 +16,8 @@ FIELDS = ["EstimatedArrival", "Latitude", "Longitude", "VisitNumber", "Load", "F
 
 
 def landed(spark, *bodies, status=200):
-    return spark.createDataFrame(
-        [(f"f{i}", 0, status, body if body is None or isinstance(body, str) else json.dumps(body)) for i, body in enumerate(bodies)],
-        LANDED,
-    )
+    texts = [body if body is None or isinstance(body, str) else json.dumps(body) for body in bodies]
+    return spark.createDataFrame([(f"f{i}", 0, status, text) for i, text in enumerate(texts)], LANDED)
 
 
 def slot(**values):
@@ -111,9 +109,8 @@ def test_unknown_policy_is_refused(spark):
 
 
 def test_classify_tells_the_outcomes_apart(spark):
-    documents = landed(
-        spark, {"value": [1]}, {"value": []}, {"value": None}, {"other": 1}, '{"value":[', "", None, "[1]", '{"value":"x"}', "{'value':[1]}"
-    )
+    sound = [{"value": [1]}, {"value": []}, {"value": None}, {"other": 1}]
+    documents = landed(spark, *sound, '{"value":[', "", None, "[1]", '{"value":"x"}', "{'value':[1]}")
     got = [r.outcome for r in classify(documents).orderBy("feed").collect()]
     assert got == ["data", "empty", "empty", "empty"] + ["failed"] * 6
     assert classify(landed(spark, {"value": [1]}, status=404)).first().outcome == "failed"
@@ -138,7 +135,10 @@ def test_incidents_match_by_name_and_fill_with_null(spark):
     assert rows(incidents(landed(spark, "oops"))) == []
 
 
-@pytest.mark.parametrize("value,found", [("1", "BIGINT"), ('"1.5"', "STRING"), ("true", "BOOLEAN"), ("{}", "OBJECT"), ("[1]", "ARRAY")])
+@pytest.mark.parametrize(
+    "value,found",
+    [("1", "BIGINT"), ('"1.5"', "STRING"), ("true", "BOOLEAN"), ("{}", "OBJECT"), ("[1]", "ARRAY")],
+)
 def test_strict_doubles_refuse_other_json_types(spark, value, found):
     documents = landed(spark, f'{{"value":[{{"Latitude":{value}}}]}}')
     with pytest.raises(PySparkException, match=f"field Latitude: double expected, found {found}"):
