@@ -16,7 +16,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from feedloom.functions import month_key, request_key
 from feedloom.operators import preview, require_rows, row_counter
@@ -56,7 +55,7 @@ def parser() -> argparse.ArgumentParser:
             load.add_argument("--fallback", help="JSON snapshot files, named after their feeds")
         if name == "volume":
             load.add_argument("--archives", required=True, help="zip files; a link ends in its file's name")
-            load.add_argument("--schema", required=True, help="DDL of the CSV columns, in header order")
+            load.add_argument("--schema", help="DDL of the CSV columns, in header order; inferred without")
             load.add_argument("--request", default="%s", help="feed of a month's link document, e.g. 'volume?Date=%%s'")
             load.add_argument("--date", type=dt.date.fromisoformat, default=dt.date.today(), help="run date")
             load.add_argument("--by-month", action="store_true", help="replace the month in --target, not append")
@@ -77,8 +76,7 @@ def rows_of(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         return stops(landed, fallback, strict=not args.lenient)
     month = request_key(args.request, month_key(F.lit(args.date)))
     links = require_rows(landed.where(F.col("feed") == month), "the month")
-    columns = StructType.fromDDL(args.schema).names
-    return passenger_volume(links, read_archives(spark, args.archives), columns, args.schema, by_name=True)
+    return passenger_volume(links, read_archives(spark, args.archives), args.schema, by_name=True).drop("feed")
 
 
 def run(argv: Sequence[str] | None = None, env: Mapping[str, str] = os.environ) -> int:

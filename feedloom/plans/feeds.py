@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, MapType, StringType, StructType
 
@@ -12,10 +12,10 @@ from feedloom.operators.lookup import BROADCAST_BYTES, lookup_join
 from feedloom.operators.paging import resolve_batches
 from feedloom.operators.project import project_documents
 from feedloom.operators.slots import flatten_slots
-from feedloom.sources.archives import first_member_lines
-from feedloom.sources.delimited import parse_lines
+from feedloom.sources.archives import first_member_header, first_member_lines, stage_lines
+from feedloom.sources.delimited import parse_lines, read_csv
 from feedloom.sources.landed import first_link
-from feedloom.workspace import settle
+from feedloom.workspace import new_path, settle
 
 # Field names of the feeds, in table order.
 SLOT_KEYS = ("NextBus", "NextBus2", "NextBus3")
@@ -71,14 +71,13 @@ def volume_requests(dates: DataFrame, date: str, template: str) -> DataFrame:
     return dates.select(month_key(date).alias("ym")).distinct().withColumn("feed", request_key(template, "ym"))
 
 
-def archive_lines(
+def linked_archives(
     link_responses: DataFrame,
     archives: DataFrame,
-    columns: list[str],
     by_name: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """(feed, line) of the archives that the link documents' first records name.
+    """(path, content, feed) of the archives that the link documents' first records name.
 
     A link is an archive's path, or `by_name` ends in its file's name. One without an
     archive stops the job. Links are narrow; within the measured limit the archive
@@ -92,18 +91,31 @@ def archive_lines(
     missing = links.join(archives.select("path"), "path", "left_anti").head()
     if missing is not None:
         raise FileNotFoundError(f"{missing['feed']}: no archive {missing['path']}")
-    linked = lookup_join(archives, links, "path", broadcast_bytes=broadcast_bytes)
-    return first_member_lines(linked, columns, "feed")
+    return lookup_join(archives, links, "path", broadcast_bytes=broadcast_bytes)
 
 
 def passenger_volume(
     link_responses: DataFrame,
     archives: DataFrame,
-    columns: list[str],
-    schema: str,
-    *keep: Column | str,
+    schema: str | None = None,
     by_name: bool = False,
 ) -> DataFrame:
-    """Typed CSV rows of each month's linked archive, from the link documents on."""
-    lines = archive_lines(link_responses, archives, columns, by_name)
-    return parse_lines(lines, schema, *keep)
+    """The feed and the CSV columns of each link document's archive.
+
+    `schema` is the DDL of the columns in header order. Without one the names come from
+    the header and the types from the values, which takes a staged copy of the lines and
+    two more reads, and can change values as `read_csv` tells.
+    """
+    linked = linked_archives(link_responses, archives, by_name)
+    if schema is not None:
+        columns = StructType.fromDDL(schema).names
+        return parse_lines(first_member_lines(linked, columns, "feed"), schema, "feed")
+    columns = first_member_header(linked)
+    spark = linked.sparkSession
+    raw = new_path(spark, "raw")
+    stage_lines(first_member_lines(linked, columns, "feed"), raw, "feed")
+    staged = spark.read.text(raw)
+    if staged.isEmpty():
+        return spark.createDataFrame([], ", ".join(f"`{name}` string" for name in ("feed", *columns)))
+    inferred = read_csv(spark, raw, header=False).toDF(*columns, "feed")
+    return inferred.select(F.col("feed").cast("string"), *columns)

@@ -22,7 +22,7 @@ from feedloom.operators import (
     unpivot_columns,
 )
 from feedloom.plans import packing
-from feedloom.plans.feeds import archive_lines, arrivals, incidents, stops
+from feedloom.plans.feeds import arrivals, incidents, linked_archives, passenger_volume, stops
 from feedloom.plans.packing import PAGE_STEP, div, table
 from feedloom.sinks import append_table, month_replace, replace_table
 from feedloom.sources import (
@@ -262,13 +262,24 @@ def archive_by_link(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("feed"),
         F.format_string('{"Link":"%s/%d.zip"},{"Link":"%s/decoy%d.zip"}', "ym", "slice", "ym", "slice"),
     )
-    lines = archive_lines(links, archives, ORDER_COLUMNS)
+    lines = first_member_lines(linked_archives(links, archives), ORDER_COLUMNS, "feed")
     month = F.regexp_extract("feed", r"Date=(\d{6})", 1)
     raw = new_path(spark, "raw")
     stage_lines(lines.select(month.alias("ym"), "line"), raw, "ym")
     return read_csv(spark, raw, f"{ORDER_CSV}, ym string", header=False)
 
 
+def volume_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column names from the archives' headers, types from their values."""
+    path = F.format_string("part-%d.zip", div("p_partkey", 500))
+    part = table(spark, sf_dir, "part")
+    archives = packing.archives(part, path, PART_COLUMNS)
+    paths = part.select(path.alias("path")).distinct()
+    links = packing.single_records(paths, F.lit("parts"), F.to_json(F.struct(F.col("path").alias("Link"))))
+    rows = passenger_volume(links, archives)
+    return rows.select("feed", *[F.col(f.name).cast(f.dataType) for f in part.schema.fields if f.name in rows.columns])
+
+
 def request_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The page requests each customer segment's feed needs, at 500 records a page."""
     feeds = table(spark, sf_dir, "customer").groupBy(F.col("c_mktsegment").alias("feed")).agg(F.count(F.lit(1)).alias("n"))
@@ -361,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "csv_scan_inferred": csv_scan_inferred,
     "zip_first_member": zip_first_member,
     "archive_by_link": archive_by_link,
+    "volume_inferred": volume_inferred,
     "request_keys": request_keys,
     "month_key": month_keys,
     "table_replace": table_replace,
@@ -495,6 +507,7 @@ SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority,
        strftime(o_orderdate - INTERVAL 30 DAY, '%Y%m') AS ym
 FROM orders
 """,
+    "volume_inferred": "SELECT 'parts' AS feed, p_partkey, p_name, p_brand, p_size, p_retailprice FROM part",
     "request_keys": """
 SELECT feed, skip, feed || '?$skip=' || CAST(skip AS VARCHAR) AS request FROM (
   SELECT c_mktsegment AS feed, unnest(range(0, count(*), 500)) AS skip FROM customer GROUP BY c_mktsegment)

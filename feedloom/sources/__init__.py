@@ -1,10 +1,11 @@
-from feedloom.sources.archives import first_member_lines, read_archives, stage_lines
+from feedloom.sources.archives import first_member_header, first_member_lines, read_archives, stage_lines
 from feedloom.sources.delimited import parse_lines, read_csv
 from feedloom.sources.landed import LANDED, first_link, page_requests, read_documents, read_landed
 
 __all__ = [
     "LANDED",
     "first_link",
+    "first_member_header",
     "first_member_lines",
     "page_requests",
     "parse_lines",

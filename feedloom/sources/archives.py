@@ -28,6 +28,19 @@ def first_member_lines(archives: DataFrame, columns: list[str], *keep: str) -> D
     cannot be split, and its rows leave the task in bounded batches.
     """
     names = list(dict.fromkeys(("path", *keep)))
+    return _expand(archives, names, columns).select(*keep, "line")
+
+
+def first_member_header(archives: DataFrame) -> list[str]:
+    """The column names in the header lines of the archives' first members, all alike."""
+    headers = [row["line"] for row in _expand(archives, ["path"], None).select("line").distinct().limit(2).collect()]
+    if len(headers) != 1:
+        raise ValueError(f"archives must share one header, found {headers or 'none'}")
+    return next(csv.reader(headers))
+
+
+def _expand(archives: DataFrame, names: list[str], columns: list[str] | None) -> DataFrame:
+    """`names` and the data lines of each first member, or without `columns` its header line."""
     schema = pa.schema([(name, pa.string()) for name in (*names, "line")])
 
     # Nested, so that it travels to the executors with `expand`.
@@ -35,10 +48,14 @@ def first_member_lines(archives: DataFrame, columns: list[str], *keep: str) -> D
         with zipfile.ZipFile(pa.BufferReader(content)) as archive:
             with archive.open(archive.namelist()[0]) as member:
                 text = io.TextIOWrapper(member, encoding="utf-8-sig", errors="replace")
-                found = next(csv.reader([text.readline()]), [])
+                filled = (line for line in (raw.rstrip("\n") for raw in text) if line.strip())
+                header = next(filled, "")
+                if columns is None:
+                    yield [header]
+                    return
+                found = next(csv.reader([header]), [])
                 if found != columns:
                     raise ValueError(f"{path}: header {found} is not the declared {columns}")
-                filled = (line for line in (raw.rstrip("\n") for raw in text) if line)
                 while batch := list(itertools.islice(filled, LINES_PER_BATCH)):
                     yield batch
 
@@ -53,7 +70,7 @@ def first_member_lines(archives: DataFrame, columns: list[str], *keep: str) -> D
                     yield pa.RecordBatch.from_arrays([*arrays, pa.array(lines, pa.string())], schema=schema)
 
     ddl = ", ".join(f"`{name}` string" for name in schema.names)
-    return archives.select(*names, "content").mapInArrow(expand, ddl).select(*keep, "line")
+    return archives.select(*names, "content").mapInArrow(expand, ddl)
 
 
 def stage_lines(lines: DataFrame, path: str, partition: str) -> None:

@@ -75,7 +75,7 @@ def test_only_the_first_member_is_read(spark):
 
 
 def test_member_lines_parse_as_the_csv_scan_does(spark, tmp_path):
-    text = '﻿code,month,n\r\n"a,b",2025-07,1\r\n"say ""x""",,2\n\n"",q,\nshort\nlong,m,3,4\nbad,m,x'
+    text = '﻿code,month,n\r\n   \n"a,b",2025-07,1\r\n"say ""x""",,2\n\n"",q,\nshort\nlong,m,3,4\nbad,m,x'
     (tmp_path / "v.csv").write_text(text.lstrip("﻿"), newline="")
     want = sorted(map(tuple, read_csv(spark, str(tmp_path), SCHEMA).collect()), key=str)
     archives = archive_rows(spark, zipped(("v.csv", text)))
@@ -132,14 +132,34 @@ def test_volume_of_linked_archives_only(spark, broadcast, monkeypatch):
         monkeypatch.setattr("feedloom.operators.lookup.width", lambda df: 1 << 60)
     archives = archive_rows(spark, *[zipped(("v.csv", f"code,month,n\n0{at},m,{at}\n")) for at in range(3)])
     documents = links(spark, a={"value": [{"Link": "0.zip"}, {"Link": "1.zip"}]}, b={"value": [{"Link": "2.zip"}]})
-    got = passenger_volume(documents, archives, COLUMNS, SCHEMA, "feed")
+    got = passenger_volume(documents, archives, SCHEMA)
     assert sorted(map(tuple, got.collect())) == [("a", "00", "m", 0), ("b", "02", "m", 2)]
 
 
 def test_link_without_an_archive_stops_the_job(spark):
     documents = links(spark, a={"value": [{"Link": "gone.zip"}]})
     with pytest.raises(FileNotFoundError, match="a: no archive gone.zip"):
-        passenger_volume(documents, archive_rows(spark, zipped(("v.csv", "code,month,n\n"))), COLUMNS, SCHEMA)
+        passenger_volume(documents, archive_rows(spark, zipped(("v.csv", "code,month,n\n"))), SCHEMA)
+
+
+def test_volume_names_and_types_are_inferred_without_a_schema(spark):
+    archives = archive_rows(spark, zipped(("v.csv", '"code",month,n\n01012,2025-07,\n7,2025-08,"x,y"\n')))
+    rows = passenger_volume(links(spark, a={"value": [{"Link": "0.zip"}]}), archives)
+    assert rows.schema.simpleString() == "struct<feed:string,code:int,month:timestamp,n:string>"
+    assert {(r.feed, r.code, r.n) for r in rows.collect()} == {("a", 1012, None), ("a", 7, "x,y")}
+
+
+def test_inferring_an_archive_without_rows(spark):
+    archives = archive_rows(spark, zipped(("v.csv", "code,month,n\n")))
+    rows = passenger_volume(links(spark, a={"value": [{"Link": "0.zip"}]}), archives)
+    assert rows.columns == ["feed", "code", "month", "n"] and rows.count() == 0
+
+
+def test_inference_needs_one_header(spark):
+    archives = archive_rows(spark, zipped(("v.csv", "a\n1\n")), zipped(("v.csv", "b\n1\n")))
+    documents = links(spark, x={"value": [{"Link": "0.zip"}]}, y={"value": [{"Link": "1.zip"}]})
+    with pytest.raises(ValueError, match="one header"):
+        passenger_volume(documents, archives)
 
 
 def test_staging_again_replaces_only_the_staged_month(spark, tmp_path):

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedloom.operators import classify, feed_bounds, project_documents, resolve_batches, type_audit
-from feedloom.plans.feeds import INCIDENTS, archive_lines, arrivals, incidents
+from feedloom.plans.feeds import INCIDENTS, arrivals, incidents, passenger_volume
 from feedloom.plans.packing import archives, single_records
 from feedloom.sources import LANDED, read_landed
 from feedloom.workspace import new_path, settle
@@ -78,6 +78,6 @@ def test_archives_are_joined_without_shuffling_their_bytes(spark, landed):
     rows = spark.range(10).select(F.col("id").cast("string").alias("a"))
     zips = settle(archives(rows, F.lit("0.zip"), ["a"]), "zips")
     links = single_records(spark.range(1), F.lit("m"), F.lit('{"Link":"0.zip"}'))
-    text = plan(archive_lines(links, zips, ["a"]))
+    text = plan(passenger_volume(links, zips, "a string"))
     assert nodes(text, "Exchange") == 0 and nodes(text, "BroadcastHashJoin") == 1
     assert nodes(text, "MapInArrow") == 1
