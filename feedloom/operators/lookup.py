@@ -32,11 +32,11 @@ def lookup_join(
 ) -> DataFrame:
     """rows ⋈ lookup on `key`; `how` is inner, left_semi or left_anti.
 
-    `lookup` is a settled table with one row per key. Its size is measured unless an
-    upper bound is given: within `broadcast_bytes` the rows are not shuffled at all. Beyond that both sides are
-    shuffled, and when a `spread` column is given the hot keys of `rows` are cut
-    into parts by it and their lookup rows copied to each part, so that no task
-    gets a hot key whole. `where` adds a condition over columns of both sides.
+    `lookup` is a settled table. Its size is measured unless an upper bound is given:
+    within `broadcast_bytes` the rows are not shuffled at all. Beyond that both sides
+    are shuffled, and given a `spread` column, the hot keys of `rows` are cut into parts
+    by it and their lookup rows copied to each part, so that no task gets a hot key
+    whole. `where` adds a condition over columns of both sides.
     """
     if size is None:
         size = width(lookup)

@@ -191,10 +191,9 @@ def _troubled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_or_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages classified when landed; the fallback snapshot of a feed is its signups."""
-    signups = table(spark, sf_dir, "events").where(F.col("event_type") == "signup")
+    """Pages classified when landed; the fallback snapshot of a feed is all its events."""
     snapshot = packing.single_records(
-        signups,
+        table(spark, sf_dir, "events"),
         div("event_id", SPAN).cast("string"),
         F.to_json(F.struct("event_id", "event_type", "value")),
     )
@@ -249,8 +248,9 @@ def archive_by_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     slice_no = div("o_orderkey", 20000)
     path = F.format_string("%s/%d.zip", ym, slice_no)
     decoy = orders.withColumn("o_orderkey", -1 - F.col("o_orderkey"))
+    decoy_path = F.format_string("%s/decoy%d.zip", ym, div(-1 - F.col("o_orderkey"), 20000))
     archives = packing.archives(orders, path, ORDER_COLUMNS).unionByName(
-        packing.archives(decoy, F.format_string("%s/decoy%d.zip", ym, div(-1 - F.col("o_orderkey"), 20000)), ORDER_COLUMNS)
+        packing.archives(decoy, decoy_path, ORDER_COLUMNS)
     )
     requests = (
         orders.select(ym.alias("ym"), slice_no.alias("slice"))
@@ -262,7 +262,8 @@ def archive_by_link(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("feed"),
         F.format_string('{"Link":"%s/%d.zip"},{"Link":"%s/decoy%d.zip"}', "ym", "slice", "ym", "slice"),
     )
-    lines = first_member_lines(linked_archives(links, archives), ORDER_COLUMNS, "feed")
+    linked = linked_archives(links, settle(archives, "archives"))
+    lines = first_member_lines(linked, ORDER_COLUMNS, "feed")
     month = F.regexp_extract("feed", r"Date=(\d{6})", 1)
     raw = new_path(spark, "raw")
     stage_lines(lines.select(month.alias("ym"), "line"), raw, "ym")
@@ -276,13 +277,14 @@ def volume_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = packing.archives(part, path, PART_COLUMNS)
     paths = part.select(path.alias("path")).distinct()
     links = packing.single_records(paths, F.lit("parts"), F.to_json(F.struct(F.col("path").alias("Link"))))
-    rows = passenger_volume(links, archives)
-    return rows.select("feed", *[F.col(f.name).cast(f.dataType) for f in part.schema.fields if f.name in rows.columns])
+    rows = passenger_volume(links, settle(archives, "archives"))
+    return rows.select("feed", *[F.col(name).cast(part.schema[name].dataType) for name in PART_COLUMNS])
 
 
 def request_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The page requests each customer segment's feed needs, at 500 records a page."""
-    feeds = table(spark, sf_dir, "customer").groupBy(F.col("c_mktsegment").alias("feed")).agg(F.count(F.lit(1)).alias("n"))
+    customer = table(spark, sf_dir, "customer")
+    feeds = customer.groupBy(F.col("c_mktsegment").alias("feed")).agg(F.count(F.lit(1)).alias("n"))
     return page_requests(feeds, F.ceil(F.col("n") / PAGE_STEP))
 
 
@@ -492,7 +494,7 @@ SELECT * FROM fetched
 UNION ALL
 SELECT b.feed, e.event_id, e.event_type, e.value
 FROM events e JOIN breaks b ON b.feed = CAST(e.event_id // 500 AS VARCHAR)
-WHERE b.failed AND e.event_type = 'signup'
+WHERE b.failed
 """,
     "batch_or_empty": _TROUBLED + "SELECT * FROM fetched",
     "batch_counts": _TROUBLED
