@@ -10,32 +10,45 @@ MALFORMED = "_malformed"
 
 
 def answered() -> Column:
-    """The response arrived with a non-error status and some text."""
-    return F.coalesce(F.col("status").between(200, 399), F.lit(False)) & (
-        F.coalesce(F.trim("body"), F.lit("")) != ""
-    )
+    """The response arrived with a non-error status."""
+    return F.coalesce(F.col("status").between(200, 399), F.lit(False))
 
 
 def parsed_body(field: str, element: DataType) -> Column:
-    """The body as struct<field: array<element>, _malformed>."""
-    schema = StructType().add(field, ArrayType(element)).add(MALFORMED, StringType())
-    return F.from_json("body", schema, {"columnNameOfCorruptRecord": MALFORMED, "allowSingleQuotes": "false"})
+    """The body as struct<documents: array<struct<field: array<element>>>, _malformed>.
+
+    It is parsed as the one element of an array, so that no text, or text after the
+    document's end, does not pass for a sound document.
+    """
+    document = StructType().add(field, ArrayType(element))
+    schema = StructType().add("documents", ArrayType(document)).add(MALFORMED, StringType())
+    wrapped = F.concat(F.lit('{"documents":['), "body", F.lit("]}"))
+    return F.from_json(wrapped, schema, {"columnNameOfCorruptRecord": MALFORMED, "allowSingleQuotes": "false"})
+
+
+def first_document(parsed: Column) -> Column:
+    return F.get(parsed["documents"], F.lit(0))
+
+
+def sound(parsed: Column) -> Column:
+    """One well-formed document, and all of it as the schema says."""
+    one = (F.size(parsed["documents"]) == 1) & first_document(parsed).isNotNull()
+    return F.coalesce(one & parsed[MALFORMED].isNull(), F.lit(False))
 
 
 def classify(responses: DataFrame, field: str = "value") -> DataFrame:
     """The responses with their `outcome`; those that have one already stay as they are.
 
-    "failed" is an error status, no text, malformed text or a body that is no object,
-    "empty" has no records under `field`, and the rest is "data". Records are not typed
+    "failed" is an error status, no text, or text that is not one JSON object, "empty" has no records under `field`, and the rest is "data". Records are not typed
     here: a mistyped field inside a record must not make its page look malformed.
 
     Classify when landing, and paging reads narrow columns instead of bodies.
     """
     if "outcome" in responses.columns:
         return responses
-    parsed = responses.withColumn("_doc", parsed_body(field, StringType()))
-    broken = ~answered() | F.col("_doc").isNull() | F.col("_doc")[MALFORMED].isNotNull()
-    outcome = F.when(broken, "failed").when(F.size(F.col("_doc")[field]) > 0, "data").otherwise("empty")
+    parsed = responses.withColumn("_doc", F.when(answered(), parsed_body(field, StringType())))
+    records = first_document(F.col("_doc"))[field]
+    outcome = F.when(~sound(F.col("_doc")), "failed").when(F.size(records) > 0, "data").otherwise("empty")
     return parsed.select(*responses.columns, outcome.alias("outcome"))
 
 
@@ -54,18 +67,18 @@ def unnest(
     """
     if on_failure not in ("raise", "empty"):
         raise ValueError(f"on_failure must be 'raise' or 'empty', not {on_failure!r}")
-    documents = responses.select("feed", "body", F.when(answered(), parsed_body(field, element)).alias("_doc"))
-    typed = F.col("_doc")[field]
-    corrupt = F.col("_doc")[MALFORMED].isNotNull()
-    # Evaluated for corrupt bodies only: is the envelope sound, so that a record is at fault?
-    unreadable = typed.isNull() & parsed_body(field, StringType())[MALFORMED].isNull()
-    mistyped = corrupt & ((typed.isNotNull() | unreadable) if strict else unreadable)
-    failed = F.col("_doc").isNull() | (corrupt & typed.isNull())
+    parsed = responses.select("feed", "body", F.when(answered(), parsed_body(field, element)).alias("_doc"))
+    doc = F.col("_doc")
+    records = first_document(doc)[field]
+    readable = sound(doc)
+    if not strict:
+        readable = readable | F.coalesce((F.size(doc["documents"]) == 1) & records.isNotNull(), F.lit(False))
+    # Parsed again for unreadable bodies only: is the envelope sound, so that a record is at fault?
+    mistyped = doc.isNotNull() & F.exists(F.array(parsed_body(field, StringType())), sound)
+    stop = F.raise_error(F.concat(F.lit("mistyped record in the response of "), F.col("feed")))
     if on_failure == "raise":
         on_failed = F.raise_error(F.concat(F.lit("failed response of "), F.col("feed")))
     else:
         on_failed = F.lit(None)
-    stop = F.raise_error(F.concat(F.lit("mistyped record in the response of "), F.col("feed")))
-    return documents.select(
-        "feed", F.explode(F.when(mistyped, stop).when(failed, on_failed).otherwise(typed)).alias("record")
-    )
+    chosen = F.when(readable, records).when(mistyped, stop).otherwise(on_failed)
+    return parsed.select("feed", F.explode(chosen).alias("record"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from feedloom.functions import request_key
-from feedloom.operators.envelope import answered, parsed_body
+from feedloom.operators.envelope import answered, first_document, parsed_body, sound
 
 LANDED = "feed string, skip bigint, status int, body string"
 
@@ -60,9 +60,8 @@ def first_link(responses: DataFrame, field: str = "value", link: str = "Link") -
 
     A failed or empty link document stops the job: there is nothing to load for it.
     """
-    documents = responses.select(
-        "feed", F.when(answered(), parsed_body(field, StructType().add(link, StringType()))[field]).alias("_records")
-    )
-    path = F.when(F.size("_records") > 0, F.element_at("_records", 1)[link])
+    record = StructType().add(link, StringType())
+    parsed = responses.select("feed", F.when(answered(), parsed_body(field, record)).alias("_doc"))
+    records = F.when(sound(F.col("_doc")), first_document(F.col("_doc"))[field])
     missing = F.raise_error(F.concat(F.lit("no data for "), F.col("feed")))
-    return documents.select("feed", F.coalesce(path, missing).alias("path"))
+    return parsed.select("feed", F.coalesce(F.get(records, F.lit(0))[link], missing).alias("path"))

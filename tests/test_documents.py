@@ -80,6 +80,8 @@ def test_documents_without_services_give_no_rows(spark, body):
 
 
 BROKEN = [None, "", "  ", '{"Services":[{"ServiceNo":"1","NextBus":{"Load":"1"}},{"Ser', '[{"Services":[]}]', "oops"]
+AFTER = ["x", "}", "]", "{}", ",", ",{}"]
+BROKEN += ["null", *('{"Services":[{"ServiceNo":"1","NextBus":{"Load":"1"}}]}' + text for text in AFTER)]
 
 
 @pytest.mark.parametrize("body", BROKEN)
@@ -113,6 +115,9 @@ def test_classify_tells_the_outcomes_apart(spark):
     documents = landed(spark, *sound, '{"value":[', "", None, "[1]", '{"value":"x"}', "{'value':[1]}")
     got = [r.outcome for r in classify(documents).orderBy("feed").collect()]
     assert got == ["data", "empty", "empty", "empty"] + ["failed"] * 6
+    outcomes = [r.outcome for r in classify(landed(spark, *('{"value":[1]}' + text for text in AFTER))).collect()]
+    assert outcomes == ["failed"] * len(AFTER)
+    assert classify(landed(spark, '\n {"value":[1]} \n')).first().outcome == "data"
     assert classify(landed(spark, {"value": [1]}, status=404)).first().outcome == "failed"
     assert classify(landed(spark, {"value": [1]}, status=None)).first().outcome == "failed"
     assert classify(landed(spark, {"value": [1]}, status=302)).first().outcome == "data"
