@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql.types import DoubleType, StringType, StructType
 
 from feedloom.operators import classify, project_documents, type_audit, unnest, unpivot_columns
-from feedloom.plans.feeds import INCIDENTS, arrivals, incidents
+from feedloom.plans.feeds import INCIDENTS, SLOT_KEYS, arrivals, incidents
 from feedloom.sources import LANDED, read_documents
 
 FIELDS = ["EstimatedArrival", "Latitude", "Longitude", "VisitNumber", "Load", "Feature", "Type"]
@@ -188,6 +189,44 @@ def test_type_audit_counts_what_is_there(spark):
     }
 
 
+def test_random_documents_match_brute_force(spark):
+    rng = random.Random(11)
+    scalars = ["", "x", "é\n\"q", 1, -2.5, True, None]
+
+    def random_slot():
+        kind = rng.random()
+        if kind < 0.3:
+            return rng.choice([None, {}])
+        names = rng.sample([*FIELDS, "Other", "Monitored"], rng.randint(1, 9))
+        return {name: rng.choice(scalars) for name in names}
+
+    def random_service():
+        keys = rng.sample(["ServiceNo", "Operator", *SLOT_KEYS], rng.randint(0, 5))
+        return {key: random_slot() if key in SLOT_KEYS else rng.choice(scalars) for key in keys}
+
+    bodies = [{"Services": [random_service() for _ in range(rng.randint(0, 4))]} for _ in range(400)]
+    texts = [json.dumps(body)[: -1 if rng.random() < 0.1 else None] for body in bodies]
+
+    def text(value):
+        return value if value is None or isinstance(value, str) else json.dumps(value)
+
+    want = []
+    for at, (body, written) in enumerate(zip(bodies, texts)):
+        if not written.endswith("}]}") and not written.endswith("[]}"):
+            continue
+        for one in body["Services"]:
+            for label, key in zip(("NextBus1", "NextBus2", "NextBus3"), SLOT_KEYS):
+                if one.get(key):
+                    head = (f"f{at}", text(one.get("ServiceNo")), text(one.get("Operator")))
+                    want.append((*head, *[text(one[key].get(f)) for f in FIELDS], label))
+    assert len(want) > 500
+    assert rows_as_tuples(arrivals(landed(spark, *texts))) == sorted(want, key=str)
+
+
+def rows_as_tuples(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
 def test_unpivot_gives_a_row_per_column(spark):
     df = spark.createDataFrame([(1, 2.0, None)], "id int, a double, b double")
     assert [tuple(r) for r in rows(unpivot_columns(df, ["id"], ["a", "b"], "name", "v"))] == [(1, "a", 2.0), (1, "b", None)]
