@@ -5,11 +5,21 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
+from pyspark.sql.types import StringType, StructType
 
 from feedloom import workspace
-from feedloom.operators import preview, require_rows, require_settings, row_counter
+from feedloom.operators import (
+    classify,
+    preview,
+    project_documents,
+    require_rows,
+    require_settings,
+    resolve_batches,
+    row_counter,
+)
+from feedloom.plans.feeds import arrivals
 from feedloom.sinks import align, append_table, jdbc_options, month_replace, replace_table
-from feedloom.sources import LANDED
+from feedloom.sources import LANDED, read_landed
 from feedloom.streaming import load_available
 
 SETTINGS = {"DB_USER": "u", "DB_PASSWORD": "p"}
@@ -155,6 +165,27 @@ def test_incremental_load_takes_each_file_once(spark, tmp_path):
     assert run() == [0, 1, 2, 3, 4]
 
 
+def test_arrivals_load_incrementally(spark, tmp_path):
+    landing, target, checkpoint = (str(tmp_path / name) for name in ("landing", "target", "checkpoint"))
+    body = '{"Services":[{"ServiceNo":"7","NextBus":{"Load":"x"},"NextBus2":{}}]}'
+    for stops in (["83"], ["84", "85"]):
+        spark.createDataFrame([(s, 0, 200, body) for s in stops], LANDED).write.mode("append").parquet(landing)
+        load_available(spark, landing, target, checkpoint, arrivals)
+    assert sorted(r.BusStopCode for r in spark.read.parquet(target).collect()) == ["83", "84", "85"]
+
+
+def test_pages_classified_as_they_land(spark, tmp_path):
+    landing, target, checkpoint = (str(tmp_path / name) for name in ("landing", "target", "checkpoint"))
+    pages = [("s", 0, '{"value":[{"id":"a"}]}'), ("s", 500, '{"value":[]}'), ("s", 1000, '{"value":[{"id":"late"}]}')]
+    for feed, skip, body in pages:
+        spark.createDataFrame([(feed, skip, 200, body)], LANDED).write.mode("append").parquet(landing)
+        load_available(spark, landing, target, checkpoint, classify)
+    landed = read_landed(spark, target, classified=True)
+    assert sorted(r.outcome for r in landed.collect()) == ["data", "data", "empty"]
+    kept = project_documents(resolve_batches(landed), StructType().add("id", StringType()), on_failure="raise")
+    assert [r.id for r in kept.collect()] == ["a"]
+
+
 class Conf:
     def __init__(self, **values):
         self.conf = self
