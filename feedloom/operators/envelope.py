@@ -39,8 +39,9 @@ def sound(parsed: Column) -> Column:
 def classify(responses: DataFrame, field: str = "value") -> DataFrame:
     """The responses with their `outcome`; those that have one already stay as they are.
 
-    "failed" is an error status, no text, or text that is not one JSON object, "empty" has no records under `field`, and the rest is "data". Records are not typed
-    here: a mistyped field inside a record must not make its page look malformed.
+    "failed" is an error status, no text, or text that is not one JSON object, "empty"
+    has no records under `field`, and the rest is "data". Records are not typed here: a
+    mistyped field inside a record must not make its page look malformed.
 
     Classify when landing, and paging reads narrow columns instead of bodies.
     """
