@@ -167,15 +167,24 @@ def pages_until_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(resolve_batches(settle(_paged(spark, sf_dir), "responses")))
 
 
-def pages_of_hot_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five feeds, one per event type, however large the table: each holds a fifth of it."""
+def _hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five feeds, one per event type, however large the table: each holds a fifth of it or more."""
     responses = packing.paged_responses(
         table(spark, sf_dir, "events"),
         feed=F.col("event_type"),
         page=div("event_id", 100),
         kept=F.col("value") >= 90,
     )
-    return _rows(resolve_batches(settle(classify(responses), "pages")))
+    return settle(classify(responses), "pages")
+
+
+def pages_of_hot_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rows(resolve_batches(_hot(spark, sf_dir)))
+
+
+def hot_feeds_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As if the table of feeds were too large to broadcast: hot feeds are cut into parts."""
+    return _rows(resolve_batches(_hot(spark, sf_dir), broadcast_bytes=0))
 
 
 def _troubled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -367,6 +376,7 @@ QUERIES: dict[str, Query] = {
     "type_audit": type_audit_counts,
     "pages_until_empty": pages_until_empty,
     "pages_of_hot_feeds": pages_of_hot_feeds,
+    "hot_feeds_shuffled": hot_feeds_shuffled,
     "batch_or_fallback": batch_or_fallback,
     "batch_or_empty": batch_or_empty,
     "batch_counts": batch_counts,
@@ -394,6 +404,11 @@ FROM paged p LEFT JOIN ends e ON p.feed = e.feed
 WHERE p.kept AND (e.stop_at IS NULL OR p.page < e.stop_at)
 """
 
+_HOT = _UNTIL_EMPTY.format(
+    pages="""
+  SELECT event_type AS feed, event_id // 100 AS page, value >= 90 AS kept, event_id, event_type, value FROM events"""
+)
+
 _TROUBLED = """
 WITH paged AS (
   SELECT CAST(event_id // 500 AS VARCHAR) AS feed, event_id % 500 // 10 AS page,
@@ -484,10 +499,8 @@ GROUP BY json_type
   SELECT CAST(event_id // 500 AS VARCHAR) AS feed, event_id % 500 // 20 AS page, event_type = 'error' AS kept,
          event_id, event_type, value FROM events"""
     ),
-    "pages_of_hot_feeds": _UNTIL_EMPTY.format(
-        pages="""
-  SELECT event_type AS feed, event_id // 100 AS page, value >= 90 AS kept, event_id, event_type, value FROM events"""
-    ),
+    "pages_of_hot_feeds": _HOT,
+    "hot_feeds_shuffled": _HOT,
     "batch_or_fallback": _TROUBLED
     + """
 SELECT * FROM fetched
