@@ -44,7 +44,7 @@ def parser() -> argparse.ArgumentParser:
         sink.add_argument("--url", help="JDBC url")
         sink.add_argument("--target", help="folder of a parquet table")
         load.add_argument("--table", default=table)
-        load.add_argument("--connections", type=int, help="writers at a time")
+        load.add_argument("--connections", type=int, default=16, help="JDBC writers at a time")
         load.add_argument("--preview", type=int, default=0, metavar="N", help="print N rows first")
         if name in ("arrivals", "incidents"):
             load.add_argument("--on-failure", choices=("empty", "raise"), default="empty")
@@ -87,7 +87,7 @@ def run(argv: Sequence[str] | None = None, env: Mapping[str, str] = os.environ)
         arguments.error("--by-month needs --target")
     # Before anything is read: a run that cannot write should not start.
     options = jdbc_options(args.url, args.table, env) if args.url else {"path": args.target}
-    fmt = "jdbc" if args.url else "parquet"
+    fmt, connections = ("jdbc", args.connections) if args.url else ("parquet", None)
     spark = SparkSession.builder.appName(args.table).getOrCreate()
     rows = rows_of(spark, args)
     if args.preview:
@@ -96,9 +96,9 @@ def run(argv: Sequence[str] | None = None, env: Mapping[str, str] = os.environ)
     if args.load == "volume" and args.by_month:
         month_replace(counted.withColumn("ym", month_key(F.lit(args.date))), args.target)
     elif args.load == "volume":
-        append_table(counted, options, fmt, args.connections)
+        append_table(counted, options, fmt, connections)
     else:
-        replace_table(counted, options, fmt, args.connections)
+        replace_table(counted, options, fmt, connections)
     return seen.get["rows"]
 
 

@@ -71,6 +71,22 @@ def test_volume_appends_the_months_archive(spark, tmp_path):
         jobs.run([*argv, "2025-05-11"])
 
 
+def test_jdbc_load_writes_through_few_connections(spark, tmp_path, monkeypatch):
+    written = []
+
+    def write(df, options, fmt, connections):
+        df.write.format("noop").mode("overwrite").save()
+        written.append((options["dbtable"], fmt, connections))
+
+    monkeypatch.setattr(jobs, "replace_table", write)
+    body = {"value": [{"Message": "m"}, {"Message": "n"}]}
+    landed = land(spark, str(tmp_path / "landed"), ("incidents", 0, body))
+    argv = ["incidents", "--landed", landed, "--url", "jdbc:postgresql://db/x"]
+    assert jobs.run(argv, env={"DB_USER": "u", "DB_PASSWORD": "p"}) == 2
+    assert jobs.run([*argv, "--table", "t", "--connections", "4"], env={"DB_USER": "u", "DB_PASSWORD": "p"}) == 2
+    assert written == [("traffic_incidents", "jdbc", 16), ("t", "jdbc", 4)]
+
+
 def test_credentials_are_checked_before_anything_is_read():
     argv = ["stops", "--landed", "/does/not/exist", "--url", "jdbc:postgresql://db/x"]
     with pytest.raises(ValueError, match="DB_USER, DB_PASSWORD"):
