@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, StringType, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DataType, StringType, StructType
 
 MALFORMED = "_malformed"
 
@@ -15,14 +15,16 @@ def answered() -> Column:
 
 
 def parsed_body(field: str, element: DataType) -> Column:
-    """The body as struct<documents: array<struct<field: array<element>>>, _malformed>.
+    """The body as struct<documents: array<struct<field: array<element>>>, end, _malformed>.
 
-    It is parsed as the one element of an array, so that no text, or text after the
-    document's end, does not pass for a sound document.
+    It is parsed as the one element of an array with a mark after it, so that neither no
+    text nor text after the document's end passes for a sound document.
     """
     document = StructType().add(field, ArrayType(element))
-    schema = StructType().add("documents", ArrayType(document)).add(MALFORMED, StringType())
-    wrapped = F.concat(F.lit('{"documents":['), "body", F.lit("]}"))
+    schema = (
+        StructType().add("documents", ArrayType(document)).add("end", BooleanType()).add(MALFORMED, StringType())
+    )
+    wrapped = F.concat(F.lit('{"documents":['), "body", F.lit('],"end":true}'))
     return F.from_json(wrapped, schema, {"columnNameOfCorruptRecord": MALFORMED, "allowSingleQuotes": "false"})
 
 
@@ -30,10 +32,14 @@ def first_document(parsed: Column) -> Column:
     return F.get(parsed["documents"], F.lit(0))
 
 
+def single(parsed: Column) -> Column:
+    """Nothing but one document, whatever its types."""
+    return F.coalesce((F.size(parsed["documents"]) == 1) & parsed["end"], F.lit(False))
+
+
 def sound(parsed: Column) -> Column:
     """One well-formed document, and all of it as the schema says."""
-    one = (F.size(parsed["documents"]) == 1) & first_document(parsed).isNotNull()
-    return F.coalesce(one & parsed[MALFORMED].isNull(), F.lit(False))
+    return single(parsed) & first_document(parsed).isNotNull() & parsed[MALFORMED].isNull()
 
 
 def classify(responses: DataFrame, field: str = "value") -> DataFrame:
@@ -73,7 +79,7 @@ def unnest(
     records = first_document(doc)[field]
     readable = sound(doc)
     if not strict:
-        readable = readable | F.coalesce((F.size(doc["documents"]) == 1) & records.isNotNull(), F.lit(False))
+        readable = readable | (single(doc) & records.isNotNull())
     # Parsed again for unreadable bodies only: is the envelope sound, so that a record is at fault?
     mistyped = doc.isNotNull() & F.exists(F.array(parsed_body(field, StringType())), sound)
     stop = F.raise_error(F.concat(F.lit("mistyped record in the response of "), F.col("feed")))

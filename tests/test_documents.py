@@ -81,7 +81,7 @@ def test_documents_without_services_give_no_rows(spark, body):
 
 
 BROKEN = [None, "", "  ", '{"Services":[{"ServiceNo":"1","NextBus":{"Load":"1"}},{"Ser', '[{"Services":[]}]', "oops"]
-AFTER = ["x", "}", "]", "{}", ",", ",{}"]
+AFTER = ["x", "}", "]", "]}", "{}", ",", ",{}"]
 BROKEN += ["null", *('{"Services":[{"ServiceNo":"1","NextBus":{"Load":"1"}}]}' + text for text in AFTER)]
 
 
