@@ -8,6 +8,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from feedloom.llm.minhash import near_duplicates
+from feedloom.llm.quality import judge
 from feedloom.llm.token_counts import count_tokens
 
 
@@ -21,8 +23,31 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: 3-word shingles, similarity 0.85."""
+    return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document; its source is its host."""
+    judged = judge(table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "n_removed_words",
+        "base_failed",
+        "kept",
+    )
+
+
 QUERIES = {
     "op3_token_counts": op3_token_counts,
+    "op8_minhash": op8_minhash,
+    "op9_quality": op9_quality,
 }
 
 ORACLES: dict[str, str] = {}
