@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from feedloom.llm.minhash import near_duplicates
 from feedloom.llm.quality import judge
+from feedloom.llm.sharding import assign_shards
 from feedloom.llm.token_counts import count_tokens
 
 
@@ -23,6 +24,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of near-equal bytes."""
+    return assign_shards(table(spark, sf_dir, "documents"), shards=16)
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 3-word shingles, similarity 0.85."""
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
@@ -46,6 +52,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_token_counts": op3_token_counts,
+    "op4_sharding": op4_sharding,
     "op8_minhash": op8_minhash,
     "op9_quality": op9_quality,
 }
