@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from feedloom.operators.lookup import BROADCAST_BYTES, width
 from feedloom.workspace import settle
 
 #: Rows of a group that one task numbers.
@@ -66,3 +67,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
     roots = edges.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("component"))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+
+
+def sized_join(rows: DataFrame, lookup: DataFrame, on, how: str = "inner", limit: int = BROADCAST_BYTES) -> DataFrame:
+    """rows ⋈ lookup, a settled table: broadcast where its measured size is within `limit`.
+
+    Beyond it both sides are shuffled and merged, and Spark splits hot keys at run time.
+    """
+    small = width(lookup) <= limit
+    return rows.join(F.broadcast(lookup) if small else lookup.hint("merge"), on, how)

@@ -7,17 +7,38 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from feedloom.llm.line_templates import repeated_lines
 from feedloom.llm.minhash import near_duplicates
+from feedloom.llm.packing import pack
 from feedloom.llm.quality import judge
 from feedloom.llm.sharding import assign_shards
 from feedloom.llm.token_counts import count_tokens
+from feedloom.llm.warc import page_of, warc_round_trip
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that recurring templates drop from every document; `dropped_lines` are numbers from 0."""
+    found = repeated_lines(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_lines",
+        F.size("dropped").cast("bigint").alias("n_dropped"),
+        F.array_join(F.col("dropped").cast("array<string>"), ",").alias("dropped_lines"),
+    )
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token sequences in batches of optimal length buckets."""
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return pack(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by the 50k byte-level vocabulary."""
     counted = count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -29,6 +50,19 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"), shards=16)
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back."""
+    records = warc_round_trip(spark, table(spark, sf_dir, "pages"), min_bytes=0)
+    return records.select(
+        page_of("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page_of("refers_to").alias("refers_to"),
+        "target_uri",
+    )
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 3-word shingles, similarity 0.85."""
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
@@ -51,10 +85,69 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_packing": op2_packing,
     "op3_token_counts": op3_token_counts,
     "op4_sharding": op4_sharding,
+    "op5_warc": op5_warc,
     "op8_minhash": op8_minhash,
     "op9_quality": op9_quality,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_line_dedup": r"""
+        WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+        split AS (
+            SELECT doc_id, text, unnest(lines) AS raw, generate_subscripts(lines, 1) - 1 AS number
+            FROM (
+                SELECT doc_id, text, string_split(regexp_replace(regexp_replace(
+                    text, '\x20*[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*|\x20{2,}', ' ', 'g'), '[0-9]+', '<*>', 'g'), chr(10)) AS lines
+                FROM docs
+            )
+        ),
+        lines AS (SELECT doc_id, text, number, trim(raw, ' ') AS line, string_split(trim(raw, ' '), ' ') AS tokens FROM split),
+        leafed AS (SELECT *, len(tokens) || ' ' || array_to_string(tokens[1:3], ' ') AS leaf FROM lines WHERE line != ''),
+        places AS (SELECT leaf, line, text, min(doc_id) AS doc_id FROM leafed GROUP BY ALL),
+        leaves AS (SELECT leaf FROM places GROUP BY leaf HAVING count(*) >= 10),
+        known AS (SELECT leaf, line, count(*) AS n FROM places SEMI JOIN leaves USING (leaf) GROUP BY ALL),
+        tokens AS (
+            SELECT leaf, line, n, unnest(parts) AS token, generate_subscripts(parts, 1) AS place
+            FROM (SELECT *, string_split(line, ' ') AS parts FROM known)
+        ),
+        constants AS (SELECT leaf, place, token FROM tokens GROUP BY ALL HAVING sum(n) >= 10),
+        general AS (
+            SELECT t.leaf, t.line, string_agg(CASE WHEN c.token IS NULL THEN '<*>' ELSE t.token END, ' ' ORDER BY t.place) AS template
+            FROM tokens t LEFT JOIN constants c USING (leaf, place, token)
+            WHERE t.n < 10 GROUP BY ALL
+            UNION ALL SELECT leaf, line, line FROM known WHERE n >= 10
+        ),
+        fixed AS (
+            SELECT * FROM general
+            WHERE 100 * len(list_filter(string_split(template, ' '), lambda t: NOT contains(t, '<*>')))
+                >= 60 * len(string_split(template, ' '))
+        ),
+        mapped AS (SELECT leaf, template, line, text, doc_id FROM places JOIN fixed USING (leaf, line)),
+        recurring AS (
+            SELECT leaf, template, arg_min(text, doc_id) AS keeper
+            FROM (SELECT leaf, template, text, min(doc_id) AS doc_id FROM mapped GROUP BY ALL)
+            GROUP BY ALL HAVING count(*) >= 10
+        ),
+        drops AS (SELECT DISTINCT m.text, m.line FROM mapped m JOIN recurring r USING (leaf, template) WHERE m.text != r.keeper)
+        SELECT l.doc_id, count(*) FILTER (l.line != '') AS n_lines, count(d.line) AS n_dropped,
+            coalesce(string_agg(CASE WHEN d.line IS NOT NULL THEN l.number END, ',' ORDER BY l.number), '') AS dropped_lines
+        FROM lines l LEFT JOIN drops d ON l.text = d.text AND l.line = d.line
+        GROUP BY l.doc_id
+    """,
+    "op5_warc": r"""
+        WITH digests AS (SELECT page_id, url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+        firsts AS (SELECT hex, max(page_id) AS first FROM digests GROUP BY hex)
+        SELECT page_id, strlen(html) AS payload_bytes,
+            array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform(range(4), lambda j:
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[(((('0x' || hex[5 * i + 1 : 5 * i + 5])::BIGINT >> (15 - 5 * j)) & 31) + 1)::INT]
+            ), '')), '') AS payload_digest,
+            CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id != first THEN first END AS refers_to,
+            url AS target_uri
+        FROM digests JOIN firsts USING (hex)
+    """,
+}

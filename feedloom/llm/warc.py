@@ -165,7 +165,7 @@ class ArchiveWriter:
     def start(self) -> None:
         fs, path = pa.fs.FileSystem.from_uri(self.path)
         fs.create_dir(path.rpartition("/")[0], recursive=True)
-        self.sink = fs.open_output_stream(path)
+        self.sink = fs.open_output_stream(path, compression=None)
         dictionary = trained(self.waiting)
         if dictionary is not None:
             packed = zstandard.ZstdCompressor(level=9).compress(dictionary.as_bytes())
