@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom.llm.decontamination import MIN_LITERALS, MIN_PERCENT, TOKEN, UNITS, WINDOW, contaminated
 from feedloom.llm.line_templates import repeated_lines
 from feedloom.llm.minhash import near_duplicates
 from feedloom.llm.packing import pack
@@ -63,6 +64,11 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every contaminated document with the benchmark items found in it."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 3-word shingles, similarity 0.85."""
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
@@ -90,6 +96,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_sharding": op4_sharding,
     "op5_warc": op5_warc,
+    "op7_decontamination": op7_decontamination,
     "op8_minhash": op8_minhash,
     "op9_quality": op9_quality,
 }
@@ -150,4 +157,43 @@ ORACLES = {
             url AS target_uri
         FROM digests JOIN firsts USING (hex)
     """,
+    "op7_decontamination": rf"""
+        WITH raws AS (
+            SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(coalesce(text, ''), '{TOKEN}') AS raw FROM documents
+            UNION ALL
+            SELECT 'b', item_id, regexp_extract_all(coalesce(text, ''), '{TOKEN}') FROM benchmark
+        ),
+        typed AS (
+            SELECT *, list_transform(raw, lambda t, i: CASE
+                WHEN t < ':' THEN '<num>'
+                WHEN t[1] != lower(t[1]) THEN '<name>'
+                WHEN i > 1 AND raw[i - 1] < ':' AND list_contains({list(UNITS)}, t) THEN '<unit>'
+                ELSE t END) AS types
+            FROM raws
+        ),
+        starts AS (SELECT *, unnest(range(1, len(raw) - {WINDOW} + 2)) AS place FROM typed),
+        wins AS (
+            SELECT kind, id, place, len(raw) - {WINDOW} + 1 AS n_windows,
+                raw[place : place + {WINDOW} - 1] AS vals, types[place : place + {WINDOW} - 1] AS types
+            FROM starts
+        ),
+        pairs AS (
+            SELECT d.id AS doc_id, b.id AS item_id, b.place AS item_place, d.place - b.place AS shift, b.n_windows,
+                b.types, b.vals AS theirs, d.vals AS ours
+            FROM (FROM wins WHERE kind = 'd') d JOIN (FROM wins WHERE kind = 'b') b USING (types)
+            WHERE d.vals = b.vals OR len(list_filter(b.types, lambda t: NOT starts_with(t, '<'))) >= {MIN_LITERALS}
+        ),
+        slots AS (
+            SELECT doc_id, item_id, shift, unnest(types) AS type, unnest(theirs) AS theirs, unnest(ours) AS ours FROM pairs
+        ),
+        clashing AS (
+            SELECT DISTINCT doc_id, item_id, shift FROM (
+                SELECT doc_id, item_id, shift, theirs FROM slots WHERE starts_with(type, '<')
+                GROUP BY ALL HAVING count(DISTINCT ours) > 1)
+        )
+        SELECT doc_id, item_id, count(DISTINCT item_place) AS n_matched, any_value(n_windows) AS n_windows
+        FROM pairs ANTI JOIN clashing USING (doc_id, item_id, shift)
+        GROUP BY doc_id, item_id
+        HAVING 100 * count(DISTINCT item_place) >= {MIN_PERCENT} * any_value(n_windows)
+    """,
 }
