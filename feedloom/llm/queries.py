@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm.decontamination import MIN_LITERALS, MIN_PERCENT, TOKEN, UNITS, WINDOW, contaminated
+from feedloom.llm.language_id import identify
 from feedloom.llm.line_templates import repeated_lines
 from feedloom.llm.minhash import near_duplicates
 from feedloom.llm.packing import pack
@@ -64,6 +65,11 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the labelled documents that are not held out."""
+    return identify(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every contaminated document with the benchmark items found in it."""
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -96,6 +102,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_sharding": op4_sharding,
     "op5_warc": op5_warc,
+    "op6_language_id": op6_language_id,
     "op7_decontamination": op7_decontamination,
     "op8_minhash": op8_minhash,
     "op9_quality": op9_quality,
