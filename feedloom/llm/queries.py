@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm.decontamination import MIN_LITERALS, MIN_PERCENT, TOKEN, UNITS, WINDOW, contaminated
+from feedloom.llm.html_extract import extract
 from feedloom.llm.language_id import identify
 from feedloom.llm.line_templates import repeated_lines
 from feedloom.llm.minhash import near_duplicates
@@ -96,6 +97,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, by a model learned from the pages that mark their article."""
+    return extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
@@ -106,6 +112,7 @@ QUERIES = {
     "op7_decontamination": op7_decontamination,
     "op8_minhash": op8_minhash,
     "op9_quality": op9_quality,
+    "op10_html_extract": op10_html_extract,
 }
 
 ORACLES = {
