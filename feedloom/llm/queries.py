@@ -5,6 +5,7 @@ Each runs its operator with production parameters over its whole table.
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,6 +104,7 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
     "op3_token_counts": op3_token_counts,
