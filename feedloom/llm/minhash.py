@@ -220,7 +220,8 @@ def candidate_groups(nodes: DataFrame) -> DataFrame:
     buckets = (
         keys.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first != last")
     )
-    edges = keys.join(buckets, "key").where("node != first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    # Merged at every size: buckets and groups grow with the documents.
+    edges = keys.join(buckets.hint("merge"), "key").where("node != first").select(F.col("node").alias("a"), F.col("first").alias("b"))
     return connected_components(edges)
 
 
@@ -230,7 +231,7 @@ def verified_links(groups: DataFrame, texts: DataFrame, words: int, percent: int
     A group is cut into blocks of about `block_shingles` shingles; small groups share a
     task, the blocks of a large one meet pair by pair, each pair in a task.
     """
-    sets = texts.join(groups, "node").select(
+    sets = texts.join(groups.hint("merge"), "node").select(
         "node", F.col("component").alias("root"), shingle_sets(words)("text").alias("shingles")
     )
     sets = settle(sets.withColumn("n", F.size("shingles")), "shingle-sets")
