@@ -15,11 +15,21 @@ ACCEPTED = {
 }
 
 
+WIDEST = 9_223_372_036_854_775_807
+
+
 def json_type(value: Column) -> Column:
-    """BIGINT, DECIMAL, DOUBLE, STRING, BOOLEAN, OBJECT, ARRAY, or VOID for null and absent."""
+    """BIGINT, WIDE INTEGER, DECIMAL, DOUBLE, STRING, BOOLEAN, OBJECT, ARRAY, or VOID for null and absent.
+
+    An integer beyond 64 bits is read as a decimal without a fraction, and told by its
+    size from one like 1.0. One of more than 38 digits is read as a double and cannot be
+    told from it.
+    """
     described = F.schema_of_variant(value)
     bare = F.substring_index(F.substring_index(described, "(", 1), "<", 1)
-    return F.coalesce(bare, F.lit("VOID"))
+    whole = described.startswith("DECIMAL") & described.endswith(",0)")
+    wide = whole & (F.abs(F.try_variant_get(value, "$", "decimal(38,0)")) > WIDEST)
+    return F.coalesce(F.when(wide, "WIDE INTEGER").otherwise(bare), F.lit("VOID"))
 
 
 def accepts(declared: str, found: Column) -> Column:

@@ -27,5 +27,5 @@ def ordinal_label(prefix: str, position: Column) -> Column:
 
 
 def base_name(path: Column | str) -> Column:
-    """The last part of a path or link."""
-    return F.element_at(F.split(path, "/"), -1)
+    """The last part of a path or link, without a link's query and fragment."""
+    return F.element_at(F.split(F.regexp_replace(path, "[?#].*", ""), "/"), -1)

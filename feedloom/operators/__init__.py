@@ -1,22 +1,22 @@
 from feedloom.operators.checks import preview, require_rows, require_settings, row_counter
 from feedloom.operators.envelope import classify, unnest
 from feedloom.operators.lookup import lookup_join
-from feedloom.operators.paging import feed_bounds, pages_before_end, resolve_batches
+from feedloom.operators.paging import latest_runs, resolve_batches, run_bounds
 from feedloom.operators.project import project_documents, type_audit
 from feedloom.operators.slots import flatten_slots, unpivot_columns
 
 __all__ = [
     "classify",
-    "feed_bounds",
     "flatten_slots",
+    "latest_runs",
     "lookup_join",
-    "pages_before_end",
     "preview",
     "project_documents",
     "require_rows",
     "require_settings",
     "resolve_batches",
     "row_counter",
+    "run_bounds",
     "type_audit",
     "unnest",
     "unpivot_columns",

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.workspace import settle
+
 BROADCAST_BYTES = 32 * 1024 * 1024
-# A key is hot when it holds more than 1/HOT_SHARE of the rows, so fewer than
-# HOT_SHARE keys can be hot whatever the data looks like.
-HOT_SHARE = 512
-# A hot key is cut into parts of about 1/PARTS of all rows.
-PARTS = 2048
+# Bytes of one key's rows from which on the key is cut, and of each of its parts.
+PART_BYTES = 256 * 1024 * 1024
+# Keys that are cut, at most: more data means larger parts, not a larger table of keys.
+HOT_KEYS = 200_000
 
 
 def width(df: DataFrame) -> int:
@@ -29,35 +30,36 @@ def lookup_join(
     spread: Column | None = None,
     size: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
+    measure: str | None = None,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """rows ⋈ lookup on `key`; `how` is inner, left_semi or left_anti.
 
     `lookup` is a settled table. Its size is measured unless an upper bound is given:
     within `broadcast_bytes` the rows are not shuffled at all. Beyond that both sides
-    are shuffled, and given a `spread` column, the hot keys of `rows` are cut into parts
-    by it and their lookup rows copied to each part, so that no task gets a hot key
-    whole. `where` adds a condition over columns of both sides.
+    are shuffled and merged, and given a `spread` column, keys whose rows have more than
+    `part_bytes` (counted as the bytes of the `measure` column and 64 a row) are cut into
+    parts of that size by it and their lookup rows copied to each part, so that no task
+    gets a hot key whole. `where` adds a condition over columns of both sides.
     """
     if size is None:
         size = width(lookup)
     if size <= broadcast_bytes:
         return _joined(rows, F.broadcast(lookup), [key], how, where)
+    # Hinted, as the planner would broadcast by compressed file size.
     if spread is None:
-        return _joined(rows, lookup, [key], how, where)
+        return _joined(rows, lookup.hint("merge"), [key], how, where)
 
-    total = rows.count()
-    hot = (
-        rows.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") * HOT_SHARE > total)
-        .select(key, F.ceil(F.col("_n") * PARTS / total).cast("int").alias("_parts"))
-    )
+    wide = F.lit(64) if measure is None else F.coalesce(F.octet_length(f"`{measure}`"), F.lit(0)) + 64
+    sizes = settle(rows.groupBy(key).agg(F.sum(wide).alias("_bytes")), "key-bytes")
+    total = sizes.agg(F.sum("_bytes")).first()[0] or 0
+    part = max(part_bytes, -(-total // HOT_KEYS))
+    hot = sizes.where(F.col("_bytes") > part).select(key, F.ceil(F.col("_bytes") / part).cast("int").alias("_parts"))
+    hot = F.broadcast(settle(hot, "hot-keys"))  # HOT_KEYS rows at most, as each has more than `part` bytes
     parts = F.coalesce("_parts", F.lit(1))
-    cut = rows.join(F.broadcast(hot), key, "left").withColumn("_part", F.pmod(F.xxhash64(spread), parts).cast("int"))
-    copies = lookup.join(F.broadcast(hot), key, "left").withColumn(
-        "_part", F.explode(F.sequence(F.lit(0), parts - 1))
-    )
-    joined = _joined(cut.drop("_parts"), copies.drop("_parts"), [key, "_part"], how, where)
+    cut = rows.join(hot, key, "left").withColumn("_part", F.pmod(F.xxhash64(spread), parts).cast("int"))
+    copies = lookup.join(hot, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    joined = _joined(cut.drop("_parts"), copies.drop("_parts").hint("merge"), [key, "_part"], how, where)
     return joined.drop("_part")
 
 

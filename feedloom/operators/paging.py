@@ -1,8 +1,8 @@
-"""Paged collections: where each feed's scan ends, and what a failed scan becomes."""
+"""Paged collections: which landed run of a feed is whole, where it ends, and what a failed scan becomes."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.operators.envelope import classify
@@ -10,77 +10,151 @@ from feedloom.operators.lookup import BROADCAST_BYTES, lookup_join, width
 from feedloom.workspace import settle
 
 POLICIES = ("raise", "empty", "fallback")
+STEP = 500
+# Of landings of one page with the same attempt, data is taken before empty before failed.
+RANKS = {"failed": 0, "empty": 1, "data": 2}
 
 
-def feed_bounds(pages: DataFrame) -> DataFrame:
-    """One row per feed whose scan ends or fails: (feed, failed, stop_at).
+def with_runs(landed: DataFrame) -> DataFrame:
+    """The landed rows with `run` and `attempt`; a landing that does not number them is one run."""
+    missing = {name: F.lit(0).cast(kind) for name, kind in (("run", "bigint"), ("attempt", "int")) if name not in landed.columns}
+    return landed.withColumns(missing) if missing else landed
 
-    Pages are read in `skip` order until the first empty one. A failed page before
-    that voids the feed's whole scan; later pages of any kind are never read. A feed
-    with neither has no row and is read to its last page.
 
-    Two minimums per feed over narrow columns, combined before the shuffle, so a feed
-    with a third of all pages costs no more than any other.
-    """
-    first = pages.groupBy("feed").agg(
-        F.min(F.when(F.col("outcome") == "empty", F.col("skip"))).alias("stop_at"),
-        F.min(F.when(F.col("outcome") == "failed", F.col("skip"))).alias("failed_at"),
-    )
-    failed = F.col("failed_at").isNotNull() & (F.col("stop_at").isNull() | (F.col("failed_at") < F.col("stop_at")))
-    return first.select("feed", failed.alias("failed"), "stop_at").where(
-        F.col("failed") | F.col("stop_at").isNotNull()
+def _best(pages: DataFrame) -> DataFrame:
+    """One row per feed, run and page: the outcome of its latest attempt, and how often it landed."""
+    rank = F.lit(0)
+    for outcome, value in RANKS.items():
+        rank = F.when(F.col("outcome") == outcome, value).otherwise(rank)
+    keyed = F.coalesce("attempt", F.lit(0)).cast("bigint") * len(RANKS) + rank
+    return (
+        pages.groupBy("feed", "run", "skip")
+        .agg(
+            F.max(keyed).alias("_best"),
+            F.count(F.lit(1)).alias("landings"),
+            F.max(F.coalesce(F.col("reason") == "over_limit", F.lit(False))).alias("over_limit"),
+        )
+        .withColumn("rank", F.pmod("_best", F.lit(len(RANKS))))
     )
 
 
-def pages_before_end(
-    pages: DataFrame, bounds: DataFrame, size: int | None = None, broadcast_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """The pages a page-by-page scan would have kept; none for a failed feed.
+def run_bounds(pages: DataFrame, step: int = STEP, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """One row per feed and run: (feed, run, stop_at, reason), `reason` null for a whole scan.
 
-    Needs only feed and skip, so it can run on responses before they are parsed.
+    Pages are read in `skip` order until the first empty one. A scan is whole when every
+    page from 0 to that one has landed and none of them failed; else its reason is
+    over_limit, failed_page, gap (also a lost first page or one off the step) or open_end.
+    Pages past the end, of any kind, are never read and do no harm.
+
+    `pages` is a settled table of narrow columns, one row per page. Minimums and counts
+    are combined before each shuffle, so a feed with a third of all pages costs no more
+    than any other.
     """
-    return lookup_join(
-        pages,
-        bounds,
+    ends = pages.groupBy("feed", "run").agg(
+        F.min(F.when(F.col("rank") == RANKS["empty"], F.col("skip"))).alias("stop_at"),
+        F.min(F.when(F.col("rank") == RANKS["failed"], F.col("skip"))).alias("failed_at"),
+        F.min(F.when((F.col("rank") == RANKS["failed"]) & F.col("over_limit"), F.col("skip"))).alias("over_at"),
+    )
+    ends = settle(ends, "scan-ends").withColumnsRenamed({"run": "end_run"})
+    before = lookup_join(
+        pages.select("feed", "run", "skip"),
+        ends,
         "feed",
-        "left_anti",
-        where=F.col("failed") | (F.col("skip") >= F.col("stop_at")),
+        where=(F.col("run") == F.col("end_run")) & (F.col("skip") < F.col("stop_at")),
         spread=F.col("skip"),
-        size=size,
         broadcast_bytes=broadcast_bytes,
     )
+    on_step = F.count_if((F.col("skip") >= 0) & (F.pmod("skip", F.lit(step)) == 0))
+    counts = before.groupBy("feed", "run").agg(on_step.alias("on_step"), F.count(F.lit(1)).alias("n"))
+    counted = ends.withColumnsRenamed({"end_run": "run"}).join(counts, ["feed", "run"], "left")
+    n = F.coalesce("n", F.lit(0))
+
+    def before_end(place: str) -> Column:
+        return F.col(place).isNotNull() & (F.col("stop_at").isNull() | (F.col(place) < F.col("stop_at")))
+
+    reason = (
+        F.when(before_end("over_at"), "over_limit")
+        .when(before_end("failed_at"), "failed_page")
+        .when(F.col("stop_at").isNull(), "open_end")
+        .when((n * step != F.col("stop_at")) | (F.coalesce("on_step", F.lit(0)) != n), "gap")
+    )
+    return counted.select("feed", "run", "stop_at", reason.alias("reason"))
+
+
+def latest_runs(bounds: DataFrame, expected: DataFrame | None = None) -> DataFrame:
+    """One row per feed: its latest whole run and that run's end, or without one the latest run's reason.
+
+    A feed of `expected` that never landed has the reason never_landed.
+    """
+    whole = F.col("reason").isNull()
+    latest = bounds.groupBy("feed").agg(
+        F.max(F.when(whole, F.col("run"))).alias("use_run"),
+        F.max_by("stop_at", F.when(whole, F.col("run"))).alias("stop_at"),
+        F.max_by("reason", "run").alias("last_reason"),
+    )
+    latest = latest.withColumn("reason", F.when(F.col("use_run").isNull(), F.col("last_reason")))
+    latest = latest.withColumn("over_limit", F.coalesce(F.col("last_reason") == "over_limit", F.lit(False)))
+    latest = latest.select("feed", "use_run", "stop_at", "reason", "over_limit")
+    if expected is None:
+        return latest
+    lost = expected.select("feed").distinct().join(latest.select("feed"), "feed", "left_anti")
+    empty = [F.lit(None).cast("bigint").alias(name) for name in ("use_run", "stop_at")]
+    return latest.unionByName(
+        lost.select("feed", *empty, F.lit("never_landed").alias("reason"), F.lit(False).alias("over_limit"))
+    )
 
 
 def resolve_batches(
     landed: DataFrame,
     on_failure: str = "raise",
     fallback: DataFrame | None = None,
+    expected: DataFrame | None = None,
+    step: int = STEP,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """The responses to read records from, after each feed's scan has ended or failed.
+    """The responses to read records from: the pages of each feed's latest whole run up to its end.
 
-    A feed whose scan failed stops the job ("raise"), gives no responses ("empty"), or
+    A feed without a whole run stops the job ("raise"), gives no responses ("empty"), or
     is replaced by its documents in `fallback`, which has the landed columns too
     ("fallback"). An empty feed is not a failed one: it gives no records either way.
+    `expected` has the feeds there should be; a fallback's feeds are expected by
+    themselves. A latest run with a page over the parser's limits stops the job under
+    any policy.
 
-    `landed` is read here, to find where each feed ends, and again by whoever uses the
-    result. Where it was classified when landed this first read is a narrow one.
+    `landed` may number its runs and the attempts at a page (`run`, `attempt`); of a page
+    landed more than once in a run the latest attempt counts. It is read here, to find
+    where each feed ends, and again by whoever uses the result. Where it was classified
+    when landed this first read is a narrow one.
     """
     if on_failure not in POLICIES:
         raise ValueError(f"on_failure must be one of {POLICIES}, not {on_failure!r}")
     if (on_failure == "fallback") != (fallback is not None):
         raise ValueError("a fallback is needed for, and only for, on_failure='fallback'")
-    bounds = settle(feed_bounds(classify(landed)), "feed-bounds")
-    failed = bounds.where("failed").select("feed")
-    if on_failure == "raise":
-        some = [row["feed"] for row in failed.limit(10).collect()]
-        if some:
-            raise RuntimeError(f"failed feeds, among them: {some}")
-    size = width(bounds)
+    if expected is None and fallback is not None:
+        expected = fallback.select("feed")
+    narrow = with_runs(classify(landed)).select("feed", "run", "attempt", "skip", "outcome", "reason")
+    pages = settle(_best(narrow), "pages")
+    feeds = settle(latest_runs(run_bounds(pages, step, broadcast_bytes), expected), "feeds")
+    stopping = F.col("over_limit") | (F.col("reason").isNotNull() if on_failure == "raise" else F.lit(False))
+    some = feeds.where(stopping).limit(10).collect()
+    if some:
+        raise RuntimeError(f"failed feeds, among them: {sorted((row['feed'], row['reason']) for row in some)}")
+
+    size = width(feeds)
+    whole = feeds.where("use_run IS NOT NULL").select("feed", "use_run", F.col("stop_at").alias("end"))
+    in_scan = (F.col("run") == F.col("use_run")) & (F.col("skip") < F.col("end"))
     columns = ["feed", "skip", "status", "body"]
-    kept = pages_before_end(landed.select(columns), bounds, size, broadcast_bytes)
+    kept = lookup_join(
+        with_runs(landed), whole, "feed", "left_semi", in_scan, F.col("skip"), size, broadcast_bytes, measure="body"
+    )
+    again = pages.where("landings > 1").select("feed", "run", "skip", "_best")
+    if again.isEmpty():
+        kept = kept.select(columns)
+    else:
+        kept = _landed_again(kept, settle(again, "landed-again"))
     if fallback is None:
         return kept
+    failed = feeds.where("reason IS NOT NULL").select("feed")
     substitutes = lookup_join(
         fallback.select(columns),
         failed,
@@ -89,5 +163,20 @@ def resolve_batches(
         spread=F.col("body"),
         size=size,
         broadcast_bytes=broadcast_bytes,
+        measure="body",
     )
     return kept.unionByName(substitutes)
+
+
+def _landed_again(kept: DataFrame, again: DataFrame) -> DataFrame:
+    """`kept` with one row for each page that landed more than once: its best landing, by body if they tie."""
+    columns = ["feed", "skip", "status", "body"]
+    key = ["feed", "run", "skip"]
+    once = kept.join(again.select(key), key, "left_anti").select(columns)
+    rank = F.lit(0)
+    for outcome, value in RANKS.items():
+        rank = F.when(F.col("outcome") == outcome, value).otherwise(rank)
+    keyed = F.coalesce("attempt", F.lit(0)).cast("bigint") * len(RANKS) + rank
+    more = classify(kept.join(again, key)).where(keyed == F.col("_best"))
+    picked = more.groupBy(key).agg(F.max(F.struct("body", "status")).alias("page"))
+    return once.unionByName(picked.select("feed", "skip", "page.status", "page.body"))

@@ -8,7 +8,7 @@ vanish and missing keys are NULL either way.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType, VariantType
 
@@ -41,15 +41,21 @@ def project_documents(
     schema: StructType,
     *keep: Column | str,
     field: str = "value",
-    on_failure: str = "empty",
+    on_failure: str = "raise",
     strict: bool = True,
+    seen: Observation | None = None,
 ) -> DataFrame:
-    """Declared columns of the responses' records, from body to columns in one parse."""
-    records = unnest(responses, _read_as(schema, strict), field, on_failure, strict)
+    """Declared columns of the responses' records, from body to columns in one parse.
+
+    `on_failure` and `seen` are those of `unnest`.
+    """
+    records = unnest(responses, _read_as(schema, strict), field, on_failure, strict, seen)
     return records.select(*keep, *_declared(F.col("record"), schema, strict))
 
 
-def type_audit(responses: DataFrame, schema: StructType, field: str = "value") -> DataFrame:
+def type_audit(
+    responses: DataFrame, schema: StructType, field: str = "value", on_failure: str = "raise"
+) -> DataFrame:
     """(field, json_type, accepted, n): the JSON types each declared field really holds.
 
     Counted per combination of types first, so the rows are not multiplied by the fields.
@@ -57,7 +63,7 @@ def type_audit(responses: DataFrame, schema: StructType, field: str = "value") -
     variants = StructType()
     for declared in schema.fields:
         variants = variants.add(declared.name, VariantType())
-    types = unnest(responses, variants, field).select(
+    types = unnest(responses, variants, field, on_failure).select(
         *[json_type(F.col("record")[f.name]).alias(f.name) for f in schema.fields]
     )
     combined = types.groupBy(*schema.names).agg(F.count(F.lit(1)).alias("_n"))

@@ -12,9 +12,17 @@ from feedloom.operators.envelope import answered, first_document, parsed_body, s
 LANDED = "feed string, skip bigint, status int, body string"
 
 
-def read_landed(spark: SparkSession, path: str, fmt: str = "parquet", classified: bool = False) -> DataFrame:
-    """All landed responses of all feeds in one scan, `classified` if they were landed so."""
-    schema = f"{LANDED}, outcome string" if classified else LANDED
+RUNS = "run bigint, attempt int"
+
+
+def read_landed(
+    spark: SparkSession, path: str, fmt: str = "parquet", classified: bool = False, runs: bool = False
+) -> DataFrame:
+    """All landed responses of all feeds in one scan, `classified` if they were landed so.
+
+    With `runs` the landed rows number their runs and the attempts at each page.
+    """
+    schema = ", ".join([LANDED, *[RUNS] * runs, *["outcome string, reason string"] * classified])
     return spark.read.schema(schema).format(fmt).load(path)
 
 

@@ -7,6 +7,8 @@ import random
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
 from feedloom.operators import classify, project_documents, type_audit, unnest, unpivot_columns
@@ -88,16 +90,43 @@ BROKEN += ["null", *('{"Services":[{"ServiceNo":"1","NextBus":{"Load":"1"}}]}' +
 @pytest.mark.parametrize("body", BROKEN)
 def test_failed_response_gives_no_rows_or_stops(spark, body):
     documents = landed(spark, body, service(NextBus=slot()))
-    assert len(rows(arrivals(documents))) == 1
-    with pytest.raises(PySparkException, match="failed response of f0"):
-        rows(arrivals(documents, on_failure="raise"))
+    seen = Observation()
+    assert len(rows(arrivals(documents, "empty", seen))) == 1
+    assert seen.get == {"responses": 2, "no_answer": 0, "status": 0, "malformed": 1}
+    with pytest.raises(PySparkException, match="failed response of f0 \\(malformed\\)"):
+        rows(arrivals(documents))
 
 
 def test_error_status_is_a_failed_response(spark):
     documents = landed(spark, service(NextBus=slot()), status=500)
-    assert rows(arrivals(documents)) == []
+    seen = Observation()
+    assert rows(arrivals(documents, "empty", seen)) == []
+    assert seen.get == {"responses": 1, "no_answer": 0, "status": 1, "malformed": 0}
     with pytest.raises(PySparkException, match="failed response"):
-        rows(arrivals(documents, on_failure="raise"))
+        rows(arrivals(documents))
+
+
+def nested(depth, inside='"Message":'):
+    return "{" + f'"value":[{{"Type":"a",{inside}' + "[" * depth + "]" * depth + "}]}"
+
+
+def test_parser_limits_lose_no_document(spark):
+    """A text of 21M characters, a number of 1,200 digits, and 1,200 levels of nesting."""
+    long = landed(spark, {"value": [{"Message": "x" * 21_000_000}]})
+    assert rows(incidents(long).select(F.length("Message").alias("n")))[0].n == 21_000_000
+    assert classify(long).select("outcome").first().outcome == "data"
+    digits = landed(spark, '{"value":[{"Message":"m","Other":' + "1" * 1200 + "}]}")
+    assert rows(incidents(digits))[0].Message == "m"
+    assert rows(incidents(landed(spark, nested(1200, '"Other":'))))[0].Type == "a"
+    assert rows(incidents(landed(spark, nested(900))))[0].Message == "[" * 900 + "]" * 900
+
+
+@pytest.mark.parametrize("policy", ["raise", "empty"])
+def test_a_text_field_nested_too_deep_stops_the_job(spark, policy):
+    documents = landed(spark, nested(1200))
+    assert [(r.outcome, r.reason) for r in classify(documents).collect()] == [("failed", "over_limit")]
+    with pytest.raises(PySparkException, match="over_limit"):
+        rows(incidents(documents, policy))
 
 
 @pytest.mark.parametrize("body", [service(NextBus="abc", NextBus2=slot()), {"Services": [3]}])
@@ -118,6 +147,9 @@ def test_classify_tells_the_outcomes_apart(spark):
     assert got == ["data", "empty", "empty", "empty"] + ["failed"] * 6
     outcomes = [r.outcome for r in classify(landed(spark, *('{"value":[1]}' + text for text in AFTER))).collect()]
     assert outcomes == ["failed"] * len(AFTER)
+    for status, reason in ((None, "no_answer"), (503, "status"), (200, "malformed")):
+        assert classify(landed(spark, "oops", status=status)).first().reason == reason
+    assert classify(landed(spark, {"value": [1]})).first().reason is None
     assert classify(landed(spark, '\n {"value":[1]} \n')).first().outcome == "data"
     assert classify(landed(spark, {"value": [1]}, status=404)).first().outcome == "failed"
     assert classify(landed(spark, {"value": [1]}, status=None)).first().outcome == "failed"
@@ -131,19 +163,19 @@ def test_mistyped_record_leaves_its_page_a_data_page(spark):
 def test_classified_responses_stay_as_they_are(spark):
     pages = classify(landed(spark, {"value": []}))
     assert classify(pages) is pages
-    assert pages.columns == ["feed", "skip", "status", "body", "outcome"]
+    assert pages.columns == ["feed", "skip", "status", "body", "outcome", "reason"]
 
 
 def test_incidents_match_by_name_and_fill_with_null(spark):
     body = {"value": [{"Extra": 1, "Message": "m", "Latitude": 1.25}]}
     [row] = rows(incidents(landed(spark, body)))
     assert row.asDict() == {"Type": None, "Latitude": 1.25, "Longitude": None, "Message": "m"}
-    assert rows(incidents(landed(spark, "oops"))) == []
+    assert rows(incidents(landed(spark, "oops"), "empty")) == []
 
 
 @pytest.mark.parametrize(
     "value,found",
-    [("1", "BIGINT"), ('"1.5"', "STRING"), ("true", "BOOLEAN"), ("{}", "OBJECT"), ("[1]", "ARRAY")],
+    [("1", "BIGINT"), ("12345678901234567890123", "WIDE INTEGER"), ('"1.5"', "STRING"), ("true", "BOOLEAN"), ("{}", "OBJECT"), ("[1]", "ARRAY")],
 )
 def test_strict_doubles_refuse_other_json_types(spark, value, found):
     documents = landed(spark, f'{{"value":[{{"Latitude":{value}}}]}}')
@@ -152,9 +184,9 @@ def test_strict_doubles_refuse_other_json_types(spark, value, found):
 
 
 def test_strict_doubles_take_fractions_exponents_and_null(spark):
-    body = '{"value":[{"Latitude":1.0},{"Latitude":2.5e3},{"Latitude":null},{"Latitude":103.81719033333333},{}]}'
+    body = '{"value":[{"Latitude":1.0},{"Latitude":2.5e3},{"Latitude":null},{"Latitude":103.81719033333333},{},{"Latitude":100.0}]}'
     got = project_documents(landed(spark, body), INCIDENTS).collect()
-    assert [r.Latitude for r in got] == [1.0, 2500.0, None, 103.81719033333333, None]
+    assert [r.Latitude for r in got] == [1.0, 2500.0, None, 103.81719033333333, None, 100.0]
 
 
 def test_lenient_doubles_follow_the_parser(spark):
@@ -220,7 +252,7 @@ def test_random_documents_match_brute_force(spark):
                     head = (f"f{at}", text(one.get("ServiceNo")), text(one.get("Operator")))
                     want.append((*head, *[text(one[key].get(f)) for f in FIELDS], label))
     assert len(want) > 500
-    assert rows_as_tuples(arrivals(landed(spark, *texts))) == sorted(want, key=str)
+    assert rows_as_tuples(arrivals(landed(spark, *texts), "empty")) == sorted(want, key=str)
 
 
 def rows_as_tuples(df):
@@ -237,5 +269,5 @@ def test_multi_line_document_files(spark, tmp_path):
     (tmp_path / "84.json").write_text('{"Services": [')
     documents = read_documents(spark, str(tmp_path))
     assert documents.schema.simpleString() == spark.createDataFrame([], LANDED).schema.simpleString()
-    assert [r.BusStopCode for r in rows(arrivals(documents))] == ["83"]
+    assert [r.BusStopCode for r in rows(arrivals(documents, "empty"))] == ["83"]
     assert {r.feed for r in read_documents(spark, str(tmp_path), "all").collect()} == {"all"}

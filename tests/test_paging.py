@@ -10,10 +10,10 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from feedloom.operators import classify, feed_bounds, lookup_join, pages_before_end, project_documents, resolve_batches
+from feedloom.operators import classify, lookup_join, project_documents, resolve_batches
 from feedloom.operators import lookup
 from feedloom.plans.feeds import stops
-from feedloom.sources import LANDED, page_requests
+from feedloom.sources import LANDED, RUNS, page_requests
 from feedloom.workspace import settle
 
 ID = StructType().add("id", StringType())
@@ -47,7 +47,6 @@ def records(name, *pages):
     "pages,expected",
     [
         ((DATA, DATA, EMPTY), (0, 1)),
-        ((DATA, DATA), (0, 1)),
         ((DATA, EMPTY, DATA), (0,)),
         ((DATA, MISSING, DATA), (0,)),
         ((DATA, NULL, DATA), (0,)),
@@ -63,13 +62,88 @@ def test_scan_ends_at_the_first_empty_page(spark, pages, expected, classified):
     assert kept(resolve_batches(landed)) == records("f", *expected)
 
 
+INCOMPLETE = {
+    "gap": [DATA, None, DATA, EMPTY],
+    "first page lost": [None, DATA, EMPTY],
+    "open end": [DATA, DATA],
+    "off the step": [DATA, DATA, EMPTY],
+}
+
+
+def incomplete(name):
+    pages = [page for page in feed("f", *INCOMPLETE[name]) if page[3] is not None]
+    if name == "off the step":
+        pages = [(one, 250 if skip == 500 else skip, status, body) for one, skip, status, body in pages]
+    return pages
+
+
+@pytest.mark.parametrize("name", sorted(INCOMPLETE))
+def test_a_scan_with_a_page_missing_is_no_scan(spark, name):
+    landed = spark.createDataFrame(incomplete(name) + feed("g", DATA, EMPTY), LANDED)
+    assert kept(resolve_batches(landed, "fallback", snapshot(spark, f="fallback"))) == ["fallback", *records("g", 0)]
+    assert kept(resolve_batches(landed, "empty")) == records("g", 0)
+    with pytest.raises(RuntimeError, match="f"):
+        resolve_batches(landed)
+
+
+def test_a_feed_that_never_landed_is_a_failed_one(spark):
+    landed = spark.createDataFrame(feed("g", DATA, EMPTY), LANDED)
+    assert kept(resolve_batches(landed, "fallback", snapshot(spark, f="fallback"))) == ["fallback", *records("g", 0)]
+    with pytest.raises(RuntimeError, match="never_landed"):
+        resolve_batches(landed, expected=spark.createDataFrame([("f",), ("g",)], "feed string"))
+    nothing = spark.createDataFrame([], LANDED)
+    assert kept(resolve_batches(nothing, "fallback", snapshot(spark, f="fallback"))) == ["fallback"]
+
+
+def numbered(run, attempt, pages):
+    return [(*page, run, attempt) for page in pages]
+
+
+def with_runs(spark, *rows):
+    return spark.createDataFrame([row for some in rows for row in some], f"{LANDED}, {RUNS}")
+
+
+def test_the_latest_whole_run_counts(spark):
+    first, second = feed("f", DATA, DATA, EMPTY), feed("f", DATA, EMPTY)
+    assert kept(resolve_batches(with_runs(spark, numbered(1, 1, first), numbered(2, 1, second)))) == records("f", 0)
+    broken = feed("f", DATA, BAD, EMPTY)
+    landed = with_runs(spark, numbered(1, 1, first), numbered(2, 1, broken))
+    assert kept(resolve_batches(landed)) == records("f", 0, 1)
+    assert kept(resolve_batches(with_runs(spark, numbered(1, 1, broken), numbered(2, 1, second)))) == records("f", 0)
+
+
+def test_a_page_fetched_again_does_not_void_its_feed(spark):
+    pages = feed("f", DATA, DATA, EMPTY)
+    for bad in (BAD, REFUSED):
+        broken = feed("f", DATA, bad, EMPTY)
+        landed = with_runs(spark, numbered(1, 1, broken), numbered(1, 2, [pages[1]]))
+        assert kept(resolve_batches(landed)) == records("f", 0, 1)
+        worse = with_runs(spark, numbered(1, 1, pages), numbered(1, 2, [broken[1]]))
+        assert kept(resolve_batches(worse, "empty")) == []
+        unnumbered = spark.createDataFrame(broken + [pages[1]], LANDED)
+        assert kept(resolve_batches(unnumbered)) == records("f", 0, 1)
+
+
+def test_a_page_landed_twice_gives_its_rows_once(spark):
+    pages = feed("f", DATA, DATA, EMPTY)
+    assert kept(resolve_batches(spark.createDataFrame(pages + pages, LANDED))) == records("f", 0, 1)
+
+
+@pytest.mark.parametrize("policy", ["raise", "empty", "fallback"])
+def test_a_page_over_the_limits_stops_the_job(spark, policy):
+    deep = '{"value":[{"id":' + "[" * 1200 + "]" * 1200 + "}]}"
+    landed = spark.createDataFrame(feed("f", DATA, deep, EMPTY), LANDED)
+    with pytest.raises(RuntimeError, match="over_limit"):
+        resolve_batches(landed, policy, snapshot(spark, f="x") if policy == "fallback" else None)
+
+
 @pytest.mark.parametrize("bad", [BAD, REFUSED, "", None, "[1]"])
 def test_failed_page_voids_the_feed(spark, bad):
     landed = spark.createDataFrame(feed("f", DATA, bad, DATA, EMPTY) + feed("g", DATA, EMPTY), LANDED)
     fallback = snapshot(spark, f="fallback", g="unused")
     assert kept(resolve_batches(landed, "fallback", fallback)) == ["fallback", *records("g", 0)]
     assert kept(resolve_batches(landed, "empty")) == records("g", 0)
-    with pytest.raises(RuntimeError, match="f"):
+    with pytest.raises(RuntimeError, match="failed_page"):
         resolve_batches(landed, "raise")
 
 
@@ -119,50 +193,52 @@ def brute_force(responses, fallback):
         got: list[str] = []
         for _, status, body in sorted(pages):
             if status != 200 or body == BAD:
-                got = fallback.get(name, [])
+                out += fallback.get(name, [])
                 break
             if body in (EMPTY, MISSING, NULL):
+                out += got
                 break
             got += [record["id"] for record in json.loads(body)["value"]]
-        out += got
+        else:
+            out += fallback.get(name, [])
     return sorted(out)
 
 
 def skewed_landing():
-    """200 feeds; one of them holds a third of all pages and never ends."""
+    """200 feeds; one of them holds a third of all pages."""
     rng = random.Random(7)
-    responses = feed("hot", *[DATA] * 1500)
+    responses = feed("hot", *[DATA] * 1500, EMPTY)
     for n in range(199):
         responses += feed(f"c{n}x", *rng.choices([DATA, EMPTY, BAD, REFUSED, MISSING], [90, 4, 2, 2, 2], k=15))
     return responses
 
 
 @pytest.mark.parametrize("broadcast_bytes", [lookup.BROADCAST_BYTES, 0])
-def test_both_join_ways_match_brute_force_on_a_hot_feed(spark, broadcast_bytes):
+def test_both_join_ways_match_brute_force_on_a_hot_feed(spark, broadcast_bytes, monkeypatch):
+    monkeypatch.setattr(lookup.lookup_join, "__defaults__", (*lookup.lookup_join.__defaults__[:-1], 4096))
     responses = skewed_landing()
     names = sorted({r[0] for r in responses})
     fallback = snapshot(spark, **{name: f"fb-{name}" for name in names})
     landed = settle(spark.createDataFrame(responses, LANDED), "responses")
-    got = kept(resolve_batches(landed, "fallback", fallback, broadcast_bytes))
+    got = kept(resolve_batches(landed, "fallback", fallback, broadcast_bytes=broadcast_bytes))
     assert got == brute_force(responses, {name: [f"fb-{name}"] for name in names})
 
 
-def test_hot_feed_is_spread_over_tasks(spark):
-    """Without the broadcast, no partition of the join holds more than a fraction of the hot feed."""
-    responses = feed("hot", *[DATA] * 4000) + [r for n in range(400) for r in feed(f"c{n}", *[DATA] * 20)]
-    pages = settle(classify(spark.createDataFrame(responses, LANDED)), "pages")
+def test_hot_key_is_spread_over_tasks(spark):
+    """Beyond the limit no partition of the join holds more than a fraction of the hot feed's rows."""
+    pages = spark.range(20_000).select(
+        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 400)).alias("feed"), "id"
+    )
+    ends = settle(pages.select("feed").distinct(), "ends")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        bounds = settle(feed_bounds(pages), "bounds")
-        joined = pages_before_end(pages, bounds, broadcast_bytes=0)
+        joined = lookup_join(pages, ends, "feed", spread=F.col("id"), broadcast_bytes=0, part_bytes=16_384)
         assert sorted(joined.columns) == sorted(pages.columns)
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-        assert sum(sizes) == len(responses)
-        assert max(sizes) < 2 * len(responses) / 8
+        assert sum(sizes) == 20_000
+        assert max(sizes) < 2 * 20_000 / 8
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 @pytest.mark.parametrize("how", ["inner", "left_semi", "left_anti"])
