@@ -14,7 +14,7 @@ import datetime as dt
 import os
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.functions import month_key, request_key
@@ -47,11 +47,12 @@ def parser() -> argparse.ArgumentParser:
         load.add_argument("--connections", type=int, default=16, help="JDBC writers at a time")
         load.add_argument("--preview", type=int, default=0, metavar="N", help="print N rows first")
         if name in ("arrivals", "incidents"):
-            load.add_argument("--on-failure", choices=("empty", "raise"), default="empty")
+            load.add_argument("--on-failure", choices=("empty", "raise"), default="raise")
         if name in ("stops", "incidents"):
             load.add_argument("--lenient", action="store_true", help="mistyped numbers become NULL")
         if name == "stops":
             load.add_argument("--classified", action="store_true", help="the landed responses have an outcome")
+            load.add_argument("--runs", action="store_true", help="the landed responses number runs and attempts")
             load.add_argument("--fallback", help="JSON snapshot files, named after their feeds")
         if name == "volume":
             load.add_argument("--archives", required=True, help="zip files; a link ends in its file's name")
@@ -62,21 +63,25 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
-def rows_of(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+def rows_of(spark: SparkSession, args: argparse.Namespace, seen: Observation) -> DataFrame:
     if args.landed:
-        landed = read_landed(spark, args.landed, classified=getattr(args, "classified", False))
+        marks = {name: getattr(args, name, False) for name in ("classified", "runs")}
+        landed = read_landed(spark, args.landed, **marks)
     else:
         landed = read_documents(spark, args.documents)
     if args.load == "arrivals":
-        return arrivals(landed, args.on_failure)
+        return arrivals(landed, args.on_failure, seen)
     if args.load == "incidents":
-        return incidents(landed, args.on_failure, strict=not args.lenient)
+        return incidents(landed, args.on_failure, not args.lenient, seen)
     if args.load == "stops":
-        fallback = read_documents(spark, args.fallback) if args.fallback else None
-        return stops(landed, fallback, strict=not args.lenient)
+        if not args.fallback:
+            return stops(require_rows(landed, "any feed"), strict=not args.lenient)
+        return stops(landed, read_documents(spark, args.fallback), strict=not args.lenient)
     month = request_key(args.request, month_key(F.lit(args.date)))
     links = require_rows(landed.where(F.col("feed") == month), "the month")
-    return passenger_volume(links, read_archives(spark, args.archives), args.schema, by_name=True).drop("feed")
+    archives = read_archives(spark, args.archives)
+    rows = passenger_volume(links, archives, args.schema, by_name=True, feed="_link_feed").drop("_link_feed")
+    return require_rows(rows, "the month")
 
 
 def run(argv: Sequence[str] | None = None, env: Mapping[str, str] = os.environ) -> int:
@@ -89,7 +94,8 @@ def run(argv: Sequence[str] | None = None, env: Mapping[str, str] = os.environ)
     options = jdbc_options(args.url, args.table, env) if args.url else {"path": args.target}
     fmt, connections = ("jdbc", args.connections) if args.url else ("parquet", None)
     spark = SparkSession.builder.appName(args.table).getOrCreate()
-    rows = rows_of(spark, args)
+    failures = Observation()
+    rows = rows_of(spark, args, failures)
     if args.preview:
         preview(rows, args.preview).show(args.preview, truncate=False)
     counted, seen = row_counter(rows)
@@ -99,6 +105,9 @@ def run(argv: Sequence[str] | None = None, env: Mapping[str, str] = os.environ)
         append_table(counted, options, fmt, connections)
     else:
         replace_table(counted, options, fmt, connections)
+    if args.load in ("arrivals", "incidents"):
+        failed = {why: n for why, n in failures.get.items() if n and why != "responses"}
+        print(f"{failures.get['responses']} responses, failed: {failed or 0}")
     return seen.get["rows"]
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, MapType, StringType, StructType
 
@@ -40,13 +40,14 @@ for _key in SLOT_KEYS:
     SERVICE = SERVICE.add(_key, MapType(StringType(), StringType()))
 
 
-def arrivals(responses: DataFrame, on_failure: str = "empty") -> DataFrame:
+def arrivals(responses: DataFrame, on_failure: str = "raise", seen: Observation | None = None) -> DataFrame:
     """Arrival rows of all stops in one narrow pass; the stop code is the response's feed.
 
-    A failed response gives no rows, or with on_failure="raise" stops the job.
+    A failed response stops the job, or with on_failure="empty" gives no rows and is
+    counted by `seen`.
     """
     return flatten_slots(
-        unnest(responses, SERVICE, "Services", on_failure),
+        unnest(responses, SERVICE, "Services", on_failure, seen=seen),
         slots=[f"record.{key}" for key in SLOT_KEYS],
         fields=SLOT_FIELDS,
         label="BusInstance",
@@ -55,15 +56,22 @@ def arrivals(responses: DataFrame, on_failure: str = "empty") -> DataFrame:
     )
 
 
-def stops(responses: DataFrame, fallback: DataFrame | None = None, strict: bool = True) -> DataFrame:
-    """Stop rows of paged collections, from the fallback documents where a scan failed."""
-    pages = resolve_batches(responses, "raise" if fallback is None else "fallback", fallback)
+def stops(
+    responses: DataFrame,
+    fallback: DataFrame | None = None,
+    strict: bool = True,
+    expected: DataFrame | None = None,
+) -> DataFrame:
+    """Stop rows of paged collections, from the fallback documents where no run is whole."""
+    pages = resolve_batches(responses, "raise" if fallback is None else "fallback", fallback, expected)
     return project_documents(pages, STOPS, on_failure="raise", strict=strict)
 
 
-def incidents(responses: DataFrame, on_failure: str = "empty", strict: bool = True) -> DataFrame:
-    """Incident rows of single documents; a failed one gives no rows by default."""
-    return project_documents(responses, INCIDENTS, on_failure=on_failure, strict=strict)
+def incidents(
+    responses: DataFrame, on_failure: str = "raise", strict: bool = True, seen: Observation | None = None
+) -> DataFrame:
+    """Incident rows of single documents; a failed one stops the job or is counted by `seen`."""
+    return project_documents(responses, INCIDENTS, on_failure=on_failure, strict=strict, seen=seen)
 
 
 def volume_requests(dates: DataFrame, date: str, template: str) -> DataFrame:
@@ -71,27 +79,46 @@ def volume_requests(dates: DataFrame, date: str, template: str) -> DataFrame:
     return dates.select(month_key(date).alias("ym")).distinct().withColumn("feed", request_key(template, "ym"))
 
 
-def linked_archives(
-    link_responses: DataFrame,
-    archives: DataFrame,
-    by_name: bool = False,
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """(path, content, feed) of the archives that the link documents' first records name.
+def archive_links(link_responses: DataFrame, archives: DataFrame, by_name: bool = False) -> DataFrame:
+    """(feed, path) of the archives that the link documents' first records name, settled.
 
-    A link is an archive's path, or `by_name` ends in its file's name. One without an
-    archive stops the job. Links are narrow; within the measured limit the archive
-    bytes are not shuffled.
+    A link is an archive's path, or `by_name` ends in its file's name, whatever query
+    follows. One without an archive, or with more than one, stops the job.
     """
     links = first_link(link_responses)
+    own = F.col("path")
     if by_name:
         links = links.withColumn("path", base_name("path"))
-        archives = archives.withColumn("path", base_name("path"))
-    links = settle(links, "links")
-    missing = links.join(archives.select("path"), "path", "left_anti").head()
-    if missing is not None:
-        raise FileNotFoundError(f"{missing['feed']}: no archive {missing['path']}")
-    return lookup_join(archives, links, "path", broadcast_bytes=broadcast_bytes)
+        own = base_name("path")
+    names = archives.select(own.alias("path"), F.col("path").alias("archive"))
+    found = links.withColumnRenamed("path", "link").join(names, F.col("link") == F.col("path"), "left")
+    found = settle(found.groupBy("feed", "link").agg(F.collect_set("archive").alias("archives")), "links")
+    wrong = found.where(F.size("archives") != 1).head()
+    if wrong is not None and not wrong["archives"]:
+        raise FileNotFoundError(f"{wrong['feed']}: no archive {wrong['link']}")
+    if wrong is not None:
+        raise ValueError(f"{wrong['feed']}: {wrong['link']} may be any of {sorted(wrong['archives'])}")
+    return found.select("feed", F.col("archives")[0].alias("path"))
+
+
+def linked_archives(archives: DataFrame, links: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The archives (path, content) that some link names, each once however many name it.
+
+    Within the measured limit their bytes are not shuffled.
+    """
+    paths = settle(links.select("path").distinct(), "linked-paths")
+    return lookup_join(archives, paths, "path", "left_semi", broadcast_bytes=broadcast_bytes)
+
+
+def linked_lines(
+    archives: DataFrame, links: DataFrame, columns: list[str], broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """(feed, line) of each link's archive; an archive is opened once and its lines then joined to its links."""
+    lines = first_member_lines(linked_archives(archives, links, broadcast_bytes), columns, "path")
+    joined = lookup_join(
+        lines, links, "path", spread=F.col("line"), measure="line", broadcast_bytes=broadcast_bytes
+    )
+    return joined.select("feed", "line")
 
 
 def passenger_volume(
@@ -99,23 +126,29 @@ def passenger_volume(
     archives: DataFrame,
     schema: str | None = None,
     by_name: bool = False,
+    feed: str = "feed",
 ) -> DataFrame:
-    """The feed and the CSV columns of each link document's archive.
+    """The feed, under the name `feed`, and the CSV columns of each link document's archive.
 
     `schema` is the DDL of the columns in header order. Without one the names come from
     the header and the types from the values, which takes a staged copy of the lines and
-    two more reads, and can change values as `read_csv` tells.
+    two more reads, and can change values as `read_csv` tells; the feed stays as it is.
     """
-    linked = linked_archives(link_responses, archives, by_name)
+    links = archive_links(link_responses, archives, by_name)
+    names = first_member_header(linked_archives(archives, links)) if schema is None else StructType.fromDDL(schema).names
+    if feed in names:
+        raise ValueError(f"the archives have a column {feed}: give the feed another name")
+    lines = linked_lines(archives, links, names)
     if schema is not None:
-        columns = StructType.fromDDL(schema).names
-        return parse_lines(first_member_lines(linked, columns, "feed"), schema, "feed")
-    columns = first_member_header(linked)
-    spark = linked.sparkSession
+        return parse_lines(lines, schema, F.col("feed").alias(feed))
+    spark = lines.sparkSession
     raw = new_path(spark, "raw")
-    stage_lines(first_member_lines(linked, columns, "feed"), raw, "feed")
-    staged = spark.read.text(raw)
-    if staged.isEmpty():
-        return spark.createDataFrame([], ", ".join(f"`{name}` string" for name in ("feed", *columns)))
-    inferred = read_csv(spark, raw, header=False).toDF(*columns, "feed")
-    return inferred.select(F.col("feed").cast("string"), *columns)
+    stage_lines(lines.withColumnRenamed("feed", "_feed"), raw, "_feed", rebalance=False)
+    if spark.read.text(raw).isEmpty():
+        return spark.createDataFrame([], ", ".join(f"`{name}` string" for name in (feed, *names)))
+    inferred = read_csv(spark, raw, header=False).schema.fields[: len(names)]
+    typed = StructType()
+    for name, field in zip(names, inferred):
+        typed = typed.add(name, field.dataType)
+    staged = read_csv(spark, raw, typed.add("_feed", StringType()), header=False, strict=False)
+    return staged.select(F.col("_feed").alias(feed), *[f"`{name}`" for name in names])

@@ -105,18 +105,23 @@ def paged_responses(
     kept: Column,
     error_above: float | None = None,
     broken_above: float | None = None,
+    silent_below: float | None = None,
 ) -> DataFrame:
-    """One response per (feed, page) with the kept events as its records.
+    """One response per (feed, page) with the kept events as its records, and an empty page after each feed's last.
 
     A page whose highest value is above `error_above` has an error status, one above
-    `broken_above` is cut short.
+    `broken_above` is cut short, and one whose lowest is below `silent_below` got no answer.
     """
     record = F.struct("event_id", "event_type", "value")
     pages = (
         events.withColumns({"feed": feed, "skip": page * PAGE_STEP})
         .repartition("feed", "skip")
         .groupBy("feed", "skip")
-        .agg(F.max("value").alias("high"), F.collect_list(F.when(kept, record)).alias("value"))
+        .agg(
+            F.max("value").alias("high"),
+            F.min("value").alias("low"),
+            F.collect_list(F.when(kept, record)).alias("value"),
+        )
     )
     body = F.to_json(F.struct("value"))
     status = F.lit(200)
@@ -124,11 +129,29 @@ def paged_responses(
         body = F.when(F.col("high") > broken_above, F.substring(body, F.lit(1), F.length(body) - 1)).otherwise(body)
     if error_above is not None:
         status = F.when(F.col("high") > error_above, 500).otherwise(status)
-    return pages.select("feed", "skip", status.alias("status"), body.alias("body"))
+    if silent_below is not None:
+        silent = F.col("low") < silent_below
+        status, body = F.when(~silent, status), F.when(~silent, body)
+    landed = pages.select("feed", "skip", status.alias("status"), body.alias("body"))
+    return landed.unionByName(closing_pages(events.select(feed.alias("feed"), page.alias("page"))))
 
 
-def stop_pages(customer: DataFrame, feed: Column, page: Column, last: int) -> DataFrame:
-    """Pages of customers as stops; each feed gets an empty page `last` and a stray one after it."""
+def closing_pages(placed: DataFrame) -> DataFrame:
+    """An empty page after the last one of each feed of (feed, page)."""
+    return (
+        placed.groupBy("feed")
+        .agg((F.max("page") + 1).alias("page"))
+        .select(
+            "feed",
+            (F.col("page") * PAGE_STEP).cast("bigint").alias("skip"),
+            F.lit(200).alias("status"),
+            F.lit('{"value":[]}').alias("body"),
+        )
+    )
+
+
+def stop_pages(customer: DataFrame, feed: Column, page: Column) -> DataFrame:
+    """Pages of customers as stops; each feed gets an empty page after its last and a stray one after that."""
     record = F.struct(
         F.col("c_custkey").cast("string").alias("BusStopCode"),
         F.col("c_name").alias("RoadName"),
@@ -148,17 +171,11 @@ def stop_pages(customer: DataFrame, feed: Column, page: Column, last: int) -> Da
             F.to_json(F.struct("value")).alias("body"),
         )
     )
-    closing = F.array(
-        F.struct(F.lit(last).alias("page"), F.lit('{"value":[]}').alias("body")),
-        F.struct(F.lit(last + 1).alias("page"), F.lit('{"value":[{"BusStopCode":"stray"}]}').alias("body")),
-    )
-    ends = (
-        customer.select(feed.alias("feed"))
-        .distinct()
-        .select("feed", F.inline(closing))
-        .select("feed", (F.col("page") * PAGE_STEP).cast("bigint").alias("skip"), F.lit(200).alias("status"), "body")
+    ends = closing_pages(customer.select(feed.alias("feed"), page.alias("page")))
+    stray = ends.withColumn("skip", F.col("skip") + PAGE_STEP).withColumn(
+        "body", F.lit('{"value":[{"BusStopCode":"stray"}]}')
     )
-    return pages.unionByName(ends)
+    return pages.unionByName(ends).unionByName(stray)
 
 
 def single_records(df: DataFrame, feed: Column, record: Column) -> DataFrame:

@@ -17,19 +17,23 @@ from feedloom.operators import (
     classify,
     preview,
     project_documents,
+    require_rows,
     resolve_batches,
+    row_counter,
     type_audit,
     unpivot_columns,
 )
 from feedloom.plans import packing
-from feedloom.plans.feeds import arrivals, incidents, linked_archives, passenger_volume, stops
+from feedloom.plans.feeds import archive_links, arrivals, incidents, linked_lines, passenger_volume, stops
 from feedloom.plans.packing import PAGE_STEP, div, table
 from feedloom.sinks import append_table, month_replace, replace_table
 from feedloom.sources import (
+    csv_audit,
     first_member_lines,
     page_requests,
     parse_lines,
     read_csv,
+    read_documents,
     stage_lines,
 )
 from feedloom.streaming import load_available
@@ -59,7 +63,7 @@ PART_CSV = "p_partkey bigint, p_name string, p_brand string, p_size int, p_retai
 
 
 def arrivals_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return arrivals(packing.arrival_responses(table(spark, sf_dir, "events")))
+    return arrivals(packing.arrival_responses(table(spark, sf_dir, "events")), on_failure="empty")
 
 
 def envelope_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,12 +96,12 @@ def incidents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stops_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as stops: feeds of 500 in pages of 50, closed by an empty page and
-    followed by one that must not be read. A page with a balance under -980 is refused;
+    """Customers as stops: feeds of 500 in pages of 50, closed by an empty page that
+    one which must not be read follows. A page with a balance under -980 is refused;
     the fallback snapshot of its feed has the stops' codes only."""
     customer = table(spark, sf_dir, "customer")
     feed = div("c_custkey", SPAN).cast("string")
-    pages = packing.stop_pages(customer, feed, div(F.pmod("c_custkey", F.lit(SPAN)), 50), last=SPAN // 50)
+    pages = packing.stop_pages(customer, feed, div(F.pmod("c_custkey", F.lit(SPAN)), 50))
     code = F.to_json(F.struct(F.col("c_custkey").cast("string").alias("BusStopCode")))
     snapshot = packing.single_records(customer, feed, code)
     return stops(settle(pages, "responses"), snapshot)
@@ -123,10 +127,11 @@ def unpivot_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event documents whose value is written as an integer, a decimal, text or null."""
+    """Event documents whose value is written as an integer, a wide one, a decimal, text or null."""
     value = F.col("value")
     text = (
-        F.when(F.col("event_type") == "click", F.floor(value).cast("string"))
+        F.when((F.col("event_type") == "click") & (value > 100), F.concat(F.floor(value), F.lit("0" * 20)))
+        .when(F.col("event_type") == "click", F.floor(value).cast("string"))
         .when(F.col("event_type") == "view", F.concat(F.lit('"'), value.cast("string"), F.lit('"')))
         .when(F.col("event_type") == "error", "null")
         .otherwise(value.cast("string"))
@@ -168,12 +173,12 @@ def pages_until_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five feeds, one per event type, however large the table: each holds a fifth of it or more."""
+    """Five feeds, however large the table: each holds a fifth of it, nearly all of which is kept."""
     responses = packing.paged_responses(
         table(spark, sf_dir, "events"),
-        feed=F.col("event_type"),
+        feed=F.concat(F.lit("hot"), F.pmod("event_id", F.lit(5))),
         page=div("event_id", 100),
-        kept=F.col("value") >= 90,
+        kept=F.col("value") >= 1,
     )
     return settle(classify(responses), "pages")
 
@@ -187,8 +192,8 @@ def hot_feeds_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(resolve_batches(_hot(spark, sf_dir), broadcast_bytes=0))
 
 
-def _troubled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feeds of 500 events in pages of 10, some of them empty, refused or cut short."""
+def _troubled(spark: SparkSession, sf_dir: str, silent_below: float | None = None) -> DataFrame:
+    """Feeds of 500 events in pages of 10, some of them empty, refused, cut short or not answered."""
     return packing.paged_responses(
         table(spark, sf_dir, "events"),
         feed=div("event_id", SPAN).cast("string"),
@@ -196,6 +201,7 @@ def _troubled(spark: SparkSession, sf_dir: str) -> DataFrame:
         kept=F.col("event_type").isin("error", "click"),
         error_above=350,
         broken_above=300,
+        silent_below=silent_below,
     )
 
 
@@ -224,21 +230,107 @@ def batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load's own counter saw on the way to its table, after the check that there are rows."""
+    rows = require_rows(batch_or_empty(spark, sf_dir), "the events")
+    counted, seen = row_counter(rows, n_errors=F.col("event_type") == "error")
+    settle(counted, "loaded")
+    return spark.createDataFrame([(seen.get["rows"], seen.get["n_errors"])], "n_rows bigint, n_errors bigint")
+
+
+def outcome_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every feed's responses by outcome, and the failed ones by reason."""
+    judged = classify(settle(_troubled(spark, sf_dir, silent_below=0.2), "responses"))
+    return judged.groupBy("feed", "outcome", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def incomplete_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feeds that lost pages with a low value, their closing page, or everything, under two policies."""
+    events = table(spark, sf_dir, "events")
+    feed, page = div("event_id", SPAN), div(F.pmod("event_id", F.lit(SPAN)), 20)
+    packed = packing.paged_responses(events, feed.cast("string"), page, F.lit(True), silent_below=0.1)
+    number = F.col("feed").cast("int")
+    closing = F.col("body") == '{"value":[]}'
+    landed = packed.where(
+        F.col("status").isNotNull() & ~(closing & (number % 7 == 2)) & (number % 5 != 3)
+    )  # what got no answer was not landed at all
+    landed = settle(landed, "responses")
+    snapshot = packing.single_records(
+        events, feed.cast("string"), F.to_json(F.struct("event_id", F.lit("kept").alias("event_type"), "value"))
+    )
+    by_fallback = _rows(resolve_batches(landed, "fallback", snapshot)).withColumn("policy", F.lit("fallback"))
+    return by_fallback.unionByName(_rows(resolve_batches(landed, "empty")).withColumn("policy", F.lit("empty")))
+
+
+def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of every feed; in the second, page 5 of some feeds failed and was fetched again, of others was lost."""
+    events = table(spark, sf_dir, "events")
+    feed, page = div("event_id", SPAN).cast("string"), div(F.pmod("event_id", F.lit(SPAN)), 20)
+
+    def run(number: int, added: float) -> DataFrame:
+        packed = packing.paged_responses(events.withColumn("value", F.col("value") + added), feed, page, F.lit(True))
+        return packed.withColumns({"run": F.lit(number).cast("bigint"), "attempt": F.lit(1)})
+
+    second = run(2, 1000)
+    fifth = (F.col("skip") == 5 * PAGE_STEP) & (F.col("body") != '{"value":[]}')
+    kind = F.pmod(F.col("feed").cast("int"), F.lit(3))
+    broken = second.where(fifth & (kind == 0)).withColumn("body", F.lit("{"))
+    again = second.where(fifth & (kind == 0)).withColumn("attempt", F.lit(2))
+    rest = second.where(~(fifth & (kind < 2)))
+    landed = run(1, 0).unionByName(rest).unionByName(broken).unionByName(again)
+    return _rows(resolve_batches(settle(landed, "responses")))
+
+
+def documents_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as document files of 500 records, one response to a file."""
+    customer = table(spark, sf_dir, "customer")
+    record = F.struct("c_custkey", "c_name", "c_acctbal")
+    bodies = (
+        customer.groupBy(div("c_custkey", SPAN).alias("span"))
+        .agg(F.collect_list(record).alias("value"))
+        .select(F.to_json(F.struct("value")))
+    )
+    path = new_path(spark, "documents")
+    bodies.write.option("maxRecordsPerFile", 1).text(path)
+    schema = StructType().add("c_custkey", LongType()).add("c_name", StringType()).add("c_acctbal", DoubleType())
+    return project_documents(read_documents(spark, path, "customers"), schema, "feed")
+
+
 # Files and archives
 
 
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     path = new_path(spark, "orders-csv")
-    orders.write.csv(path, header=True)
+    orders.select(*reversed(orders.columns)).write.csv(path, header=True)
     return read_csv(spark, path, orders.schema)
 
 
+def csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose price is text for some and which have a cell too many for others, counted and read leniently."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    key = F.col("o_orderkey")
+    price = F.when(key % 10 == 3, "none").otherwise(F.col("o_totalprice").cast("string"))
+    extra = F.when(key % 10 == 7, ",x").otherwise("")
+    lines = orders.select(
+        F.concat(key.cast("string"), F.lit(","), price, F.lit(","), "o_orderpriority", extra).alias("value")
+    )
+    path = new_path(spark, "orders-csv")
+    lines.write.text(path)
+    schema = "o_orderkey bigint, o_totalprice double, o_orderpriority string"
+    audit = csv_audit(spark, path, schema, header=False).select("malformed", "n")
+    read = read_csv(spark, path, schema, header=False, strict=False)
+    priced = read.agg(F.count("o_totalprice").alias("n_prices"), F.sum("o_orderkey").alias("keys"))
+    return audit.join(F.broadcast(priced))
+
+
 def csv_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     path = new_path(spark, "orders-csv")
     orders.write.csv(path, header=True)
-    return read_csv(spark, path).select(*[F.col(f.name).cast(f.dataType) for f in orders.schema.fields])
+    read = read_csv(spark, path)
+    types = F.lit(", ".join(f"{name} {kind}" for name, kind in read.dtypes))
+    return read.select(*[F.col(f.name).cast(f.dataType) for f in orders.schema.fields], types.alias("types"))
 
 
 def zip_first_member(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,8 +363,8 @@ def archive_by_link(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("feed"),
         F.format_string('{"Link":"%s/%d.zip"},{"Link":"%s/decoy%d.zip"}', "ym", "slice", "ym", "slice"),
     )
-    linked = linked_archives(links, settle(archives, "archives"))
-    lines = first_member_lines(linked, ORDER_COLUMNS, "feed")
+    archives = settle(archives, "archives")
+    lines = linked_lines(archives, archive_links(links, archives), ORDER_COLUMNS)
     month = F.regexp_extract("feed", r"Date=(\d{6})", 1)
     raw = new_path(spark, "raw")
     stage_lines(lines.select(month.alias("ym"), "line"), raw, "ym")
@@ -285,9 +377,26 @@ def volume_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     archives = packing.archives(part, path, PART_COLUMNS)
     paths = part.select(path.alias("path")).distinct()
-    links = packing.single_records(paths, F.lit("parts"), F.to_json(F.struct(F.col("path").alias("Link"))))
+    feed = F.concat(F.lit("00"), F.regexp_extract("path", r"\d+", 0))
+    links = packing.single_records(paths, feed, F.to_json(F.struct(F.col("path").alias("Link"))))
     rows = passenger_volume(links, settle(archives, "archives"))
-    return rows.select("feed", *[F.col(name).cast(part.schema[name].dataType) for name in PART_COLUMNS])
+    types = F.lit(", ".join(f"{name} {kind}" for name, kind in rows.dtypes))
+    columns = [F.col(name).cast(part.schema[name].dataType) for name in PART_COLUMNS]
+    return rows.select("feed", *columns, types.alias("types"))
+
+
+def signed_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links with a signature after the archive's name; every archive is named by two feeds."""
+    path = F.format_string("store/%d/part-%d.zip", div("p_partkey", 5000), div("p_partkey", 500))
+    part = table(spark, sf_dir, "part")
+    archives = packing.archives(part, path, PART_COLUMNS)
+    link = F.format_string("https://host/x/part-%d.zip?sig=a/b%%2F#%d.zip", "slice", "slice")
+    feeds = part.select(div("p_partkey", 500).alias("slice")).distinct()
+    feeds = feeds.withColumn("feed", F.explode(F.array(F.lit("first"), F.lit("second"))))
+    feeds = feeds.withColumn("feed", F.concat("feed", F.lit("-"), F.col("slice").cast("string")))
+    links = packing.single_records(feeds, F.col("feed"), F.to_json(F.struct(link.alias("Link"))))
+    rows = passenger_volume(links, settle(archives, "archives"), PART_CSV, by_name=True)
+    return rows.select(F.split("feed", "-")[0].alias("feed"), *PART_COLUMNS)
 
 
 def request_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -380,11 +489,18 @@ QUERIES: dict[str, Query] = {
     "batch_or_fallback": batch_or_fallback,
     "batch_or_empty": batch_or_empty,
     "batch_counts": batch_counts,
+    "load_counts": load_counts,
+    "outcome_reasons": outcome_reasons,
+    "incomplete_feeds": incomplete_feeds,
+    "latest_run": latest_run,
+    "documents_from_files": documents_from_files,
     "csv_scan": csv_scan,
+    "csv_audit": csv_malformed,
     "csv_scan_inferred": csv_scan_inferred,
     "zip_first_member": zip_first_member,
     "archive_by_link": archive_by_link,
     "volume_inferred": volume_inferred,
+    "signed_links": signed_links,
     "request_keys": request_keys,
     "month_key": month_keys,
     "table_replace": table_replace,
@@ -406,7 +522,8 @@ WHERE p.kept AND (e.stop_at IS NULL OR p.page < e.stop_at)
 
 _HOT = _UNTIL_EMPTY.format(
     pages="""
-  SELECT event_type AS feed, event_id // 100 AS page, value >= 90 AS kept, event_id, event_type, value FROM events"""
+  SELECT 'hot' || CAST(event_id % 5 AS VARCHAR) AS feed, event_id // 100 AS page, value >= 1 AS kept,
+         event_id, event_type, value FROM events"""
 )
 
 _TROUBLED = """
@@ -474,7 +591,8 @@ SELECT event_id, json_extract_string(props, '$.k') AS k, CAST(NULL AS VARCHAR) A
 """,
     "project_lenient": """
 SELECT event_id, event_type,
-       CASE WHEN event_type = 'click' THEN floor(value) WHEN event_type IN ('view', 'error') THEN NULL ELSE value END
+       CASE WHEN event_type = 'click' AND value > 100 THEN floor(value) * 1e20
+            WHEN event_type = 'click' THEN floor(value) WHEN event_type IN ('view', 'error') THEN NULL ELSE value END
          AS value
 FROM events
 """,
@@ -490,7 +608,7 @@ SELECT 'event_id' AS field, 'BIGINT' AS json_type, true AS accepted, count(*) AS
 UNION ALL SELECT 'event_type', 'STRING', true, count(*) FROM events
 UNION ALL
 SELECT 'value', json_type, json_type IN ('VOID', 'DECIMAL'), count(*) FROM (
-  SELECT CASE event_type WHEN 'click' THEN 'BIGINT' WHEN 'view' THEN 'STRING' WHEN 'error' THEN 'VOID'
+  SELECT CASE event_type WHEN 'click' THEN CASE WHEN value > 100 THEN 'WIDE INTEGER' ELSE 'BIGINT' END WHEN 'view' THEN 'STRING' WHEN 'error' THEN 'VOID'
          ELSE 'DECIMAL' END AS json_type FROM events)
 GROUP BY json_type
 """,
@@ -514,15 +632,65 @@ WHERE b.failed
     + """
 SELECT feed, count(*) AS n_rows, count(*) FILTER (event_type = 'error') AS n_errors FROM fetched GROUP BY feed
 """,
+    "load_counts": _TROUBLED
+    + "SELECT count(*) AS n_rows, count(*) FILTER (event_type = 'error') AS n_errors FROM fetched",
+    "outcome_reasons": """
+WITH pages AS (
+  SELECT CAST(event_id // 500 AS VARCHAR) AS feed, event_id % 500 // 10 AS page, min(value) AS low, max(value) AS high,
+         count(*) FILTER (event_type IN ('error', 'click')) AS n
+  FROM events GROUP BY ALL),
+judged AS (
+  SELECT feed, CASE WHEN low < 0.2 OR high > 300 THEN 'failed' WHEN n = 0 THEN 'empty' ELSE 'data' END AS outcome,
+         CASE WHEN low < 0.2 THEN 'no_answer' WHEN high > 350 THEN 'status' WHEN high > 300 THEN 'malformed' END AS reason
+  FROM pages
+  UNION ALL SELECT DISTINCT feed, 'empty', NULL FROM pages)
+SELECT feed, outcome, reason, count(*) AS n FROM judged GROUP BY ALL
+""",
+    "incomplete_feeds": """
+WITH lost AS (
+  SELECT DISTINCT event_id // 500 AS feed FROM events GROUP BY event_id // 500, event_id % 500 // 20
+  HAVING min(value) < 0.1),
+feeds AS (
+  SELECT DISTINCT event_id // 500 AS feed, feed % 7 = 2 OR feed % 5 = 3 OR feed IN (FROM lost) AS incomplete FROM events)
+SELECT CAST(feed AS VARCHAR) AS feed, event_id, event_type, value, 'empty' AS policy
+FROM events JOIN feeds ON feed = event_id // 500 WHERE NOT incomplete
+UNION ALL
+SELECT CAST(feed AS VARCHAR), event_id, CASE WHEN incomplete THEN 'kept' ELSE event_type END, value, 'fallback'
+FROM events JOIN feeds ON feed = event_id // 500
+""",
+    "latest_run": """
+WITH stale AS (SELECT DISTINCT event_id // 500 AS feed FROM events WHERE feed % 3 = 1 AND event_id % 500 // 20 = 5)
+SELECT CAST(event_id // 500 AS VARCHAR) AS feed, event_id, event_type,
+       value + CASE WHEN event_id // 500 IN (FROM stale) THEN 0 ELSE 1000 END AS value
+FROM events
+""",
+    "documents_from_files": "SELECT 'customers' AS feed, c_custkey, c_name, c_acctbal FROM customer",
     "csv_scan": "SELECT * FROM orders",
-    "csv_scan_inferred": "SELECT * FROM orders",
+    "csv_audit": """
+SELECT malformed, count(*) AS n, any_value(n_prices) AS n_prices, any_value(keys) AS keys
+FROM (SELECT o_orderkey % 10 IN (3, 7) AS malformed FROM orders),
+     (SELECT count(*) FILTER (o_orderkey % 10 != 3) AS n_prices, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders)
+GROUP BY malformed
+""",
+    "csv_scan_inferred": """
+SELECT *, 'o_orderkey int, o_custkey int, o_orderstatus string, o_totalprice double, o_orderdate timestamp, '
+       || 'o_orderpriority string' AS types
+FROM orders
+""",
     "zip_first_member": "SELECT p_partkey, p_name, p_brand, p_size, p_retailprice FROM part",
     "archive_by_link": """
 SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority,
        strftime(o_orderdate - INTERVAL 30 DAY, '%Y%m') AS ym
 FROM orders
 """,
-    "volume_inferred": "SELECT 'parts' AS feed, p_partkey, p_name, p_brand, p_size, p_retailprice FROM part",
+    "volume_inferred": """
+SELECT '00' || CAST(p_partkey // 500 AS VARCHAR) AS feed, p_partkey, p_name, p_brand, p_size, p_retailprice,
+       'feed string, p_partkey int, p_name string, p_brand string, p_size int, p_retailprice double' AS types
+FROM part
+""",
+    "signed_links": """
+SELECT feed, p_partkey, p_name, p_brand, p_size, p_retailprice FROM part, (VALUES ('first'), ('second')) t(feed)
+""",
     "request_keys": """
 SELECT feed, skip, feed || '?$skip=' || CAST(skip AS VARCHAR) AS request FROM (
   SELECT c_mktsegment AS feed, unnest(range(0, count(*), 500)) AS skip FROM customer GROUP BY c_mktsegment)

@@ -1,9 +1,11 @@
 from feedloom.sources.archives import first_member_header, first_member_lines, read_archives, stage_lines
-from feedloom.sources.delimited import parse_lines, read_csv
-from feedloom.sources.landed import LANDED, first_link, page_requests, read_documents, read_landed
+from feedloom.sources.delimited import csv_audit, parse_lines, read_csv
+from feedloom.sources.landed import LANDED, RUNS, first_link, page_requests, read_documents, read_landed
 
 __all__ = [
     "LANDED",
+    "RUNS",
+    "csv_audit",
     "first_link",
     "first_member_header",
     "first_member_lines",

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import codecs
 import csv
-import io
-import itertools
+import re
 import zipfile
 from collections.abc import Iterator
 
@@ -12,7 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LINES_PER_BATCH = 20_000
+# Text that leaves a task as one row, cut at the last line's end.
+BLOCK_BYTES = 4 * 1024 * 1024
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -24,40 +25,70 @@ def first_member_lines(archives: DataFrame, columns: list[str], *keep: str) -> D
     """One `line` row per data line of each archive's first member.
 
     `columns` is the header the member must have; `keep` names string columns of
-    `archives` to carry along. One archive is one task's work, since a zip stream
-    cannot be split, and its rows leave the task in bounded batches.
+    `archives` to carry along. Python only inflates and cuts blocks of a few MB; lines
+    are split by Spark. One archive is one task's work, since a zip stream cannot be
+    split, and a task holds one block of it.
     """
     names = list(dict.fromkeys(("path", *keep)))
-    return _expand(archives, names, columns).select(*keep, "line")
+    blocks = _expand(archives, names, columns)
+    lines = blocks.select(*keep, F.explode(F.split("block", "\r\n|[\r\n]")).alias("line"))
+    return lines.where(F.rlike("line", F.lit(r"[^\s\p{Z}\x1c-\x1f\x85]")))
 
 
 def first_member_header(archives: DataFrame) -> list[str]:
     """The column names in the header lines of the archives' first members, all alike."""
-    headers = [row["line"] for row in _expand(archives, ["path"], None).select("line").distinct().limit(2).collect()]
+    headers = [row["block"] for row in _expand(archives, ["path"], None).select("block").distinct().limit(2).collect()]
     if len(headers) != 1:
         raise ValueError(f"archives must share one header, found {headers or 'none'}")
     return next(csv.reader(headers))
 
 
 def _expand(archives: DataFrame, names: list[str], columns: list[str] | None) -> DataFrame:
-    """`names` and the data lines of each first member, or without `columns` its header line."""
-    schema = pa.schema([(name, pa.string()) for name in (*names, "line")])
+    """`names` and the blocks of data lines of each first member, or without `columns` its header line."""
+    schema = pa.schema([(name, pa.string()) for name in names] + [("block", pa.large_string())])
 
-    # Nested, so that it travels to the executors with `expand`.
-    def member_lines(content: pa.Buffer, path: str) -> Iterator[list[str]]:
+    # Nested, so that they travel to the executors with `expand`.
+    def blocks(content: pa.Buffer) -> Iterator[str]:
+        """The member's text in blocks that end with a line, the last one as it is."""
         with zipfile.ZipFile(pa.BufferReader(content)) as archive:
             with archive.open(archive.namelist()[0]) as member:
-                text = io.TextIOWrapper(member, encoding="utf-8-sig", errors="replace")
-                filled = (line for line in (raw.rstrip("\n") for raw in text) if line.strip())
-                header = next(filled, "")
+                decode = codecs.getincrementaldecoder("utf-8-sig")("replace").decode
+                held: list[str] = []
+                while data := member.read(BLOCK_BYTES):
+                    text = decode(data)
+                    # A carriage return may be half of a line's end, so it cannot be the last of a block.
+                    cut = max(text.rfind("\n"), text.rfind("\r", 0, max(len(text) - 1, 0))) + 1
+                    if cut:
+                        yield "".join([*held, text[:cut]])
+                        held = [text[cut:]]
+                    else:
+                        held.append(text)
+                yield "".join([*held, decode(b"", True)])
+
+    def member_blocks(content: pa.Buffer, path: str) -> Iterator[str]:
+        """The header line, or with `columns` what follows it: the first line with more than white space."""
+        found = False
+        for block in blocks(content):
+            if not found:
+                header = next((line for line in re.finditer("[^\r\n]+", block) if line[0].strip()), None)
+                if header is None:
+                    continue
+                found = True
                 if columns is None:
-                    yield [header]
+                    yield header[0]
                     return
-                found = next(csv.reader([header]), [])
-                if found != columns:
-                    raise ValueError(f"{path}: header {found} is not the declared {columns}")
-                while batch := list(itertools.islice(filled, LINES_PER_BATCH)):
-                    yield batch
+                check(path, next(csv.reader([header[0]]), []))
+                block = block[header.end() :]
+            if block:
+                yield block
+        if not found and columns is None:
+            yield ""
+        elif not found:
+            check(path, [])
+
+    def check(path: str, header: list[str]) -> None:
+        if header != columns:
+            raise ValueError(f"{path}: header {header} is not the declared {columns}")
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -65,25 +96,22 @@ def _expand(archives: DataFrame, names: list[str], columns: list[str] | None) ->
             carried = [batch.column(name) for name in names]
             for row in range(batch.num_rows):
                 fixed = [column[row].as_py() for column in carried]
-                for lines in member_lines(contents[row].as_buffer(), fixed[0]):
-                    arrays = [pa.repeat(pa.scalar(value, pa.string()), len(lines)) for value in fixed]
-                    yield pa.RecordBatch.from_arrays([*arrays, pa.array(lines, pa.string())], schema=schema)
+                for block in member_blocks(contents[row].as_buffer(), fixed[0]):
+                    arrays = [pa.array([value], pa.string()) for value in fixed]
+                    yield pa.RecordBatch.from_arrays([*arrays, pa.array([block], pa.large_string())], schema=schema)
 
     ddl = ", ".join(f"`{name}` string" for name in schema.names)
     return archives.select(*names, "content").mapInArrow(expand, ddl)
 
 
-def stage_lines(lines: DataFrame, path: str, partition: str) -> None:
+def stage_lines(lines: DataFrame, path: str, partition: str, rebalance: bool = True) -> None:
     """Keep extracted lines as text under path/partition=…, the replayable raw input.
 
     Partitions staged earlier stay unless staged again. The rebalance lets Spark split
-    a partition value that holds much of the data.
+    a partition value that holds much of the data; without it nothing is shuffled, and
+    each task writes a file per value it has.
     """
-    (
-        lines.select(partition, F.col("line").alias("value"))
-        .hint("rebalance", partition)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .text(path)
-    )
+    staged = lines.select(partition, F.col("line").alias("value"))
+    if rebalance:
+        staged = staged.hint("rebalance", partition)
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).text(path)

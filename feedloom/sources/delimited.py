@@ -4,7 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
+
+MALFORMED = "_malformed"
+
+
+def _by_header(spark: SparkSession, path: str, schema: StructType | str, header: bool) -> tuple[DataFrame, StructType]:
+    """Every column of the files, the declared ones typed, and the text of rows that do not fit."""
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    names = spark.read.csv(path, header=True).columns if header else declared.names
+    missing = sorted(set(declared.names) - set(names))
+    if missing:
+        raise ValueError(f"columns not in the header of {path}: {missing}")
+    types = {field.name: field.dataType for field in declared.fields}
+    found = StructType()
+    for name in names:
+        found = found.add(name, types.get(name, StringType()))
+    reader = spark.read.option("columnPruning", False)  # else cells too many go unseen
+    rows = reader.csv(
+        path,
+        schema=found.add(MALFORMED, StringType()),
+        header=header,
+        enforceSchema=not header,
+        mode="PERMISSIVE",
+        columnNameOfCorruptRecord=MALFORMED,
+    )
+    # A cell is converted, and found wrong, only where its column is used, so a malformed row's text uses them all.
+    every = F.xxhash64(*[f"`{name}`" for name in names]).cast("string")
+    text = F.when(F.col(MALFORMED).isNotNull(), F.concat(MALFORMED, F.left(every, F.lit(0))))
+    return rows.withColumn(MALFORMED, text), declared
 
 
 def read_csv(
@@ -12,16 +40,35 @@ def read_csv(
     path: str,
     schema: StructType | str | None = None,
     header: bool = True,
+    strict: bool = True,
 ) -> DataFrame:
-    """CSV scan. Without a schema the types are inferred, which reads the data twice
-    and can change values (01012 becomes 1012), so declare one where it is known."""
+    """CSV scan; the columns of a declared schema are taken by name where there is a header.
+
+    A row with a cell that is not of its type, or with more or fewer cells than the
+    header, stops the job; unless `strict` it has NULLs there. Columns that are not
+    declared are left out. Without a schema the types are inferred, which reads the data
+    twice and can change values (01012 becomes 1012), so declare one where it is known.
+    """
     if schema is None:
         return spark.read.csv(path, header=header, inferSchema=True)
-    return spark.read.csv(path, header=header, schema=schema)
+    rows, declared = _by_header(spark, path, schema, header)
+    columns = [F.col(f"`{name}`") for name in declared.names]
+    if not strict:
+        return rows.select(*columns)
+    stop = F.raise_error(F.concat(F.lit("malformed row: "), F.col(MALFORMED)))
+    return rows.where(F.when(F.col(MALFORMED).isNull(), F.lit(True)).otherwise(stop)).select(*columns)
+
+
+def csv_audit(spark: SparkSession, path: str, schema: StructType | str, header: bool = True) -> DataFrame:
+    """(malformed, n, example): the rows that fit the declared schema, and those that do not with one of them."""
+    rows, _ = _by_header(spark, path, schema, header)
+    return rows.groupBy(F.col(MALFORMED).isNotNull().alias("malformed")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(MALFORMED).alias("example")
+    )
 
 
 def parse_lines(lines: DataFrame, schema: str, *keep: Column | str) -> DataFrame:
-    """Typed columns from a `line` column, by the same rules as the CSV scan."""
+    """Typed columns from a `line` column, by the rules of a CSV scan that is not strict."""
     parsed = lines.select(*keep, F.from_csv("line", schema).alias("parsed"))
     kept = parsed.columns[:-1]
     return parsed.select(*kept, "parsed.*")

@@ -1,3 +1,3 @@
-from feedloom.streaming.incremental import load_available
+from feedloom.streaming.incremental import load_available, replace_when_landed
 
-__all__ = ["load_available"]
+__all__ = ["load_available", "replace_when_landed"]

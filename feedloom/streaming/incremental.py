@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from feedloom.sinks.tables import replace_table
 from feedloom.sources.landed import LANDED
 
 
@@ -36,3 +37,33 @@ def load_available(
         .start()
         .awaitTermination()
     )
+
+
+def replace_when_landed(
+    spark: SparkSession,
+    landing: str,
+    target: str,
+    checkpoint: str,
+    transform: Callable[[DataFrame], DataFrame],
+    schema: str = LANDED,
+) -> None:
+    """Replace the target table from all that has landed, if anything has since the last time.
+
+    For loads that need whole runs, such as stops: `transform` resolves the landed rows
+    and stops where no run is whole. The target then stays as it was, and the next call
+    tries again with what has landed by then.
+    """
+
+    def replace(_: DataFrame, batch: int) -> None:
+        rows = transform(spark.read.schema(schema).parquet(landing))
+        replace_table(rows, {"path": target}, fmt="parquet")
+
+    (
+        spark.readStream.schema(schema)
+        .parquet(landing)
+        .writeStream.foreachBatch(replace)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )

@@ -15,6 +15,7 @@ from feedloom.functions import calendar_month_key, month_key, request_key
 from feedloom.plans.feeds import passenger_volume, volume_requests
 from feedloom.sources import (
     LANDED,
+    csv_audit,
     first_link,
     first_member_lines,
     parse_lines,
@@ -69,6 +70,25 @@ def test_inference_changes_values_and_a_declared_schema_does_not(spark, tmp_path
     assert tuple(read_csv(spark, str(tmp_path), SCHEMA).first()) == ("01012", "2025-07", None)
 
 
+def test_csv_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "v.csv").write_text("n,other,month,code\n5,x,m,01\n")
+    rows = read_csv(spark, str(tmp_path), SCHEMA)
+    assert rows.columns == COLUMNS and tuple(rows.first()) == ("01", "m", 5)
+    with pytest.raises(ValueError, match="gone"):
+        read_csv(spark, str(tmp_path), "code string, gone int")
+
+
+@pytest.mark.parametrize("line", ["a,m,bad", "a,m,1,extra", "a,m"])
+def test_malformed_csv_rows_stop_or_are_counted(spark, tmp_path, line):
+    (tmp_path / "v.csv").write_text(f"code,month,n\nb,m,1\n{line}\n")
+    for action in (lambda rows: rows.collect(), lambda rows: rows.count(), lambda rows: rows.select("code").collect()):
+        with pytest.raises(PySparkException, match="malformed row: a,m"):
+            action(read_csv(spark, str(tmp_path), SCHEMA))
+    assert read_csv(spark, str(tmp_path), SCHEMA, strict=False).count() == 2
+    audit = {(r.malformed, r.n, r.example) for r in csv_audit(spark, str(tmp_path), SCHEMA).collect()}
+    assert audit == {(False, 1, None), (True, 1, line)}
+
+
 def test_only_the_first_member_is_read(spark):
     archives = archive_rows(spark, zipped(("b.csv", "code,month,n\n01,2025-07,5\n"), ("a.csv", "x\n1\n")))
     assert [tuple(r) for r in parse_lines(first_member_lines(archives, COLUMNS), SCHEMA).collect()] == [("01", "2025-07", 5)]
@@ -77,7 +97,7 @@ def test_only_the_first_member_is_read(spark):
 def test_member_lines_parse_as_the_csv_scan_does(spark, tmp_path):
     text = '﻿code,month,n\r\n   \n"a,b",2025-07,1\r\n"say ""x""",,2\n\n"",q,\nshort\nlong,m,3,4\nbad,m,x'
     (tmp_path / "v.csv").write_text(text.lstrip("﻿"), newline="")
-    want = sorted(map(tuple, read_csv(spark, str(tmp_path), SCHEMA).collect()), key=str)
+    want = sorted(map(tuple, read_csv(spark, str(tmp_path), SCHEMA, strict=False).collect()), key=str)
     archives = archive_rows(spark, zipped(("v.csv", text)))
     got = sorted(map(tuple, parse_lines(first_member_lines(archives, COLUMNS), SCHEMA).collect()), key=str)
     assert got == want and len(got) == 6
@@ -120,6 +140,34 @@ def test_first_link_wins(spark):
     assert [tuple(r) for r in first_link(documents).collect()] == [("m", "0.zip")]
 
 
+def test_links_with_a_query_and_names_in_two_folders(spark):
+    content = zipped(("v.csv", "code,month,n\n1,m,1\n"))
+    archives = spark.createDataFrame([("x/0.zip", content), ("y/1.zip", content)], "path string, content binary")
+    signed = links(spark, a={"value": [{"Link": "http://h/x/0.zip?sig=a/b#c/d"}]})
+    assert passenger_volume(signed, archives, SCHEMA, by_name=True).count() == 1
+    both = archives.unionByName(archives.withColumn("path", F.lit("z/0.zip")))
+    with pytest.raises(ValueError, match="may be any of"):
+        passenger_volume(signed, both, SCHEMA, by_name=True)
+
+
+def test_feeds_are_text_whatever_they_look_like(spark):
+    archives = archive_rows(spark, zipped(("v.csv", "code,month,n\n1,m,1\n")))
+    documents = links(spark, **{"007": {"value": [{"Link": "0.zip"}]}, "08": {"value": [{"Link": "0.zip"}]}})
+    for schema in (SCHEMA, None):
+        assert {r.feed for r in passenger_volume(documents, archives, schema).collect()} == {"007", "08"}
+    with pytest.raises(ValueError, match="another name"):
+        passenger_volume(documents, archives, "feed string, n int")
+
+
+def test_long_lines_and_line_ends_of_all_kinds(spark):
+    lines = [f"{i},{'x' * 1_000_000},{i}" for i in range(24)]
+    ends = ["\n", "\r\n", "\r"]
+    text = "code,month,n\r\n" + "".join(line + ends[at % 3] for at, line in enumerate(lines)) + "   \nlast,m,7"
+    got = parse_lines(first_member_lines(archive_rows(spark, zipped(("v.csv", text))), COLUMNS), SCHEMA)
+    seen = got.select("code", F.length("month").alias("size"), "n").collect()
+    assert sorted(map(tuple, seen)) == sorted([(str(i), 1_000_000, i) for i in range(24)] + [("last", 1, 7)])
+
+
 @pytest.mark.parametrize("body", [{"value": []}, {"value": [{}]}, {}, "oops"])
 def test_no_link_stops_the_job(spark, body):
     with pytest.raises(PySparkException, match="no data for m"):

@@ -7,6 +7,7 @@ import json
 import zipfile
 
 import pytest
+from pyspark.errors import PySparkException
 
 from feedloom import jobs
 from feedloom.sources import LANDED
@@ -26,11 +27,14 @@ def test_arrivals(spark, tmp_path, capsys):
     assert {r.BusStopCode for r in spark.read.parquet(target).collect()} == {"83", "84"}
 
 
-def test_incidents_after_a_failed_fetch_leave_an_empty_table(spark, tmp_path):
+def test_incidents_after_a_failed_fetch_stop_or_leave_an_empty_table(spark, tmp_path, capsys):
     (tmp_path / "incidents.json").write_text("<html>")
     target = str(tmp_path / "t")
     argv = ["incidents", "--documents", str(tmp_path / "incidents.json"), "--target", target]
-    assert jobs.run(argv) == 0
+    with pytest.raises(PySparkException, match="failed response"):
+        jobs.run(argv)
+    assert jobs.run([*argv, "--on-failure", "empty"]) == 0
+    assert "1 responses, failed: {'malformed': 1}" in capsys.readouterr().out
     assert spark.read.parquet(target).columns == ["Type", "Latitude", "Longitude", "Message"]
 
 
@@ -44,6 +48,46 @@ def test_stops_fall_back_to_the_snapshot(spark, tmp_path):
     assert spark.read.parquet(target).first().BusStopCode == "9"
 
 
+def test_stops_with_nothing_landed(spark, tmp_path):
+    landed = land(spark, str(tmp_path / "landed"), ("stops", 0, {})) and str(tmp_path / "nothing")
+    spark.createDataFrame([], LANDED).write.parquet(landed)
+    target = str(tmp_path / "t")
+    with pytest.raises(ValueError, match="no data for any feed"):
+        jobs.run(["stops", "--landed", landed, "--target", target])
+    snapshot = tmp_path / "snapshot"
+    snapshot.mkdir()
+    (snapshot / "stops.json").write_text(json.dumps({"value": [{"BusStopCode": "9"}]}))
+    assert jobs.run(["stops", "--landed", landed, "--fallback", str(snapshot), "--target", target]) == 1
+
+
+def test_months_of_differing_types(spark, tmp_path):
+    """A later month must fit the table's types; one that does not leaves it as it was."""
+    (tmp_path / "zips").mkdir()
+    pages = []
+    for month, text in (("202501", "code,n\n1,5\n"), ("202502", "code,n\n2,6.5\n"), ("202503", "code,n\n3,\n")):
+        with zipfile.ZipFile(tmp_path / "zips" / f"{month}.zip", "w") as archive:
+            archive.writestr("v.csv", text)
+        pages.append((f"v{month}", 0, {"value": [{"Link": f"{month}.zip?sig=1/2"}]}))
+    landed, target = land(spark, str(tmp_path / "landed"), *pages), str(tmp_path / "t")
+    argv = ["volume", "--landed", landed, "--archives", str(tmp_path / "zips"), "--request", "v%s", "--target", target]
+    assert jobs.run([*argv, "--date", "2025-02-11"]) == 1
+    with pytest.raises(PySparkException, match="column n: no int"):
+        jobs.run([*argv, "--date", "2025-03-11"])
+    assert jobs.run([*argv, "--date", "2025-04-11"]) == 1
+    assert sorted(map(tuple, spark.read.parquet(target).collect())) == [(1, 5), (3, None)]
+
+
+def test_an_emptied_month_stops_the_load(spark, tmp_path):
+    (tmp_path / "zips").mkdir()
+    with zipfile.ZipFile(tmp_path / "zips" / "202501.zip", "w") as archive:
+        archive.writestr("v.csv", "code,n\n")
+    landed = land(spark, str(tmp_path / "landed"), ("v202501", 0, {"value": [{"Link": "202501.zip"}]}))
+    argv = ["volume", "--landed", landed, "--archives", str(tmp_path / "zips"), "--request", "v%s"]
+    argv += ["--target", str(tmp_path / "t"), "--schema", "code string, n int", "--date", "2025-02-11", "--by-month"]
+    with pytest.raises(ValueError, match="no data for the month"):
+        jobs.run(argv)
+
+
 def test_volume_appends_the_months_archive(spark, tmp_path):
     packed = io.BytesIO()
     with zipfile.ZipFile(packed, "w") as archive:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
 from pyspark.sql.types import StringType, StructType
@@ -17,10 +18,10 @@ from feedloom.operators import (
     resolve_batches,
     row_counter,
 )
-from feedloom.plans.feeds import arrivals
+from feedloom.plans.feeds import arrivals, stops
 from feedloom.sinks import align, append_table, jdbc_options, month_replace, replace_table
-from feedloom.sources import LANDED, read_landed
-from feedloom.streaming import load_available
+from feedloom.sources import LANDED, RUNS, read_landed
+from feedloom.streaming import load_available, replace_when_landed
 
 SETTINGS = {"DB_USER": "u", "DB_PASSWORD": "p"}
 
@@ -116,6 +117,48 @@ def test_append_creates_the_table_and_then_adds_to_it(spark, tmp_path):
         append_table(spark.range(1), target, fmt="parquet", schema=rows.schema)
 
 
+def test_a_replace_that_fails_leaves_the_old_table(spark, tmp_path):
+    target = {"path": str(tmp_path / "t")}
+    replace_table(spark.range(3), target, fmt="parquet")
+    with pytest.raises(PySparkException, match="oops"):
+        replace_table(spark.range(5).select(F.raise_error(F.lit("oops")).cast("bigint").alias("id")), target, fmt="parquet")
+    assert spark.read.parquet(target["path"]).count() == 3
+    replace_table(spark.range(4), target, fmt="parquet")
+    assert [p.name for p in tmp_path.iterdir() if "replaced" in p.name] == []
+    assert spark.read.parquet(target["path"]).count() == 4
+
+
+def test_append_refuses_values_the_table_cannot_hold(spark, tmp_path):
+    target = {"path": str(tmp_path / "t")}
+    append_table(spark.createDataFrame([(1, "x")], "a int, b string"), target, fmt="parquet")
+    for value, kind in ((1.5, "double"), (2**40, "bigint"), ("z", "string")):
+        with pytest.raises(PySparkException, match="column a: no int"):
+            append_table(spark.createDataFrame([(value,)], f"a {kind}"), target, fmt="parquet")
+    append_table(spark.createDataFrame([(2.0, 7)], "a double, b int"), target, fmt="parquet")
+    assert sorted(map(tuple, spark.read.parquet(target["path"]).collect())) == [(1, "x"), (2, "7")]
+
+
+def test_stops_are_replaced_only_by_a_whole_run(spark, tmp_path):
+    landing, target, checkpoint = (str(tmp_path / name) for name in ("landing", "target", "checkpoint"))
+
+    def land(run, *pages):
+        rows = [("s", skip, 200, body, run, 1) for skip, body in pages]
+        spark.createDataFrame(rows, f"{LANDED}, {RUNS}").write.mode("append").parquet(landing)
+
+    def load():
+        replace_when_landed(spark, landing, target, checkpoint, stops, f"{LANDED}, {RUNS}")
+        return [r.BusStopCode for r in spark.read.parquet(target).collect()]
+
+    end = '{"value":[]}'
+    land(1, (0, '{"value":[{"BusStopCode":"a"}]}'), (500, end))
+    assert load() == ["a"]
+    land(2, (0, '{"value":[{"BusStopCode":"b"}]}'))
+    assert load() == ["a"]
+    land(2, (500, end))
+    assert load() == ["b"]
+    assert load() == ["b"]
+
+
 def test_replace_with_nothing_leaves_nothing(spark, tmp_path):
     target = {"path": str(tmp_path / "t")}
     replace_table(spark.range(3), target, fmt="parquet")

@@ -9,7 +9,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from feedloom.operators import classify, feed_bounds, project_documents, resolve_batches, type_audit
+from feedloom.operators import classify, lookup_join, project_documents, resolve_batches, type_audit
 from feedloom.plans.feeds import INCIDENTS, arrivals, incidents, passenger_volume
 from feedloom.plans.packing import archives, single_records
 from feedloom.sources import LANDED, read_landed
@@ -30,7 +30,8 @@ def nodes(text, name):
 @pytest.fixture(scope="module")
 def landed(spark):
     path = new_path(spark, "landed")
-    spark.createDataFrame([("f", 0, 200, '{"value":[{"Type":"a"}]}')], LANDED).write.parquet(path)
+    pages = [("f", 0, 200, '{"value":[{"Type":"a"}]}'), ("f", 500, 200, '{"value":[]}')]
+    spark.createDataFrame(pages, LANDED).write.parquet(path)
     return read_landed(spark, path)
 
 
@@ -48,15 +49,21 @@ def test_one_parse_per_document(landed):
 
 
 def test_classification_parses_once(landed):
-    assert plan(feed_bounds(classify(landed))).count("from_json(") == 1
+    assert plan(classify(landed).select("feed", "skip", "outcome")).count("from_json(") == 1
 
 
-def test_feed_ends_come_from_narrow_columns_and_partial_minimums(landed):
+def test_classified_pages_are_read_without_their_bodies(spark, landed):
     pages = settle(classify(landed), "pages")
-    text = plan(feed_bounds(pages))
-    assert "ReadSchema: struct<feed:string,skip:bigint,outcome:string>" in text
-    assert nodes(text, "Exchange") == 1 and "partial_min" in text
-    assert nodes(text, "HashAggregate") == 2 and nodes(text, "SortAggregate") == 0
+    assert "body" not in plan(pages.select("feed", "skip", "outcome", "reason"))
+
+
+def test_beyond_the_limit_rows_are_merged_not_broadcast(spark):
+    rows = settle(spark.range(1000).select(F.col("id").cast("string").alias("feed"), "id"), "rows")
+    feeds = settle(rows.select("feed"), "feeds")
+    for spread in (None, F.col("id")):
+        text = plan(lookup_join(rows, feeds, "feed", spread=spread, broadcast_bytes=0))
+        assert nodes(text, "SortMergeJoin") == 1
+    assert nodes(plan(lookup_join(rows, feeds, "feed")), "BroadcastHashJoin") == 1
 
 
 def test_bodies_are_not_shuffled_and_pages_past_the_end_not_parsed(landed):
@@ -78,5 +85,5 @@ def test_archives_are_joined_without_shuffling_their_bytes(spark, landed):
     zips = settle(archives(rows, F.lit("0.zip"), ["a"]), "zips")
     links = single_records(spark.range(1), F.lit("m"), F.lit('{"Link":"0.zip"}'))
     text = plan(passenger_volume(links, zips, "a string"))
-    assert nodes(text, "Exchange") == 0 and nodes(text, "BroadcastHashJoin") == 1
+    assert nodes(text, "Exchange") == 0 and nodes(text, "BroadcastHashJoin") == 2
     assert nodes(text, "MapInArrow") == 1
