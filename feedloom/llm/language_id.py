@@ -26,6 +26,8 @@ ROUNDS = 3
 SMOOTHING = 200.0
 #: Words whose scores a worker remembers.
 CACHE = 500_000
+#: Words whose segmentations are laid out together, and characters scored together.
+LATTICE_WORDS = 20_000
 CHUNK = 2_000_000
 UNDETERMINED = "und"
 LETTERS = regex.compile(r"\p{L}+")
@@ -151,7 +153,7 @@ def expected_counts(vocabulary: Vocabulary, words: list[str], language: np.ndarr
 
 
 class Scorer:
-    """Languages of texts, remembering the scores of words separated by white space."""
+    """Languages of texts, remembering the scores of words."""
 
     def __init__(self, vocabulary: Vocabulary, languages: list[str], log_p: np.ndarray, log_prior: np.ndarray):
         self.vocabulary, self.languages, self.log_p, self.log_prior = vocabulary, languages, log_p, log_prior
@@ -159,23 +161,16 @@ class Scorer:
 
     def forget(self) -> None:
         self.rows: dict[str, int] = {}
-        self.scores = np.zeros((0, len(self.languages) + 1))
+        self.scores = np.zeros((0, len(self.languages)))
 
     def learn(self, new: list[str]) -> None:
-        split = [words_of(part) for part in new]
-        distinct = list(set().union(*split))
-        place = {word: n for n, word in enumerate(distinct)}
-        of_word = word_scores(self.vocabulary, distinct, self.log_p)
-        added = np.zeros((len(new), self.scores.shape[1]))
-        owner = np.repeat(np.arange(len(new)), [len(words) for words in split])
-        used = np.fromiter((place[word] for words in split for word in words), np.int64, len(owner))
-        np.add.at(added[:, :-1], owner, of_word[used])
-        np.add.at(added[:, -1], owner, 1)
+        parts = [new[at : at + LATTICE_WORDS] for at in range(0, len(new), LATTICE_WORDS)]
+        added = [word_scores(self.vocabulary, part, self.log_p) for part in parts]
         self.rows.update(zip(new, range(len(self.scores), len(self.scores) + len(new))))
-        self.scores = np.concatenate([self.scores, added])
+        self.scores = np.concatenate([self.scores, *added])
 
     def chunk(self, texts: list[str]) -> list[tuple[str, float]]:
-        split = [text.split() for text in texts]
+        split = [words_of(text) for text in texts]
         wanted = set().union(*split)
         new = wanted.difference(self.rows)
         if len(self.rows) + len(new) > CACHE:
@@ -184,13 +179,12 @@ class Scorer:
         if new:
             self.learn(list(new))
         found = []
-        for parts in split:
-            rows = np.fromiter(map(self.rows.__getitem__, parts), np.int64, len(parts))
-            total = self.scores[rows].sum(axis=0)
-            if not total[-1] or not self.languages:
+        for words in split:
+            if not words or not self.languages:
                 found.append((UNDETERMINED, 0.0))
                 continue
-            joint = total[:-1] + self.log_prior
+            rows = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
+            joint = self.scores[rows].sum(axis=0) + self.log_prior
             share = np.exp(joint - joint.max())
             best = int(joint.argmax())
             found.append((self.languages[best], float(share[best] / share.sum())))
