@@ -262,35 +262,39 @@ def frames(source, size: int = READ_BYTES) -> Iterator[tuple[int, bytes]]:
 
 
 def reader(on_error: str) -> Callable:
+    def rows_of(path: str) -> Iterator[dict]:
+        def reported(fault: Exception) -> dict:
+            if on_error == "raise":
+                raise ValueError(f"{path}, frame after byte {position}: {fault}") from fault
+            return {"path": path, "position": position, "error": str(fault)}
+
+        position = 0
+        fs, inner = pa.fs.FileSystem.from_uri(path)
+        with fs.open_input_stream(inner, compression=None) as source:
+            found = frames(source)
+            while True:
+                try:
+                    position, content = next(found, (position, None))
+                except (ValueError, zstandard.ZstdError) as fault:
+                    yield reported(fault)
+                    return  # where the next frame begins is not known
+                if content is None:
+                    return
+                try:
+                    yield {"path": path, "position": position} | decode_record(content)
+                except ValueError as fault:
+                    yield reported(fault)
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
         for batch in batches:
             for path in batch.column("path").to_pylist():
-                fs, inner = pa.fs.FileSystem.from_uri(path)
-                position = 0
-                with fs.open_input_stream(inner, compression=None) as source:
-                    found = frames(source)
-                    while True:
-                        row: dict = {"path": path}
-                        try:
-                            at = next(found, None)
-                            if at is None:
-                                break
-                            position = at[0]
-                            row |= {"position": position} | decode_record(at[1])
-                            ended = False
-                        except (ValueError, zstandard.ZstdError) as fault:
-                            if on_error == "raise":
-                                raise ValueError(f"{path}, frame after byte {position}: {fault}") from fault
-                            ended = at is None or at[0] != position or "position" not in row
-                            row |= {"position": position, "error": str(fault)}
-                        rows.append(row)
-                        size += len(row.get("payload") or b"")
-                        if size >= BATCH_BYTES or len(rows) >= 10_000:
-                            yield pa.RecordBatch.from_pylist(rows, schema=RECORD_ARROW)
-                            rows, size = [], 0
-                        if ended:
-                            break
+                for row in rows_of(path):
+                    rows.append(row)
+                    size += len(row.get("payload") or b"")
+                    if size >= BATCH_BYTES or len(rows) >= 10_000:
+                        yield pa.RecordBatch.from_pylist(rows, schema=RECORD_ARROW)
+                        rows, size = [], 0
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=RECORD_ARROW)
 
