@@ -43,7 +43,7 @@ def placed_lines(text: Column, depth: int) -> Column:
             F.xxhash64(line).alias("key"), F.xxhash64(n_tokens(line), lead).alias("leaf"), line.alias("line")
         )
 
-    return F.transform(F.transform(F.split(masked(text), "\n"), F.trim), place)
+    return F.transform(F.transform(F.split(masked(text), "\n"), lambda line: F.trim(line)), place)
 
 
 def own_text(text: str) -> tuple[Column, Column]:
@@ -121,7 +121,8 @@ def repeated_lines(
         .where(F.col("n") >= min_docs)
         .select("template", F.col("first.doc").alias("keeper"))
     )
-    drops = mapped.join(recurring, "template").where("doc != keeper").select("doc", "key").distinct()
+    recurring = settle(recurring, "recurring-templates")
+    drops = sized_join(mapped, recurring, "template").where("doc != keeper").select("doc", "key").distinct()
     numbered_lines = lines.select("doc", F.posexplode("lines.key").alias("number", "key"))
     dropped = (
         numbered_lines.join(drops, ["doc", "key"])

@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+import random
+
+from feedloom.llm.line_templates import drop_repeated_lines, repeated_lines
+
+
+def body(rng, words=30):
+    return " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(10_000)}x" .replace("0", "o") for _ in range(words))
+
+
+def prose(rng, words=30):
+    return " ".join("".join(rng.choice("abcdefghij") for _ in range(8)) for _ in range(words))
+
+
+def dropped(docs, **options):
+    return {row["doc_id"]: list(row["dropped"]) for row in repeated_lines(docs, **options).collect()}
+
+
+def test_variable_fields_are_generalised(make_docs):
+    """A notice with a number and a name that differ from document to document."""
+    rng = random.Random(1)
+    names = ["ann", "bob", "cyd", "dan", "eve", "fay"]
+    texts = [
+        f"{prose(rng)}\nthis page was last edited on {n} may 20{n:02d} by {names[n % 6]}{'q' * n} of the team\n{prose(rng)}"
+        for n in range(30)
+    ]
+    found = dropped(make_docs(*texts))
+    assert found[0] == [] and all(found[n] == [1] for n in range(1, 30))
+
+
+def test_passages_of_many_words_are_found(make_docs):
+    rng = random.Random(2)
+    passage = prose(rng, 60)
+    texts = [f"{prose(rng)}\n{passage}\n{prose(rng)}" if n % 2 else prose(rng) for n in range(40)]
+    found = dropped(make_docs(*texts))
+    assert [n for n in range(40) if found[n]] == list(range(3, 40, 2))
+
+
+def test_lines_below_the_limit_and_blank_lines_stay(make_docs):
+    rng = random.Random(3)
+    rare = prose(rng, 10)
+    texts = [f"{prose(rng)}\n\n{rare if n < 9 else prose(rng, 10)}\n" for n in range(30)]
+    assert not any(dropped(make_docs(*texts)).values())
+    texts[9] = f"{rare}\n\n  "
+    found = dropped(make_docs(*texts))
+    assert [n for n in range(30) if found[n]] == list(range(1, 10)) and found[9] == [0]
+
+
+def test_whole_copies_count_once_and_lose_alike(make_docs):
+    rng = random.Random(4)
+    copy, notice = prose(rng), prose(rng, 12)
+    copies = [copy] * 40
+    assert not any(dropped(make_docs(*copies)).values())
+    texts = [f"{copy}\n{notice}"] * 20 + [f"{prose(rng)}\n{notice}" for _ in range(20)]
+    found = dropped(make_docs(*texts))
+    assert all(found[n] == [] for n in range(20)) and all(found[n] == [1] for n in range(20, 40))
+
+
+def test_few_constants_make_no_template(make_docs):
+    rng = random.Random(5)
+    texts = [f"the same start {prose(rng, 7)}" for _ in range(40)]
+    assert not any(dropped(make_docs(*texts)).values())
+
+
+def test_a_hot_line_in_a_third_of_all_documents(make_docs):
+    rng = random.Random(6)
+    texts = [f"{prose(rng)}\nall rights reserved here" if n % 3 == 0 else prose(rng) for n in range(600)]
+    found = dropped(make_docs(*texts))
+    assert [n for n in range(600) if found[n]] == list(range(3, 600, 3))
+
+
+def test_texts_without_their_dropped_lines(make_docs):
+    rng = random.Random(7)
+    notice, first = prose(rng, 9), prose(rng)
+    rows = [(n, f"{first if n == 0 else prose(rng)}\n{notice}\r\n") for n in range(12)] + [(50, notice), (51, None), (52, "")]
+    docs = make_docs(*rows).selectExpr("*", "1 AS dropped", "2 AS text_hash", "3 AS n")
+    kept = {row["doc_id"]: row for row in drop_repeated_lines(docs).collect()}
+    assert 50 not in kept and kept[51]["text"] is None and kept[52]["text"] == ""
+    assert kept[0]["text"] == rows[0][1] and notice not in kept[1]["text"] and kept[1]["text"].endswith("\n")
+    assert all((row["dropped"], row["text_hash"], row["n"]) == (1, 2, 3) for row in kept.values())
