@@ -16,10 +16,13 @@ from collections.abc import Iterable, Iterator
 from html import unescape
 
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.llm.slices import by_slices
+
 #: About so many pages are learned from, those with the smallest hashes.
 SAMPLE_PAGES = 4000
 
@@ -380,10 +383,10 @@ def extract(
     model = model or fit(pages, page_id, html, sample_pages)
     shared = pages.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("string")
-    def extracted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for htmls in batches:
-            yield pd.Series([main_text(one, shared.value) for one in htmls], dtype=object)
+    @F.arrow_udf("string")
+    def extracted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = shared.value
+        yield from by_slices(batches, lambda htmls: [main_text(html, model) for html in htmls], pa.string())
 
     return pages.select(
         F.col(f"`{page_id}`").alias("page_id"), F.col(f"`{url}`").alias("url"), extracted(F.col(f"`{html}`")).alias("text")

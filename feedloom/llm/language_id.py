@@ -12,11 +12,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.llm.slices import by_slices
 from feedloom.workspace import settle
 
 #: About so many labelled documents of each language are learned from, those with the smallest hashes.
@@ -219,9 +221,9 @@ def labelled_words(docs: DataFrame, labels: DataFrame, sample_docs: int) -> Data
     share = F.lit(float(1 << 30)) * F.lit(sample_docs) / F.col("n_docs")
     sample = docs.join(F.broadcast(labels), "lang").where(order < share)  # one row per language
 
-    @F.pandas_udf("array<string>")
-    def words(texts: pd.Series) -> pd.Series:
-        return texts.map(words_of)
+    @F.arrow_udf("array<string>")
+    def words(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from by_slices(batches, lambda texts: list(map(words_of, texts)), pa.list_(pa.string()))
 
     return (
         sample.select("language", F.explode(words("text")).alias("word"))
@@ -275,12 +277,12 @@ def predictor(spark, model: Model):
     """A column function: struct(lang_pred, score) of a text column."""
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<lang_pred string, score double>")
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
         score = Scorer(Vocabulary(model.path), model.languages, model.log_p, model.log_prior)
-        for texts in batches:
-            yield pd.DataFrame(score(texts), columns=["lang_pred", "score"])
+        kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
+        yield from by_slices(batches, lambda texts: [dict(zip(("lang_pred", "score"), f)) for f in score(texts)], kind)
 
     return predict
 

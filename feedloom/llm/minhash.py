@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
 from feedloom.llm.common import connected_components, whole_row
+from feedloom.llm.slices import by_slices
 from feedloom.workspace import settle
 
 #: A link of similarity 0.85 shares no band with probability (1 - 0.85**7)**36 < 1e-6.
@@ -110,47 +110,38 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    """An array of lists of 64-bit numbers."""
+    flat = np.concatenate(arrays).view(np.int64) if arrays else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32()), pa.array(flat))
+
+
 def signer(words: int, bands: int, rows: int):
-    @F.pandas_udf(SIGNATURE)
-    def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(SIGNATURE)
+    def sign(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         shingles = Shingler(words)
-        for texts in batches:
-            sizes, keys, signed = [], [], []
-            waiting: list[np.ndarray] = []
-
-            def flush() -> None:
-                if waiting:
-                    signed.extend(band_keys(coordinates(waiting, bands * rows), bands, rows))
-                    waiting.clear()
-
-            for text in texts:
-                found = shingles(text)
-                sizes.append(len(found))
-                keys.append(np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), np.int64))
-                if len(found):
-                    waiting.append(found)
-                    if sum(map(len, waiting[-1:])) > CACHED or len(waiting) >= 256:
-                        flush()
-            flush()
-            taken = iter(signed)
-            yield pd.DataFrame(
-                {
-                    "n_shingles": sizes,
-                    "key1": [int(key[0]) for key in keys],
-                    "key2": [int(key[1]) for key in keys],
-                    "bands": [next(taken) if size else [] for size in sizes],
-                }
-            )
+
+        def compute(texts: list[str | None]) -> pa.Array:
+            sets = [shingles(text) for text in texts]
+            filled = [found for found in sets if len(found)]
+            signed = iter(band_keys(coordinates(filled, bands * rows), bands, rows) if filled else ())
+            keys = np.array([np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), np.int64) for found in sets])
+            none = np.zeros(0, np.int64)
+            columns = [np.array([len(found) for found in sets]), keys[:, 0], keys[:, 1]]
+            listed = lists([next(signed) if len(found) else none for found in sets])
+            return pa.StructArray.from_arrays([*map(pa.array, columns), listed], SIGNATURE.names)
+
+        numbers = [(name, pa.int64()) for name in SIGNATURE.names[:-1]]
+        yield from by_slices(batches, compute, pa.struct([*numbers, (SIGNATURE.names[-1], pa.list_(pa.int64()))]))
 
     return sign
 
 
 def shingle_sets(words: int):
-    @F.pandas_udf(ArrayType(LongType()))
-    def sets(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(ArrayType(LongType()))
+    def sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         shingles = Shingler(words)
-        for texts in batches:
-            yield pd.Series([shingles(text).view(np.int64) for text in texts], dtype=object)
+        yield from by_slices(batches, lambda texts: lists([shingles(text) for text in texts]), pa.list_(pa.int64()))
 
     return sets
 

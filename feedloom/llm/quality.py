@@ -11,13 +11,14 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
 from feedloom.llm.common import whole_row
+from feedloom.llm.slices import by_slices
 from feedloom.workspace import settle
 
 MIN_WORDS = 50
@@ -42,6 +43,8 @@ PROFILE = (
     .add("lines", ArrayType(StructType().add("line", LongType()).add("words", LongType())))
 )
 
+LINES = pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int64())]))
+
 
 def line_hash(line: bytes) -> int:
     """A signed 64-bit hash of a line already lowered and without digit runs."""
@@ -95,25 +98,34 @@ def profile(text: str | None) -> tuple:
     )
 
 
-@F.pandas_udf(PROFILE)
-def profiles(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for texts in batches:
-        yield pd.DataFrame([profile(text) for text in texts], columns=PROFILE.names)
+@F.arrow_udf(PROFILE)
+def profiles(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def compute(texts: list[str | None]) -> pa.Array:
+        *counts, lines = zip(*map(profile, texts))
+        flat = [line for found in lines for line in found]
+        line_type = LINES.value_type
+        fields = [pa.array([line[name] for line in flat], pa.int64()) for name in ("line", "words")]
+        ends = np.cumsum([0, *map(len, lines)])
+        listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, fields=list(line_type)))
+        return pa.StructArray.from_arrays([*[pa.array(c, pa.int64()) for c in counts], listed], PROFILE.names)
+
+    kind = pa.struct([*[(name, pa.int64()) for name in PROFILE.names[:-1]], (PROFILE.names[-1], LINES)])
+    yield from by_slices(batches, compute, kind)
 
 
-@F.pandas_udf(StringType())
-def without_lines(texts: pd.Series, removed: pd.Series) -> pd.Series:
+@F.arrow_udf(StringType())
+def without_lines(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     """The texts without their lines whose hash is listed; a text with none listed stays as it is."""
 
-    def cleaned(text: str | None, listed) -> str | None:
-        if text is None or listed is None or not len(listed):
+    def cleaned(text: str | None, listed: list[int] | None) -> str | None:
+        if text is None or not listed:
             return text
         drop = set(listed)
         lines = text.split("\n")
         plain = normalised(text.encode()).split(b"\n")
         return "\n".join(line for line, key in zip(lines, plain) if not key.split() or line_hash(key) not in drop)
 
-    return pd.Series([cleaned(text, listed) for text, listed in zip(texts, removed)], dtype=object)
+    yield from by_slices(batches, lambda texts, removed: list(map(cleaned, texts, removed)), pa.string())
 
 
 def text_hash(column: Column) -> Column:

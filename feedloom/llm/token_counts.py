@@ -12,11 +12,13 @@ import json
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedloom.llm.slices import by_slices
+
 # Fixed value: how a byte-level vocabulary of this family splits text before merging.
 PRE_TOKEN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -178,11 +180,9 @@ class TextCounter:
 def token_counter(vocabulary: str):
     """A column function: the tokens of a text column, null counting as empty."""
 
-    @F.pandas_udf("bigint")
-    def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        counter = TextCounter(vocabulary)
-        for texts in batches:
-            yield pd.Series(counter.counts(texts), dtype="int64")
+    @F.arrow_udf("bigint")
+    def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from by_slices(batches, TextCounter(vocabulary).counts, pa.int64())
 
     return tokens
 
