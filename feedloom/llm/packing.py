@@ -11,12 +11,13 @@ import base64
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import numbered
+from feedloom.llm.slices import by_slices
 from feedloom.workspace import settle
 
 MAX_LENGTH = 2048
@@ -31,11 +32,10 @@ def encoding(vocabulary: str, pattern: str) -> tiktoken.Encoding:
 
 
 def token_lengths(vocabulary: str, pattern: str):
-    @F.pandas_udf("bigint")
-    def lengths(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("bigint")
+    def lengths(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = encoding(vocabulary, pattern).encode_ordinary
-        for texts in batches:
-            yield pd.Series([len(encode(text)) if text else 0 for text in texts], dtype="int64")
+        yield from by_slices(batches, lambda texts: [len(encode(text)) if text else 0 for text in texts], pa.int64())
 
     return lengths
 
@@ -96,6 +96,7 @@ def pack(
     """
     lengths = token_lengths(vocabulary, pattern)
     counted = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), lengths(F.col(f"`{text}`")).alias("tokens"))
+    counted = settle(counted, "lengths")  # else each text would be counted again for the filter
     pieces = F.sequence(F.lit(0), ((F.col("tokens") - 1) / max_length).cast("int"))
     chunks = (
         counted.where("tokens > 0")
@@ -104,7 +105,6 @@ def pack(
         .withColumn("n_tokens", F.least(F.col("tokens") - F.col("start"), F.lit(max_length)))
         .drop("tokens")
     )
-    chunks = settle(chunks, "sequences")
     histogram = {row["n_tokens"]: row["n"] for row in chunks.groupBy("n_tokens").agg(F.count("*").alias("n")).collect()}
     bucket = F.lit(None).cast("bigint")
     for boundary in reversed(best_boundaries(histogram, buckets)):
