@@ -17,8 +17,11 @@ from feedloom.workspace import settle
 
 #: Leading tokens that a leaf of the tree fixes, besides the token count.
 DEPTH = 3
-#: Documents from which on a leaf, a token at its place, and a template recur.
+#: Documents from which on a leaf, a token at its place, and a template recur; fewer do for lines of many tokens,
+#: which no two authors write alike.
 MIN_DOCS = 10
+LONG_TOKENS = 50
+LONG_MIN_DOCS = 3
 #: Tokens of a template that must be free of wildcards, in percent.
 CONSTANT_PERCENT = 60
 WILDCARD = "<*>"
@@ -40,7 +43,10 @@ def placed_lines(text: Column, depth: int) -> Column:
     def place(line: Column) -> Column:
         lead = F.substring_index(line, " ", depth)
         return F.struct(
-            F.xxhash64(line).alias("key"), F.xxhash64(n_tokens(line), lead).alias("leaf"), line.alias("line")
+            F.xxhash64(line).alias("key"),
+            F.xxhash64(n_tokens(line), lead).alias("leaf"),
+            n_tokens(line).alias("size"),
+            line.alias("line"),
         )
 
     return F.transform(F.transform(F.split(masked(text), "\n"), lambda line: F.trim(line)), place)
@@ -52,32 +58,38 @@ def own_text(text: str) -> tuple[Column, Column]:
     return body, F.xxhash64(body)
 
 
-def templates(lines: DataFrame, occurrences: DataFrame, min_docs: int, constant_percent: int) -> DataFrame:
+def recurs(min_docs: int, long_min_docs: int) -> Column:
+    """Whether `n` documents are enough for a line of `size` tokens."""
+    return F.col("n") >= F.when(F.col("size") >= LONG_TOKENS, long_min_docs).otherwise(min_docs)
+
+
+def templates(lines: DataFrame, occurrences: DataFrame, enough: Column, constant_percent: int) -> DataFrame:
     """(leaf, key, template, fixed): the template of each line in a recurring leaf.
 
     `fixed` says whether enough of its tokens are constant. A line that recurs by itself
     is its own template; of the others the tokens that do not recur at their place in
     the leaf are generalised.
     """
-    leaves = occurrences.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("leaf")
+    leaves = occurrences.groupBy("leaf", "size").agg(F.count("*").alias("n")).where(enough).select("leaf")
     leaves = settle(leaves, "recurring-leaves")
-    counts = sized_join(occurrences, leaves, "leaf", "left_semi").groupBy("leaf", "key").agg(F.count("*").alias("n"))
+    known = sized_join(occurrences, leaves, "leaf", "left_semi")
+    counts = known.groupBy("leaf", "key", "size").agg(F.count("*").alias("n"))
     texts = lines.select(F.inline("lines")).where("line != ''")
     texts = sized_join(texts, leaves, "leaf", "left_semi").groupBy("leaf", "key", "line").agg(F.lit(1).alias("one"))
     known = settle(texts.drop("one").join(counts, ["leaf", "key"]), "leaf-lines")
 
-    tokens = known.select("leaf", "key", "n", F.posexplode(F.split("line", " ")).alias("place", "token"))
+    tokens = known.select("leaf", "key", "size", "n", F.posexplode(F.split("line", " ")).alias("place", "token"))
     tokens = tokens.withColumn("spot", F.xxhash64("leaf", "place", "token"))
-    constants = tokens.groupBy("spot").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs).select("spot")
+    constants = tokens.groupBy("spot", "size").agg(F.sum("n").alias("n")).where(enough).select("spot")
     constants = settle(constants.withColumn("constant", F.lit(True)), "constant-tokens")
-    rare = sized_join(tokens.where(F.col("n") < min_docs), constants, "spot", "left")
+    rare = sized_join(tokens.where(~enough), constants, "spot", "left")
     token = F.when(F.col("constant"), F.col("token")).otherwise(WILDCARD)
     general = (
         rare.groupBy("leaf", "key")
         .agg(F.array_sort(F.collect_list(F.struct("place", token.alias("token")))).alias("tokens"))
         .select("leaf", "key", F.array_join(F.col("tokens")["token"], " ").alias("template"))
     )
-    own = known.where(F.col("n") >= min_docs).select("leaf", "key", F.col("line").alias("template"))
+    own = known.where(enough).select("leaf", "key", F.col("line").alias("template"))
     parts = F.split("template", " ")
     constant = F.size(F.filter(parts, lambda token: ~F.contains(token, F.lit(WILDCARD))))
     return general.unionByName(own).select(
@@ -94,12 +106,13 @@ def repeated_lines(
     text: str = "text",
     depth: int = DEPTH,
     min_docs: int = MIN_DOCS,
+    long_min_docs: int = LONG_MIN_DOCS,
     constant_percent: int = CONSTANT_PERCENT,
 ) -> DataFrame:
     """One row per document: doc_id, text_hash, n_lines (with a token), dropped (line numbers from 0).
 
-    A template recurs when at least `min_docs` documents have a line of it. It stays in
-    the recurring document with the smallest doc_id (null is smallest, then the smallest
+    A template recurs when at least `min_docs` documents have a line of it, or for lines of
+    LONG_TOKENS tokens or more `long_min_docs` documents. It stays in the recurring document with the smallest doc_id (null is smallest, then the smallest
     text hash) and its lines are dropped from all others. Documents with equal texts
     count as one and lose the same lines, so that whole copies are left to a later stage.
     A null or empty text has no lines. Blank lines are never dropped. Other columns are
@@ -109,16 +122,18 @@ def repeated_lines(
     lines = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), own.alias("doc"), placed_lines(body, depth).alias("lines"))
     lines = settle(lines, "lines")
     found = lines.select("doc_id", "doc", F.inline("lines")).where("line != ''")
-    occurrences = settle(found.groupBy("leaf", "key", "doc").agg(F.min("doc_id").alias("doc_id")), "line-places")
+    occurrences = settle(found.groupBy("leaf", "key", "size", "doc").agg(F.min("doc_id").alias("doc_id")), "line-places")
 
-    mapped = templates(lines, occurrences, min_docs, constant_percent).where("fixed").drop("fixed")
-    mapped = settle(occurrences.join(mapped, ["leaf", "key"]).select("template", "key", "doc", "doc_id"), "templated")
+    enough = recurs(min_docs, long_min_docs)
+    mapped = templates(lines, occurrences, enough, constant_percent).where("fixed").drop("fixed")
+    mapped = occurrences.join(mapped, ["leaf", "key"]).select("template", "size", "key", "doc", "doc_id")
+    mapped = settle(mapped, "templated")
     recurring = (
-        mapped.groupBy("template", "doc")
+        mapped.groupBy("template", "size", "doc")
         .agg(F.min("doc_id").alias("doc_id"))
-        .groupBy("template")
+        .groupBy("template", "size")
         .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "doc")).alias("first"))
-        .where(F.col("n") >= min_docs)
+        .where(enough)
         .select("template", F.col("first.doc").alias("keeper"))
     )
     recurring = settle(recurring, "recurring-templates")

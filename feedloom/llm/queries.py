@@ -130,30 +130,33 @@ ORACLES = {
         ),
         lines AS (SELECT doc_id, text, number, trim(raw, ' ') AS line, string_split(trim(raw, ' '), ' ') AS tokens FROM split),
         leafed AS (SELECT *, len(tokens) || ' ' || array_to_string(tokens[1:3], ' ') AS leaf FROM lines WHERE line != ''),
-        places AS (SELECT leaf, line, text, min(doc_id) AS doc_id FROM leafed GROUP BY ALL),
-        leaves AS (SELECT leaf FROM places GROUP BY leaf HAVING count(*) >= 10),
-        known AS (SELECT leaf, line, count(*) AS n FROM places SEMI JOIN leaves USING (leaf) GROUP BY ALL),
+        places AS (
+            SELECT leaf, CASE WHEN len(tokens) >= 50 THEN 3 ELSE 10 END AS enough, line, text, min(doc_id) AS doc_id
+            FROM leafed GROUP BY ALL
+        ),
+        leaves AS (SELECT leaf FROM places GROUP BY leaf, enough HAVING count(*) >= enough),
+        known AS (SELECT leaf, enough, line, count(*) AS n FROM places SEMI JOIN leaves USING (leaf) GROUP BY ALL),
         tokens AS (
-            SELECT leaf, line, n, unnest(parts) AS token, generate_subscripts(parts, 1) AS place
+            SELECT leaf, enough, line, n, unnest(parts) AS token, generate_subscripts(parts, 1) AS place
             FROM (SELECT *, string_split(line, ' ') AS parts FROM known)
         ),
-        constants AS (SELECT leaf, place, token FROM tokens GROUP BY ALL HAVING sum(n) >= 10),
+        constants AS (SELECT leaf, place, token FROM tokens GROUP BY leaf, enough, place, token HAVING sum(n) >= enough),
         general AS (
             SELECT t.leaf, t.line, string_agg(CASE WHEN c.token IS NULL THEN '<*>' ELSE t.token END, ' ' ORDER BY t.place) AS template
             FROM tokens t LEFT JOIN constants c USING (leaf, place, token)
-            WHERE t.n < 10 GROUP BY ALL
-            UNION ALL SELECT leaf, line, line FROM known WHERE n >= 10
+            WHERE t.n < t.enough GROUP BY ALL
+            UNION ALL SELECT leaf, line, line FROM known WHERE n >= enough
         ),
         fixed AS (
             SELECT * FROM general
             WHERE 100 * len(list_filter(string_split(template, ' '), lambda t: NOT contains(t, '<*>')))
                 >= 60 * len(string_split(template, ' '))
         ),
-        mapped AS (SELECT leaf, template, line, text, doc_id FROM places JOIN fixed USING (leaf, line)),
+        mapped AS (SELECT leaf, enough, template, line, text, doc_id FROM places JOIN fixed USING (leaf, line)),
         recurring AS (
             SELECT leaf, template, arg_min(text, doc_id) AS keeper
-            FROM (SELECT leaf, template, text, min(doc_id) AS doc_id FROM mapped GROUP BY ALL)
-            GROUP BY ALL HAVING count(*) >= 10
+            FROM (SELECT leaf, enough, template, text, min(doc_id) AS doc_id FROM mapped GROUP BY ALL)
+            GROUP BY leaf, enough, template HAVING count(*) >= enough
         ),
         drops AS (SELECT DISTINCT m.text, m.line FROM mapped m JOIN recurring r USING (leaf, template) WHERE m.text != r.keeper)
         SELECT l.doc_id, count(*) FILTER (l.line != '') AS n_lines, count(d.line) AS n_dropped,

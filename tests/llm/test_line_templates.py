@@ -37,6 +37,16 @@ def test_passages_of_many_words_are_found(make_docs):
     assert [n for n in range(40) if found[n]] == list(range(3, 40, 2))
 
 
+def test_a_long_passage_recurs_in_three_documents_a_short_line_in_ten(make_docs):
+    rng = random.Random(8)
+    long, short = prose(rng, 55), prose(rng, 45)
+    texts = [f"{prose(rng)}\n{long if n < 3 else prose(rng)}\n{short if n < 9 else prose(rng)}" for n in range(30)]
+    found = dropped(make_docs(*texts))
+    assert {n: lines for n, lines in found.items() if lines} == {1: [1], 2: [1]}
+    twice = [f"{prose(rng)}\n{long}" for n in range(2)]
+    assert not any(dropped(make_docs(*twice)).values())
+
+
 def test_lines_below_the_limit_and_blank_lines_stay(make_docs):
     rng = random.Random(3)
     rare = prose(rng, 10)
