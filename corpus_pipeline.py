@@ -14,11 +14,12 @@ from feedloom.llm.line_templates import drop_repeated_lines
 from feedloom.llm.minhash import drop_near_duplicates
 from feedloom.llm.packing import pack
 from feedloom.llm.quality import apply_rules
-from feedloom.workspace import settle
+from feedloom.workspace import settle, ship
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules, without the lines above their host's limit."""
+    ship(spark)
     return apply_rules(docs)
 
 
@@ -29,6 +30,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose 5-word shingles have a similarity of 0.8 or more."""
+    ship(spark)
     return drop_near_duplicates(docs, words=5, percent=80, rows=6, bands=42)
 
 
@@ -39,6 +41,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as token sequences in batches."""
+    ship(spark)
     return pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
