@@ -1,10 +1,12 @@
-"""Where intermediate tables go, and how they are written there."""
+"""Where intermediate tables go, how they are written there, and how the package reaches the executors."""
 
 from __future__ import annotations
 
 import functools
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,3 +37,19 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, wherever the driver found it."""
+    if spark.sparkContext.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    packed = Path(tempfile.mkdtemp(prefix="feedloom-")) / "feedloom.zip"
+    with zipfile.ZipFile(packed, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(packed))
+    _shipped.add(spark.sparkContext.applicationId)
