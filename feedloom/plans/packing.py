@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,14 +16,39 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 from feedloom.plans.feeds import SLOT_FIELDS, SLOT_KEYS
+from feedloom.workspace import new_path, settle
 
 PAGE_STEP = 500
 
 
+#: Whether inputs packed for a folder are packed once and used again; the bench does, to time the operators alone.
+KEEP = False
+_kept: dict[tuple[str, str, str], DataFrame] = {}
+_paths: dict[tuple[str, str, str], str] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def landed(spark: SparkSession, sf_dir: str, name: str, pack: Callable[[], DataFrame]) -> DataFrame:
+    """What `pack` makes of the folder's tables, written as it would have landed."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if KEEP and key in _kept:
+        return _kept[key]
+    _kept[key] = settle(pack(), name)
+    return _kept[key]
+
+
+def landed_path(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """The folder of files that `write` makes, as `landed`."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if not KEEP or key not in _paths:
+        _paths[key] = new_path(spark, name)
+        write(_paths[key])
+    return _paths[key]
+
+
 def div(column: Column | str, by: int) -> Column:
     column = F.col(column) if isinstance(column, str) else column
     return F.call_function("div", column, F.lit(by))

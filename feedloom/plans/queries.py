@@ -25,7 +25,7 @@ from feedloom.operators import (
 )
 from feedloom.plans import packing
 from feedloom.plans.feeds import archive_links, arrivals, incidents, linked_lines, passenger_volume, stops
-from feedloom.plans.packing import PAGE_STEP, div, table
+from feedloom.plans.packing import PAGE_STEP, div, landed, landed_path, table
 from feedloom.sinks import append_table, month_replace, replace_table
 from feedloom.sources import (
     csv_audit,
@@ -63,7 +63,8 @@ PART_CSV = "p_partkey bigint, p_name string, p_brand string, p_size int, p_retai
 
 
 def arrivals_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return arrivals(packing.arrival_responses(table(spark, sf_dir, "events")), on_failure="empty")
+    events = table(spark, sf_dir, "events")
+    return arrivals(landed(spark, sf_dir, "arrivals", lambda: packing.arrival_responses(events)), on_failure="empty")
 
 
 def envelope_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +81,7 @@ def envelope_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(200).alias("status"),
         F.to_json(F.struct(lines.alias("value"))).alias("body"),
     )
-    return project_documents(documents, LINE)
+    return project_documents(landed(spark, sf_dir, "turns", lambda: documents), LINE)
 
 
 def incidents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +93,8 @@ def incidents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("html").alias("Message"),
         F.col("page_id").alias("Undeclared"),
     )
-    return incidents(packing.single_records(pages, F.col("page_id").cast("string"), F.to_json(record)))
+    packed = packing.single_records(pages, F.col("page_id").cast("string"), F.to_json(record))
+    return incidents(landed(spark, sf_dir, "incidents", lambda: packed))
 
 
 def stops_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,14 +106,15 @@ def stops_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = packing.stop_pages(customer, feed, div(F.pmod("c_custkey", F.lit(SPAN)), 50))
     code = F.to_json(F.struct(F.col("c_custkey").cast("string").alias("BusStopCode")))
     snapshot = packing.single_records(customer, feed, code)
-    return stops(settle(pages, "responses"), snapshot)
+    landed_pages = landed(spark, sf_dir, "stops", lambda: pages)
+    return stops(landed_pages, landed(spark, sf_dir, "stops-snapshot", lambda: snapshot))
 
 
 def project_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A declared key, a declared key no record has, and the undeclared rest dropped."""
     events = table(spark, sf_dir, "events")
     documents = packing.single_records(events, F.col("event_id").cast("string"), F.col("props"))
-    projected = project_documents(documents, PROPS, "feed")
+    projected = project_documents(landed(spark, sf_dir, "props", lambda: documents), PROPS, "feed")
     return projected.select(F.col("feed").cast("bigint").alias("event_id"), "k", "absent")
 
 
@@ -139,7 +142,8 @@ def _mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     record = F.concat(
         F.lit('{"event_id":'), "event_id", F.lit(',"event_type":"'), "event_type", F.lit('","value":'), text, F.lit("}")
     )
-    return packing.single_records(table(spark, sf_dir, "events"), F.col("event_id").cast("string"), record)
+    packed = packing.single_records(table(spark, sf_dir, "events"), F.col("event_id").cast("string"), record)
+    return landed(spark, sf_dir, "mixed", lambda: packed)
 
 
 def type_audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,7 +173,7 @@ def _rows(pages: DataFrame) -> DataFrame:
 
 
 def pages_until_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rows(resolve_batches(settle(_paged(spark, sf_dir), "responses")))
+    return _rows(resolve_batches(landed(spark, sf_dir, "paged", lambda: _paged(spark, sf_dir))))
 
 
 def _hot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,7 +184,7 @@ def _hot(spark: SparkSession, sf_dir: str) -> DataFrame:
         page=div("event_id", 100),
         kept=F.col("value") >= 1,
     )
-    return settle(classify(responses), "pages")
+    return landed(spark, sf_dir, "hot", lambda: classify(responses))
 
 
 def pages_of_hot_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,13 +216,13 @@ def batch_or_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
         div("event_id", SPAN).cast("string"),
         F.to_json(F.struct("event_id", "event_type", "value")),
     )
-    pages = settle(classify(_troubled(spark, sf_dir)), "pages")
-    return _rows(resolve_batches(pages, "fallback", snapshot))
+    pages = landed(spark, sf_dir, "troubled-classified", lambda: classify(_troubled(spark, sf_dir)))
+    return _rows(resolve_batches(pages, "fallback", landed(spark, sf_dir, "snapshot", lambda: snapshot)))
 
 
 def batch_or_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses landed as they came, parsed when resolved."""
-    responses = settle(_troubled(spark, sf_dir), "responses")
+    responses = landed(spark, sf_dir, "troubled", lambda: _troubled(spark, sf_dir))
     return _rows(resolve_batches(responses, "empty"))
 
 
@@ -240,7 +244,7 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def outcome_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every feed's responses by outcome, and the failed ones by reason."""
-    judged = classify(settle(_troubled(spark, sf_dir, silent_below=0.2), "responses"))
+    judged = classify(landed(spark, sf_dir, "silent", lambda: _troubled(spark, sf_dir, silent_below=0.2)))
     return judged.groupBy("feed", "outcome", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -251,15 +255,16 @@ def incomplete_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.paged_responses(events, feed.cast("string"), page, F.lit(True), silent_below=0.1)
     number = F.col("feed").cast("int")
     closing = F.col("body") == '{"value":[]}'
-    landed = packed.where(
+    left = packed.where(
         F.col("status").isNotNull() & ~(closing & (number % 7 == 2)) & (number % 5 != 3)
     )  # what got no answer was not landed at all
-    landed = settle(landed, "responses")
-    snapshot = packing.single_records(
+    responses = landed(spark, sf_dir, "incomplete", lambda: left)
+    snapshot_rows = packing.single_records(
         events, feed.cast("string"), F.to_json(F.struct("event_id", F.lit("kept").alias("event_type"), "value"))
     )
-    by_fallback = _rows(resolve_batches(landed, "fallback", snapshot)).withColumn("policy", F.lit("fallback"))
-    return by_fallback.unionByName(_rows(resolve_batches(landed, "empty")).withColumn("policy", F.lit("empty")))
+    snapshot = landed(spark, sf_dir, "kept-snapshot", lambda: snapshot_rows)
+    by_fallback = _rows(resolve_batches(responses, "fallback", snapshot)).withColumn("policy", F.lit("fallback"))
+    return by_fallback.unionByName(_rows(resolve_batches(responses, "empty")).withColumn("policy", F.lit("empty")))
 
 
 def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,8 +282,8 @@ def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     broken = second.where(fifth & (kind == 0)).withColumn("body", F.lit("{"))
     again = second.where(fifth & (kind == 0)).withColumn("attempt", F.lit(2))
     rest = second.where(~(fifth & (kind < 2)))
-    landed = run(1, 0).unionByName(rest).unionByName(broken).unionByName(again)
-    return _rows(resolve_batches(settle(landed, "responses")))
+    both = run(1, 0).unionByName(rest).unionByName(broken).unionByName(again)
+    return _rows(resolve_batches(landed(spark, sf_dir, "two-runs", lambda: both)))
 
 
 def documents_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -290,8 +295,7 @@ def documents_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.collect_list(record).alias("value"))
         .select(F.to_json(F.struct("value")))
     )
-    path = new_path(spark, "documents")
-    bodies.write.option("maxRecordsPerFile", 1).text(path)
+    path = landed_path(spark, sf_dir, "documents", bodies.write.option("maxRecordsPerFile", 1).text)
     schema = StructType().add("c_custkey", LongType()).add("c_name", StringType()).add("c_acctbal", DoubleType())
     return project_documents(read_documents(spark, path, "customers"), schema, "feed")
 
@@ -301,8 +305,8 @@ def documents_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    path = new_path(spark, "orders-csv")
-    orders.select(*reversed(orders.columns)).write.csv(path, header=True)
+    turned = orders.select(*reversed(orders.columns))
+    path = landed_path(spark, sf_dir, "turned-csv", lambda path: turned.write.csv(path, header=True))
     return read_csv(spark, path, orders.schema)
 
 
@@ -315,8 +319,7 @@ def csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = orders.select(
         F.concat(key.cast("string"), F.lit(","), price, F.lit(","), "o_orderpriority", extra).alias("value")
     )
-    path = new_path(spark, "orders-csv")
-    lines.write.text(path)
+    path = landed_path(spark, sf_dir, "malformed-csv", lines.write.text)
     schema = "o_orderkey bigint, o_totalprice double, o_orderpriority string"
     audit = csv_audit(spark, path, schema, header=False).select("malformed", "n")
     read = read_csv(spark, path, schema, header=False, strict=False)
@@ -326,8 +329,7 @@ def csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    path = new_path(spark, "orders-csv")
-    orders.write.csv(path, header=True)
+    path = landed_path(spark, sf_dir, "orders-csv", lambda path: orders.write.csv(path, header=True))
     read = read_csv(spark, path)
     types = F.lit(", ".join(f"{name} {kind}" for name, kind in read.dtypes))
     return read.select(*[F.col(f.name).cast(f.dataType) for f in orders.schema.fields], types.alias("types"))
@@ -335,7 +337,8 @@ def csv_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def zip_first_member(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.format_string("part-%d.zip", div("p_partkey", 500))
-    archives = packing.archives(table(spark, sf_dir, "part"), path, PART_COLUMNS)
+    packed = packing.archives(table(spark, sf_dir, "part"), path, PART_COLUMNS)
+    archives = landed(spark, sf_dir, "part-zips", lambda: packed)
     return parse_lines(first_member_lines(archives, PART_COLUMNS), PART_CSV)
 
 
@@ -363,7 +366,8 @@ def archive_by_link(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("feed"),
         F.format_string('{"Link":"%s/%d.zip"},{"Link":"%s/decoy%d.zip"}', "ym", "slice", "ym", "slice"),
     )
-    archives = settle(archives, "archives")
+    packed = archives
+    archives = landed(spark, sf_dir, "order-zips", lambda: packed)
     lines = linked_lines(archives, archive_links(links, archives), ORDER_COLUMNS)
     month = F.regexp_extract("feed", r"Date=(\d{6})", 1)
     raw = new_path(spark, "raw")
@@ -379,7 +383,7 @@ def volume_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = part.select(path.alias("path")).distinct()
     feed = F.concat(F.lit("00"), F.regexp_extract("path", r"\d+", 0))
     links = packing.single_records(paths, feed, F.to_json(F.struct(F.col("path").alias("Link"))))
-    rows = passenger_volume(links, settle(archives, "archives"))
+    rows = passenger_volume(links, landed(spark, sf_dir, "volume-zips", lambda: archives))
     types = F.lit(", ".join(f"{name} {kind}" for name, kind in rows.dtypes))
     columns = [F.col(name).cast(part.schema[name].dataType) for name in PART_COLUMNS]
     return rows.select("feed", *columns, types.alias("types"))
@@ -395,7 +399,7 @@ def signed_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     feeds = feeds.withColumn("feed", F.explode(F.array(F.lit("first"), F.lit("second"))))
     feeds = feeds.withColumn("feed", F.concat("feed", F.lit("-"), F.col("slice").cast("string")))
     links = packing.single_records(feeds, F.col("feed"), F.to_json(F.struct(link.alias("Link"))))
-    rows = passenger_volume(links, settle(archives, "archives"), PART_CSV, by_name=True)
+    rows = passenger_volume(links, landed(spark, sf_dir, "signed-zips", lambda: archives), PART_CSV, by_name=True)
     return rows.select(F.split("feed", "-")[0].alias("feed"), *PART_COLUMNS)
 
 
@@ -446,7 +450,8 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         page=div(F.pmod("event_id", F.lit(SPAN)), 20),
         kept=F.lit(True),
     )
-    packed = settle(packed, "packed")
+    pages = packed
+    packed = landed(spark, sf_dir, "packed", lambda: pages)
     landing, target, checkpoint = (new_path(spark, name) for name in ("landing", "loaded", "load-checkpoint"))
 
     def rows(responses: DataFrame) -> DataFrame:

@@ -12,7 +12,8 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("shared")
     session = (
         SparkSession.builder.master("local[8]")
         .appName("tests")
@@ -20,6 +21,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.checkpoint.dir", f"file://{folder}")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
