@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from feedloom.operators.envelope import classify
@@ -38,30 +38,36 @@ def _best(pages: DataFrame) -> DataFrame:
     )
 
 
-def run_bounds(pages: DataFrame, step: int = STEP, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """One row per feed and run: (feed, run, stop_at, reason), `reason` null for a whole scan.
+def run_bounds(
+    pages: DataFrame, step: int = STEP, size: int | None = None, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """One row per feed and run: (feed, run, stop_at, landings, reason), `reason` null for a whole scan.
 
     Pages are read in `skip` order until the first empty one. A scan is whole when every
     page from 0 to that one has landed and none of them failed; else its reason is
     over_limit, failed_page, gap (also a lost first page or one off the step) or open_end.
     Pages past the end, of any kind, are never read and do no harm.
 
-    `pages` is a settled table of narrow columns, one row per page. Minimums and counts
-    are combined before each shuffle, so a feed with a third of all pages costs no more
-    than any other.
+    `pages` is a settled table of narrow columns, one row per page, of at most `size`
+    bytes if given. Minimums and counts are combined before each shuffle, so a feed with a
+    third of all pages costs no more than any other.
     """
     ends = pages.groupBy("feed", "run").agg(
         F.min(F.when(F.col("rank") == RANKS["empty"], F.col("skip"))).alias("stop_at"),
         F.min(F.when(F.col("rank") == RANKS["failed"], F.col("skip"))).alias("failed_at"),
         F.min(F.when((F.col("rank") == RANKS["failed"]) & F.col("over_limit"), F.col("skip"))).alias("over_at"),
+        F.max("landings").alias("landings"),
     )
-    ends = settle(ends, "scan-ends").withColumnsRenamed({"run": "end_run"})
+    if size is None or size > broadcast_bytes:  # its own size is to be measured
+        ends, size = settle(ends, "scan-ends"), None
+    ends = ends.withColumnsRenamed({"run": "end_run"})
     before = lookup_join(
         pages.select("feed", "run", "skip"),
         ends,
         "feed",
         where=(F.col("run") == F.col("end_run")) & (F.col("skip") < F.col("stop_at")),
         spread=F.col("skip"),
+        size=size,
         broadcast_bytes=broadcast_bytes,
     )
     on_step = F.count_if((F.col("skip") >= 0) & (F.pmod("skip", F.lit(step)) == 0))
@@ -78,7 +84,7 @@ def run_bounds(pages: DataFrame, step: int = STEP, broadcast_bytes: int = BROADC
         .when(F.col("stop_at").isNull(), "open_end")
         .when((n * step != F.col("stop_at")) | (F.coalesce("on_step", F.lit(0)) != n), "gap")
     )
-    return counted.select("feed", "run", "stop_at", reason.alias("reason"))
+    return counted.select("feed", "run", "stop_at", "landings", reason.alias("reason"))
 
 
 def latest_runs(bounds: DataFrame, expected: DataFrame | None = None) -> DataFrame:
@@ -91,14 +97,15 @@ def latest_runs(bounds: DataFrame, expected: DataFrame | None = None) -> DataFra
         F.max(F.when(whole, F.col("run"))).alias("use_run"),
         F.max_by("stop_at", F.when(whole, F.col("run"))).alias("stop_at"),
         F.max_by("reason", "run").alias("last_reason"),
+        F.max("landings").alias("landings"),
     )
     latest = latest.withColumn("reason", F.when(F.col("use_run").isNull(), F.col("last_reason")))
     latest = latest.withColumn("over_limit", F.coalesce(F.col("last_reason") == "over_limit", F.lit(False)))
-    latest = latest.select("feed", "use_run", "stop_at", "reason", "over_limit")
+    latest = latest.select("feed", "use_run", "stop_at", "landings", "reason", "over_limit")
     if expected is None:
         return latest
     lost = expected.select("feed").distinct().join(latest.select("feed"), "feed", "left_anti")
-    empty = [F.lit(None).cast("bigint").alias(name) for name in ("use_run", "stop_at")]
+    empty = [F.lit(None).cast("bigint").alias(name) for name in ("use_run", "stop_at", "landings")]
     return latest.unionByName(
         lost.select("feed", *empty, F.lit("never_landed").alias("reason"), F.lit(False).alias("over_limit"))
     )
@@ -133,25 +140,30 @@ def resolve_batches(
     if expected is None and fallback is not None:
         expected = fallback.select("feed")
     narrow = with_runs(classify(landed)).select("feed", "run", "attempt", "skip", "outcome", "reason")
-    pages = settle(_best(narrow), "pages")
-    feeds = settle(latest_runs(run_bounds(pages, step, broadcast_bytes), expected), "feeds")
+    # What is known of a table is seen as it is written, so that small ones are not read again to be measured.
+    seen, judged = Observation(), Observation()
+    row = F.lit(128) + F.coalesce(F.octet_length("feed"), F.lit(0))
+    pages = settle(_best(narrow).observe(seen, F.sum(row).alias("bytes")), "pages")
+    bound = seen.get["bytes"] or 0
+    feeds = latest_runs(run_bounds(pages, step, bound, broadcast_bytes), expected)
     stopping = F.col("over_limit") | (F.col("reason").isNotNull() if on_failure == "raise" else F.lit(False))
-    some = feeds.where(stopping).limit(10).collect()
-    if some:
+    feeds = feeds.observe(judged, F.count_if(stopping).alias("stopping"), F.max("landings").alias("landings"))
+    feeds = settle(feeds, "feeds")
+    if judged.get["stopping"]:
+        some = feeds.where(stopping).limit(10).collect()
         raise RuntimeError(f"failed feeds, among them: {sorted((row['feed'], row['reason']) for row in some)}")
 
-    size = width(feeds)
+    size = bound if expected is None and bound <= broadcast_bytes else width(feeds)
     whole = feeds.where("use_run IS NOT NULL").select("feed", "use_run", F.col("stop_at").alias("end"))
     in_scan = (F.col("run") == F.col("use_run")) & (F.col("skip") < F.col("end"))
     columns = ["feed", "skip", "status", "body"]
     kept = lookup_join(
         with_runs(landed), whole, "feed", "left_semi", in_scan, F.col("skip"), size, broadcast_bytes, measure="body"
     )
-    again = pages.where("landings > 1").select("feed", "run", "skip", "_best")
-    if again.isEmpty():
-        kept = kept.select(columns)
-    else:
+    if (judged.get["landings"] or 0) > 1:
+        again = pages.where("landings > 1").select("feed", "run", "skip", "_best")
         kept = _landed_again(kept, settle(again, "landed-again"))
+    kept = kept.select(columns)
     if fallback is None:
         return kept
     failed = feeds.where("reason IS NOT NULL").select("feed")
