@@ -16,7 +16,7 @@ from feedloom.llm.language_id import identify
 from feedloom.llm.line_templates import repeated_lines
 from feedloom.llm.minhash import near_duplicates
 from feedloom.llm.packing import pack
-from feedloom.llm.quality import judge
+from feedloom.llm.quality import DEPLETED_PERCENT, LIMIT_DOCS, LIMIT_PERCENT, MAX_REPEAT_PERCENT, MIN_WORDS, judge
 from feedloom.llm.sharding import assign_shards
 from feedloom.llm.token_counts import count_tokens
 from feedloom.llm.warc import page_of, warc_round_trip
@@ -117,6 +117,9 @@ QUERIES = {
     "op10_html_extract": op10_html_extract,
 }
 
+WORD = r"[^\x20\x09-\x0D]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 ORACLES = {
     "op1_line_dedup": r"""
         WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
@@ -215,4 +218,70 @@ ORACLES = {
         GROUP BY doc_id, item_id
         HAVING 100 * count(DISTINCT item_place) >= {MIN_PERCENT} * any_value(n_windows)
     """,
+    "op8_minhash": rf"""
+        WITH RECURSIVE docs AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS words
+            FROM documents
+        ),
+        shingles AS (
+            SELECT DISTINCT doc_id, words[pos : pos + 2] AS shingle
+            FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, least(len(words), 1) + 1))) AS pos FROM docs)
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        links AS (
+            SELECT a.doc_id AS one, b.doc_id AS other
+            FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id != b.doc_id
+            JOIN sizes sa ON sa.doc_id = a.doc_id JOIN sizes sb ON sb.doc_id = b.doc_id
+            GROUP BY a.doc_id, b.doc_id
+            HAVING 100 * count(*) >= 85 * (any_value(sa.n) + any_value(sb.n) - count(*))
+        ),
+        reached AS (SELECT doc_id, doc_id AS root FROM docs UNION SELECT other, root FROM reached JOIN links ON doc_id = one)
+        SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(root) AS component_id, doc_id = min(root) AS kept
+        FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+    """,
+    "op9_quality": rf"""
+        WITH docs AS (
+            SELECT doc_id, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words
+            FROM documents
+        ),
+        windows AS (
+            SELECT doc_id, pos, words[pos : pos + 2] AS win FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS pos FROM docs)
+        ),
+        repeated AS (
+            SELECT doc_id, count(DISTINCT place) AS n
+            FROM (
+                SELECT doc_id, unnest([pos, pos + 1, pos + 2]) AS place
+                FROM (SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id, win) AS times FROM windows) WHERE times > 1
+            )
+            GROUP BY doc_id
+        ),
+        lines AS (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM docs),
+        duplicate AS (
+            SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines WHERE regexp_matches(line, '{WORD}') GROUP BY doc_id
+        ),
+        plain AS (
+            SELECT doc_id, source, text, array_to_string(regexp_extract_all(
+                regexp_replace(translate(line, '{UPPER}', '{LOWER}'), '[0-9]+', '0', 'g'), '{WORD}'), ' ') AS line
+            FROM lines
+        ),
+        hosts AS (SELECT source, count(DISTINCT text) AS n FROM docs GROUP BY source),
+        above AS (
+            SELECT p.source, p.line FROM plain p JOIN hosts h ON p.source IS NOT DISTINCT FROM h.source
+            WHERE p.line != '' GROUP BY p.source, p.line
+            HAVING count(DISTINCT p.text) > {LIMIT_DOCS} AND 100 * count(DISTINCT p.text) > {LIMIT_PERCENT} * any_value(h.n)
+        ),
+        lost AS (
+            SELECT doc_id, sum(len(string_split(p.line, ' ')))::BIGINT AS n
+            FROM plain p JOIN above a ON p.source IS NOT DISTINCT FROM a.source AND p.line = a.line GROUP BY doc_id
+        ),
+        counted AS (
+            SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+                length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                coalesce(duplicate.n, 0) AS n_dup_lines, coalesce(repeated.n, 0) AS n_repeat_words,
+                coalesce(lost.n, 0) AS n_removed_words
+            FROM docs LEFT JOIN duplicate USING (doc_id) LEFT JOIN repeated USING (doc_id) LEFT JOIN lost USING (doc_id)
+        ),
+        judged AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM counted)
+        SELECT *, NOT base_failed AND 100 * n_removed_words <= {DEPLETED_PERCENT} * n_words AS kept FROM judged
+    """,
 }
