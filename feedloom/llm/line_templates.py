@@ -100,23 +100,18 @@ def templates(lines: DataFrame, occurrences: DataFrame, enough: Column, constant
     )
 
 
-def repeated_lines(
+def dropped_lines(
     docs: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
+    doc_id: str,
+    text: str,
     depth: int = DEPTH,
     min_docs: int = MIN_DOCS,
     long_min_docs: int = LONG_MIN_DOCS,
     constant_percent: int = CONSTANT_PERCENT,
-) -> DataFrame:
-    """One row per document: doc_id, text_hash, n_lines (with a token), dropped (line numbers from 0).
+) -> tuple[DataFrame, DataFrame]:
+    """The lines of all documents, and (text_hash, dropped) of the texts that lose some, both settled.
 
-    A template recurs when at least `min_docs` documents have a line of it, or for lines of
-    LONG_TOKENS tokens or more `long_min_docs` documents. It stays in the recurring document with the smallest doc_id (null is smallest, then the smallest
-    text hash) and its lines are dropped from all others. Documents with equal texts
-    count as one and lose the same lines, so that whole copies are left to a later stage.
-    A null or empty text has no lines. Blank lines are never dropped. Other columns are
-    not looked at. Hot lines are combined before each shuffle.
+    Hot lines are combined before each shuffle.
     """
     body, own = own_text(text)
     lines = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), own.alias("doc"), placed_lines(body, depth).alias("lines"))
@@ -141,19 +136,27 @@ def repeated_lines(
     numbered_lines = lines.select("doc", F.posexplode("lines.key").alias("number", "key"))
     dropped = (
         numbered_lines.join(drops, ["doc", "key"])
-        .groupBy("doc")
+        .groupBy(F.col("doc").alias("text_hash"))
         .agg(F.sort_array(F.collect_set("number")).alias("dropped"))
     )
+    return lines, settle(dropped, "dropped-lines")
+
+
+def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row per document: doc_id, text_hash, n_lines (with a token), dropped (line numbers from 0).
+
+    A template recurs when at least `min_docs` documents have a line of it, or for lines of
+    LONG_TOKENS tokens or more `long_min_docs` documents. It stays in the recurring
+    document with the smallest doc_id (null is smallest, then the smallest text hash) and
+    its lines are dropped from all others. Documents with equal texts count as one and
+    lose the same lines, so that whole copies are left to a later stage. A null or empty
+    text has no lines. Blank lines are never dropped. Other columns are not looked at.
+    """
+    lines, dropped = dropped_lines(docs, doc_id, text, **options)
     filled = F.size(F.filter(F.col("lines.line"), lambda line: line != ""))
-    return (
-        lines.select("doc_id", "doc", filled.cast("bigint").alias("n_lines"))
-        .join(settle(dropped, "dropped-lines"), "doc", "left")
-        .select(
-            "doc_id",
-            F.col("doc").alias("text_hash"),
-            "n_lines",
-            F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"),
-        )
+    counted = lines.select("doc_id", F.col("doc").alias("text_hash"), filled.cast("bigint").alias("n_lines"))
+    return sized_join(counted, dropped, "text_hash", "left").select(
+        "doc_id", "text_hash", "n_lines", F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped")
     )
 
 
@@ -163,8 +166,7 @@ def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     A document that loses every line it had leaves; texts that lose none stay as they
     are, null included.
     """
-    lost = repeated_lines(docs, doc_id, text, **options).where(F.size("dropped") > 0)
-    lost = settle(lost.groupBy("text_hash").agg(F.first("dropped").alias("dropped"), F.first("n_lines").alias("n")), "lost")
+    _, lost = dropped_lines(docs, doc_id, text, **options)
     _, own = own_text(text)
     joined = sized_join(docs.select(whole_row(docs), own.alias("text_hash")), lost, "text_hash", "left")
     before = F.col("row")[text]
