@@ -15,8 +15,9 @@ HOT_KEYS = 200_000
 
 
 def width(df: DataFrame) -> int:
-    """Bytes a frame takes as a broadcast, from its row count and its string lengths."""
+    """Bytes a frame takes as a broadcast, from its row count, its string lengths and its array sizes."""
     strings = [F.coalesce(F.octet_length(f"`{n}`"), F.lit(0)) for n, t in df.dtypes if t == "string"]
+    strings += [F.greatest(F.size(f"`{n}`"), F.lit(0)) * 32 for n, t in df.dtypes if t.startswith("array<")]
     fixed = F.lit(16 * (len(df.columns) + 1))
     return df.agg(F.coalesce(F.sum(sum(strings, fixed)), F.lit(0)).alias("bytes")).first()["bytes"]
 
