@@ -255,6 +255,7 @@ class Model:
             total["tag:" + tag, OTHER, -1] += PRIOR * size
         for tag in (*CONTENT_TAGS, *COMMON_TAGS, "blockquote", "pre"):
             total["tag:" + tag, CONTENT, -1] += PRIOR * size
+        total["tag:p", CONTENT, -1] += 4 * PRIOR * size
         for tag in ("html", "body", "div", "section", "table", "tr", "td"):
             total["tag:" + tag, FRAME, -1] += PRIOR * size
         total["word:other", OTHER, -1] += PRIOR * size

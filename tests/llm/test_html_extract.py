@@ -52,6 +52,13 @@ def test_marginals_are_those_of_all_labellings(model):
     assert model.marginals(nodes) == pytest.approx([total / weight for total in content])
 
 
+@pytest.mark.parametrize("container", ["<div class='content'>", "<div>", "<td>"])
+def test_pages_with_another_container_give_the_same(pages, model, container):
+    for row in pages.limit(60).collect():
+        html = row["html"].replace("<article>", container)
+        assert main_text(html, model) == of_article(row["html"])
+
+
 CASES = {
     "parts named by tag": (
         "<header><h1>Site</h1><nav><a href='/'>Home</a></nav></header><main><article><h1>Title &amp; more</h1>"
