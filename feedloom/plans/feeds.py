@@ -12,7 +12,7 @@ from feedloom.operators.lookup import BROADCAST_BYTES, lookup_join
 from feedloom.operators.paging import resolve_batches
 from feedloom.operators.project import project_documents
 from feedloom.operators.slots import flatten_slots
-from feedloom.sources.archives import first_member_header, first_member_lines, stage_lines
+from feedloom.sources.archives import first_member_lines, shared_header, stage_lines
 from feedloom.sources.delimited import parse_lines, read_csv
 from feedloom.sources.landed import first_link
 from feedloom.workspace import new_path, settle
@@ -111,10 +111,14 @@ def linked_archives(archives: DataFrame, links: DataFrame, broadcast_bytes: int
 
 
 def linked_lines(
-    archives: DataFrame, links: DataFrame, columns: list[str], broadcast_bytes: int = BROADCAST_BYTES
+    archives: DataFrame,
+    links: DataFrame,
+    columns: list[str] | None,
+    seen: Observation | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(feed, line) of each link's archive; an archive is opened once and its lines then joined to its links."""
-    lines = first_member_lines(linked_archives(archives, links, broadcast_bytes), columns, "path")
+    lines = first_member_lines(linked_archives(archives, links, broadcast_bytes), columns, "path", seen=seen)
     joined = lookup_join(
         lines, links, "path", spread=F.col("line"), measure="line", broadcast_bytes=broadcast_bytes
     )
@@ -135,15 +139,20 @@ def passenger_volume(
     two more reads, and can change values as `read_csv` tells; the feed stays as it is.
     """
     links = archive_links(link_responses, archives, by_name)
-    names = first_member_header(linked_archives(archives, links)) if schema is None else StructType.fromDDL(schema).names
-    if feed in names:
-        raise ValueError(f"the archives have a column {feed}: give the feed another name")
-    lines = linked_lines(archives, links, names)
+
+    def checked(names: list[str]) -> list[str]:
+        if feed in names:
+            raise ValueError(f"the archives have a column {feed}: give the feed another name")
+        return names
+
     if schema is not None:
-        return parse_lines(lines, schema, F.col("feed").alias(feed))
-    spark = lines.sparkSession
+        names = checked(StructType.fromDDL(schema).names)
+        return parse_lines(linked_lines(archives, links, names), schema, F.col("feed").alias(feed))
+    spark, seen = links.sparkSession, Observation()
+    lines = linked_lines(archives, links, None, seen)
     raw = new_path(spark, "raw")
     stage_lines(lines.withColumnRenamed("feed", "_feed"), raw, "_feed", rebalance=False)
+    names = checked(shared_header(seen))
     if spark.read.text(raw).isEmpty():
         return spark.createDataFrame([], ", ".join(f"`{name}` string" for name in (feed, *names)))
     inferred = read_csv(spark, raw, header=False).schema.fields[: len(names)]

@@ -1,4 +1,4 @@
-from feedloom.sources.archives import first_member_header, first_member_lines, read_archives, stage_lines
+from feedloom.sources.archives import first_member_lines, read_archives, shared_header, stage_lines
 from feedloom.sources.delimited import csv_audit, parse_lines, read_csv
 from feedloom.sources.landed import LANDED, RUNS, first_link, page_requests, read_documents, read_landed
 
@@ -7,7 +7,6 @@ __all__ = [
     "RUNS",
     "csv_audit",
     "first_link",
-    "first_member_header",
     "first_member_lines",
     "page_requests",
     "parse_lines",
@@ -15,5 +14,6 @@ __all__ = [
     "read_csv",
     "read_documents",
     "read_landed",
+    "shared_header",
     "stage_lines",
 ]

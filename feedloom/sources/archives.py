@@ -9,7 +9,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Text that leaves a task as one row, cut at the last line's end.
@@ -21,31 +21,36 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
-def first_member_lines(archives: DataFrame, columns: list[str], *keep: str) -> DataFrame:
+def first_member_lines(
+    archives: DataFrame, columns: list[str] | None, *keep: str, seen: Observation | None = None
+) -> DataFrame:
     """One `line` row per data line of each archive's first member.
 
-    `columns` is the header the member must have; `keep` names string columns of
-    `archives` to carry along. Python only inflates and cuts blocks of a few MB; lines
-    are split by Spark. One archive is one task's work, since a zip stream cannot be
-    split, and a task holds one block of it.
+    `columns` is the header the member must have; without it any header will do, and
+    `seen` tells `shared_header` of it. `keep` names string columns of `archives` to carry
+    along. Python only inflates and cuts blocks of a few MB; lines are split by Spark. One
+    archive is one task's work, since a zip stream cannot be split, and a task holds one
+    block of it.
     """
     names = list(dict.fromkeys(("path", *keep)))
     blocks = _expand(archives, names, columns)
+    if seen is not None:
+        blocks = blocks.observe(seen, F.min("header").alias("first"), F.max("header").alias("last"))
     lines = blocks.select(*keep, F.explode(F.split("block", "\r\n|[\r\n]")).alias("line"))
     return lines.where(F.rlike("line", F.lit(r"[^\s\p{Z}\x1c-\x1f\x85]")))
 
 
-def first_member_header(archives: DataFrame) -> list[str]:
-    """The column names in the header lines of the archives' first members, all alike."""
-    headers = [row["block"] for row in _expand(archives, ["path"], None).select("block").distinct().limit(2).collect()]
+def shared_header(seen: Observation) -> list[str]:
+    """The column names in the header lines that were seen, which must be all alike."""
+    headers = sorted({seen.get["first"], seen.get["last"]} - {None})
     if len(headers) != 1:
         raise ValueError(f"archives must share one header, found {headers or 'none'}")
     return next(csv.reader(headers))
 
 
 def _expand(archives: DataFrame, names: list[str], columns: list[str] | None) -> DataFrame:
-    """`names` and the blocks of data lines of each first member, or without `columns` its header line."""
-    schema = pa.schema([(name, pa.string()) for name in names] + [("block", pa.large_string())])
+    """`names`, the header line and the blocks of data lines of each first member, one block at least."""
+    schema = pa.schema([(name, pa.string()) for name in (*names, "header")] + [("block", pa.large_string())])
 
     # Nested, so that they travel to the executors with `expand`.
     def blocks(content: pa.Buffer) -> Iterator[str]:
@@ -65,29 +70,24 @@ def _expand(archives: DataFrame, names: list[str], columns: list[str] | None) ->
                         held.append(text)
                 yield "".join([*held, decode(b"", True)])
 
-    def member_blocks(content: pa.Buffer, path: str) -> Iterator[str]:
-        """The header line, or with `columns` what follows it: the first line with more than white space."""
-        found = False
+    def member_blocks(content: pa.Buffer, path: str) -> Iterator[tuple[str, str]]:
+        """The header line, the first with more than white space, and what follows it."""
+        header = None
         for block in blocks(content):
-            if not found:
-                header = next((line for line in re.finditer("[^\r\n]+", block) if line[0].strip()), None)
-                if header is None:
+            if header is None:
+                found = next((line for line in re.finditer("[^\r\n]+", block) if line[0].strip()), None)
+                if found is None:
                     continue
-                found = True
-                if columns is None:
-                    yield header[0]
-                    return
-                check(path, next(csv.reader([header[0]]), []))
-                block = block[header.end() :]
-            if block:
-                yield block
-        if not found and columns is None:
-            yield ""
-        elif not found:
+                header = found[0]
+                check(path, next(csv.reader([header]), []))
+                block = block[found.end() :]
+            yield header, block
+        if header is None:
             check(path, [])
+            yield "", ""
 
     def check(path: str, header: list[str]) -> None:
-        if header != columns:
+        if columns is not None and header != columns:
             raise ValueError(f"{path}: header {header} is not the declared {columns}")
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,8 +96,8 @@ def _expand(archives: DataFrame, names: list[str], columns: list[str] | None) ->
             carried = [batch.column(name) for name in names]
             for row in range(batch.num_rows):
                 fixed = [column[row].as_py() for column in carried]
-                for block in member_blocks(contents[row].as_buffer(), fixed[0]):
-                    arrays = [pa.array([value], pa.string()) for value in fixed]
+                for header, block in member_blocks(contents[row].as_buffer(), fixed[0]):
+                    arrays = [pa.array([value], pa.string()) for value in (*fixed, header)]
                     yield pa.RecordBatch.from_arrays([*arrays, pa.array([block], pa.large_string())], schema=schema)
 
     ddl = ", ".join(f"`{name}` string" for name in schema.names)
