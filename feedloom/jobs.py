@@ -22,6 +22,7 @@ from feedloom.operators import preview, require_rows, row_counter
 from feedloom.plans.feeds import arrivals, incidents, passenger_volume, stops
 from feedloom.sinks import append_table, jdbc_options, month_replace, replace_table
 from feedloom.sources import read_archives, read_documents, read_landed
+from feedloom.workspace import clear
 
 # The tables of the four loads.
 TABLES = {
@@ -108,6 +109,7 @@ def run(argv: Sequence[str] | None = None, env: Mapping[str, str] = os.environ)
     if args.load in ("arrivals", "incidents"):
         failed = {why: n for why, n in failures.get.items() if n and why != "responses"}
         print(f"{failures.get['responses']} responses, failed: {failed or 0}")
+    clear(spark)
     return seen.get["rows"]
 
 

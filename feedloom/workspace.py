@@ -10,6 +10,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: list[str] = []
+
 
 @functools.cache
 def _local_folder() -> str:
@@ -28,7 +30,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path nothing has written to yet, so that a re-run never meets old files."""
-    return f"{shared_folder(spark)}/feedloom/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/feedloom/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete what this driver has settled so far, once no result that reads it is needed any more."""
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:

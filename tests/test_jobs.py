@@ -5,11 +5,12 @@ from __future__ import annotations
 import io
 import json
 import zipfile
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
 
-from feedloom import jobs
+from feedloom import jobs, workspace
 from feedloom.sources import LANDED
 
 
@@ -44,7 +45,10 @@ def test_stops_fall_back_to_the_snapshot(spark, tmp_path):
     snapshot.mkdir()
     (snapshot / "stops.json").write_text(json.dumps({"value": [{"BusStopCode": "9", "Latitude": 1.5}]}))
     target = str(tmp_path / "t")
+    settled = workspace.new_path(spark, "before")
+    spark.range(1).write.parquet(settled)
     assert jobs.run(["stops", "--landed", landed, "--fallback", str(snapshot), "--target", target]) == 1
+    assert not Path(settled.removeprefix("file://")).exists()
     assert spark.read.parquet(target).first().BusStopCode == "9"
 
 
