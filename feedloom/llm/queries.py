@@ -284,4 +284,23 @@ ORACLES = {
         judged AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM counted)
         SELECT *, NOT base_failed AND 100 * n_removed_words <= {DEPLETED_PERCENT} * n_words AS kept FROM judged
     """,
+    # The tables' pages all mark their article, so patterns find the same text there.
+    "op10_html_extract": r"""
+        WITH articles AS (
+            SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|$)', 1) AS html FROM pages
+        ),
+        blocks AS (
+            SELECT page_id, url, string_split(regexp_replace(regexp_replace(
+                replace(html, '<br>', ' '), '</?(p|h1)>', chr(31), 'g'), '<[^>]*(>|$)', '', 'g'), chr(31)) AS blocks
+            FROM articles
+        ),
+        texts AS (
+            SELECT page_id, url, array_to_string(list_filter(list_transform(blocks, lambda b: trim(regexp_replace(
+                regexp_replace(replace(regexp_replace(regexp_replace(regexp_replace(
+                    b, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&#x27;', chr(39)), '&amp;?', '&', 'g'),
+                '\s+', ' ', 'g'))), lambda b: b != ''), chr(10) || chr(10)) AS text
+            FROM blocks
+        )
+        SELECT page_id, url, text, length(text) AS n_chars FROM texts
+    """,
 }
