@@ -82,7 +82,7 @@ def templates(lines: DataFrame, occurrences: DataFrame, enough: Column, constant
     tokens = tokens.withColumn("spot", F.xxhash64("leaf", "place", "token"))
     constants = tokens.groupBy("spot", "size").agg(F.sum("n").alias("n")).where(enough).select("spot")
     constants = settle(constants.withColumn("constant", F.lit(True)), "constant-tokens")
-    rare = sized_join(tokens.where(~enough), constants, "spot", "left")
+    rare = tokens.where(~enough).join(constants.hint("merge"), "spot", "left")  # merged at every size, as they grow alike
     token = F.when(F.col("constant"), F.col("token")).otherwise(WILDCARD)
     general = (
         rare.groupBy("leaf", "key")
