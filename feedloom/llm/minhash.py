@@ -299,7 +299,11 @@ def near_duplicates(
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents that `near_duplicates` keeps, with all their columns: one of each group."""
+    """The documents that `near_duplicates` keeps, with all their columns: one of each group.
+
+    Rows that share a doc_id are one document and stay together; so do all rows without
+    an id, which cannot be told apart, if one of them is kept.
+    """
     kept = near_duplicates(docs, doc_id, text, **options).where("kept").select("doc_id").distinct()
     packed = docs.select(whole_row(docs))
     return packed.join(kept, F.col("row")[doc_id].eqNullSafe(F.col("doc_id")), "left_semi").select("row.*")
