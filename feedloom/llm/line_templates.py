@@ -1,10 +1,11 @@
 """Line dedup by a log-template tree of fixed depth, in DataFrame functions only.
 
 A line's leaf in the tree is its token count and its leading tokens, with digit runs as
-wildcards. Within a leaf that recurs, a token stays in the template where enough
-documents have it at that place; the other places are variable fields and become
-wildcards too. Templates that recur across documents are dropped but for the first
-document that has them.
+wildcards. Within a leaf that recurs, the tokens of a line that most documents have at
+that place stay in its template, as many as it needs to count as constant; rarer ones are
+values of variable fields and become wildcards too, however many documents the leaf has.
+Templates that recur across documents are dropped but for the first document that has
+them.
 """
 
 from __future__ import annotations
@@ -64,11 +65,13 @@ def recurs(min_docs: int, long_min_docs: int) -> Column:
 
 
 def templates(lines: DataFrame, occurrences: DataFrame, enough: Column, constant_percent: int) -> DataFrame:
-    """(leaf, key, template, fixed): the template of each line in a recurring leaf.
+    """(leaf, key, template): the template of each line in a recurring leaf that has enough constant tokens.
 
-    `fixed` says whether enough of its tokens are constant. A line that recurs by itself
-    is its own template; of the others the tokens that do not recur at their place in
-    the leaf are generalised.
+    A token's support is the number of documents that have it at its place in the leaf.
+    The template is the most general one that still has `constant_percent` of its tokens
+    free of wildcards: it keeps those with at least the support that so many of them
+    reach. Only the order of the supports matters, so that a corpus of any size gives the
+    same template; a support that is not enough to recur counts as none.
     """
     leaves = occurrences.groupBy("leaf", "size").agg(F.count("*").alias("n")).where(enough).select("leaf")
     leaves = settle(leaves, "recurring-leaves")
@@ -80,24 +83,23 @@ def templates(lines: DataFrame, occurrences: DataFrame, enough: Column, constant
 
     tokens = known.select("leaf", "key", "size", "n", F.posexplode(F.split("line", " ")).alias("place", "token"))
     tokens = tokens.withColumn("spot", F.xxhash64("leaf", "place", "token"))
-    constants = tokens.groupBy("spot", "size").agg(F.sum("n").alias("n")).where(enough).select("spot")
-    constants = settle(constants.withColumn("constant", F.lit(True)), "constant-tokens")
-    rare = tokens.where(~enough).join(constants.hint("merge"), "spot", "left")  # merged at every size, as they grow alike
-    token = F.when(F.col("constant"), F.col("token")).otherwise(WILDCARD)
-    general = (
-        rare.groupBy("leaf", "key")
-        .agg(F.array_sort(F.collect_list(F.struct("place", token.alias("token")))).alias("tokens"))
-        .select("leaf", "key", F.array_join(F.col("tokens")["token"], " ").alias("template"))
-    )
-    own = known.where(enough).select("leaf", "key", F.col("line").alias("template"))
-    parts = F.split("template", " ")
-    constant = F.size(F.filter(parts, lambda token: ~F.contains(token, F.lit(WILDCARD))))
-    return general.unionByName(own).select(
-        "leaf",
-        "key",
-        F.xxhash64("leaf", "template").alias("template"),
-        (constant * 100 >= F.size(parts) * constant_percent).alias("fixed"),
-    )
+    supports = tokens.groupBy("spot", "size").agg(F.sum("n").alias("n")).where(enough)
+    supports = settle(supports.select("spot", F.col("n").alias("support")), "constant-tokens")
+    # merged at every size, as they grow alike
+    placed = tokens.drop("size", "n").join(supports.hint("merge"), "spot", "left")
+    token = F.struct("place", "token", F.coalesce("support", F.lit(0)).alias("support"))
+    placed = placed.groupBy("leaf", "key").agg(F.array_sort(F.collect_list(token)).alias("tokens"))
+
+    plain = F.filter("tokens", lambda token: ~F.contains(token["token"], F.lit(WILDCARD)))["support"]
+    needed = F.ceil(F.size("tokens") * constant_percent / 100).cast("int")
+    least = F.get(F.sort_array(plain, asc=False), needed - 1)
+
+    def general(least: Column) -> Column:
+        kept = F.transform("tokens", lambda token: F.when(token["support"] >= least, token["token"]).otherwise(WILDCARD))
+        return F.xxhash64("leaf", F.array_join(kept, " "))
+
+    template = F.get(F.transform(F.array(least), general), 0)  # bound, so that it is not found again for each token
+    return placed.where(least > 0).select("leaf", "key", template.alias("template"))
 
 
 def dropped_lines(
@@ -120,7 +122,7 @@ def dropped_lines(
     occurrences = settle(found.groupBy("leaf", "key", "size", "doc").agg(F.min("doc_id").alias("doc_id")), "line-places")
 
     enough = recurs(min_docs, long_min_docs)
-    mapped = templates(lines, occurrences, enough, constant_percent).where("fixed").drop("fixed")
+    mapped = templates(lines, occurrences, enough, constant_percent)
     mapped = occurrences.join(mapped, ["leaf", "key"]).select("template", "size", "key", "doc", "doc_id")
     mapped = settle(mapped, "templated")
     recurring = (

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 from feedloom.llm.line_templates import drop_repeated_lines, repeated_lines
 
 
@@ -29,6 +31,18 @@ def test_variable_fields_are_generalised(make_docs):
     assert found[0] == [] and all(found[n] == [1] for n in range(1, 30))
 
 
+@pytest.mark.parametrize("n_docs", [200, 3600])
+def test_recurring_field_values_are_generalised_at_every_size(make_docs, n_docs):
+    """Two fields of 20 values each: every value recurs at both sizes, no pair of them does at either."""
+    rng = random.Random(9)
+    authors, cities = prose(rng, 20).split(), prose(rng, 20).split()
+    fields = [(authors[n % 20], cities[n // 20 % 20]) for n in range(n_docs)]
+    rng.shuffle(fields)
+    texts = [f"{prose(rng)}\nthis report was written by {author} for our readers in {city} today" for author, city in fields]
+    found = dropped(make_docs(*texts))
+    assert found == {n: [1] if n else [] for n in range(n_docs)}
+
+
 def test_passages_of_many_words_are_found(make_docs):
     rng = random.Random(2)
     passage = prose(rng, 60)
