@@ -64,14 +64,20 @@ def recurs(min_docs: int, long_min_docs: int) -> Column:
     return F.col("n") >= F.when(F.col("size") >= LONG_TOKENS, long_min_docs).otherwise(min_docs)
 
 
-def templates(lines: DataFrame, occurrences: DataFrame, enough: Column, constant_percent: int) -> DataFrame:
+def reached(supports: Column, n: Column, percent: int) -> Column:
+    """The support that `percent` of `n` tokens reach; null where there are not so many."""
+    return F.get(F.sort_array(supports, asc=False), F.ceil(n * percent / 100).cast("int") - 1)
+
+
+def templates(lines: DataFrame, occurrences: DataFrame, enough: Column, depth: int, constant_percent: int) -> DataFrame:
     """(leaf, key, template): the template of each line in a recurring leaf that has enough constant tokens.
 
     A token's support is the number of documents that have it at its place in the leaf.
     The template is the most general one that still has `constant_percent` of its tokens
-    free of wildcards: it keeps those with at least the support that so many of them
-    reach. Only the order of the supports matters, so that a corpus of any size gives the
-    same template; a support that is not enough to recur counts as none.
+    free of wildcards, and keeps that share of the tokens that the leaf does not fix: it
+    keeps those with at least the support that so many of them reach. Only the order of
+    the supports matters, so that a corpus of any size gives the same template; a support
+    that is not enough to recur counts as none.
     """
     leaves = occurrences.groupBy("leaf", "size").agg(F.count("*").alias("n")).where(enough).select("leaf")
     leaves = settle(leaves, "recurring-leaves")
@@ -91,8 +97,9 @@ def templates(lines: DataFrame, occurrences: DataFrame, enough: Column, constant
     placed = placed.groupBy("leaf", "key").agg(F.array_sort(F.collect_list(token)).alias("tokens"))
 
     plain = F.filter("tokens", lambda token: ~F.contains(token["token"], F.lit(WILDCARD)))["support"]
-    needed = F.ceil(F.size("tokens") * constant_percent / 100).cast("int")
-    least = F.get(F.sort_array(plain, asc=False), needed - 1)
+    least = reached(plain, F.size("tokens"), constant_percent)
+    free = F.slice("tokens", depth + 1, F.greatest(F.size("tokens"), F.lit(1)))["support"]
+    least = F.when(least.isNotNull(), F.least(least, reached(free, F.size(free), constant_percent)))
 
     def general(least: Column) -> Column:
         kept = F.transform("tokens", lambda token: F.when(token["support"] >= least, token["token"]).otherwise(WILDCARD))
@@ -122,7 +129,7 @@ def dropped_lines(
     occurrences = settle(found.groupBy("leaf", "key", "size", "doc").agg(F.min("doc_id").alias("doc_id")), "line-places")
 
     enough = recurs(min_docs, long_min_docs)
-    mapped = templates(lines, occurrences, enough, constant_percent)
+    mapped = templates(lines, occurrences, enough, depth, constant_percent)
     mapped = occurrences.join(mapped, ["leaf", "key"]).select("template", "size", "key", "doc", "doc_id")
     mapped = settle(mapped, "templated")
     recurring = (
