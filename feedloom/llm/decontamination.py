@@ -3,7 +3,7 @@
 Numbers, names and units become typed placeholders, so that a question asked with other
 values has the same template. Windows of template tokens are hashed and joined; matching
 windows are then compared slot by slot, and count where each value of the benchmark item
-stands for one and the same value of the document throughout.
+stands for the value of the document that it mostly stands for.
 """
 
 from __future__ import annotations
@@ -97,6 +97,43 @@ def item_windows(benchmark: DataFrame, item_id: str, text: str, window: int) ->
     return settle(found.withColumn("literals", literals).withColumnRenamed("place", "item_place"), "item-windows")
 
 
+def clashes(pairs: DataFrame, run: list[str]) -> DataFrame:
+    """(bad_ and each name of `run`, broken, bad_spots): the runs in which an item's value has several in the document.
+
+    Windows that do not match, but have as many literals as placeholders, say too what
+    such a value stands for. `bad_spots` are the item's slots with another value than the main one of theirs;
+    `broken` says that a value has no main one.
+    """
+    slots = F.filter(
+        F.transform(
+            F.arrays_zip(F.col("types").alias("type"), F.col("values").alias("theirs"), F.col("own_values").alias("ours")),
+            lambda slot, at: slot.withField("spot", F.col("item_place") + at),
+        ),
+        lambda slot: F.startswith(slot["type"], F.lit("<")),
+    )
+    form = F.struct(F.size("spots").alias("n"), (F.col("theirs") == F.col("ours")).alias("own"), "ours", "spots")
+    forms = (
+        pairs.select(*run, "strong", F.inline(slots))
+        .groupBy(*run, "theirs", "ours")
+        .agg(F.collect_set("spot").alias("spots"), F.max("strong").alias("strong"))
+        .groupBy(*run, "theirs")
+        .agg(
+            F.count_if("strong").alias("n_strong"),
+            F.sum(F.size("spots")).alias("n"),
+            F.sort_array(F.collect_list(form), asc=False).alias("forms"),
+        )
+        .where("n_strong > 1")
+    )
+    main = F.col("forms")[0]
+    held = (main["n"] * 2 > F.col("n")) | (main["n"] * 2 == F.col("n")) & main["own"]
+    others = F.flatten(F.slice("forms", 2, F.size("forms"))["spots"])
+    return (
+        forms.select(*[F.col(name).alias(f"bad_{name}") for name in run], held.alias("held"), others.alias("others"))
+        .groupBy(*[f"bad_{name}" for name in run])
+        .agg((~F.every("held")).alias("broken"), F.flatten(F.collect_list("others")).alias("bad_spots"))
+    )
+
+
 def matches(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -111,8 +148,9 @@ def matches(
 
     A window matches where template tokens are equal, and either all values are too or
     at least `min_literals` tokens are no placeholders. Matches with the same shift
-    between document and item count if each value in the item's slots has one value in
-    the document's. A text is contaminated by an item when at least `min_percent` of the
+    between document and item count if each value in the item's slots has one main value
+    in the document's: that of over half of its slots, or at half of them itself. Windows
+    with another value than the main one do not count. A text is contaminated by an item when at least `min_percent` of the
     item's windows count. Benchmark windows are broadcast where their measured size
     allows it, and merged otherwise.
     """
@@ -128,28 +166,17 @@ def matches(
     pairs = sized_join(
         detailed_windows(texts, window, "doc").drop("types").withColumnRenamed("values", "own_values"), items, "hash"
     )
-    pairs = pairs.withColumn("shift", F.col("place") - F.col("item_place")).where(
-        F.col("own_values").eqNullSafe(F.col("values")) | (F.col("literals") >= min_literals)
-    )
+    strong = F.col("own_values").eqNullSafe(F.col("values")) | (F.col("literals") >= min_literals)
+    pairs = pairs.withColumn("shift", F.col("place") - F.col("item_place")).withColumn("strong", strong)
+    pairs = pairs.where(F.col("strong") | (F.col("literals") * 2 >= F.size("types")))
     pairs = settle(pairs.drop("hash", "literals", "place"), "matched-windows")
 
     run = ["doc", "item_id", "item", "shift"]
-    slots = F.filter(
-        F.arrays_zip(F.col("types").alias("type"), F.col("values").alias("theirs"), F.col("own_values").alias("ours")),
-        lambda slot: F.startswith(slot["type"], F.lit("<")),
-    )
-    clashing = (
-        pairs.select(*run, F.inline(slots))
-        .groupBy(*run, "theirs", "ours")
-        .agg(F.lit(1).alias("one"))
-        .groupBy(*run, "theirs")
-        .agg(F.count("*").alias("n"))
-        .where("n > 1")
-        .select(*[F.col(name).alias(f"bad_{name}") for name in run])
-        .distinct()
-    )
+    clashing = clashes(pairs, run)
     same = [F.col(name).eqNullSafe(F.col(f"bad_{name}")) for name in run]
-    sound = pairs.select(*run, "item_place", "n_windows").join(clashing, same, "left_anti")
+    end = F.col("item_place") + F.size("types")
+    spoilt = F.exists("bad_spots", lambda spot: (spot >= F.col("item_place")) & (spot < end))
+    sound = pairs.where("strong").join(clashing, same, "left").where(F.coalesce(~F.col("broken") & ~spoilt, F.lit(True)))
     counted = (
         sound.groupBy("doc", "item_id", "item", "item_place", "n_windows")
         .agg(F.lit(1).alias("one"))

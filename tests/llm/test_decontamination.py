@@ -41,6 +41,18 @@ def test_slots_that_change_their_value_are_no_match(make_docs, benchmark):
     assert found(make_docs(mixed), benchmark) == set()
 
 
+def test_one_changed_value_leaves_the_other_windows(make_docs, benchmark):
+    """Of two numbers that are the same one is changed, in a copy word for word and in one with other names."""
+    changed = QUESTION.replace("3 km more", "6 km more")
+    assert changed != QUESTION
+    renamed = QUESTION.replace("Alice", "Bruno").replace("Bruno walks", "Clara walks")
+    swapped = QUESTION.replace("3 km to", "7 km to").replace("3 km more", "6 km more")
+    rows = contaminated(make_docs(changed, renamed, swapped), benchmark).collect()
+    assert sorted((row["doc_id"], row["item_id"], row["n_matched"]) for row in rows) == [
+        (doc, item, n) for doc, n in ((0, 29), (1, 27)) for item in (1, 5)
+    ]
+
+
 def test_half_of_an_item_is_needed(make_docs, benchmark):
     words = QUESTION.split()
     assert found(make_docs(" ".join(words[:32]), " ".join(words[:12])), benchmark) == {(0, 1), (0, 5)}
