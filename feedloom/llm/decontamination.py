@@ -8,6 +8,8 @@ stands for the value of the document that it mostly stands for.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,8 @@ WINDOW = 8
 MIN_LITERALS = 5
 #: Windows of an item that a document must have, in percent.
 MIN_PERCENT = 50
+#: Consecutive equal tokens that are a copy by themselves, whatever their share of the item.
+COPIED = 25
 #: A number, or a word of letters.
 TOKEN = r"[0-9]+(?:[.,][0-9]+)*|\p{L}+"
 #: Words that are units when they follow a number.
@@ -68,7 +72,7 @@ def windows(window: int) -> Column:
     def one(start: Column) -> Column:
         return F.xxhash64(*[F.get("hashes", start + shift) for shift in range(window)])
 
-    return F.when(F.size("hashes") >= window, F.transform(starts, one))
+    return F.when(F.size("hashes") >= window, F.transform(starts, one)).otherwise(F.array().cast("array<bigint>"))
 
 
 def detailed_windows(texts: DataFrame, window: int, *keep: str) -> DataFrame:
@@ -86,15 +90,25 @@ def detailed_windows(texts: DataFrame, window: int, *keep: str) -> DataFrame:
     return hashed.select(*keep, F.inline(F.transform("found", one)))
 
 
-def item_windows(benchmark: DataFrame, item_id: str, text: str, window: int) -> DataFrame:
-    """Every window of every distinct item, settled, with the item's number of windows."""
+def union(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables)
+
+
+def item_windows(benchmark: DataFrame, item_id: str, text: str, window: int) -> tuple[DataFrame, list[int]]:
+    """Every window of every distinct item, settled, with the item's number of windows; the windows' lengths.
+
+    An item shorter than a window has one of its whole length.
+    """
     items = benchmark.select(F.col(f"`{item_id}`").alias("item_id"), F.col(f"`{text}`").alias("text")).distinct()
     hashed = with_hashes(items, F.col("text"), F.col("item_id"), F.xxhash64("text").alias("item"))
-    found = detailed_windows(
-        hashed.withColumn("n_windows", (F.size("hashes") - window + 1).cast("bigint")), window, "item_id", "item", "n_windows"
-    )
+    length = F.least(F.size("hashes"), F.lit(window))
+    hashed = hashed.withColumn("n_windows", (F.size("hashes") - length + 1).cast("bigint"))
+    short = hashed.where(F.size("hashes").between(1, window - 1)).select(F.size("hashes").alias("n")).distinct()
+    lengths = [row["n"] for row in short.collect()] + [window]
+    found = [detailed_windows(hashed.where(length == n), n, "item_id", "item", "n_windows") for n in lengths]
     literals = F.size(F.filter("types", lambda token: ~F.startswith(token, F.lit("<"))))
-    return settle(found.withColumn("literals", literals).withColumnRenamed("place", "item_place"), "item-windows")
+    found = union(found).withColumn("literals", literals).withColumnRenamed("place", "item_place")
+    return settle(found, "item-windows"), lengths
 
 
 def clashes(pairs: DataFrame, run: list[str]) -> DataFrame:
@@ -143,6 +157,7 @@ def matches(
     window: int = WINDOW,
     min_literals: int = MIN_LITERALS,
     min_percent: int = MIN_PERCENT,
+    copied: int = COPIED,
 ) -> DataFrame:
     """(text_hash, item_id, n_matched, n_windows): the contaminated texts, settled.
 
@@ -151,23 +166,25 @@ def matches(
     between document and item count if each value in the item's slots has one main value
     in the document's: that of over half of its slots, or at half of them itself. Windows
     with another value than the main one do not count. A text is contaminated by an item when at least `min_percent` of the
-    item's windows count. Benchmark windows are broadcast where their measured size
+    item's windows count, or by a copy of `copied` or more consecutive equal tokens; then
+    all equal windows of that shift count. An item shorter than a window is one window of
+    its whole length. Benchmark windows are broadcast where their measured size
     allows it, and merged otherwise.
     """
-    items = item_windows(benchmark, item_id, item_text, window)
+    items, lengths = item_windows(benchmark, item_id, item_text, window)
     hashes = settle(items.select("hash").distinct(), "item-hashes")
     own = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
     hashed = with_hashes(docs, F.col(f"`{text}`"), own.alias("doc"))
-    found = hashed.select("doc", F.explode(windows(window)).alias("hash"))
+    found = hashed.select("doc", F.explode(F.concat(*[windows(n) for n in lengths])).alias("hash"))
     candidates = settle(sized_join(found, hashes, "hash", "left_semi").select("doc").distinct(), "candidates")
 
     texts = sized_join(docs.select(own.alias("doc"), F.col(f"`{text}`").alias("text")), candidates, "doc", "left_semi")
     texts = with_hashes(texts.distinct(), F.col("text"), F.col("doc"))
-    pairs = sized_join(
-        detailed_windows(texts, window, "doc").drop("types").withColumnRenamed("values", "own_values"), items, "hash"
-    )
-    strong = F.col("own_values").eqNullSafe(F.col("values")) | (F.col("literals") >= min_literals)
-    pairs = pairs.withColumn("shift", F.col("place") - F.col("item_place")).withColumn("strong", strong)
+    own_windows = union([detailed_windows(texts, n, "doc") for n in lengths])
+    pairs = sized_join(own_windows.drop("types").withColumnRenamed("values", "own_values"), items, "hash")
+    equal = F.col("own_values").eqNullSafe(F.col("values"))
+    strong = equal | (F.col("literals") >= min_literals)
+    pairs = pairs.withColumn("shift", F.col("place") - F.col("item_place")).withColumns({"strong": strong, "equal": equal})
     pairs = pairs.where(F.col("strong") | (F.col("literals") * 2 >= F.size("types")))
     pairs = settle(pairs.drop("hash", "literals", "place"), "matched-windows")
 
@@ -176,13 +193,21 @@ def matches(
     same = [F.col(name).eqNullSafe(F.col(f"bad_{name}")) for name in run]
     end = F.col("item_place") + F.size("types")
     spoilt = F.exists("bad_spots", lambda spot: (spot >= F.col("item_place")) & (spot < end))
-    sound = pairs.where("strong").join(clashing, same, "left").where(F.coalesce(~F.col("broken") & ~spoilt, F.lit(True)))
+    places = F.sort_array(F.collect_set("item_place"))
+    length = max(copied - window + 1, 1)  # in windows
+    copies = pairs.where("equal").groupBy(*run).agg(places.alias("places")).where(F.size("places") >= length)
+    starts = F.sequence(F.lit(0), F.size("places") - length)
+    consecutive = F.exists(starts, lambda at: F.get("places", at + length - 1) - F.get("places", at) == length - 1)
+    copies = copies.where(consecutive).select(*[F.col(name).alias(f"bad_{name}") for name in run], F.lit(True).alias("copy"))
+    judged = pairs.where("strong").join(clashing, same, "left").drop(*[f"bad_{name}" for name in run])
+    judged = judged.join(copies, same, "left").withColumn("copy", F.coalesce("copy", F.lit(False)))
+    sound = judged.where(F.coalesce(~F.col("broken") & ~spoilt, F.lit(True)) | (F.col("copy") & F.col("equal")))
     counted = (
         sound.groupBy("doc", "item_id", "item", "item_place", "n_windows")
-        .agg(F.lit(1).alias("one"))
+        .agg(F.max("copy").alias("copy"))
         .groupBy("doc", "item_id", "item", "n_windows")
-        .agg(F.count("*").alias("n_matched"))
-        .where(F.col("n_matched") * 100 >= F.col("n_windows") * min_percent)
+        .agg(F.count("*").alias("n_matched"), F.max("copy").alias("copy"))
+        .where(F.col("copy") | (F.col("n_matched") * 100 >= F.col("n_windows") * min_percent))
     )
     best = counted.groupBy(F.col("doc").alias("text_hash"), "item_id").agg(
         F.max(F.struct("n_matched", "n_windows")).alias("best")
@@ -195,8 +220,7 @@ def contaminated(
 ) -> DataFrame:
     """One row per contaminated document and item: doc_id, item_id, n_matched, n_windows.
 
-    Null and empty texts, and texts or items with fewer tokens than a window, match
-    nothing. Documents with equal texts, and repeated rows, each get their rows; of items
+    Null and empty texts, and items without a token, match nothing. Documents with equal texts, and repeated rows, each get their rows; of items
     that share an id the best match counts. Null ids are carried as they are. Other
     columns are not looked at; empty tables on either side give no rows.
     """

@@ -58,6 +58,24 @@ def test_half_of_an_item_is_needed(make_docs, benchmark):
     assert found(make_docs(" ".join(words[:32]), " ".join(words[:12])), benchmark) == {(0, 1), (0, 5)}
 
 
+def test_items_shorter_than_a_window_are_found_as_they_are(make_docs, spark):
+    items = spark.createDataFrame([(1, "What is 17 times 23?"), (2, "So it is"), (3, "?")], "item_id bigint, text string")
+    docs = make_docs("They ask: What is 17 times 23? Nobody knows.", "What is 18 times 23", "What is 17 times 23", "so it was", "")
+    rows = contaminated(docs, items).collect()
+    assert {tuple(row) for row in rows} == {(0, 1, 1, 1), (2, 1, 1, 1)}
+
+
+def test_a_long_copy_counts_by_itself(make_docs, spark):
+    """25 and 60 consecutive tokens of 150, the latter with other values around it; 24 are not enough."""
+    words = [f"w{chr(97 + n // 26)}{chr(97 + n % 26)}" for n in range(150)]
+    words[0] = words[30] = words[60] = "Ann"
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id bigint, text string")
+    other = " ".join(words[31:91]).replace("Ann", "Eve")
+    docs = make_docs(" ".join(words[31:55]), " ".join(words[31:56]), f"so {' '.join(words[61:121])} so", f"Bob {other}")
+    rows = contaminated(docs, items).collect()
+    assert {tuple(row) for row in rows} == {(1, 1, 18, 143), (2, 1, 53, 143), (3, 1, 45, 143)}
+
+
 def test_placeholders_alone_are_no_evidence(make_docs, spark):
     items = spark.createDataFrame([(1, "One Two Three Four Five Six Seven Eight Nine Ten")], "item_id bigint, text string")
     docs = make_docs("Uno Due Tre Quattro Cinque Sei Sette Otto Nove Dieci", "One Two Three Four Five Six Seven Eight Nine Ten")
