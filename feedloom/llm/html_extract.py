@@ -166,14 +166,15 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
             flow.append((stack[-1], " "))
         elif name not in INLINE:
             flow.append((number, None))
-        if name in RAW:
+        closed = attributes.rstrip().endswith("/")
+        if name in RAW and not (closed and name == "svg"):
             end = raw_end(name).search(html, at)
             stack.append(number)
             if end is None:
                 at = size
             else:
                 at = end.start()
-        elif name not in VOID and not attributes.rstrip().endswith("/"):
+        elif name not in VOID and not closed:
             stack.append(number)
     for node, piece in flow:
         if piece is not None and not piece.isspace():

@@ -52,6 +52,14 @@ def test_marginals_are_those_of_all_labellings(model):
     assert model.marginals(nodes) == pytest.approx([total / weight for total in content])
 
 
+@pytest.mark.parametrize("icon", ["<svg/>", '<svg class="icon" viewBox="0 0 1 1" />', "<SVG width='1'/>"])
+def test_a_self_closed_svg_has_no_content(pages, model, icon):
+    for row in pages.limit(20).collect():
+        before = row["html"].replace("<article>", f"{icon}<article>")
+        both = before.replace("</article>", "</article><svg><text>drawn</text></svg>")
+        assert main_text(before, model) == main_text(both, model) == of_article(row["html"])
+
+
 @pytest.mark.parametrize("container", ["<div class='content'>", "<div>", "<td>"])
 def test_pages_with_another_container_give_the_same(pages, model, container):
     for row in pages.limit(60).collect():
