@@ -10,6 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom.llm.bpe_automaton import decode, encode
 from feedloom.llm.decontamination import MIN_LITERALS, MIN_PERCENT, TOKEN, UNITS, WINDOW, contaminated
 from feedloom.llm.html_extract import extract
 from feedloom.llm.language_id import identify
@@ -103,6 +104,19 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op13_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by the 49k vocabulary with word ends and decoded again, as digests."""
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    docs = table(spark, sf_dir, "documents").select("doc_id", encode("text", vocabulary).alias("ids"))
+    docs = docs.withColumn("decoded", decode("ids", vocabulary))
+    return docs.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_line_dedup": op1_line_dedup,
@@ -115,6 +129,7 @@ QUERIES = {
     "op8_minhash": op8_minhash,
     "op9_quality": op9_quality,
     "op10_html_extract": op10_html_extract,
+    "op13_bpe_automaton": op13_bpe_automaton,
 }
 
 WORD = r"[^\x20\x09-\x0D]+"
