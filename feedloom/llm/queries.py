@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm.bpe_automaton import decode, encode
+from feedloom.llm.centroids import cluster, with_clusters
 from feedloom.llm.decontamination import MIN_LITERALS, MIN_PERCENT, TOKEN, UNITS, WINDOW, contaminated
 from feedloom.llm.html_extract import extract
 from feedloom.llm.language_id import identify
@@ -104,6 +105,11 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all embeddings after ten rounds from 8 seeds."""
+    return with_clusters(*cluster(table(spark, sf_dir, "embeddings"), clusters=8, rounds=10, size=64, seed="3"))
+
+
 def op13_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded by the 49k vocabulary with word ends and decoded again, as digests."""
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
@@ -129,12 +135,35 @@ QUERIES = {
     "op8_minhash": op8_minhash,
     "op9_quality": op9_quality,
     "op10_html_extract": op10_html_extract,
+    "op12_centroids": op12_centroids,
     "op13_bpe_automaton": op13_bpe_automaton,
 }
 
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+
+def rounds_of_clustering(rounds: int) -> str:
+    """CTEs a1, c1, a2, c2, ...: in each round the vectors' centroids `a` and the next centroids `c`."""
+    ctes = []
+    for at in range(rounds + 1):
+        ctes.append(f"""
+        a{at} AS MATERIALIZED (
+            SELECT row, min(8 * list_sum(list_transform(range(1, 65), lambda i: (k.v[i] - c.v[i]) * (k.v[i] - c.v[i]))) + c) AS best
+            FROM kept k, c{at} c GROUP BY row
+        ),
+        s{at} AS (
+            SELECT best % 8 AS c, i, sum(v[i]) AS s, count(*) AS n
+            FROM a{at} JOIN kept USING (row), range(1, 65) r(i) GROUP BY ALL
+        ),
+        c{at + 1} AS MATERIALIZED (
+            SELECT c.c, coalesce(m.v, c.v) AS v FROM c{at} c LEFT JOIN (
+                SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM s{at} GROUP BY c
+            ) m USING (c)
+        ),""")
+    return "".join(ctes)
+
+
 ORACLES = {
     "op1_line_dedup": r"""
         WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
@@ -318,4 +347,21 @@ ORACLES = {
         )
         SELECT page_id, url, text, length(text) AS n_chars FROM texts
     """,
+    "op12_centroids": f"""
+        WITH kept AS MATERIALIZED (
+            SELECT vec_id, row_number() OVER () AS row,
+                list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64
+        ),
+        c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS c, v
+            FROM kept ORDER BY sha256('3:' || vec_id), v LIMIT 8
+        ),
+        {rounds_of_clustering(10)}
+        found AS (SELECT vec_id, best % 8 AS c, best // 8 AS distance FROM a10 JOIN kept USING (row))
+        SELECT vec_id, c::INTEGER AS cluster, distance::BIGINT AS distance,
+            (sum(distance) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia,
+            sha256(array_to_string(v, ',')) AS centroid_sha256
+        FROM found JOIN c10 USING (c)
+    """,
 }

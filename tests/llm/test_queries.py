@@ -11,6 +11,7 @@ from feedloom.llm.queries import ORACLES, QUERIES
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 PAGES = "page_id bigint, url string, html string"
 BENCHMARK = "item_id bigint, text string"
+EMBEDDINGS = "vec_id bigint, embedding array<float>, label int"
 
 
 def canonical(frame: pd.DataFrame) -> pd.DataFrame:
@@ -32,7 +33,12 @@ def test_query_matches_sql(spark, sql, name, size):
 @pytest.fixture(scope="module")
 def empty_dir(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("empty"))
-    for table, schema in (("documents", DOCUMENTS), ("pages", PAGES), ("benchmark", BENCHMARK)):
+    for table, schema in (
+        ("documents", DOCUMENTS),
+        ("pages", PAGES),
+        ("benchmark", BENCHMARK),
+        ("embeddings", EMBEDDINGS),
+    ):
         spark.createDataFrame([], schema).write.parquet(f"{folder}/{table}.parquet")
     return folder
 
@@ -81,12 +87,14 @@ def odd_dir(spark, tmp_path_factory):
     spark.createDataFrame(pages, PAGES).withColumns(clash).write.parquet(f"{folder}/pages.parquet")
     items = [(None, None), (1, ""), (2, "too short"), (3, " ".join(f"Ask {n} of it" for n in range(4))), (3, None)]
     spark.createDataFrame(items, BENCHMARK).write.parquet(f"{folder}/benchmark.parquet")
+    vectors = [(n % 7 or None, [float((n * at) % 5) for at in range(64)], None) for n in range(20)]
+    spark.createDataFrame(vectors, EMBEDDINGS).write.parquet(f"{folder}/embeddings.parquet")
     return folder
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - {"pipeline", "op2_packing", "op7_decontamination"}))
 def test_odd_rows_each_give_a_row(spark, odd_dir, name):
-    table = "pages" if name.startswith(("op5", "op10")) else "documents"
+    table = {"op5_warc": "pages", "op10_html_extract": "pages", "op12_centroids": "embeddings"}.get(name, "documents")
     expected = spark.read.parquet(f"{odd_dir}/{table}.parquet").count()
     assert len(QUERIES[name](spark, odd_dir).collect()) == expected
 
