@@ -20,8 +20,10 @@ from feedloom.llm.minhash import near_duplicates
 from feedloom.llm.packing import pack
 from feedloom.llm.quality import DEPLETED_PERCENT, LIMIT_DOCS, LIMIT_PERCENT, MAX_REPEAT_PERCENT, MIN_WORDS, judge
 from feedloom.llm.sharding import assign_shards
+from feedloom.llm.token_alignment import align, score_links
 from feedloom.llm.token_counts import count_tokens
 from feedloom.llm.warc import page_of, warc_round_trip
+from feedloom.workspace import settle
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,6 +107,36 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens by the byte-level and the piece vocabulary, aligned and linked."""
+    vocabularies = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    aligned = table(spark, sf_dir, "documents").select("doc_id", align("text", *vocabularies).alias("aligned"))
+    groups = F.col("aligned.groups")
+    rows = aligned.select(
+        F.monotonically_increasing_id().alias("row"),
+        "doc_id",
+        "aligned.n_a",
+        "aligned.n_b",
+        "aligned.n_groups",
+        F.when(groups == "", "").otherwise(F.sha2(groups, 256)).alias("groups_sha256"),
+        "aligned.links",
+    )
+    rows = settle(rows, "aligned")
+    linked = F.aggregate("links", F.lit(0).cast("bigint"), lambda total, link: total + link["n"])
+    scored = rows.withColumn("n_links", linked).drop("links").join(score_links(rows, "row"), "row", "left")
+    none = F.lit(0).cast("bigint")
+    return scored.select(
+        "doc_id",
+        "n_a",
+        "n_b",
+        "n_groups",
+        "n_links",
+        F.coalesce("n_best", none).alias("n_best"),
+        F.coalesce("count_sum", none).alias("count_sum"),
+        "groups_sha256",
+    )
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters of all embeddings after ten rounds from 8 seeds."""
     return with_clusters(*cluster(table(spark, sf_dir, "embeddings"), clusters=8, rounds=10, size=64, seed="3"))
@@ -135,6 +167,7 @@ QUERIES = {
     "op8_minhash": op8_minhash,
     "op9_quality": op9_quality,
     "op10_html_extract": op10_html_extract,
+    "op11_token_alignment": op11_token_alignment,
     "op12_centroids": op12_centroids,
     "op13_bpe_automaton": op13_bpe_automaton,
 }
