@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import bisect
 import collections
 import hashlib
 import random
@@ -55,10 +56,11 @@ class Library:
             at = np.cumsum([len(part) for _, part in side])
             ends.append({int(end): number for end, (number, _) in zip(at, side)})
         shared = sorted(set(ends[0]) & set(ends[1]))
-        return [
-            [[number for end, number in own.items() if low < end <= high] for own in ends]
-            for low, high in zip([0, *shared], shared)
-        ]
+        groups = [([], []) for _ in shared]
+        for side, own in enumerate(ends):
+            for end, number in own.items():
+                groups[bisect.bisect_left(shared, end)][side].append(number)
+        return groups
 
 
 @pytest.fixture(scope="module")
