@@ -16,23 +16,25 @@ splits them.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import unicodedata
 from array import array
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from feedloom.llm.slices import by_slices
+from feedloom.llm.slices import SLICE_BYTES, by_slices
 from feedloom.llm.token_counts import byte_symbols
 
-#: Remembered encodings per worker, and the longest unit that is remembered; others are encoded each time.
+#: Remembered units and words per worker, of each, and the longest that is remembered; others are encoded each time.
 CACHE = 400_000
 CACHED_CHARS = 64
 #: Below this character the normaliser and the splitting are known here; units with others ask the library.
@@ -119,7 +121,7 @@ class WordEncoder:
         byte_of = {symbol: byte for byte, symbol in enumerate(byte_symbols())}
         reachable = {joined(a, b) for a, b in pairs}
         self.closing: dict[bytes, int] = {}
-        self.inner: dict = {}
+        self.inner: dict[int, list] = {}  # by byte: the token that ends there, if any, and what may follow
         for token, number in vocab.items():
             closes = bool(suffix) and token.endswith(suffix)
             symbols = token.removesuffix(suffix) if closes else token
@@ -129,11 +131,11 @@ class WordEncoder:
             if closes or not suffix:
                 self.closing[spelled] = number
             if not closes:
-                node = self.inner
-                for byte in spelled:
-                    node = node.setdefault(byte, {})
-                node[-1] = number
-        self.longest = max(map(len, self.closing))
+                following = self.inner
+                for byte in spelled[:-1]:
+                    following = following.setdefault(byte, [None, {}])[1]
+                following.setdefault(spelled[-1], [None, {}])[0] = number
+        self.longest = max(map(len, vocab))
 
     def encode(self, word: bytes) -> list[int]:
         """The only path from the start that spells the word.
@@ -141,33 +143,35 @@ class WordEncoder:
         From each place the longer tokens are tried first. Only one path leads to a place, so
         none is entered twice, and the work is linear in the word's length.
         """
-        barred, place = self.automaton.barred, self.automaton.place
-        size, at, row = len(word), 0, ()
+        barred, place, closing, longest = self.automaton.barred, self.automaton.place, self.closing, self.longest
+        at, end, row = 0, len(word) - 1, ()
         path: list[int] = []
-        waiting: list[tuple[int, list[int]]] = []
+        waiting: list[tuple[list[tuple[int, int]], Sequence[int]]] = []
         while True:
-            if size - at <= self.longest:
-                last = self.closing.get(word[at:])
+            if end - at < longest:
+                last = closing.get(word[at:])
                 if last is not None and not bisect_right(row, place[last]) & 1:
                     path.append(last)
                     return path
             found = []
-            node, end = self.inner, at
-            while end < size - 1:
-                node = node.get(word[end])
-                if node is None:
+            following = self.inner
+            for to, byte in enumerate(word[at : min(end, at + longest)], at + 1):
+                arc = following.get(byte)
+                if arc is None:
                     break
-                end += 1
-                token = node.get(-1)
-                if token is not None and not bisect_right(row, place[token]) & 1:
-                    found += (token, end)
-            while not found:
-                at, found = waiting.pop()
-                path.pop()
-            at, token = found.pop(), found.pop()
-            waiting.append((at, found))
+                token, following = arc
+                if token is not None:
+                    found.append((token, to))
+            while True:
+                while not found:
+                    found, row = waiting.pop()
+                    path.pop()
+                token, to = found.pop()
+                if not bisect_right(row, place[token]) & 1:
+                    break
+            waiting.append((found, row))
             path.append(token)
-            row = barred[token]
+            at, row = to, barred[token]
 
 
 class Encoder:
@@ -182,12 +186,15 @@ class Encoder:
             spec = json.load(file)
         self.words = WordEncoder(spec["model"])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"] if t["special"]}
-        self.at_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.labels = dict(enumerate(self.words.automaton.labels)) | {i: s for s, i in self.special.items()}
+        self.at_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
+        self.labels = self.words.automaton.labels + [""] * len(self.special)
+        for content, number in self.special.items():
+            self.labels[number] = content
         self.pattern = regex.compile(WORDS)
         self.library = Tokenizer.from_file(path)
         self.byte_of = {symbol: byte for byte, symbol in enumerate(byte_symbols())}
-        self.known: dict[str, bytes] = {"": b""}
+        self.units: dict[str, bytes] = {"": b""}
+        self.paths: dict[bytes, bytes] = {}
 
     def split(self, text: str) -> list[bytes]:
         """The words of a text without special strings, normalised."""
@@ -198,37 +205,45 @@ class Encoder:
                 return [bytes(map(self.byte_of.__getitem__, word)) for word, _ in found]
             # Each character by itself, as the library does: no special form for a final sigma.
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return [word.encode() for word in self.pattern.findall(text.lower())]
-
-    def ids(self, unit: str) -> list[int]:
-        found: list[int] = []
-        parts = self.at_special.split(unit) if self.at_special else [unit]
-        for at, part in enumerate(parts):
-            if at % 2:
-                found.append(self.special[part])
-            else:
-                for word in self.split(part):
-                    found += self.words.encode(word)
+        text = text.lower()
+        if text.isalpha():
+            return [text.encode()]
+        return [word.encode() for word in self.pattern.findall(text)]
+
+    def path(self, word: bytes) -> bytes:
+        found = self.paths.get(word)
+        if found is None:
+            found = array("i", self.words.encode(word)).tobytes()
+            if len(word) <= CACHED_CHARS:
+                if len(self.paths) >= CACHE:
+                    self.paths = {}
+                self.paths[word] = found
         return found
 
+    def whole(self, unit: str) -> bytes:
+        if not any(map(unit.__contains__, self.special)):
+            return b"".join(map(self.path, self.split(unit)))
+        parts = self.at_special.split(unit)
+        found = [b"".join(map(self.path, self.split(part))) for part in parts[::2]]
+        special = [array("i", [self.special[part]]).tobytes() for part in parts[1::2]]
+        return b"".join(itertools.chain.from_iterable(itertools.zip_longest(found, special, fillvalue=b"")))
+
     def learn(self, unit: str) -> bytes:
-        found = np.array(self.ids(unit), np.int32).tobytes()
-        if len(unit) <= CACHED_CHARS:
-            if len(self.known) >= CACHE:
-                self.known = {"": b""}
-            self.known[unit] = found
+        found = self.units.get(unit)
+        if found is None:
+            found = self.whole(unit)
+            if len(unit) <= CACHED_CHARS:
+                if len(self.units) >= CACHE:
+                    self.units = {"": b""}
+                self.units[unit] = found
         return found
 
     def encode(self, text: str) -> bytes:
         """The ids as 32-bit numbers."""
-        known = self.known
-        parts = []
-        for unit in text.replace("\n", " ").split(" "):
-            found = known.get(unit)
-            if found is None:
-                found = self.learn(unit)
-                known = self.known
-            parts.append(found)
+        units = text.replace("\n", " ").split(" ")
+        parts = list(map(self.units.get, units))
+        if None in parts:
+            parts = [self.learn(unit) if part is None else part for unit, part in zip(units, parts)]
         return b"".join(parts)
 
     def encode_all(self, texts: list[str | None]) -> pa.ListArray:
@@ -241,6 +256,11 @@ class Encoder:
         """The labels of a path's arcs; the vocabulary has no decoder, so spaces stay between them."""
         return " ".join(map(self.labels.__getitem__, ids))
 
+    def decode_all(self, rows: pa.ListArray) -> list[str]:
+        ids = rows.flatten().to_numpy(zero_copy_only=False).tolist()
+        ends = np.cumsum([0] + [size or 0 for size in pc.list_value_length(rows).to_pylist()])
+        return [self.decode(ids[low:high]) for low, high in itertools.pairwise(ends.tolist())]
+
 
 @functools.cache
 def encoder(path: str) -> Encoder:
@@ -271,11 +291,10 @@ def decode(ids: Column | str, vocabulary: str) -> Column:
 
     @F.arrow_udf("string")
     def texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        emit = encoder(vocabulary).decode
-
-        def emitted(rows: list[list[int] | None]) -> list[str]:
-            return [emit(row) if row else "" for row in rows]
-
-        yield from by_slices(batches, emitted, pa.string())
+        emit = encoder(vocabulary).decode_all
+        for batch in batches:
+            rows = max(1, SLICE_BYTES * len(batch) // max(batch.nbytes, 1))
+            parts = [pa.array(emit(batch.slice(at, rows)), pa.string()) for at in range(0, len(batch), rows)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
     return texts(ids)

@@ -67,6 +67,7 @@ def test_forgetting_changes_nothing(library, monkeypatch):
     monkeypatch.setattr(bpe_automaton, "CACHE", 20)
     rng = random.Random(16)
     texts = [" ".join(rng.choice(PARTS) for _ in range(20)) for _ in range(200)]
+    texts += [" ".join(str(rng.randrange(10**6)) + "x" * rng.randrange(5) for _ in range(50)) for _ in range(20)]
     assert own(texts) == library(texts)
 
 
