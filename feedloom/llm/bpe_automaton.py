@@ -35,7 +35,7 @@ from feedloom.llm.slices import SLICE_BYTES, by_slices
 from feedloom.llm.token_counts import byte_symbols
 
 #: Remembered units and words per worker, of each, and the longest that is remembered; others are encoded each time.
-CACHE = 400_000
+CACHE = 300_000
 CACHED_CHARS = 64
 #: Below this character the normaliser and the splitting are known here; units with others ask the library.
 KNOWN = "԰"
@@ -298,3 +298,20 @@ def decode(ids: Column | str, vocabulary: str) -> Column:
             yield pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
     return texts(ids)
+
+
+def round_trip(text: Column | str, vocabulary: str) -> Column:
+    """struct<ids, decoded>: a text column encoded and decoded again in one pass, by the same worker."""
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:string>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = encoder(vocabulary)
+
+        def compute(texts: list[str | None]) -> pa.StructArray:
+            ids = own.encode_all(texts)
+            return pa.StructArray.from_arrays([ids, pa.array(own.decode_all(ids), pa.string())], ["ids", "decoded"])
+
+        kind = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+        yield from by_slices(batches, compute, kind)
+
+    return both(text)

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm.bpe_automaton import decode, encode
+from feedloom.llm.bpe_automaton import round_trip
 from feedloom.llm.centroids import cluster, with_clusters
 from feedloom.llm.decontamination import MIN_LITERALS, MIN_PERCENT, TOKEN, UNITS, WINDOW, contaminated
 from feedloom.llm.html_extract import extract
@@ -145,13 +145,12 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded by the 49k vocabulary with word ends and decoded again, as digests."""
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
-    docs = table(spark, sf_dir, "documents").select("doc_id", encode("text", vocabulary).alias("ids"))
-    docs = docs.withColumn("decoded", decode("ids", vocabulary))
+    docs = table(spark, sf_dir, "documents").select("doc_id", round_trip("text", vocabulary).alias("bpe"))
     return docs.select(
         "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.size("bpe.ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("bpe.ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("bpe.decoded", 256).alias("decoded_sha256"),
     )
 
 
