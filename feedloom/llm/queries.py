@@ -110,16 +110,14 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens by the byte-level and the piece vocabulary, aligned and linked."""
     vocabularies = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
-    aligned = table(spark, sf_dir, "documents").select("doc_id", align("text", *vocabularies).alias("aligned"))
-    groups = F.col("aligned.groups")
-    rows = aligned.select(
+    rows = align(table(spark, sf_dir, "documents"), *vocabularies).select(
         F.monotonically_increasing_id().alias("row"),
         "doc_id",
-        "aligned.n_a",
-        "aligned.n_b",
-        "aligned.n_groups",
-        F.when(groups == "", "").otherwise(F.sha2(groups, 256)).alias("groups_sha256"),
-        "aligned.links",
+        "n_a",
+        "n_b",
+        "n_groups",
+        F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256"),
+        "links",
     )
     rows = settle(rows, "aligned")
     linked = F.aggregate("links", F.lit(0).cast("bigint"), lambda total, link: total + link["n"])

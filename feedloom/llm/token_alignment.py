@@ -12,24 +12,26 @@ from __future__ import annotations
 import functools
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from feedloom.llm.slices import by_slices
 from feedloom.llm.token_counts import byte_symbols
 from feedloom.operators.lookup import BROADCAST_BYTES, lookup_join
 from feedloom.workspace import settle
 
 #: Remembered units per worker, and the longest that is remembered; others are encoded each time.
-CACHE = 400_000
+CACHE = 250_000
 CACHED_CHARS = 64
+#: Text of the rows that are aligned together.
+SLICE_BYTES = 2 << 20
 #: Ends looked at around an interval's middle grow by this factor while none is shared.
 WIDEN = 4
 #: A space that opens a token in both vocabularies, whatever is before and after it.
@@ -260,8 +262,10 @@ def pair_of(path_a: str, path_b: str) -> Pair:
     return Pair(path_a, path_b)
 
 
-def align(text: Column | str, vocabulary_a: str, vocabulary_b: str) -> Column:
-    """A text column's tokens by both vocabularies, aligned: a struct of
+def align(
+    docs: DataFrame, vocabulary_a: str, vocabulary_b: str, text: str = "text", keep: Sequence[str] = ("doc_id",)
+) -> DataFrame:
+    """The `keep` columns of each row and its text's tokens by both vocabularies, aligned:
 
     - n_a, n_b, n_groups: tokens of either side, and groups between shared cuts,
     - groups: `a1,a2|b1;a3|b2,b3`, the ids of A and of B of each group in order,
@@ -271,19 +275,34 @@ def align(text: Column | str, vocabulary_a: str, vocabulary_b: str) -> Column:
     B is sentencepiece (a .model that puts that space there by itself, without changing the
     text otherwise) and encodes the text. No special tokens are added, and their strings
     inside a text are plain text. A null or empty text, and one that a side does not spell
-    byte for byte, has no tokens, no groups and no links. Each row is aligned by itself,
-    whatever its other columns; repeated rows are aligned alike.
+    byte for byte, has no tokens, no groups and no links. Each row is aligned by itself;
+    repeated rows, equal and null ids stay rows of their own. Columns that are not kept are
+    not looked at; a kept one must not have one of the five names.
 
     Texts are cut at single spaces before other characters, where both vocabularies always
-    begin a new token, and what a unit between them gives is remembered, within a bound.
+    begin a new token, and what a unit between them gives is remembered, within a bound. One
+    narrow pass that gives its rows in slices, so that a task holds few texts at a time.
     """
-    kind = "struct<n_a:bigint,n_b:bigint,n_groups:bigint,groups:string,links:array<struct<a:int,b:int,n:int>>>"
-
-    @F.arrow_udf(kind)
-    def aligned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        yield from by_slices(batches, pair_of(vocabulary_a, vocabulary_b).align, pa.null())
-
-    return aligned(text)
+    own = T.StructType.fromDDL(
+        "n_a bigint, n_b bigint, n_groups bigint, groups string, links array<struct<a:int,b:int,n:int>>"
+    )
+    clash = sorted({name.lower() for name in keep}.intersection(own.names))
+    if clash:
+        raise ValueError(f"columns that alignment adds itself: {clash}")
+
+    def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair = pair_of(vocabulary_a, vocabulary_b)
+        for batch in batches:
+            rows = max(1, SLICE_BYTES * batch.num_rows // max(batch.nbytes, 1))
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                found = pair.align(part.column(0).to_pylist())
+                columns = [*part.columns[1:], *found.flatten()]
+                yield pa.RecordBatch.from_arrays(columns, [*keep, *own.names])
+
+    kept = docs.select(F.col(f"`{text}`").alias("_text"), *[F.col(f"`{name}`") for name in keep])
+    schema = T.StructType([*kept.schema.fields[1:], *own.fields])
+    return kept.mapInArrow(aligned, schema)
 
 
 def link_counts(links: DataFrame) -> DataFrame:

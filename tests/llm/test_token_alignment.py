@@ -183,10 +183,17 @@ def test_odd_documents(spark, make_docs, tmp_path, library):
     assert sorted((str(row["doc_id"]), *[row[c] for c in COLUMNS]) for row in got) == brute_force(rows, library)
 
 
+def test_kept_columns_must_not_clash(make_docs):
+    with pytest.raises(ValueError, match="n_a"):
+        align(make_docs("a").withColumnRenamed("source", "N_A"), *PATHS, keep=["doc_id", "N_A"])
+    row = align(make_docs("a").withColumnRenamed("source", "N_A"), *PATHS, keep=["lang", "doc_id"]).first()
+    assert (row["lang"], row["doc_id"], row["n_a"]) == ("en", 0, 1)
+
+
 @pytest.mark.parametrize("limit", [0, 1 << 30])
 def test_scores_by_both_joins(spark, make_docs, limit):
     docs = make_docs(*["the cat sat on the mat", "the cat", "cat the dog", "the the the", None] * 3)
-    rows = settle(docs.select("doc_id", align("text", *PATHS).alias("x")).select("doc_id", "x.links"), "test")
+    rows = settle(align(docs, *PATHS).select("doc_id", "links"), "test")
     got = {row["doc_id"]: row for row in score_links(rows, "doc_id", limit).collect()}
     counts = {(row["a"], row["b"]): row for row in link_counts(rows.selectExpr("inline(links)")).collect()}
     own = {row["doc_id"]: row["links"] for row in rows.collect()}
