@@ -18,10 +18,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.functions import month_key, request_key
-from feedloom.operators import preview, require_rows, row_counter
-from feedloom.plans.feeds import arrivals, incidents, passenger_volume, stops
-from feedloom.sinks import append_table, jdbc_options, month_replace, replace_table
-from feedloom.sources import read_archives, read_documents, read_landed
+from feedloom.operators import preview, project_documents, require_rows, row_counter
+from feedloom.plans.feeds import STOPS, arrivals, incidents, passenger_volume, stops
+from feedloom.sinks import append_once, append_table, jdbc_options, month_replace, replace_table, versions
+from feedloom.sources import LANDED, RUNS, read_archives, read_documents, read_landed
+from feedloom.streaming import load_paged
 from feedloom.workspace import clear
 
 # The tables of the four loads.
@@ -55,7 +56,9 @@ def parser() -> argparse.ArgumentParser:
             load.add_argument("--classified", action="store_true", help="the landed responses have an outcome")
             load.add_argument("--runs", action="store_true", help="the landed responses number runs and attempts")
             load.add_argument("--fallback", help="JSON snapshot files, named after their feeds")
+            load.add_argument("--state", help="folder of remembered outcomes: read what newly landed, publish a version")
         if name == "volume":
+            load.add_argument("--once", metavar="ID", help="add to the loads in --target, once under this id")
             load.add_argument("--archives", required=True, help="zip files; a link ends in its file's name")
             load.add_argument("--schema", help="DDL of the CSV columns, in header order; inferred without")
             load.add_argument("--request", default="%s", help="feed of a month's link document, e.g. 'volume?Date=%%s'")
@@ -85,12 +88,36 @@ def rows_of(spark: SparkSession, args: argparse.Namespace, seen: Observation) ->
     return require_rows(rows, "the month")
 
 
+def _run_paged(args: argparse.Namespace) -> int:
+    """The stops load from what newly landed, as a version of the target; the rows of the version it published."""
+    spark = SparkSession.builder.appName(args.table).getOrCreate()
+    schema = ", ".join([LANDED, *[RUNS] * args.runs, *["outcome string, reason string"] * args.classified])
+    fallback = read_documents(spark, args.fallback) if args.fallback else None
+    policy = "fallback" if args.fallback else "raise"
+
+    def rows(pages: DataFrame) -> DataFrame:
+        return project_documents(pages, STOPS, on_failure="raise", strict=not args.lenient)
+
+    loaded = load_paged(spark, args.landed, args.target, args.state, rows, schema, policy, fallback)
+    print(f"{loaded.new_rows} responses landed, {len(loaded.files)} files read, version {loaded.version or 'unchanged'}")
+    clear(spark)
+    if loaded.version is None:
+        return 0
+    return versions(spark, args.target).where(F.col("number") == loaded.version).first()["n_rows"]
+
+
 def run(argv: Sequence[str] | None = None, env: Mapping[str, str] = os.environ) -> int:
     """Run one load and return the number of rows written."""
     arguments = parser()
     args = arguments.parse_args(argv)
     if args.load == "volume" and args.by_month and args.url:
         arguments.error("--by-month needs --target")
+    if args.load == "volume" and args.once and (args.url or args.by_month):
+        arguments.error("--once needs --target, and not --by-month")
+    if args.load == "stops" and args.state:
+        if not (args.landed and args.target):
+            arguments.error("--state needs --landed and --target")
+        return _run_paged(args)
     # Before anything is read: a run that cannot write should not start.
     options = jdbc_options(args.url, args.table, env) if args.url else {"path": args.target}
     fmt, connections = ("jdbc", args.connections) if args.url else ("parquet", None)
@@ -100,7 +127,10 @@ def run(argv: Sequence[str] | None = None, env: Mapping[str, str] = os.environ)
     if args.preview:
         preview(rows, args.preview).show(args.preview, truncate=False)
     counted, seen = row_counter(rows)
-    if args.load == "volume" and args.by_month:
+    if args.load == "volume" and args.once:
+        if not append_once(counted, args.target, args.once):
+            return 0
+    elif args.load == "volume" and args.by_month:
         month_replace(counted.withColumn("ym", month_key(F.lit(args.date))), args.target)
     elif args.load == "volume":
         append_table(counted, options, fmt, connections)

@@ -1,7 +1,7 @@
 from feedloom.operators.checks import preview, require_rows, require_settings, row_counter
 from feedloom.operators.envelope import classify, unnest
 from feedloom.operators.lookup import lookup_join
-from feedloom.operators.paging import latest_runs, resolve_batches, run_bounds
+from feedloom.operators.paging import latest_runs, resolve_batches, resolve_pages, run_bounds
 from feedloom.operators.project import project_documents, type_audit
 from feedloom.operators.slots import flatten_slots, unpivot_columns
 
@@ -15,6 +15,7 @@ __all__ = [
     "require_rows",
     "require_settings",
     "resolve_batches",
+    "resolve_pages",
     "row_counter",
     "run_bounds",
     "type_audit",

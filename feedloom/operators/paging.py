@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -21,14 +23,14 @@ def with_runs(landed: DataFrame) -> DataFrame:
     return landed.withColumns(missing) if missing else landed
 
 
-def _best(pages: DataFrame) -> DataFrame:
-    """One row per feed, run and page: the outcome of its latest attempt, and how often it landed."""
+def best_landings(pages: DataFrame, *keys: str) -> DataFrame:
+    """One row per feed, run and page (and `keys`): the outcome of its latest attempt, and how often it landed."""
     rank = F.lit(0)
     for outcome, value in RANKS.items():
         rank = F.when(F.col("outcome") == outcome, value).otherwise(rank)
     keyed = F.coalesce("attempt", F.lit(0)).cast("bigint") * len(RANKS) + rank
     return (
-        pages.groupBy("feed", "run", "skip")
+        pages.groupBy("feed", "run", "skip", *keys)
         .agg(
             F.max(keyed).alias("_best"),
             F.count(F.lit(1)).alias("landings"),
@@ -38,6 +40,19 @@ def _best(pages: DataFrame) -> DataFrame:
     )
 
 
+def merged_landings(pages: DataFrame) -> DataFrame:
+    """One row per feed, run and page of what `best_landings` found for parts of the landed rows."""
+    return (
+        pages.groupBy("feed", "run", "skip")
+        .agg(
+            F.max("_best").alias("_best"),
+            F.sum("landings").alias("landings"),
+            F.max("over_limit").alias("over_limit"),
+        )
+        .withColumn("rank", F.pmod("_best", F.lit(len(RANKS))))
+    )
+
+
 def run_bounds(
     pages: DataFrame, step: int = STEP, size: int | None = None, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
@@ -133,17 +148,34 @@ def resolve_batches(
     where each feed ends, and again by whoever uses the result. Where it was classified
     when landed this first read is a narrow one.
     """
+    narrow = with_runs(classify(landed)).select("feed", "run", "attempt", "skip", "outcome", "reason")
+    return resolve_pages(best_landings(narrow), lambda _: landed, on_failure, fallback, expected, step, broadcast_bytes)
+
+
+def resolve_pages(
+    pages: DataFrame,
+    landed_of: Callable[[DataFrame], DataFrame],
+    on_failure: str = "raise",
+    fallback: DataFrame | None = None,
+    expected: DataFrame | None = None,
+    step: int = STEP,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """`resolve_batches` from pages whose outcomes are known already (as `best_landings` gives them).
+
+    `landed_of` gets the feeds' whole runs (feed, use_run, end), settled, and gives the
+    landed rows that hold those runs' pages, and may hold any others.
+    """
     if on_failure not in POLICIES:
         raise ValueError(f"on_failure must be one of {POLICIES}, not {on_failure!r}")
     if (on_failure == "fallback") != (fallback is not None):
         raise ValueError("a fallback is needed for, and only for, on_failure='fallback'")
     if expected is None and fallback is not None:
         expected = fallback.select("feed")
-    narrow = with_runs(classify(landed)).select("feed", "run", "attempt", "skip", "outcome", "reason")
     # What is known of a table is seen as it is written, so that small ones are not read again to be measured.
     seen, judged = Observation(), Observation()
     row = F.lit(128) + F.coalesce(F.octet_length("feed"), F.lit(0))
-    pages = settle(_best(narrow).observe(seen, F.sum(row).alias("bytes")), "pages")
+    pages = settle(pages.observe(seen, F.sum(row).alias("bytes")), "pages")
     bound = seen.get["bytes"] or 0
     feeds = latest_runs(run_bounds(pages, step, bound, broadcast_bytes), expected)
     stopping = F.col("over_limit") | (F.col("reason").isNotNull() if on_failure == "raise" else F.lit(False))
@@ -158,7 +190,7 @@ def resolve_batches(
     in_scan = (F.col("run") == F.col("use_run")) & (F.col("skip") < F.col("end"))
     columns = ["feed", "skip", "status", "body"]
     kept = lookup_join(
-        with_runs(landed), whole, "feed", "left_semi", in_scan, F.col("skip"), size, broadcast_bytes, measure="body"
+        with_runs(landed_of(whole)), whole, "feed", "left_semi", in_scan, F.col("skip"), size, broadcast_bytes, measure="body"
     )
     if (judged.get["landings"] or 0) > 1:
         again = pages.where("landings > 1").select("feed", "run", "skip", "_best")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructType
@@ -26,8 +27,18 @@ from feedloom.operators import (
 from feedloom.plans import packing
 from feedloom.plans.feeds import archive_links, arrivals, incidents, linked_lines, passenger_volume, stops
 from feedloom.plans.packing import PAGE_STEP, div, landed, landed_path, table
-from feedloom.sinks import append_table, month_replace, replace_table
+from feedloom.sinks import (
+    append_once,
+    append_table,
+    month_replace,
+    publish_version,
+    read_loads,
+    read_version,
+    replace_table,
+)
 from feedloom.sources import (
+    LANDED,
+    RUNS,
     csv_audit,
     first_member_lines,
     page_requests,
@@ -36,7 +47,7 @@ from feedloom.sources import (
     read_documents,
     stage_lines,
 )
-from feedloom.streaming import load_available
+from feedloom.streaming import load_available, load_paged
 from feedloom.workspace import new_path, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -438,6 +449,34 @@ def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(customer.schema).parquet(target["path"])
 
 
+def append_retried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders added month by month; one month fails on its way and is run again, two are repeated."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    path = new_path(spark, "orders-loads")
+    year = F.year("o_orderdate")
+    failing = F.when(year < 1996, F.col("o_orderkey")).otherwise(F.raise_error(F.lit("half way")).cast("bigint"))
+    recent, old = orders.where(year >= 1995), orders.where(year < 1995)
+    append_once(old, path, "old")
+    try:
+        append_once(recent.withColumn("o_orderkey", failing), path, "recent")
+    except PySparkException:
+        append_once(recent, path, "recent")
+    append_once(recent, path, "recent")
+    append_once(old, path, "old")
+    return read_loads(spark, path)
+
+
+def versions_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reader that began before a publish keeps its version; the next one sees the new table."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    path = new_path(spark, "customer-versions")
+    publish_version(customer, path)
+    begun = read_version(spark, path)
+    publish_version(customer.withColumn("c_acctbal", F.col("c_acctbal") + 1), path)
+    both = begun.withColumn("reader", F.lit("begun"))
+    return both.unionByName(read_version(spark, path).withColumn("reader", F.lit("next")))
+
+
 def preview_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview(table(spark, sf_dir, "customer"), 10, F.desc("c_acctbal"), "c_custkey")
 
@@ -465,6 +504,30 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENT).parquet(target)
 
 
+def incremental_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of paged feeds in three lots, loaded after each: the first run, half of the second, the rest of it.
+
+    In every third feed the second run never gets its closing page, so the first one stays.
+    """
+    events = table(spark, sf_dir, "events")
+    feed, page = div("event_id", SPAN).cast("string"), div(F.pmod("event_id", F.lit(SPAN)), 20)
+
+    def run(number: int, added: float) -> DataFrame:
+        rows = events.withColumn("value", F.col("value") + added)
+        packed = packing.paged_responses(rows, feed, page, F.lit(True))
+        return packed.withColumns({"run": F.lit(number).cast("bigint"), "attempt": F.lit(1)})
+
+    packed = landed(spark, sf_dir, "lots", lambda: run(1, 0).unionByName(run(2, 1000)))
+    landing, target, state = (new_path(spark, name) for name in ("landing", "paged-target", "paged-state"))
+    odd_page = F.pmod(F.col("skip") / PAGE_STEP, F.lit(2)) == 1
+    lost = (F.pmod(F.col("feed").cast("int"), F.lit(3)) == 1) & (F.col("body") == '{"value":[]}')
+    second = (F.col("run") == 2) & ~lost
+    for lot in (F.col("run") == 1, second & odd_page, second & ~odd_page):
+        packed.where(lot).write.mode("append").parquet(landing)
+        load_paged(spark, landing, target, state, _rows, f"{LANDED}, {RUNS}")
+    return read_version(spark, target)
+
+
 def month_replace_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All months loaded, then 199701 loaded again, twice, with corrected prices."""
     orders = table(spark, sf_dir, "orders").select(
@@ -510,8 +573,11 @@ QUERIES: dict[str, Query] = {
     "month_key": month_keys,
     "table_replace": table_replace,
     "table_append": table_append,
+    "append_retried": append_retried,
+    "versions_published": versions_published,
     "preview": preview_customers,
     "incremental_load": incremental_load,
+    "incremental_pages": incremental_pages,
     "month_replace": month_replace_twice,
 }
 
@@ -707,8 +773,21 @@ FROM orders GROUP BY ALL
 """,
     "table_replace": "SELECT * FROM customer",
     "table_append": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
+    "append_retried": """
+SELECT o_orderkey, o_totalprice, o_orderdate, CASE WHEN year(o_orderdate) < 1995 THEN 'old' ELSE 'recent' END AS load_id
+FROM orders
+""",
+    "versions_published": """
+SELECT c_custkey, c_name, c_acctbal, 'begun' AS reader FROM customer
+UNION ALL SELECT c_custkey, c_name, c_acctbal + 1, 'next' FROM customer
+""",
     "preview": "SELECT * FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 10",
     "incremental_load": "SELECT event_id, event_type, value FROM events",
+    "incremental_pages": """
+SELECT CAST(event_id // 500 AS VARCHAR) AS feed, event_id, event_type,
+       value + CASE WHEN event_id // 500 % 3 = 1 THEN 0 ELSE 1000 END AS value
+FROM events
+""",
     "month_replace": """
 SELECT o_orderkey,
        CASE WHEN strftime(o_orderdate, '%Y%m') = '199701' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,

@@ -1,3 +1,4 @@
+from feedloom.sinks.loads import append_once, ledger, read_loads, remove_attempts
 from feedloom.sinks.tables import (
     align,
     append_table,
@@ -5,5 +6,20 @@ from feedloom.sinks.tables import (
     month_replace,
     replace_table,
 )
+from feedloom.sinks.versioned import publish_version, read_version, remove_versions, versions
 
-__all__ = ["align", "append_table", "jdbc_options", "month_replace", "replace_table"]
+__all__ = [
+    "align",
+    "append_once",
+    "append_table",
+    "jdbc_options",
+    "ledger",
+    "month_replace",
+    "publish_version",
+    "read_loads",
+    "read_version",
+    "remove_attempts",
+    "remove_versions",
+    "replace_table",
+    "versions",
+]

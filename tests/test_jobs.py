@@ -11,7 +11,8 @@ import pytest
 from pyspark.errors import PySparkException
 
 from feedloom import jobs, workspace
-from feedloom.sources import LANDED
+from feedloom.sinks import read_loads, read_version
+from feedloom.sources import LANDED, RUNS
 
 
 def land(spark, path, *responses):
@@ -64,6 +65,44 @@ def test_stops_with_nothing_landed(spark, tmp_path):
     assert jobs.run(["stops", "--landed", landed, "--fallback", str(snapshot), "--target", target]) == 1
 
 
+def test_stops_from_what_newly_landed(spark, tmp_path):
+    """Two daily runs; the second call reads the second day's file, a third finds nothing new."""
+    landed, target, state = (str(tmp_path / name) for name in ("landed", "target", "state"))
+    argv = ["stops", "--landed", landed, "--runs", "--target", target, "--state", state]
+    for run, codes in ((1, "78"), (2, "789")):
+        bodies = [json.dumps({"value": [{"BusStopCode": code} for code in codes]}), json.dumps({"value": []})]
+        rows = [("stops", at * 500, 200, body, run, 1) for at, body in enumerate(bodies)]
+        day = spark.createDataFrame(rows, f"{LANDED}, {RUNS}").coalesce(1)
+        day.write.mode("append").parquet(landed)
+        assert jobs.run(argv) == len(codes)
+        assert sorted(row["BusStopCode"] for row in read_version(spark, target).collect()) == list(codes)
+    assert jobs.run(argv) == 0
+    with pytest.raises(SystemExit):
+        jobs.run(["stops", "--landed", landed, "--state", state, "--url", "jdbc:postgresql://db/x"])
+
+
+def test_months_of_differing_types_added_once(spark, tmp_path):
+    """Types may change from month to month, and a month that is loaded twice is there once."""
+    (tmp_path / "zips").mkdir()
+    pages = []
+    for month, text in (("202501", "code,n\n1,5\n"), ("202502", "code,n\n2,6.5\n"), ("202503", "code,n\n3,x\n")):
+        with zipfile.ZipFile(tmp_path / "zips" / f"{month}.zip", "w") as archive:
+            archive.writestr("v.csv", text)
+        pages.append((f"v{month}", 0, {"value": [{"Link": f"{month}.zip"}]}))
+    landed, target = land(spark, str(tmp_path / "landed"), *pages), str(tmp_path / "t")
+    argv = ["volume", "--landed", landed, "--archives", str(tmp_path / "zips"), "--request", "v%s", "--target", target]
+    for run, rows in (("2025-02-11", 1), ("2025-03-11", 1), ("2025-03-11", 0), ("2025-04-11", 1)):
+        assert jobs.run([*argv, "--date", run, "--once", run[:7]]) == rows
+    found = read_loads(spark, target)
+    assert sorted(map(tuple, found.select("code", "n", "load_id").collect())) == [
+        (1, "5", "2025-02"),
+        (2, "6.5", "2025-03"),
+        (3, "x", "2025-04"),
+    ]
+    with pytest.raises(SystemExit):
+        jobs.run([*argv, "--date", "2025-02-11", "--once", "a", "--by-month"])
+
+
 def test_months_of_differing_types(spark, tmp_path):
     """A later month must fit the table's types; one that does not leaves it as it was."""
     (tmp_path / "zips").mkdir()
