@@ -84,7 +84,9 @@ def rows_of(spark: SparkSession, args: argparse.Namespace, seen: Observation) ->
     month = request_key(args.request, month_key(F.lit(args.date)))
     links = require_rows(landed.where(F.col("feed") == month), "the month")
     archives = read_archives(spark, args.archives)
-    rows = passenger_volume(links, archives, args.schema, by_name=True, feed="_link_feed").drop("_link_feed")
+    nothing = "void" if args.once else "string"  # other loads may know the type
+    rows = passenger_volume(links, archives, args.schema, by_name=True, feed="_link_feed", nothing=nothing)
+    rows = rows.drop("_link_feed")
     return require_rows(rows, "the month")
 
 

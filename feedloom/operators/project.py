@@ -16,7 +16,7 @@ from feedloom.functions.json_types import accepts, json_type, strict_double
 from feedloom.operators.envelope import unnest
 
 
-def _read_as(schema: StructType, strict: bool) -> StructType:
+def read_as(schema: StructType, strict: bool) -> StructType:
     """The schema to parse with: strict doubles are read as variants to see their JSON type."""
     read = StructType()
     for field in schema.fields:
@@ -25,7 +25,8 @@ def _read_as(schema: StructType, strict: bool) -> StructType:
     return read
 
 
-def _declared(row: Column, schema: StructType, strict: bool) -> list[Column]:
+def declared_columns(row: Column, schema: StructType, strict: bool) -> list[Column]:
+    """The declared columns of a record that was read with `read_as`."""
     return [
         (
             strict_double(row[field.name], field.name)
@@ -49,8 +50,8 @@ def project_documents(
 
     `on_failure` and `seen` are those of `unnest`.
     """
-    records = unnest(responses, _read_as(schema, strict), field, on_failure, strict, seen)
-    return records.select(*keep, *_declared(F.col("record"), schema, strict))
+    records = unnest(responses, read_as(schema, strict), field, on_failure, strict, seen)
+    return records.select(*keep, *declared_columns(F.col("record"), schema, strict))
 
 
 def type_audit(

@@ -12,10 +12,10 @@ from feedloom.operators.lookup import BROADCAST_BYTES, lookup_join
 from feedloom.operators.paging import resolve_batches
 from feedloom.operators.project import project_documents
 from feedloom.operators.slots import flatten_slots
-from feedloom.sources.archives import first_member_lines, shared_header, stage_lines
-from feedloom.sources.delimited import parse_lines, read_csv
+from feedloom.sources.archives import first_member_lines, shared_header
+from feedloom.sources.delimited import infer_lines, judge_lines, parse_lines
 from feedloom.sources.landed import first_link
-from feedloom.workspace import new_path, settle
+from feedloom.workspace import settle
 
 # Field names of the feeds, in table order.
 SLOT_KEYS = ("NextBus", "NextBus2", "NextBus3")
@@ -131,12 +131,16 @@ def passenger_volume(
     schema: str | None = None,
     by_name: bool = False,
     feed: str = "feed",
+    strict: bool = True,
+    nothing: str = "string",
 ) -> DataFrame:
     """The feed, under the name `feed`, and the CSV columns of each link document's archive.
 
-    `schema` is the DDL of the columns in header order. Without one the names come from
-    the header and the types from the values, which takes a staged copy of the lines and
-    two more reads, and can change values as `read_csv` tells; the feed stays as it is.
+    `schema` is the DDL of the columns in header order; a line that does not fit it stops
+    the job, or unless `strict` has NULLs. Without a schema the names come from the header
+    and the types from what all cells of a column can be without a change (`infer_lines`),
+    which reads the archives once and keeps their cells; a column without a cell is of the
+    type `nothing`, and the feed stays as it is.
     """
     links = archive_links(link_responses, archives, by_name)
 
@@ -147,17 +151,21 @@ def passenger_volume(
 
     if schema is not None:
         names = checked(StructType.fromDDL(schema).names)
-        return parse_lines(linked_lines(archives, links, names), schema, F.col("feed").alias(feed))
+        return parse_lines(linked_lines(archives, links, names), schema, F.col("feed").alias(feed), strict=strict)
     spark, seen = links.sparkSession, Observation()
-    lines = linked_lines(archives, links, None, seen)
-    raw = new_path(spark, "raw")
-    stage_lines(lines.withColumnRenamed("feed", "_feed"), raw, "_feed", rebalance=False)
+    lines = settle(linked_lines(archives, links, None, seen).withColumnRenamed("feed", feed), "lines")
     names = checked(shared_header(seen))
-    if spark.read.text(raw).isEmpty():
-        return spark.createDataFrame([], ", ".join(f"`{name}` string" for name in (feed, *names)))
-    inferred = read_csv(spark, raw, header=False).schema.fields[: len(names)]
-    typed = StructType()
-    for name, field in zip(names, inferred):
-        typed = typed.add(name, field.dataType)
-    staged = read_csv(spark, raw, typed.add("_feed", StringType()), header=False, strict=False)
-    return staged.select(F.col("_feed").alias(feed), *[f"`{name}`" for name in names])
+    return infer_lines(lines, names, feed, nothing=nothing)
+
+
+def judged_volume(archives: DataFrame, schema: str) -> DataFrame:
+    """(source, position, raw, reason) and the typed columns of every data line of the archives' first members.
+
+    The position is the line's number in its member, the first line being 1. Lines that fit
+    have no reason; `set_apart` writes both kinds in one pass.
+    """
+    names = StructType.fromDDL(schema).names
+    lines = first_member_lines(archives, names, "path", number="position")
+    place = [F.col("path").alias("source"), "position", F.col("line").alias("raw")]
+    judged = judge_lines(lines, schema, *place)
+    return judged.select("source", "position", "raw", "reason", *[f"`{name}`" for name in names])

@@ -214,8 +214,8 @@ def single_records(df: DataFrame, feed: Column, record: Column) -> DataFrame:
     )
 
 
-def archives(df: DataFrame, path: Column, columns: list[str]) -> DataFrame:
-    """One zip per path: a CSV of the path's rows first, another member after it."""
+def archives(df: DataFrame, path: Column, columns: list[str], line: Column | None = None) -> DataFrame:
+    """One zip per path: a CSV of the path's rows first, or of the lines given instead, another member after it."""
 
     def pack(header: str, lines: list[str]) -> bytes:
         packed = io.BytesIO()
@@ -229,7 +229,7 @@ def archives(df: DataFrame, path: Column, columns: list[str]) -> DataFrame:
         return pd.Series([pack(header, rows) for header, rows in zip(headers, lines)])
 
     return (
-        df.select(path.alias("path"), F.to_csv(F.struct(*columns)).alias("line"))
+        df.select(path.alias("path"), (F.to_csv(F.struct(*columns)) if line is None else line).alias("line"))
         .groupBy("path")
         .agg(F.collect_list("line").alias("lines"))
         .select("path", zipped(F.lit(",".join(columns)), "lines").alias("content"))

@@ -16,16 +16,18 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 from feedloom.functions import calendar_month_key, month_key, request_key
 from feedloom.operators import (
     classify,
+    judge_records,
     preview,
     project_documents,
     require_rows,
     resolve_batches,
     row_counter,
+    set_apart,
     type_audit,
     unpivot_columns,
 )
 from feedloom.plans import packing
-from feedloom.plans.feeds import archive_links, arrivals, incidents, linked_lines, passenger_volume, stops
+from feedloom.plans.feeds import archive_links, arrivals, incidents, judged_volume, linked_lines, passenger_volume, stops
 from feedloom.plans.packing import PAGE_STEP, div, landed, landed_path, table
 from feedloom.sinks import (
     append_once,
@@ -41,6 +43,8 @@ from feedloom.sources import (
     RUNS,
     csv_audit,
     first_member_lines,
+    infer_csv,
+    infer_lines,
     page_requests,
     parse_lines,
     read_csv,
@@ -346,6 +350,79 @@ def csv_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(*[F.col(f.name).cast(f.dataType) for f in orders.schema.fields], types.alias("types"))
 
 
+def csv_types_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with a code of leading zeros and a month; no value changes by its type."""
+    orders = table(spark, sf_dir, "orders")
+    coded = orders.select(
+        F.format_string("%07d", "o_orderkey").alias("code"),
+        F.date_format("o_orderdate", "yyyy-MM").alias("month"),
+        F.when(F.col("o_orderkey") % 5 > 0, F.col("o_custkey")).alias("custkey"),
+        (F.col("o_orderkey") * 10_000_000_000).alias("wide"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.col("o_custkey").cast("string"))
+        .otherwise(F.col("o_totalprice").cast("decimal(12,2)").cast("string"))
+        .alias("price"),
+    )
+    path = landed_path(spark, sf_dir, "coded-csv", lambda path: coded.write.csv(path, header=True))
+    read = infer_csv(spark, path)
+    return read.withColumn("types", F.lit(", ".join(f"{name} {kind}" for name, kind in read.dtypes)))
+
+
+def months_of_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Years of orders as loads of their own: a code is a number in the first, text in the
+    second, a wide number after; one load has no rows."""
+    year = F.year("o_orderdate")
+    code = (
+        F.when(year == 1997, F.format_string("%09d", "o_orderkey"))
+        .when(year < 1997, F.col("o_orderkey").cast("string"))
+        .otherwise((F.col("o_orderkey") + 5_000_000_000).cast("string"))
+    )
+    lines = table(spark, sf_dir, "orders").select(year.alias("year"), F.concat_ws(",", code, "o_custkey").alias("line"))
+    lines = landed(spark, sf_dir, "coded-lines", lambda: lines)
+    path = new_path(spark, "typed-loads")
+    for load, chosen in (("early", "year < 1997"), ("1997", "year = 1997"), ("none", "year IS NULL"), ("later", "year > 1997")):
+        append_once(infer_lines(lines.where(chosen), ["code", "custkey"], nothing="void"), path, load)
+    read = read_loads(spark, path)
+    return read.withColumn("types", F.lit(", ".join(f"{name} {kind}" for name, kind in read.dtypes)))
+
+
+def volume_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of archives with a bad cell, a missing and a surplus one, set apart from those that fit."""
+    part = table(spark, sf_dir, "part")
+    key = F.col("p_partkey")
+    size = F.when(key % 10 == 3, "none").otherwise(F.col("p_size").cast("string"))
+    cells = [key.cast("string"), F.to_csv(F.struct("p_name")), size, F.col("p_retailprice").cast("string")]
+    line = F.concat_ws(",", *cells[: 3], F.when(key % 10 != 7, cells[3]), F.when(key % 10 == 9, "x"))
+    path = F.format_string("part-%d.zip", div("p_partkey", 500))
+    columns = ["p_partkey", "p_name", "p_size", "p_retailprice"]
+    archives = landed(spark, sf_dir, "bad-zips", lambda: packing.archives(part, path, columns, line))
+    apart = set_apart(judged_volume(archives, "p_partkey bigint, p_name string, p_size int, p_retailprice double"))
+    bad = apart.bad.select(
+        F.split("raw", ",")[0].cast("bigint").alias("p_partkey"),
+        *[F.lit(None).cast(apart.good.schema[name].dataType).alias(name) for name in columns[1:]],
+        "source",
+        "reason",
+    )
+    nothing = F.lit(None).cast("string")
+    rows = apart.good.withColumns({"source": nothing, "reason": nothing}).unionByName(bad)
+    return rows.withColumns({"n_good": F.lit(apart.n_good), "n_bad": F.lit(apart.n_bad)})
+
+
+def records_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event records whose value has another JSON type, and documents cut short, set apart from the good ones."""
+    mixed = _mixed(spark, sf_dir)
+    cut = F.pmod(F.col("feed").cast("bigint"), F.lit(11)) == 0
+    body = F.when(cut, F.expr("left(body, length(body) - 1)")).otherwise(F.col("body"))
+    apart = set_apart(judge_records(mixed.withColumn("body", body), EVENT))
+    good = apart.good.select(F.col("event_id").alias("source"), "event_type", "value", F.lit(None).cast("string").alias("reason"))
+    bad = apart.bad.select(
+        F.col("source").cast("bigint").alias("source"),
+        F.lit(None).cast("string").alias("event_type"),
+        F.lit(None).cast("double").alias("value"),
+        "reason",
+    )
+    return good.unionByName(bad).withColumns({"n_good": F.lit(apart.n_good), "n_bad": F.lit(apart.n_bad)})
+
+
 def zip_first_member(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.format_string("part-%d.zip", div("p_partkey", 500))
     packed = packing.archives(table(spark, sf_dir, "part"), path, PART_COLUMNS)
@@ -454,8 +531,8 @@ def append_retried(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
     path = new_path(spark, "orders-loads")
     year = F.year("o_orderdate")
-    failing = F.when(year < 1996, F.col("o_orderkey")).otherwise(F.raise_error(F.lit("half way")).cast("bigint"))
-    recent, old = orders.where(year >= 1995), orders.where(year < 1995)
+    failing = F.when(year < 1999, F.col("o_orderkey")).otherwise(F.raise_error(F.lit("half way")).cast("bigint"))
+    recent, old = orders.where(year >= 1998), orders.where(year < 1998)
     append_once(old, path, "old")
     try:
         append_once(recent.withColumn("o_orderkey", failing), path, "recent")
@@ -565,6 +642,10 @@ QUERIES: dict[str, Query] = {
     "csv_scan": csv_scan,
     "csv_audit": csv_malformed,
     "csv_scan_inferred": csv_scan_inferred,
+    "csv_types_kept": csv_types_kept,
+    "months_of_types": months_of_types,
+    "volume_audit": volume_audit,
+    "records_audit": records_audit,
     "zip_first_member": zip_first_member,
     "archive_by_link": archive_by_link,
     "volume_inferred": volume_inferred,
@@ -747,6 +828,42 @@ GROUP BY malformed
 SELECT *, 'o_orderkey int, o_custkey int, o_orderstatus string, o_totalprice double, o_orderdate timestamp, '
        || 'o_orderpriority string' AS types
 FROM orders
+""",
+    "csv_types_kept": """
+SELECT printf('%07d', o_orderkey) AS code, strftime(o_orderdate, '%Y-%m') AS month,
+       CASE WHEN o_orderkey % 5 > 0 THEN o_custkey::INTEGER END AS custkey, o_orderkey * 10000000000 AS wide,
+       CASE WHEN o_orderkey % 3 = 0 THEN o_custkey::DOUBLE ELSE o_totalprice::DECIMAL(12,2)::DOUBLE END AS price,
+       'code string, month string, custkey int, wide bigint, price double' AS types
+FROM orders
+""",
+    "months_of_types": """
+SELECT CASE WHEN year(o_orderdate) = 1997 THEN printf('%09d', o_orderkey) WHEN year(o_orderdate) < 1997 THEN o_orderkey::VARCHAR
+            ELSE (o_orderkey + 5000000000)::VARCHAR END AS code,
+       o_custkey::INTEGER AS custkey,
+       CASE WHEN year(o_orderdate) < 1997 THEN 'early' WHEN year(o_orderdate) = 1997 THEN '1997' ELSE 'later' END AS load_id,
+       'code string, custkey int, load_id string' AS types
+FROM orders
+""",
+    "volume_audit": """
+WITH judged AS (
+  SELECT *, CASE WHEN p_partkey % 10 IN (7, 9) THEN 'cells' WHEN p_partkey % 10 = 3 THEN 'type' END AS reason FROM part)
+SELECT p_partkey, CASE WHEN reason IS NULL THEN p_name END AS p_name, CASE WHEN reason IS NULL THEN p_size END AS p_size,
+       CASE WHEN reason IS NULL THEN p_retailprice END AS p_retailprice,
+       CASE WHEN reason IS NOT NULL THEN 'part-' || CAST(p_partkey // 500 AS VARCHAR) || '.zip' END AS source, reason,
+       count(*) FILTER (reason IS NULL) OVER () AS n_good, count(reason) OVER () AS n_bad
+FROM judged
+""",
+    "records_audit": """
+WITH judged AS (
+  SELECT *, CASE WHEN event_id % 11 = 0 THEN 'malformed'
+                 WHEN event_type = 'click' THEN 'field value: double expected, found '
+                      || CASE WHEN value > 100 THEN 'WIDE INTEGER' ELSE 'BIGINT' END
+                 WHEN event_type = 'view' THEN 'field value: double expected, found STRING' END AS reason
+  FROM events)
+SELECT event_id AS source, CASE WHEN reason IS NULL THEN event_type END AS event_type,
+       CASE WHEN reason IS NULL AND event_type != 'error' THEN value END AS value, reason,
+       count(*) FILTER (reason IS NULL) OVER () AS n_good, count(reason) OVER () AS n_bad
+FROM judged
 """,
     "zip_first_member": "SELECT p_partkey, p_name, p_brand, p_size, p_retailprice FROM part",
     "archive_by_link": """
@@ -774,7 +891,7 @@ FROM orders GROUP BY ALL
     "table_replace": "SELECT * FROM customer",
     "table_append": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
     "append_retried": """
-SELECT o_orderkey, o_totalprice, o_orderdate, CASE WHEN year(o_orderdate) < 1995 THEN 'old' ELSE 'recent' END AS load_id
+SELECT o_orderkey, o_totalprice, o_orderdate, CASE WHEN year(o_orderdate) < 1998 THEN 'old' ELSE 'recent' END AS load_id
 FROM orders
 """,
     "versions_published": """

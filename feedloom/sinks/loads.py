@@ -18,14 +18,17 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    BooleanType,
     ByteType,
     DataType,
     DoubleType,
     FloatType,
     IntegerType,
     LongType,
+    NullType,
     ShortType,
     StringType,
+    StructField,
     StructType,
 )
 
@@ -52,7 +55,7 @@ def append_once(df: DataFrame, path: str, load_id: str) -> bool:
 
     Run again, after success or a failure at any point, it gives the rows once: a load the
     ledger has is not even computed, and of two attempts at the same time one counts. The
-    load keeps its own types; `read_loads` brings those of all loads together. Rows are
+    load keeps its own types, none (void) where it has no value; `read_loads` brings those of all loads together. Rows are
     written as they come, so give a frame whose partitions are of a size for files.
     """
     spark = df.sparkSession
@@ -61,7 +64,9 @@ def append_once(df: DataFrame, path: str, load_id: str) -> bool:
         return False
     attempt = uuid.uuid4().hex
     counted, seen = row_counter(df)
-    counted.write.parquet(f"{path}/data/{attempt}")
+    held = _held(df.schema)
+    own = [F.col(f"`{name}`") if name in df.columns else F.lit(None).cast("boolean").alias(name) for name in held.names]
+    counted.select(*own).write.parquet(f"{path}/data/{attempt}")
     found = {
         "load_id": load_id,
         "attempt": attempt,
@@ -75,10 +80,18 @@ def append_once(df: DataFrame, path: str, load_id: str) -> bool:
     return added
 
 
+def _held(schema: StructType) -> StructType:
+    """The columns of a load's files: those of a type, as one without it has no values; or a mark for each row."""
+    typed = [field for field in schema.fields if not isinstance(field.dataType, NullType)]
+    return StructType(typed or [StructField("_row", BooleanType())])
+
+
 def wider(left: DataType, right: DataType) -> DataType:
     """The nearest type that holds all values of both unchanged."""
-    if left == right:
+    if left == right or isinstance(right, NullType):
         return left
+    if isinstance(left, NullType):
+        return right
     for one, other in ((left, right), (right, left)):
         if type(other) in WIDER.get(type(one), ()):
             return other
@@ -93,7 +106,7 @@ def merged_schema(schemas: list[StructType]) -> StructType:
         found[field.name] = wider(found[field.name], field.dataType) if field.name in found else field.dataType
     merged = StructType()
     for name, kind in found.items():
-        merged = merged.add(name, kind)
+        merged = merged.add(name, StringType() if isinstance(kind, NullType) else kind)
     return merged
 
 
@@ -118,10 +131,11 @@ def read_loads(spark: SparkSession, path: str, *loads: str) -> DataFrame:
     parts = []
     for text, schema in schemas.items():
         folders = [f"{path}/data/{row['attempt']}" for row in found if row["schema"] == text]
-        rows = spark.read.schema(schema).parquet(*folders)
+        held = _held(schema)
+        rows = spark.read.schema(held).parquet(*folders)
         attempt = F.element_at(F.split("_metadata.file_path", "/"), -2)
         own = [
-            (F.col(f"`{f.name}`") if f.name in schema.names else F.lit(None)).cast(f.dataType).alias(f.name)
+            (F.col(f"`{f.name}`") if f.name in held.names else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in merged.fields
         ]
         parts.append(rows.select(*own, attempt.alias("_attempt")))

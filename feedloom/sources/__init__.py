@@ -1,5 +1,5 @@
 from feedloom.sources.archives import first_member_lines, read_archives, shared_header, stage_lines
-from feedloom.sources.delimited import csv_audit, parse_lines, read_csv
+from feedloom.sources.delimited import csv_audit, infer_csv, infer_lines, judge_lines, parse_lines, read_csv
 from feedloom.sources.landed import LANDED, RUNS, first_link, page_requests, read_documents, read_landed
 
 __all__ = [
@@ -8,6 +8,9 @@ __all__ = [
     "csv_audit",
     "first_link",
     "first_member_lines",
+    "infer_csv",
+    "infer_lines",
+    "judge_lines",
     "page_requests",
     "parse_lines",
     "read_archives",

@@ -22,9 +22,13 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def first_member_lines(
-    archives: DataFrame, columns: list[str] | None, *keep: str, seen: Observation | None = None
+    archives: DataFrame,
+    columns: list[str] | None,
+    *keep: str,
+    seen: Observation | None = None,
+    number: str | None = None,
 ) -> DataFrame:
-    """One `line` row per data line of each archive's first member.
+    """One `line` row per data line of each archive's first member, with its place in the member under `number`, if any.
 
     `columns` is the header the member must have; without it any header will do, and
     `seen` tells `shared_header` of it. `keep` names string columns of `archives` to carry
@@ -36,7 +40,12 @@ def first_member_lines(
     blocks = _expand(archives, names, columns)
     if seen is not None:
         blocks = blocks.observe(seen, F.min("header").alias("first"), F.max("header").alias("last"))
-    lines = blocks.select(*keep, F.explode(F.split("block", "\r\n|[\r\n]")).alias("line"))
+    split = F.split("block", "\r\n|[\r\n]")
+    if number is None:
+        lines = blocks.select(*keep, F.explode(split).alias("line"))
+    else:
+        lines = blocks.select(*keep, "before", F.posexplode(split).alias("_at", "line"))
+        lines = lines.select(*keep, (F.col("before") + F.col("_at") + 1).alias(number), "line")
     return lines.where(F.rlike("line", F.lit(r"[^\s\p{Z}\x1c-\x1f\x85]")))
 
 
@@ -50,7 +59,8 @@ def shared_header(seen: Observation) -> list[str]:
 
 def _expand(archives: DataFrame, names: list[str], columns: list[str] | None) -> DataFrame:
     """`names`, the header line and the blocks of data lines of each first member, one block at least."""
-    schema = pa.schema([(name, pa.string()) for name in (*names, "header")] + [("block", pa.large_string())])
+    texts = [(name, pa.string()) for name in (*names, "header")]
+    schema = pa.schema([*texts, ("before", pa.int64()), ("block", pa.large_string())])
 
     # Nested, so that they travel to the executors with `expand`.
     def blocks(content: pa.Buffer) -> Iterator[str]:
@@ -70,21 +80,28 @@ def _expand(archives: DataFrame, names: list[str], columns: list[str] | None) ->
                         held.append(text)
                 yield "".join([*held, decode(b"", True)])
 
-    def member_blocks(content: pa.Buffer, path: str) -> Iterator[tuple[str, str]]:
-        """The header line, the first with more than white space, and what follows it."""
-        header = None
+    def ends(text: str) -> int:
+        """Line ends in a text."""
+        return text.count("\n") + text.count("\r") - text.count("\r\n")
+
+    def member_blocks(content: pa.Buffer, path: str) -> Iterator[tuple[str, int, str]]:
+        """The header line, the first with more than white space, and what follows it with the lines before."""
+        header, before = None, 0
         for block in blocks(content):
             if header is None:
                 found = next((line for line in re.finditer("[^\r\n]+", block) if line[0].strip()), None)
                 if found is None:
+                    before += ends(block)
                     continue
                 header = found[0]
                 check(path, next(csv.reader([header]), []))
+                before += ends(block[: found.end()])
                 block = block[found.end() :]
-            yield header, block
+            yield header, before, block
+            before += ends(block)
         if header is None:
             check(path, [])
-            yield "", ""
+            yield "", 0, ""
 
     def check(path: str, header: list[str]) -> None:
         if columns is not None and header != columns:
@@ -96,11 +113,12 @@ def _expand(archives: DataFrame, names: list[str], columns: list[str] | None) ->
             carried = [batch.column(name) for name in names]
             for row in range(batch.num_rows):
                 fixed = [column[row].as_py() for column in carried]
-                for header, block in member_blocks(contents[row].as_buffer(), fixed[0]):
+                for header, before, block in member_blocks(contents[row].as_buffer(), fixed[0]):
                     arrays = [pa.array([value], pa.string()) for value in (*fixed, header)]
-                    yield pa.RecordBatch.from_arrays([*arrays, pa.array([block], pa.large_string())], schema=schema)
+                    arrays += [pa.array([before], pa.int64()), pa.array([block], pa.large_string())]
+                    yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    ddl = ", ".join(f"`{name}` string" for name in schema.names)
+    ddl = ", ".join(f"`{name}` {'bigint' if name == 'before' else 'string'}" for name in schema.names)
     return archives.select(*names, "content").mapInArrow(expand, ddl)
 
 

@@ -153,7 +153,7 @@ def test_volume_appends_the_months_archive(spark, tmp_path):
     assert spark.read.parquet(months).count() == 2
     inferred = [value for value in argv if value not in ("--schema", "code string, n int")]
     assert jobs.run([*(str(tmp_path / "inferred") if v == target else v for v in inferred), "2025-03-11"]) == 2
-    assert spark.read.parquet(str(tmp_path / "inferred")).schema.simpleString() == "struct<code:int,n:int>"
+    assert spark.read.parquet(str(tmp_path / "inferred")).schema.simpleString() == "struct<code:string,n:int>"
     with pytest.raises(ValueError, match="no data for the month"):
         jobs.run([*argv, "2025-05-11"])
 

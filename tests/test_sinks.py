@@ -101,6 +101,20 @@ def test_types_may_change_from_load_to_load(spark, tmp_path):
     )
 
 
+def test_columns_without_values_take_the_type_of_other_loads(spark, tmp_path):
+    path = str(tmp_path / "t")
+    append_once(spark.sql("SELECT 1 AS a, NULL AS b, NULL AS c"), path, "1")
+    append_once(spark.sql("SELECT NULL AS a, 2 AS b, NULL AS c"), path, "2")
+    append_once(spark.sql("SELECT NULL AS a, NULL AS b"), path, "3")
+    rows = read_loads(spark, path)
+    assert rows.schema.simpleString() == "struct<a:int,b:int,c:string,load_id:string>"
+    assert sorted(map(tuple, rows.collect()), key=str) == [
+        (1, None, None, "1"),
+        (None, 2, None, "2"),
+        (None, None, None, "3"),
+    ]
+
+
 def test_wider_types_hold_all_values():
     assert wider(ShortType(), LongType()) == LongType()
     assert wider(IntegerType(), DoubleType()) == DoubleType()
