@@ -103,7 +103,7 @@ def run_bounds(
 
 
 def latest_runs(bounds: DataFrame, expected: DataFrame | None = None) -> DataFrame:
-    """One row per feed: its latest whole run and that run's end, or without one the latest run's reason.
+    """One row per feed: its latest whole run and that run's end, or without one the latest run and its reason.
 
     A feed of `expected` that never landed has the reason never_landed.
     """
@@ -112,15 +112,16 @@ def latest_runs(bounds: DataFrame, expected: DataFrame | None = None) -> DataFra
         F.max(F.when(whole, F.col("run"))).alias("use_run"),
         F.max_by("stop_at", F.when(whole, F.col("run"))).alias("stop_at"),
         F.max_by("reason", "run").alias("last_reason"),
+        F.max("run").alias("last_run"),
         F.max("landings").alias("landings"),
     )
     latest = latest.withColumn("reason", F.when(F.col("use_run").isNull(), F.col("last_reason")))
     latest = latest.withColumn("over_limit", F.coalesce(F.col("last_reason") == "over_limit", F.lit(False)))
-    latest = latest.select("feed", "use_run", "stop_at", "landings", "reason", "over_limit")
+    latest = latest.select("feed", "use_run", "stop_at", "landings", "last_run", "reason", "over_limit")
     if expected is None:
         return latest
     lost = expected.select("feed").distinct().join(latest.select("feed"), "feed", "left_anti")
-    empty = [F.lit(None).cast("bigint").alias(name) for name in ("use_run", "stop_at", "landings")]
+    empty = [F.lit(None).cast("bigint").alias(name) for name in ("use_run", "stop_at", "landings", "last_run")]
     return latest.unionByName(
         lost.select("feed", *empty, F.lit("never_landed").alias("reason"), F.lit(False).alias("over_limit"))
     )
@@ -133,6 +134,7 @@ def resolve_batches(
     expected: DataFrame | None = None,
     step: int = STEP,
     broadcast_bytes: int = BROADCAST_BYTES,
+    as_of: str | None = None,
 ) -> DataFrame:
     """The responses to read records from: the pages of each feed's latest whole run up to its end.
 
@@ -141,7 +143,9 @@ def resolve_batches(
     ("fallback"). An empty feed is not a failed one: it gives no records either way.
     `expected` has the feeds there should be; a fallback's feeds are expected by
     themselves. A latest run with a page over the parser's limits stops the job under
-    any policy.
+    any policy. A fallback may hold several snapshots of a feed: `as_of` names the column
+    that tells when each was taken, and the newest one not newer than the feed's latest run
+    is chosen (`snapshots_as_of`).
 
     `landed` may number its runs and the attempts at a page (`run`, `attempt`); of a page
     landed more than once in a run the latest attempt counts. It is read here, to find
@@ -149,7 +153,7 @@ def resolve_batches(
     when landed this first read is a narrow one.
     """
     narrow = with_runs(classify(landed)).select("feed", "run", "attempt", "skip", "outcome", "reason")
-    return resolve_pages(best_landings(narrow), lambda _: landed, on_failure, fallback, expected, step, broadcast_bytes)
+    return resolve_pages(best_landings(narrow), lambda _: landed, on_failure, fallback, expected, step, broadcast_bytes, as_of)
 
 
 def resolve_pages(
@@ -160,6 +164,7 @@ def resolve_pages(
     expected: DataFrame | None = None,
     step: int = STEP,
     broadcast_bytes: int = BROADCAST_BYTES,
+    as_of: str | None = None,
 ) -> DataFrame:
     """`resolve_batches` from pages whose outcomes are known already (as `best_landings` gives them).
 
@@ -198,10 +203,12 @@ def resolve_pages(
     kept = kept.select(columns)
     if fallback is None:
         return kept
-    failed = feeds.where("reason IS NOT NULL").select("feed")
+    failed = feeds.where("reason IS NOT NULL").select("feed", "last_run")
+    if as_of is not None:
+        return kept.unionByName(snapshots_as_of(fallback, failed, as_of, broadcast_bytes).select(columns))
     substitutes = lookup_join(
         fallback.select(columns),
-        failed,
+        failed.select("feed"),
         "feed",
         "left_semi",
         spread=F.col("body"),
@@ -212,6 +219,34 @@ def resolve_pages(
     return kept.unionByName(substitutes)
 
 
+def snapshots_as_of(
+    snapshots: DataFrame, feeds: DataFrame, taken: str = "taken", broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """The rows of each feed's newest snapshot that is not newer than its `last_run`.
+
+    `feeds` is (feed, last_run); one whose last run is NULL, as it never landed, gets its
+    newest snapshot, and one whose snapshots are all newer, or have no time, none. Only the
+    times are compared, a maximum that is combined before the shuffle: snapshots are neither
+    sorted nor shuffled whole, and a feed with very many of them is one narrow row a task.
+    """
+    feeds = settle(feeds.select("feed", "last_run"), "as-of-feeds")
+    in_time = F.col(taken).isNotNull() & (F.col("last_run").isNull() | (F.col(taken) <= F.col("last_run")))
+    times = snapshots.select("feed", taken).distinct()
+    # Runs are carried over by a join on the feed, and each feed keeps its newest time.
+    joined = lookup_join(times, feeds, "feed", where=in_time, spread=F.col(taken), broadcast_bytes=broadcast_bytes)
+    chosen = settle(joined.groupBy("feed").agg(F.max(taken).alias("_chosen")), "as-of")
+    return lookup_join(
+        snapshots,
+        chosen,
+        "feed",
+        "left_semi",
+        F.col(taken) == F.col("_chosen"),
+        F.col("body"),
+        broadcast_bytes=broadcast_bytes,
+        measure="body",
+    )
+
+
 def _landed_again(kept: DataFrame, again: DataFrame) -> DataFrame:
     """`kept` with one row for each page that landed more than once: its best landing, by body if they tie."""
     columns = ["feed", "skip", "status", "body"]

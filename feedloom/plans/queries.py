@@ -45,6 +45,7 @@ from feedloom.sources import (
     first_member_lines,
     infer_csv,
     infer_lines,
+    missing_pages,
     page_requests,
     parse_lines,
     read_csv,
@@ -282,6 +283,47 @@ def incomplete_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_fallback.unionByName(_rows(resolve_batches(responses, "empty")).withColumn("policy", F.lit("empty")))
 
 
+def fallback_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feeds whose last run, 10 or 20, failed, and three snapshots of each, taken at 5, 15 and 25.
+
+    Every fourth feed's run is whole, and every seventh has no snapshot before 15.
+    """
+    events = table(spark, sf_dir, "events")
+    number = div("event_id", SPAN)
+    packed = packing.paged_responses(events, number.cast("string"), div(F.pmod("event_id", F.lit(SPAN)), 20), F.lit(True))
+    own = F.col("feed").cast("int")
+    runs = packed.withColumns({"run": F.when(own % 2 == 0, 10).otherwise(20).cast("bigint"), "attempt": F.lit(1)})
+    refused = (F.col("skip") == 0) & (own % 4 != 0)
+    runs = runs.withColumn("status", F.when(refused, 503).otherwise(F.col("status")))
+    snapshots = [
+        packing.single_records(
+            events.where(number % 7 != 0) if taken < 15 else events,
+            number.cast("string"),
+            F.to_json(F.struct("event_id", "event_type", (F.col("value") + taken * 1000).alias("value"))),
+        ).withColumn("taken", F.lit(taken).cast("bigint"))
+        for taken in (5, 15, 25)
+    ]
+    taken = landed(spark, sf_dir, "snapshots", lambda: snapshots[0].unionByName(snapshots[1]).unionByName(snapshots[2]))
+    return _rows(resolve_batches(landed(spark, sf_dir, "late-runs", lambda: runs), "fallback", taken, as_of="taken"))
+
+
+def requests_to_make(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages of two events each that have no error event are taken as landed; those with one are missing.
+
+    One feed holds every event whose user has a number divisible by three, so it is long.
+    """
+    events = table(spark, sf_dir, "events")
+    feed = F.when(F.col("user_id") % 3 == 0, "hot").otherwise(F.concat(F.lit("u"), (F.col("user_id") % 50).cast("string")))
+    pages = events.select(feed.alias("feed"), div("event_id", 2).alias("page"), "event_type")
+    landed_pages = (
+        pages.groupBy("feed", "page")
+        .agg(F.count_if(F.col("event_type") == "error").alias("errors"))
+        .where("errors = 0")
+        .select("feed", (F.col("page") * PAGE_STEP).alias("skip"))
+    )
+    return missing_pages(landed_pages, pages.groupBy("feed").agg((F.max("page") + 1).alias("pages")), PAGE_STEP)
+
+
 def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs of every feed; in the second, page 5 of some feeds failed and was fetched again, of others was lost."""
     events = table(spark, sf_dir, "events")
@@ -637,6 +679,8 @@ QUERIES: dict[str, Query] = {
     "load_counts": load_counts,
     "outcome_reasons": outcome_reasons,
     "incomplete_feeds": incomplete_feeds,
+    "fallback_as_of": fallback_as_of,
+    "requests_to_make": requests_to_make,
     "latest_run": latest_run,
     "documents_from_files": documents_from_files,
     "csv_scan": csv_scan,
@@ -809,6 +853,25 @@ FROM events JOIN feeds ON feed = event_id // 500 WHERE NOT incomplete
 UNION ALL
 SELECT CAST(feed AS VARCHAR), event_id, CASE WHEN incomplete THEN 'kept' ELSE event_type END, value, 'fallback'
 FROM events JOIN feeds ON feed = event_id // 500
+""",
+    "fallback_as_of": """
+WITH feeds AS (
+  SELECT DISTINCT event_id // 500 AS feed, CASE WHEN feed % 2 = 0 THEN 10 ELSE 20 END AS run, feed % 4 != 0 AS failed FROM events),
+snapshots AS (SELECT feed, taken FROM feeds, (VALUES (5), (15), (25)) t(taken) WHERE taken >= 15 OR feed % 7 != 0),
+chosen AS (SELECT f.feed, s.taken FROM feeds f ASOF JOIN snapshots s ON f.feed = s.feed AND f.run >= s.taken WHERE f.failed)
+SELECT CAST(event_id // 500 AS VARCHAR) AS feed, event_id, event_type, value FROM events WHERE event_id // 500 % 4 = 0
+UNION ALL
+SELECT CAST(feed AS VARCHAR), event_id, event_type, value + taken * 1000 FROM events JOIN chosen ON feed = event_id // 500
+""",
+    "requests_to_make": """
+WITH pages AS (
+  SELECT CASE WHEN user_id % 3 = 0 THEN 'hot' ELSE 'u' || CAST(user_id % 50 AS VARCHAR) END AS feed, event_id // 2 AS page,
+         event_type = 'error' AS error FROM events),
+wanted AS (SELECT feed, unnest(range(0, max(page) + 1)) AS page FROM pages GROUP BY feed),
+missing AS (
+  SELECT feed, page FROM wanted ANTI JOIN (SELECT feed, page FROM pages GROUP BY ALL HAVING NOT bool_or(error)) USING (feed, page)),
+islands AS (SELECT feed, page, page - row_number() OVER (PARTITION BY feed ORDER BY page) AS run FROM missing)
+SELECT feed, min(page) * 500 AS first, count(*) AS n FROM islands GROUP BY feed, run
 """,
     "latest_run": """
 WITH stale AS (SELECT DISTINCT event_id // 500 AS feed FROM events WHERE feed % 3 = 1 AND event_id % 500 // 20 = 5)
