@@ -24,6 +24,8 @@ MIN_LITERALS = 5
 MIN_PERCENT = 50
 #: Consecutive equal tokens that are a copy by themselves, whatever their share of the item.
 COPIED = 25
+#: Items of fewer tokens say nothing by themselves: a name or a number is in many clean texts.
+MIN_TOKENS = 5
 #: A number, or a word of letters.
 TOKEN = r"[0-9]+(?:[.,][0-9]+)*|\p{L}+"
 #: Words that are units when they follow a number.
@@ -94,16 +96,27 @@ def union(tables: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, tables)
 
 
-def item_windows(benchmark: DataFrame, item_id: str, text: str, window: int) -> tuple[DataFrame, list[int]]:
+def short_items(
+    benchmark: DataFrame, item_id: str = "item_id", text: str = "text", min_tokens: int = MIN_TOKENS
+) -> DataFrame:
+    """(item_id, text, n_tokens): the items that are too short to be looked for, as a report."""
+    n_tokens = F.size(raw_tokens(F.col(f"`{text}`")))
+    items = benchmark.select(F.col(f"`{item_id}`").alias("item_id"), F.col(f"`{text}`").alias("text"))
+    return items.withColumn("n_tokens", n_tokens).where(F.col("n_tokens") < min_tokens)
+
+
+def item_windows(
+    benchmark: DataFrame, item_id: str, text: str, window: int, min_tokens: int
+) -> tuple[DataFrame, list[int]]:
     """Every window of every distinct item, settled, with the item's number of windows; the windows' lengths.
 
-    An item shorter than a window has one of its whole length.
+    An item shorter than a window has one of its whole length, and one of fewer than `min_tokens` none.
     """
     items = benchmark.select(F.col(f"`{item_id}`").alias("item_id"), F.col(f"`{text}`").alias("text")).distinct()
     hashed = with_hashes(items, F.col("text"), F.col("item_id"), F.xxhash64("text").alias("item"))
     length = F.least(F.size("hashes"), F.lit(window))
     hashed = hashed.withColumn("n_windows", (F.size("hashes") - length + 1).cast("bigint"))
-    short = hashed.where(F.size("hashes").between(1, window - 1)).select(F.size("hashes").alias("n")).distinct()
+    short = hashed.where(F.size("hashes").between(max(min_tokens, 1), window - 1)).select(F.size("hashes").alias("n")).distinct()
     lengths = [row["n"] for row in short.collect()] + [window]
     found = [detailed_windows(hashed.where(length == n), n, "item_id", "item", "n_windows") for n in lengths]
     literals = F.size(F.filter("types", lambda token: ~F.startswith(token, F.lit("<"))))
@@ -158,6 +171,7 @@ def matches(
     min_literals: int = MIN_LITERALS,
     min_percent: int = MIN_PERCENT,
     copied: int = COPIED,
+    min_tokens: int = MIN_TOKENS,
 ) -> DataFrame:
     """(text_hash, item_id, n_matched, n_windows): the contaminated texts, settled.
 
@@ -168,10 +182,11 @@ def matches(
     with another value than the main one do not count. A text is contaminated by an item when at least `min_percent` of the
     item's windows count, or by a copy of `copied` or more consecutive equal tokens; then
     all equal windows of that shift count. An item shorter than a window is one window of
-    its whole length. Benchmark windows are broadcast where their measured size
+    its whole length; one of fewer than `min_tokens` is not looked for (`short_items` lists
+    those), as a name or a number alone would take clean texts. Benchmark windows are broadcast where their measured size
     allows it, and merged otherwise.
     """
-    items, lengths = item_windows(benchmark, item_id, item_text, window)
+    items, lengths = item_windows(benchmark, item_id, item_text, window, min_tokens)
     hashes = settle(items.select("hash").distinct(), "item-hashes")
     own = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
     hashed = with_hashes(docs, F.col(f"`{text}`"), own.alias("doc"))
@@ -220,7 +235,7 @@ def contaminated(
 ) -> DataFrame:
     """One row per contaminated document and item: doc_id, item_id, n_matched, n_windows.
 
-    Null and empty texts, and items without a token, match nothing. Documents with equal texts, and repeated rows, each get their rows; of items
+    Null and empty texts, and items of fewer than `min_tokens` tokens, match nothing. Documents with equal texts, and repeated rows, each get their rows; of items
     that share an id the best match counts. Null ids are carried as they are. Other
     columns are not looked at; empty tables on either side give no rows.
     """

@@ -105,21 +105,26 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
     nodes = [Node("#root", (False, False), -1)]
     flow: list[tuple[int, str | None]] = []
     stack = [0]
+    places: dict[str, list[int]] = {}  # of each tag that is open, where on the stack
+
+    def open_node(number: int) -> None:
+        places.setdefault(nodes[number].tag, []).append(len(stack))
+        stack.append(number)
 
     def close_to(place: int) -> None:
         for node in reversed(stack[place:]):
+            places[nodes[node].tag].pop()
             if nodes[node].tag not in INLINE:
                 flow.append((nodes[node].parent, None))
         del stack[place:]
 
+    def innermost(tags) -> int:
+        return max((places[tag][-1] for tag in tags if places.get(tag)), default=0)
+
     def close_kind(kinds, boundary) -> None:
-        for place in range(len(stack) - 1, 0, -1):
-            tag = nodes[stack[place]].tag
-            if tag in boundary:
-                return
-            if tag in kinds:
-                close_to(place)
-                return
+        place = innermost(kinds)
+        if place > innermost(boundary):
+            close_to(place)
 
     def text(start: int, end: int) -> None:
         if end > start:
@@ -151,10 +156,8 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
         at = tag.end()
         closing, name, attributes = tag[1], tag[2].lower(), tag[3]
         if closing:
-            for place in range(len(stack) - 1, 0, -1):
-                if nodes[stack[place]].tag == name:
-                    close_to(place)
-                    break
+            if places.get(name):
+                close_to(places[name][-1])
             continue
         if name in ENDS_P:
             close_kind({"p"}, {"table", "td", "th", "button", "object"})
@@ -169,13 +172,13 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
         closed = attributes.rstrip().endswith("/")
         if name in RAW and not (closed and name == "svg"):
             end = raw_end(name).search(html, at)
-            stack.append(number)
+            open_node(number)
             if end is None:
                 at = size
             else:
                 at = end.start()
         elif name not in VOID and not closed:
-            stack.append(number)
+            open_node(number)
     for node, piece in flow:
         if piece is not None and not piece.isspace():
             nodes[node].chars += len(piece)

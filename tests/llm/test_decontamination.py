@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 
 from feedloom.llm import decontamination
-from feedloom.llm.decontamination import contaminated, drop_contaminated
+from feedloom.llm.decontamination import contaminated, drop_contaminated, short_items
 
 QUESTION = (
     "Alice has 5 red apples and 3 km to walk before noon. She gives every child that she meets one of them and "
@@ -65,6 +65,15 @@ def test_items_shorter_than_a_window_are_found_as_they_are(make_docs, spark):
     assert {tuple(row) for row in rows} == {(0, 1, 1, 1), (2, 1, 1, 1)}
 
 
+def test_names_and_numbers_alone_delete_nothing(make_docs, spark):
+    items = spark.createDataFrame([(1, "Paris"), (2, "42"), (3, "in the year 1999"), (4, None), (5, OTHER)], "item_id bigint, text string")
+    docs = make_docs("Paris is a city.", "It was 42, back in the year 1999.", "Nothing.", OTHER)
+    assert found(docs, items) == {(3, 5)}
+    assert {row["doc_id"] for row in drop_contaminated(docs, items).collect()} == {0, 1, 2}
+    assert {(row["item_id"], row["n_tokens"]) for row in short_items(items).collect()} == {(1, 1), (2, 1), (3, 4), (4, 0)}
+    assert found(docs, items, min_tokens=1) == {(0, 1), (1, 2), (1, 3), (3, 5)}
+
+
 def test_a_long_copy_counts_by_itself(make_docs, spark):
     """25 and 60 consecutive tokens of 150, the latter with other values around it; 24 are not enough."""
     words = [f"w{chr(97 + n // 26)}{chr(97 + n % 26)}" for n in range(150)]

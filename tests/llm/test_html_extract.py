@@ -3,6 +3,7 @@ from __future__ import annotations
 import itertools
 import math
 import re
+import time
 from html import unescape
 
 import pytest
@@ -114,3 +115,16 @@ def test_deep_and_long_pages(model):
 def test_pages_that_mark_no_article_teach_nothing():
     assert observed(["<p>text</p>", "", None]) == {}
     assert main_text("<article><p>some text</p></article><footer>x</footer>", Model({})) == "some text"
+
+
+@pytest.mark.parametrize("piece", ["<div>", "</b>", "</div>", "<p>", "<ul><li>", "<b><i></b>", "<p><table><tr>", "<td>", "<!--", "<p title='"])
+def test_hostile_pages_are_parsed_in_linear_time(piece):
+    started = time.process_time()
+    nodes, _ = parse("<p><table>" + piece * 200_000)
+    assert nodes and time.process_time() - started < 20
+
+
+def test_a_p_is_closed_within_its_table_cell_only():
+    nodes, _ = parse("<p>a<table><tr><td>b<div>c</div><p>d<div>e</div></td></tr></table>")
+    parents = [(node.tag, nodes[node.parent].tag if node.parent >= 0 else None) for node in nodes]
+    assert ("div", "td") in parents and ("p", "td") in parents and ("div", "p") not in parents

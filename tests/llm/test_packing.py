@@ -4,9 +4,10 @@ import itertools
 import random
 
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
-from feedloom.llm.packing import best_boundaries, pack
+from feedloom.llm.packing import best_boundaries, encode, encoding, pack, sequences
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -80,3 +81,30 @@ def test_repeated_rows_are_packed_each(make_docs):
     docs = make_docs((1, "a b"), (1, "a b"), (None, "a b"), (None, "a b"))
     rows = pack(docs, VOCABULARY, public_tokenizers.PATTERN).collect()
     assert sorted(row["position"] for row in rows) == [0, 1, 2, 3]
+
+
+@pytest.mark.parametrize("piece", [" ", "\n", "\r\n", "x", "!", "7", " \n", "　", "a "])
+def test_very_long_runs(make_docs, piece):
+    """The last runs of a text and runs before a word, a digit, a line end; each as the library counts them."""
+    long = piece * (1_000_000 // len(piece))
+    short = piece * (5000 // len(piece))
+    own = encoding(VOCABULARY, public_tokenizers.PATTERN)
+    for text in (short, f"a{short}", f"{short}a", f"a {short} 7{short}\n.{short}", f"{short}\x1c{short}"):
+        assert encode(own, text).tolist() == own.encode_ordinary(text)
+    for text in (long, f"a{long}b", f"{long}\n{long}."):
+        ids = encode(own, text).tolist()
+        assert b"".join(map(own.decode_single_token_bytes, ids)).decode() == text
+    total = sum(row["n_tokens"] for row in pack(make_docs(f"a{long}b"), VOCABULARY, public_tokenizers.PATTERN).collect())
+    assert total == len(encode(own, f"a{long}b"))
+
+
+def test_sequences_hold_the_ids(make_docs):
+    docs = make_docs((1, "one two three"), (1, "four five six"), (None, "word " * 100), (None, ""), (2, None), (3, "x"))
+    rows = sequences(docs, VOCABULARY, public_tokenizers.PATTERN, max_length=32, buckets=2).collect()
+    own = encoding(VOCABULARY, public_tokenizers.PATTERN)
+    texts = {}
+    for row in sorted(rows, key=lambda row: (row["row"], row["chunk"])):
+        assert len(row["ids"]) == row["n_tokens"]
+        texts.setdefault((row["doc_id"], row["row"]), []).extend(row["ids"])
+    found = sorted((str(doc_id), own.decode(ids)) for (doc_id, _), ids in texts.items())
+    assert found == sorted([("1", "one two three"), ("1", "four five six"), ("None", "word " * 100), ("3", "x")])
