@@ -14,7 +14,7 @@ from feedloom.llm.line_templates import drop_repeated_lines
 from feedloom.llm.minhash import drop_near_duplicates
 from feedloom.llm.packing import pack
 from feedloom.llm.quality import apply_rules
-from feedloom.workspace import settle, ship
+from feedloom.workspace import clear, mark, settle, ship
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,10 +55,15 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows; every stage before it is written to the shared folder and read again."""
+    """The last stage's rows; every stage before it is written to the shared folder and read again.
+
+    Once a stage is written, what it and the stage before it had written on the way is deleted.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    begun = mark()
     for name, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        clear(spark, begun, but_last=True)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

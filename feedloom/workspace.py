@@ -35,10 +35,21 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def clear(spark: SparkSession) -> None:
-    """Delete what this driver has settled so far, once no result that reads it is needed any more."""
-    while _made:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+def mark() -> int:
+    """How much this driver has settled so far, for a later `clear` of what came after."""
+    return len(_made)
+
+
+def clear(spark: SparkSession, since: int = 0, but_last: bool = False) -> None:
+    """Delete what this driver has settled, since a `mark` if given, once no result that reads it is needed any more.
+
+    `but_last` keeps the last table: what came of those before it.
+    """
+    kept = _made[-1:] if but_last and len(_made) > since else []
+    gone = _made[since : len(_made) - len(kept)]
+    _made[since:] = kept
+    for name in reversed(gone):
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

@@ -249,3 +249,17 @@ def test_settled_tables_keep_schema_and_never_collide(spark):
     df = spark.createDataFrame([(1, ["a"], None)], "a int, b array<string>, c double")
     assert [tuple(r) for r in workspace.settle(df, "t").collect()] == [(1, ["a"], None)]
     assert workspace.new_path(spark, "t") != workspace.new_path(spark, "t")
+
+
+def test_settled_tables_go_but_the_last(spark):
+    before = workspace.mark()
+    frames = [workspace.settle(spark.range(n), "t") for n in (1, 2, 3)]
+    begun = before + 1
+    workspace.clear(spark, begun, but_last=True)
+    assert frames[0].count() == 1 and frames[2].count() == 3 and workspace.mark() == before + 2
+    with pytest.raises(Exception, match="does not exist"):
+        frames[1].collect()
+    workspace.clear(spark, before)
+    assert workspace.mark() == before
+    workspace.clear(spark, workspace.mark(), but_last=True)
+    assert workspace.mark() == before
