@@ -79,7 +79,7 @@ def test_of_two_attempts_at_once_one_counts(spark, tmp_path):
         return batch
 
     class Between:
-        sparkSession, schema = spark, spark.range(1).schema
+        sparkSession, schema, columns = spark, spark.range(1).schema, ["id"]
 
         def observe(self, *args):
             return slow(spark.range(5)).observe(*args)
