@@ -196,50 +196,86 @@ def rounds_of_clustering(rounds: int) -> str:
 
 ORACLES = {
     "op1_line_dedup": r"""
-        WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-        split AS (
-            SELECT doc_id, text, unnest(lines) AS raw, generate_subscripts(lines, 1) - 1 AS number
-            FROM (
-                SELECT doc_id, text, string_split(regexp_replace(regexp_replace(
-                    text, '\x20*[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*|\x20{2,}', ' ', 'g'), '[0-9]+', '<*>', 'g'), chr(10)) AS lines
-                FROM docs
-            )
+        WITH texts AS (
+            SELECT min(doc_id) AS own, string_split(regexp_replace(regexp_replace(
+                coalesce(text, ''), '\x20*[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*|\x20{2,}', ' ', 'g'), '[0-9]+', '<*>', 'g'), chr(10)) AS raw,
+                coalesce(text, '') AS text
+            FROM documents GROUP BY coalesce(text, '')
+        ),
+        split AS (SELECT own, unnest(raw) AS raw, generate_subscripts(raw, 1) - 1 AS number FROM texts),
+        tokened AS (
+            SELECT own, number, trim(raw, ' ') AS line, string_split(trim(raw, ' '), ' ') AS tokens
+            FROM split WHERE trim(raw, ' ') != ''
         ),
-        lines AS (SELECT doc_id, text, number, trim(raw, ' ') AS line, string_split(trim(raw, ' '), ' ') AS tokens FROM split),
-        leafed AS (SELECT *, len(tokens) || ' ' || array_to_string(tokens[1:3], ' ') AS leaf FROM lines WHERE line != ''),
-        places AS (
-            SELECT leaf, CASE WHEN len(tokens) >= 50 THEN 3 ELSE 10 END AS enough, line, text, min(doc_id) AS doc_id
-            FROM leafed GROUP BY ALL
+        lines AS MATERIALIZED (
+            SELECT own, number, row_number() OVER (PARTITION BY own ORDER BY number) AS rank, line, len(tokens) AS size,
+                len(list_filter(tokens, lambda t: NOT contains(t, '<*>'))) AS plain,
+                len(tokens) || ' ' || array_to_string(tokens[1:3], ' ') AS leaf
+            FROM tokened
         ),
-        leaves AS (SELECT leaf FROM places GROUP BY leaf, enough HAVING count(*) >= enough),
-        known AS (SELECT leaf, enough, line, count(*) AS n FROM places SEMI JOIN leaves USING (leaf) GROUP BY ALL),
+        places AS MATERIALIZED (SELECT DISTINCT leaf, line, size, own FROM lines),
+        leaves AS (SELECT leaf FROM places GROUP BY leaf, size HAVING count(*) >= greatest(3, least(10, ceil(150 / size)))),
+        known AS (SELECT leaf, line, size, count(*) AS n FROM places SEMI JOIN leaves USING (leaf) GROUP BY ALL),
         tokens AS (
-            SELECT leaf, enough, line, n, unnest(parts) AS token, generate_subscripts(parts, 1) AS place
+            SELECT leaf, line, size, n, unnest(parts) AS token, generate_subscripts(parts, 1) AS place
             FROM (SELECT *, string_split(line, ' ') AS parts FROM known)
         ),
-        constants AS (SELECT leaf, place, token FROM tokens GROUP BY leaf, enough, place, token HAVING sum(n) >= enough),
+        supports AS (
+            SELECT leaf, place, token, sum(n) AS support FROM tokens GROUP BY leaf, size, place, token
+            HAVING sum(n) >= greatest(3, least(10, ceil(150 / size)))
+        ),
+        supported AS (
+            SELECT leaf, line, list(token ORDER BY place) AS tokens, list(coalesce(support, 0) ORDER BY place) AS s,
+                list(coalesce(support, 0) ORDER BY coalesce(support, 0) DESC) FILTER (NOT contains(token, '<*>')) AS plain,
+                list(coalesce(support, 0) ORDER BY coalesce(support, 0) DESC) FILTER (place > 3) AS free
+            FROM tokens LEFT JOIN supports USING (leaf, place, token) GROUP BY leaf, line
+        ),
+        levels AS (
+            SELECT *, plain[ceil(len(tokens) * 60 / 100)::INT] AS level,
+                coalesce(free[ceil(len(free) * 60 / 100)::INT], level) AS own_level
+            FROM supported
+        ),
         general AS (
-            SELECT t.leaf, t.line, string_agg(CASE WHEN c.token IS NULL THEN '<*>' ELSE t.token END, ' ' ORDER BY t.place) AS template
-            FROM tokens t LEFT JOIN constants c USING (leaf, place, token)
-            WHERE t.n < t.enough GROUP BY ALL
-            UNION ALL SELECT leaf, line, line FROM known WHERE n >= enough
+            SELECT leaf, line, list_transform(tokens, lambda t, i: CASE WHEN s[i] >= least(level, own_level) THEN t ELSE '<*>' END) AS kept,
+                len(list_filter(kept, lambda t: NOT contains(t, '<*>'))) AS c,
+                len(list_filter(kept[4:], lambda t: NOT contains(t, '<*>'))) AS f
+            FROM levels WHERE level > 0 AND own_level > 0
         ),
-        fixed AS (
-            SELECT * FROM general
-            WHERE 100 * len(list_filter(string_split(template, ' '), lambda t: NOT contains(t, '<*>')))
-                >= 60 * len(string_split(template, ' '))
+        mapped AS (
+            SELECT leaf, kept, line, own, greatest(
+                greatest(3, least(10, ceil(150 / greatest(c, 1)))) * pow(2, greatest(0, 6 - f)),
+                ceil((SELECT count(*) FROM places) / pow(10, least(c, 15)))) AS needs
+            FROM places JOIN general USING (leaf, line)
         ),
-        mapped AS (SELECT leaf, enough, template, line, text, doc_id FROM places JOIN fixed USING (leaf, line)),
         recurring AS (
-            SELECT leaf, template, arg_min(text, doc_id) AS keeper
-            FROM (SELECT leaf, enough, template, text, min(doc_id) AS doc_id FROM mapped GROUP BY ALL)
-            GROUP BY leaf, enough, template HAVING count(*) >= enough
-        ),
-        drops AS (SELECT DISTINCT m.text, m.line FROM mapped m JOIN recurring r USING (leaf, template) WHERE m.text != r.keeper)
-        SELECT l.doc_id, count(*) FILTER (l.line != '') AS n_lines, count(d.line) AS n_dropped,
-            coalesce(string_agg(CASE WHEN d.line IS NOT NULL THEN l.number END, ',' ORDER BY l.number), '') AS dropped_lines
-        FROM lines l LEFT JOIN drops d ON l.text = d.text AND l.line = d.line
-        GROUP BY l.doc_id
+            SELECT leaf, kept, min(own) AS keeper FROM mapped GROUP BY leaf, kept, needs HAVING count(DISTINCT own) >= needs
+        ),
+        repeated AS (SELECT line, count(*) AS n, min(own) AS keeper FROM places GROUP BY line HAVING count(*) >= 2),
+        neighbours AS MATERIALIZED (
+            SELECT own, number, rank, line, size, plain, n, keeper,
+                CASE WHEN lag(rank) OVER (PARTITION BY own ORDER BY rank) = rank - 1
+                    THEN lag(line) OVER (PARTITION BY own ORDER BY rank) END AS before
+            FROM lines JOIN repeated USING (line)
+        ),
+        pairs AS (
+            SELECT before, line, true AS follows FROM neighbours WHERE before IS NOT NULL
+            GROUP BY before, line HAVING count(DISTINCT own) >= 2
+        ),
+        runs AS (
+            SELECT neighbours.*, count(*) FILTER (follows IS NULL) OVER (PARTITION BY own ORDER BY rank) AS run
+            FROM neighbours LEFT JOIN pairs USING (before, line)
+        ),
+        passages AS (SELECT *, sum(plain) OVER (PARTITION BY own, run) AS passage FROM runs),
+        drops AS (
+            SELECT own, number FROM passages
+            WHERE own != keeper AND 100 * plain >= 60 * size AND (n >= 10 OR n * passage >= 100)
+            UNION
+            SELECT own, number FROM lines JOIN mapped USING (leaf, line, own) JOIN recurring USING (leaf, kept) WHERE own != keeper
+        ),
+        filled AS (SELECT own, count(*) AS n_lines FROM lines GROUP BY own),
+        lost AS (SELECT own, count(*) AS n, string_agg(number, ',' ORDER BY number) AS numbers FROM drops GROUP BY own)
+        SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(lost.n, 0) AS n_dropped, coalesce(numbers, '') AS dropped_lines
+        FROM documents d JOIN texts ON coalesce(d.text, '') = texts.text LEFT JOIN filled USING (own) LEFT JOIN lost USING (own)
     """,
     "op5_warc": r"""
         WITH digests AS (SELECT page_id, url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
