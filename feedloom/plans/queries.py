@@ -32,6 +32,8 @@ from feedloom.plans.packing import PAGE_STEP, div, landed, landed_path, table
 from feedloom.sinks import (
     append_once,
     append_table,
+    column_measures,
+    load_verdicts,
     month_replace,
     publish_version,
     read_loads,
@@ -585,6 +587,41 @@ def append_retried(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_loads(spark, path)
 
 
+def loads_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events added week by week of the month, the last of which is short; what the ledger says of each load.
+
+    `distinct_close` and `median_close` hold the sketches against the loads' rows: within four standard
+    errors of the distinct values, and four percent of the ranks.
+    """
+    events = table(spark, sf_dir, "events").select("user_id", "value", "ts")
+    path = new_path(spark, "events-loads")
+    for week in range(5):
+        part = events.where(div(F.dayofmonth("ts") - 1, 7) == week)
+        append_once(part, path, f"week {week}", measured=("user_id", "value"))
+    held = column_measures(spark, path).drop("n_rows").join(load_verdicts(spark, path), "load_id")
+    cells = read_loads(spark, path).select(
+        "load_id", F.expr("stack(2, 'user_id', CAST(user_id AS DOUBLE), 'value', value) AS (column, cell)")
+    )
+    # The measures are two rows a load.
+    facts = cells.join(F.broadcast(held.select("load_id", "column", "median")), ["load_id", "column"])
+    facts = facts.groupBy("load_id", "column").agg(
+        F.count_distinct("cell").alias("exact"),
+        F.avg((F.col("cell") < F.col("median")).cast("double")).alias("below"),
+        F.avg((F.col("cell") <= F.col("median")).cast("double")).alias("up_to"),
+    )
+    return held.join(facts, ["load_id", "column"]).select(
+        "load_id",
+        "column",
+        "n_rows",
+        "usual_rows",
+        "verdict",
+        "n_null",
+        (F.abs(F.col("n_distinct") - F.col("exact")) <= F.col("exact") * 0.065 + 1).alias("distinct_close"),
+        ((F.col("below") <= 0.54) & (F.col("up_to") >= 0.46)).alias("median_close"),
+        "shifted",
+    )
+
+
 def versions_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A reader that began before a publish keeps its version; the next one sees the new table."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
@@ -699,6 +736,7 @@ QUERIES: dict[str, Query] = {
     "table_replace": table_replace,
     "table_append": table_append,
     "append_retried": append_retried,
+    "loads_reconciled": loads_reconciled,
     "versions_published": versions_published,
     "preview": preview_customers,
     "incremental_load": incremental_load,
@@ -956,6 +994,23 @@ FROM orders GROUP BY ALL
     "append_retried": """
 SELECT o_orderkey, o_totalprice, o_orderdate, CASE WHEN year(o_orderdate) < 1998 THEN 'old' ELSE 'recent' END AS load_id
 FROM orders
+""",
+    "loads_reconciled": """
+WITH loads AS (
+  SELECT 'week ' || (day(ts) - 1) // 7 AS load_id, count(*) AS n_rows,
+         count(*) FILTER (user_id IS NULL) AS no_user, count(*) FILTER (value IS NULL) AS no_value
+  FROM events GROUP BY 1),
+usual AS (
+  SELECT *, median(n_rows) OVER (ORDER BY load_id ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) AS usual_rows FROM loads),
+cells AS (
+  SELECT load_id, 'user_id' AS "column", n_rows, usual_rows, no_user AS n_null FROM usual
+  UNION ALL SELECT load_id, 'value', n_rows, usual_rows, no_value FROM usual)
+SELECT load_id, "column", n_rows, usual_rows,
+       CASE WHEN usual_rows IS NULL THEN 'first' WHEN n_rows < 0.5 * usual_rows THEN 'thin'
+            WHEN n_rows > 2 * usual_rows THEN 'thick' ELSE 'usual' END AS verdict,
+       n_null, true AS distinct_close, true AS median_close,
+       CASE WHEN usual_rows IS NOT NULL THEN false END AS shifted
+FROM cells
 """,
     "versions_published": """
 SELECT c_custkey, c_name, c_acctbal, 'begun' AS reader FROM customer

@@ -1,4 +1,5 @@
 from feedloom.sinks.loads import append_once, ledger, read_loads, remove_attempts
+from feedloom.sinks.reconcile import column_measures, load_verdicts
 from feedloom.sinks.tables import (
     align,
     append_table,
@@ -12,8 +13,10 @@ __all__ = [
     "align",
     "append_once",
     "append_table",
+    "column_measures",
     "jdbc_options",
     "ledger",
+    "load_verdicts",
     "month_replace",
     "publish_version",
     "read_loads",

@@ -15,7 +15,7 @@ import uuid
 from functools import reduce
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
@@ -32,8 +32,8 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from feedloom.operators.checks import row_counter
 from feedloom.sinks.commits import children, put_once, records, remove
+from feedloom.sinks.reconcile import measures, measuring
 
 ENTRY = "load_id string, attempt string, n_rows bigint, schema string, added_at double"
 #: The types that hold every value of a type, nearest first; text holds all.
@@ -50,20 +50,23 @@ def ledger(spark: SparkSession, path: str) -> DataFrame:
     return records(spark, f"{path}/loads", ENTRY)
 
 
-def append_once(df: DataFrame, path: str, load_id: str) -> bool:
+def append_once(df: DataFrame, path: str, load_id: str, measured: tuple[str, ...] = ()) -> bool:
     """Add the rows of the load `load_id` to the table at `path`; whether this call added them.
 
     Run again, after success or a failure at any point, it gives the rows once: a load the
     ledger has is not even computed, and of two attempts at the same time one counts. The
     load keeps its own types, none (void) where it has no value; `read_loads` brings those of all loads together. Rows are
-    written as they come, so give a frame whose partitions are of a size for files.
+    written as they come, so give a frame whose partitions are of a size for files. Columns to
+    be `measured` are sketched by the same pass (`sinks/reconcile.py`).
     """
     spark = df.sparkSession
     entry = f"{path}/loads/{quote(load_id, safe='')}.json"
     if not ledger(spark, path).where(F.col("load_id") == load_id).isEmpty():
         return False
     attempt = uuid.uuid4().hex
-    counted, seen = row_counter(df)
+    seen = Observation()
+    sketched = [column.alias(name) for name, column in measuring(df.schema, measured).items()]
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *sketched)
     held = _held(df.schema)
     own = [F.col(f"`{name}`") if name in df.columns else F.lit(None).cast("boolean").alias(name) for name in held.names]
     counted.select(*own).write.parquet(f"{path}/data/{attempt}")
@@ -73,6 +76,7 @@ def append_once(df: DataFrame, path: str, load_id: str) -> bool:
         "n_rows": seen.get["rows"],
         "schema": df.schema.json(),
         "added_at": time.time(),
+        "measures": measures(df.schema, measured, seen.get),
     }
     added = put_once(spark, entry, found)
     if not added:
