@@ -618,7 +618,7 @@ def loads_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_null",
         (F.abs(F.col("n_distinct") - F.col("exact")) <= F.col("exact") * 0.065 + 1).alias("distinct_close"),
         ((F.col("below") <= 0.54) & (F.col("up_to") >= 0.46)).alias("median_close"),
-        "shifted",
+        F.coalesce("shifted", F.lit(False)).alias("shifted"),
     )
 
 
@@ -1008,8 +1008,7 @@ cells AS (
 SELECT load_id, "column", n_rows, usual_rows,
        CASE WHEN usual_rows IS NULL THEN 'first' WHEN n_rows < 0.5 * usual_rows THEN 'thin'
             WHEN n_rows > 2 * usual_rows THEN 'thick' ELSE 'usual' END AS verdict,
-       n_null, true AS distinct_close, true AS median_close,
-       CASE WHEN usual_rows IS NOT NULL THEN false END AS shifted
+       n_null, true AS distinct_close, true AS median_close, false AS shifted
 FROM cells
 """,
     "versions_published": """
