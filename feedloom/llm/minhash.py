@@ -3,7 +3,9 @@
 Two permutations of the 32-bit numbers make a whole signature: the first places each
 shingle in the universe, the second, shifted round by k, gives coordinate k. Texts that
 share a band fall into one candidate group. Within a group full shingle sets are compared
-in blocks, inside tasks, so that only links come out, never candidate pairs.
+inside tasks, so that only links come out, never candidate pairs. A group too large for a
+task is first tied together by its bands' smallest members, then compared band by band, and
+there only across what those ties have left apart.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
-from feedloom.llm.common import connected_components, whole_row
+from feedloom.llm.common import connected_components, sized_join, whole_row
 from feedloom.llm.slices import by_slices
 from feedloom.workspace import settle
 
@@ -146,55 +148,82 @@ def shingle_sets(words: int):
     return sets
 
 
-def links(sets: list[np.ndarray], side: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
+def links(
+    sets: list[np.ndarray], side: np.ndarray | None, percent: int, part: np.ndarray | None = None
+) -> list[tuple[int, int]]:
     """A spanning forest of the links among `sets`, or with sides between those of side 0 and 1.
 
-    A link has 100 * intersection >= percent * union. All intersections of a set come
-    from counting its shingles' postings at once.
+    A link has 100 * intersection >= percent * union. Sets of one `part` count as connected.
+    With its shingles in order of how many sets hold them, rarest first, a set can only link
+    with one that shares a shingle of both their first size - ceil(percent * size / 100) + 1,
+    and whose size is within the same ratio; only such pairs are intersected.
     """
     sizes = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(len(sets)), sizes)
     _, term, spread = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = spread[term] > 1
-    owner, term = owner[shared], term[shared]
-    order = np.argsort(term, kind="stable")
-    postings = owner[order]
-    begins = np.searchsorted(term[order], np.arange(len(spread)))
-    counts = np.where(spread > 1, spread, 0)
-    starts = np.searchsorted(owner, np.arange(len(sets) + 1))
-    leader = np.arange(len(sets))
+    term = term[np.lexsort((term, spread[term], owner))]
+    starts = np.r_[0, np.cumsum(sizes)]
+    heads = np.flatnonzero(np.arange(len(owner)) - starts[owner] <= (sizes - -(-sizes * percent // 100))[owner])
+    heads = heads[spread[term[heads]] > 1]
+    # Owners by head shingle, ascending within each.
+    postings = owner[heads][np.argsort(term[heads], kind="stable")]
+    held = np.bincount(term[heads], minlength=len(spread))
+    begins = np.cumsum(held) - held
+    heads = heads[held[term[heads]] > 1]
+    bounds = np.searchsorted(owner[heads], np.arange(len(sets) + 1))
+    leader = np.arange(len(sets)) if part is None else np.unique(part, return_inverse=True)[1]
+    members = [[] for _ in sets]
+    for one, root in enumerate(leader):
+        members[root].append(one)
+    mark = np.zeros(len(spread), bool)
     found = []
-    for one in range(len(sets)):
-        terms = term[starts[one] : starts[one + 1]]
-        if not len(terms) or (side is not None and side[one]):
+    for one in np.unique(owner[heads]):
+        if side is not None and side[one]:
             continue
-        lengths = counts[terms]
-        skip = np.repeat(begins[terms] - np.r_[0, np.cumsum(lengths)[:-1]], lengths)
-        common = np.bincount(postings[skip + np.arange(len(skip))], minlength=len(sets))
-        linked = common * 100 >= (sizes + sizes[one] - common) * percent
-        linked &= leader != leader[one]
-        if side is not None:
-            linked &= side == 1
-        for other in np.flatnonzero(linked):
-            if leader[other] != leader[one]:
-                found.append((one, int(other)))
-                leader[leader == leader[other]] = leader[one]
+        near = term[heads[bounds[one] : bounds[one + 1]]]
+        other = postings[_runs(begins[near], held[near])]
+        keep = (leader[other] != leader[one]) & (side[other] == 1 if side is not None else other > one)
+        other = np.unique(other[keep])
+        low, high = np.minimum(sizes[other], sizes[one]), np.maximum(sizes[other], sizes[one])
+        other = other[low * 100 >= high * percent]
+        if not len(other):
+            continue
+        own = term[starts[one] : starts[one + 1]]
+        mark[own] = True
+        lengths = sizes[other]
+        common = np.add.reduceat(mark[term[_runs(starts[other], lengths)]], np.cumsum(lengths) - lengths, dtype=np.int64)
+        mark[own] = False
+        for linked in other[common * 100 >= (lengths + sizes[one] - common) * percent]:
+            small, large = leader[one], leader[linked]
+            if small != large:
+                found.append((int(one), int(linked)))
+                if len(members[small]) > len(members[large]):
+                    small, large = large, small
+                leader[members[small]] = large
+                members[large] += members[small]
+                members[small] = []
     return found
 
 
+def _runs(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """begins[i], begins[i] + 1, ... for lengths[i] numbers, one run after the other."""
+    return np.repeat(begins - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+
+
 def verifier(percent: int):
     def verify(table: pa.Table) -> pa.Table:
         table = table.sort_by("root")
         roots = table.column("root").to_numpy()
         nodes = table.column("node").to_numpy()
         block = table.column("block").to_numpy()
+        parts = table.column("part").to_numpy()
         p, q = table.column("p")[0].as_py(), table.column("q")[0].as_py()
         sets = [np.asarray(s).view(np.uint64) for s in table.column("shingles").to_pandas()]
         cuts = np.r_[0, np.flatnonzero(roots[1:] != roots[:-1]) + 1, len(roots)]
         pairs = []
         for start, end in zip(cuts[:-1], cuts[1:]):
             side = (block[start:end] == q).astype(int) if p != q else None
-            pairs += [(start + a, start + b) for a, b in links(sets[start:end], side, percent)]
+            pairs += [(start + a, start + b) for a, b in links(sets[start:end], side, percent, parts[start:end])]
         return pa.table(
             {
                 "a": pa.array([int(nodes[a]) for a, _ in pairs], pa.int64()),
@@ -205,43 +234,127 @@ def verifier(percent: int):
     return verify
 
 
-def candidate_groups(nodes: DataFrame) -> DataFrame:
-    """(node, component) of the nodes that share a band with another, directly or in a chain."""
+def shared_bands(nodes: DataFrame) -> DataFrame:
+    """(node, key, first) for the bands that a node shares with another; `first` is the band's smallest node."""
     keys = settle(nodes.select("node", F.explode("bands").alias("key")), "band-keys")
     buckets = (
         keys.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first != last")
     )
     # Merged at every size: buckets and groups grow with the documents.
-    edges = keys.join(buckets.hint("merge"), "key").where("node != first").select(F.col("node").alias("a"), F.col("first").alias("b"))
-    return connected_components(edges)
+    return keys.join(buckets.select("key", "first").hint("merge"), "key").select("node", "key", "first")
 
 
-def verified_links(groups: DataFrame, texts: DataFrame, words: int, percent: int, block_shingles: int) -> DataFrame:
-    """Links (a, b) that connect what is connected within each candidate group.
+def verified_links(shared: DataFrame, texts: DataFrame, words: int, percent: int, block_shingles: int) -> DataFrame:
+    """Links (a, b) that connect what is connected among the nodes that share bands.
 
-    A group is cut into blocks of about `block_shingles` shingles; small groups share a
-    task, the blocks of a large one meet pair by pair, each pair in a task.
+    Bands that share nodes form a candidate group. The sets of a group of up to
+    `block_shingles` shingles meet in one task. A larger group's sets first meet the smallest
+    node of each of their bands, which ties copies of one text together at a cost that grows
+    with their number; then they meet within each band that still holds several parts.
     """
-    sets = texts.join(groups.hint("merge"), "node").select(
+    groups = connected_components(shared.select(F.col("node").alias("a"), F.col("first").alias("b")))
+    sets = texts.join(settle(groups, "groups").hint("merge"), "node").select(
         "node", F.col("component").alias("root"), shingle_sets(words)("text").alias("shingles")
     )
     sets = settle(sets.withColumn("n", F.size("shingles")), "shingle-sets")
-    sizes = settle(sets.groupBy("root").agg(F.sum("n").alias("total")), "group-sizes")
-    total = sizes.agg(F.sum("total")).first()[0] or 0
-    teams = -(-total // block_shingles) + 1
-    blocks = F.ceil(F.col("total") / F.lit(block_shingles)).cast("int")
-    placed = (
-        sets.join(sizes, "root")
-        .withColumn("blocks", blocks)
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .withColumn("wide", F.col("blocks") > 1)
+    large = sets.groupBy("root").agg(F.sum("n").alias("total")).where(F.col("total") > block_shingles)
+    large = settle(large.select("root"), "large-groups")
+    teams = -(-(sets.agg(F.sum("n")).first()[0] or 0) // block_shingles) + 1
+    met = sized_join(sets, large, "root", "left_anti").select(
+        F.lit(False).alias("wide"),
+        F.pmod(F.xxhash64("root"), F.lit(teams)).alias("team"),
+        *[F.lit(0).alias(name) for name in ("p", "q", "block")],
+        "root",
+        "node",
+        F.col("node").alias("part"),
+        "shingles",
+    )
+    found = compared(met, percent)
+    if large.isEmpty():
+        return found
+    wide = settle(sized_join(sets, large, "root", "left_semi").select("node", "n", "shingles"), "wide-sets")
+    bands = settle(shared.join(wide.select("node", "n").hint("merge"), "node"), "wide-bands")
+    ties = settle(tied(bands, wide, percent, block_shingles), "ties")
+    left = settle(bands_left_open(bands, ties), "bands-left")
+    return found.unionByName(ties).unionByName(block_links(left, wide, percent, block_shingles))
+
+
+def compared(met: DataFrame, percent: int) -> DataFrame:
+    return met.groupBy("wide", "team", "p", "q").applyInArrow(verifier(percent), "a bigint, b bigint")
+
+
+def tied(bands: DataFrame, sets: DataFrame, percent: int, block_shingles: int) -> DataFrame:
+    """The links (a, b) of sets with the smallest nodes of their bands.
+
+    A smallest node of very many bands' members is copied once for each `block_shingles`
+    shingles of these, so that no task gets all of them.
+    """
+    pairs = settle(bands.where("node != first").select("node", "first", "n").distinct(), "band-pairs")
+    parts = pairs.groupBy("first").agg(F.ceil(F.sum("n") / F.lit(block_shingles)).cast("int").alias("parts"))
+    parts = settle(parts, "band-parts")
+    salt = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("salt")
+    asking = pairs.join(parts.hint("merge"), "first").select("node", "first", salt)
+    asking = asking.join(sets.hint("merge"), "node")
+    asked = sets.join(parts.hint("merge"), F.col("node") == F.col("first")).select(
+        "first", F.col("shingles").alias("its"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt")
+    )
+    common = F.size(F.array_intersect("shingles", "its"))
+    union = F.size("shingles") + F.size("its") - common
+    met = asking.join(asked.hint("merge"), ["first", "salt"])
+    return met.where(common * 100 >= union * percent).select(F.col("node").alias("a"), F.col("first").alias("b"))
+
+
+def bands_left_open(bands: DataFrame, ties: DataFrame) -> DataFrame:
+    """(root, node, n, part, main) for the bands whose nodes the ties leave in several parts.
+
+    Bands of the same nodes count once. `main` marks the part with most shingles of a band.
+    """
+    parts = settle(connected_components(ties), "tied-parts")
+    placed = bands.join(parts.hint("merge"), "node", "left")
+    placed = settle(placed.select("key", "node", "n", F.coalesce("component", "node").alias("part")), "band-nodes")
+    hashes = [F.bit_xor(F.xxhash64(F.lit(seed), "node")).alias(f"h{seed}") for seed in (1, 2)]
+    held = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("held"), *hashes)
+    chosen = held.where("low != high").groupBy("held", "h1", "h2").agg(F.min("key").alias("key")).select("key")
+    left = settle(placed.join(chosen.hint("merge"), "key"), "open-nodes")
+    main = left.groupBy("key", "part").agg(F.sum("n").alias("n")).groupBy("key").agg(F.max_by("part", F.struct("n", "part")).alias("most"))
+    return left.join(main.hint("merge"), "key").select(
+        F.col("key").alias("root"), "node", "n", "part", (F.col("part") == F.col("most")).alias("main")
+    )
+
+
+def block_links(placed: DataFrame, sets: DataFrame, percent: int, block_shingles: int) -> DataFrame:
+    """Links (a, b) that connect what is connected within each root, across its parts.
+
+    `placed` has root, node, n, part and main. A root is cut into blocks of about
+    `block_shingles` shingles, its main part into blocks of their own, which meet the other
+    blocks but not each other. Small roots share a task; each pair of blocks has one.
+    """
+    shingles = [F.coalesce(F.sum(F.when(side, F.col("n"))), F.lit(0)) for side in (~F.col("main"), F.col("main"))]
+    sizes = settle(placed.groupBy("root").agg(shingles[0].alias("rest"), shingles[1].alias("most")), "root-sizes")
+    total = F.col("rest") + F.col("most")
+    teams = -(-(sizes.agg(F.sum(total)).first()[0] or 0) // block_shingles) + 1
+    wide = total > block_shingles
+    blocks = [F.ceil(F.col(name) / F.lit(block_shingles)).cast("int") for name in ("rest", "most")]
+    sizes = sizes.select(
+        "root",
+        wide.alias("wide"),
+        F.when(wide, blocks[0]).otherwise(1).alias("rests"),
+        F.when(wide, blocks[1]).otherwise(0).alias("mains"),
+    )
+    is_main = F.col("main") & F.col("wide")
+    own = F.pmod(F.xxhash64("node"), F.greatest(F.when(is_main, F.col("mains")).otherwise(F.col("rests")), F.lit(1)))
+    last = F.when(is_main, F.col("rests")).otherwise(F.col("rests") + F.col("mains")) - 1
+    met = (
+        placed.join(sizes.hint("merge"), "root")
+        .withColumn("block", (own + F.when(is_main, F.col("rests")).otherwise(0)).cast("int"))
         .withColumn("team", F.when(F.col("wide"), F.col("root")).otherwise(F.pmod(F.xxhash64("root"), F.lit(teams))))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), last)))
         .withColumn("p", F.least("block", "other"))
         .withColumn("q", F.greatest("block", "other"))
+        .join(sets.select("node", "shingles").hint("merge"), "node")
     )
-    met = placed.select("wide", "team", "p", "q", "root", "node", "block", "shingles")
-    return met.groupBy("wide", "team", "p", "q").applyInArrow(verifier(percent), "a bigint, b bigint")
+    columns = ["wide", "team", "p", "q", "block", "root", "node", "part", "shingles"]
+    return compared(met.select(columns), percent)
 
 
 def near_duplicates(
@@ -278,14 +391,14 @@ def near_duplicates(
     classes = settle(classes, "classes")
     own = signed.where("n_shingles > 0").join(classes, ["key1", "key2"])
     first = F.col("doc_id").isNull() | (F.col("doc_id") == F.col("node"))
-    groups = settle(candidate_groups(own.where(first).select("node", "bands")), "groups")
+    shared = shared_bands(own.where(first).select("node", "bands"))
     unnamed = own.where("doc_id IS NULL").where(F.col("node") >= NO_ID).select("node", "key1", "key2")
     texts = source.select(F.col("doc_id").alias("node"), "text").where("node IS NOT NULL")
     if unnamed.take(1):
         nameless = source.where("doc_id IS NULL").select("text", sign("text").alias("s"))
         nameless = nameless.select("text", "s.key1", "s.key2").join(unnamed.distinct(), ["key1", "key2"])
         texts = texts.unionByName(nameless.select("node", "text"))
-    linked = connected_components(verified_links(groups, texts, words, percent, block_shingles))
+    linked = connected_components(verified_links(shared, texts, words, percent, block_shingles))
     named = (
         classes.join(linked, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))

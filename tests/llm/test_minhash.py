@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -59,7 +60,7 @@ def family(rng, size, words, edits):
     return out
 
 
-@pytest.mark.parametrize("block", [200, 3_000, 400_000])
+@pytest.mark.parametrize("block", [200, 900, 3_000, 400_000])
 def test_hot_groups_cut_into_blocks_match_all_pairs(make_docs, block):
     """A third of all rows exact copies, another third near copies that link only in part."""
     rng = random.Random(1)
@@ -98,6 +99,28 @@ def test_links_of_one_group_equal_all_pairs():
     assert groups(across) == groups([(a, b) for a, b in pairs if side[a] != side[b]])
 
 
+def test_parts_that_are_connected_are_not_compared_again():
+    sets = [np.arange(start, start + 100, dtype=np.uint64) for start in (0, 1, 2, 40)]
+    assert len(links(sets, None, 80)) == 2
+    assert len(links(sets, None, 80, np.array([7, 7, 9, 9]))) == 1
+    assert links(sets, None, 80, np.array([7, 7, 7, 9])) == []
+
+
+def test_sets_that_share_a_common_shingle_only_are_not_intersected():
+    """200,000 sets of two shingles with one in common, within seconds; so much work as their number, not its square."""
+    sets = [np.array([1, 10 + n], np.uint64) for n in range(200_000)]
+    begun = time.monotonic()
+    assert links(sets, None, 85) == [] and time.monotonic() - begun < 10
+
+
+def test_a_chain_of_texts_that_share_bands_is_cut_and_keeps_its_links(make_docs):
+    """Each text shares nine tenths with the next and less with those after it, in blocks far smaller than the chain."""
+    words = [f"w{n}" for n in range(900)]
+    texts = [" ".join(words[start : start + 120]) for start in range(0, 700, 6)]
+    texts += [" ".join(words[start : start + 60]) for start in range(0, 700, 30)]
+    compare(make_docs(*texts), words=3, percent=85, block_shingles=700)
+
+
 def test_coordinates_estimate_the_similarity():
     shingler = Shingler(3)
     a, b = (shingler(" ".join(f"w{n}" for n in range(low, low + 1000))) for low in (0, 100))
