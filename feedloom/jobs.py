@@ -21,7 +21,7 @@ from feedloom.functions import month_key, request_key
 from feedloom.operators import preview, project_documents, require_rows, row_counter
 from feedloom.plans.feeds import STOPS, arrivals, incidents, passenger_volume, stops
 from feedloom.sinks import append_once, append_table, jdbc_options, month_replace, replace_table, versions
-from feedloom.sources import LANDED, RUNS, read_archives, read_documents, read_landed
+from feedloom.sources import LANDED, RUNS, list_archives, read_archives, read_documents, read_landed
 from feedloom.streaming import load_paged
 from feedloom.workspace import clear
 
@@ -60,6 +60,7 @@ def parser() -> argparse.ArgumentParser:
         if name == "volume":
             load.add_argument("--once", metavar="ID", help="add to the loads in --target, once under this id")
             load.add_argument("--archives", required=True, help="zip files; a link ends in its file's name")
+            load.add_argument("--open", action="store_true", help="tasks open the zip files by path, of any size")
             load.add_argument("--schema", help="DDL of the CSV columns, in header order; inferred without")
             load.add_argument("--request", default="%s", help="feed of a month's link document, e.g. 'volume?Date=%%s'")
             load.add_argument("--date", type=dt.date.fromisoformat, default=dt.date.today(), help="run date")
@@ -83,7 +84,7 @@ def rows_of(spark: SparkSession, args: argparse.Namespace, seen: Observation) ->
         return stops(landed, read_documents(spark, args.fallback), strict=not args.lenient)
     month = request_key(args.request, month_key(F.lit(args.date)))
     links = require_rows(landed.where(F.col("feed") == month), "the month")
-    archives = read_archives(spark, args.archives)
+    archives = (list_archives if args.open else read_archives)(spark, args.archives)
     nothing = "void" if args.once else "string"  # other loads may know the type
     rows = passenger_volume(links, archives, args.schema, by_name=True, feed="_link_feed", nothing=nothing)
     rows = rows.drop("_link_feed")

@@ -7,15 +7,18 @@ the other columns are skewed.
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 from feedloom.plans.feeds import SLOT_FIELDS, SLOT_KEYS
+from feedloom.sources.streams import opened
 from feedloom.workspace import new_path, settle
 
 PAGE_STEP = 500
@@ -234,3 +237,21 @@ def archives(df: DataFrame, path: Column, columns: list[str], line: Column | Non
         .agg(F.collect_list("line").alias("lines"))
         .select("path", zipped(F.lit(",".join(columns)), "lines").alias("content"))
     )
+
+
+def archive_files(archives: DataFrame, folder: str) -> None:
+    """The archives (path, content) as files in the folder, each put in place once it is whole."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+                fs, inner = opened(f"{folder}/{path}")
+                parent, _, name = inner.rpartition("/")
+                fs.create_dir(parent, recursive=True)
+                begun = f"{parent}/_{name}-{uuid.uuid4().hex}"
+                with fs.open_output_stream(begun, compression=None) as sink:
+                    sink.write(content)
+                fs.move(begun, inner)
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    archives.select("path", "content").mapInArrow(write, "n bigint").agg(F.sum("n")).collect()

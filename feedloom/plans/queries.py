@@ -47,6 +47,7 @@ from feedloom.sources import (
     first_member_lines,
     infer_csv,
     infer_lines,
+    list_archives,
     missing_pages,
     page_requests,
     parse_lines,
@@ -474,6 +475,14 @@ def zip_first_member(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_lines(first_member_lines(archives, PART_COLUMNS), PART_CSV)
 
 
+def archives_opened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives as files, which tasks open by their paths and read as streams, whatever their size."""
+    path = F.format_string("part-%d.zip", div("p_partkey", 500))
+    packed = packing.archives(table(spark, sf_dir, "part"), path, PART_COLUMNS)
+    folder = packing.landed_path(spark, sf_dir, "zip-files", lambda made: packing.archive_files(packed, made))
+    return parse_lines(first_member_lines(list_archives(spark, folder), PART_COLUMNS), PART_CSV)
+
+
 def archive_by_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request key → link document → its first link's archive → staged lines by feed → CSV.
 
@@ -728,6 +737,7 @@ QUERIES: dict[str, Query] = {
     "volume_audit": volume_audit,
     "records_audit": records_audit,
     "zip_first_member": zip_first_member,
+    "archives_opened": archives_opened,
     "archive_by_link": archive_by_link,
     "volume_inferred": volume_inferred,
     "signed_links": signed_links,
@@ -966,6 +976,7 @@ SELECT event_id AS source, CASE WHEN reason IS NULL THEN event_type END AS event
        count(*) FILTER (reason IS NULL) OVER () AS n_good, count(reason) OVER () AS n_bad
 FROM judged
 """,
+    "archives_opened": "SELECT p_partkey, p_name, p_brand, p_size, p_retailprice FROM part",
     "zip_first_member": "SELECT p_partkey, p_name, p_brand, p_size, p_retailprice FROM part",
     "archive_by_link": """
 SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority,

@@ -1,4 +1,4 @@
-"""Zip archives held as (path, content) rows."""
+"""Zip archives held as (path, content) rows, or named by their paths and opened by the tasks."""
 
 from __future__ import annotations
 
@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom.sources.streams import opened
+
 # Text that leaves a task as one row, cut at the last line's end.
 BLOCK_BYTES = 4 * 1024 * 1024
 
@@ -21,6 +23,11 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
+def list_archives(spark: SparkSession, path: str) -> DataFrame:
+    """Archive files as `path` alone, for `first_member_lines` to open: of any size, where a cell ends at 2 GB."""
+    return spark.read.format("binaryFile").load(path).select("path")
+
+
 def first_member_lines(
     archives: DataFrame,
     columns: list[str] | None,
@@ -34,7 +41,8 @@ def first_member_lines(
     `seen` tells `shared_header` of it. `keep` names string columns of `archives` to carry
     along. Python only inflates and cuts blocks of a few MB; lines are split by Spark. One
     archive is one task's work, since a zip stream cannot be split, and a task holds one
-    block of it.
+    block of it, and its `content` if the archives have that column. Without it the task
+    opens the path (`streams.opened`) and reads the member as a stream.
     """
     names = list(dict.fromkeys(("path", *keep)))
     blocks = _expand(archives, names, columns)
@@ -61,11 +69,20 @@ def _expand(archives: DataFrame, names: list[str], columns: list[str] | None) ->
     """`names`, the header line and the blocks of data lines of each first member, one block at least."""
     texts = [(name, pa.string()) for name in (*names, "header")]
     schema = pa.schema([*texts, ("before", pa.int64()), ("block", pa.large_string())])
+    by_path = "content" not in archives.columns
+    if by_path:  # An archive a task: rows as narrow as these would be put together in a few.
+        archives = archives.repartition(max(1, archives.count()), "path")
 
     # Nested, so that they travel to the executors with `expand`.
-    def blocks(content: pa.Buffer) -> Iterator[str]:
+    def source(batch: pa.RecordBatch, row: int) -> pa.NativeFile:
+        if not by_path:
+            return pa.BufferReader(batch.column("content")[row].as_buffer())
+        fs, inner = opened(batch.column("path")[row].as_py())
+        return fs.open_input_file(inner)
+
+    def blocks(file: pa.NativeFile) -> Iterator[str]:
         """The member's text in blocks that end with a line, the last one as it is."""
-        with zipfile.ZipFile(pa.BufferReader(content)) as archive:
+        with file, zipfile.ZipFile(file) as archive:
             with archive.open(archive.namelist()[0]) as member:
                 decode = codecs.getincrementaldecoder("utf-8-sig")("replace").decode
                 held: list[str] = []
@@ -84,10 +101,10 @@ def _expand(archives: DataFrame, names: list[str], columns: list[str] | None) ->
         """Line ends in a text."""
         return text.count("\n") + text.count("\r") - text.count("\r\n")
 
-    def member_blocks(content: pa.Buffer, path: str) -> Iterator[tuple[str, int, str]]:
+    def member_blocks(file: pa.NativeFile, path: str) -> Iterator[tuple[str, int, str]]:
         """The header line, the first with more than white space, and what follows it with the lines before."""
         header, before = None, 0
-        for block in blocks(content):
+        for block in blocks(file):
             if header is None:
                 found = next((line for line in re.finditer("[^\r\n]+", block) if line[0].strip()), None)
                 if found is None:
@@ -109,17 +126,17 @@ def _expand(archives: DataFrame, names: list[str], columns: list[str] | None) ->
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            contents = batch.column("content")
             carried = [batch.column(name) for name in names]
             for row in range(batch.num_rows):
                 fixed = [column[row].as_py() for column in carried]
-                for header, before, block in member_blocks(contents[row].as_buffer(), fixed[0]):
+                for header, before, block in member_blocks(source(batch, row), fixed[0]):
                     arrays = [pa.array([value], pa.string()) for value in (*fixed, header)]
                     arrays += [pa.array([before], pa.int64()), pa.array([block], pa.large_string())]
                     yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     ddl = ", ".join(f"`{name}` {'bigint' if name == 'before' else 'string'}" for name in schema.names)
-    return archives.select(*names, "content").mapInArrow(expand, ddl)
+    held = names if by_path else [*names, "content"]
+    return archives.select(*held).mapInArrow(expand, ddl)
 
 
 def stage_lines(lines: DataFrame, path: str, partition: str, rebalance: bool = True) -> None:

@@ -22,12 +22,15 @@ from feedloom.sources import (
     first_member_lines,
     infer_csv,
     judge_lines,
+    list_archives,
     parse_lines,
     read_archives,
     read_csv,
     stage_lines,
 )
+from feedloom.sources.archives import BLOCK_BYTES, _expand
 from feedloom.sources.delimited import cell_kind, kind_type
+from feedloom.sources.streams import opened
 
 COLUMNS = ["code", "month", "n"]
 SCHEMA = "code string, month string, n int"
@@ -235,6 +238,61 @@ def test_archive_files_scan(spark, tmp_path):
     assert (row.path.endswith("/v.zip"), row.line) == (True, "01,2025-07,5")
 
 
+def test_an_archive_beyond_a_cell_is_read_by_its_path(spark, tmp_path):
+    """With the limit of a cell lowered to 1,000 bytes; the member is many times a block."""
+    lines = "".join(f"{n:04},2025-07,{n * 7919 % 1_000_003}\n" for n in range(500_000))
+    (tmp_path / "big file#1%20.zip").write_bytes(zipped(("v.csv", "code,month,n\n" + lines), ("other.csv", "a\n")))
+    (tmp_path / "small.zip").write_bytes(zipped(("v.csv", "code,month,n\nx,2025-08,1\n")))
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+    try:
+        with pytest.raises(Exception, match="exceeds the max length"):
+            first_member_lines(read_archives(spark, str(tmp_path)), COLUMNS).collect()
+        archives = list_archives(spark, str(tmp_path))
+        found = first_member_lines(archives, COLUMNS, "path", number="position")
+        got = parse_lines(found, SCHEMA, "path", "position").groupBy("path")
+        got = got.agg(F.count("*").alias("rows"), F.sum("n").alias("sum"), F.max("position").alias("last")).collect()
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    total = sum(n * 7919 % 1_000_003 for n in range(500_000))
+    assert sorted((r["path"].rpartition("/")[2], *r[1:]) for r in got) == [
+        ("big file#1%20.zip", 500_000, total, 500_001),
+        ("small.zip", 1, 1, 2),
+    ]
+
+
+def test_an_archive_opened_by_path_holds_a_block_at_a_time(spark, tmp_path):
+    """No row that leaves a task is above two blocks, whatever the member's size."""
+    text = "code,month,n\n" + "01,2025-07,5\n" * 2_000_000
+    (tmp_path / "v.zip").write_bytes(zipped(("v.csv", text)))
+    blocks = _expand(list_archives(spark, str(tmp_path)), ["path"], COLUMNS).select(F.octet_length("block").alias("n"))
+    sizes = [row["n"] for row in blocks.collect()]
+    assert len(sizes) > 5 and max(sizes) <= 2 * BLOCK_BYTES and abs(sum(sizes) - len(text)) < 100
+
+
+def test_volume_reads_archives_named_by_path_alone(spark, tmp_path):
+    for at in (1, 2):
+        (tmp_path / f"{at}.zip").write_bytes(zipped(("v.csv", f"code,month,n\n0{at},2025-07,5\n")))
+    documents = links(spark, m={"value": [{"Link": "https://host/2.zip?sig=1"}]})
+    got = passenger_volume(documents, list_archives(spark, str(tmp_path)), SCHEMA, by_name=True).collect()
+    assert [tuple(row) for row in got] == [("m", "02", "2025-07", 5)]
+
+
+def test_empty_folder_of_archives_by_path(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("x")
+    archives = list_archives(spark, str(tmp_path)).where("path LIKE '%.zip'")
+    assert first_member_lines(archives, COLUMNS).count() == 0
+
+
+@pytest.mark.parametrize("path,inner", [("/a b/c#d.zip", "/a b/c#d.zip"), ("file:/a/c%20.zip", "/a/c%20.zip"), ("file:///a:b/c", "/a:b/c")])
+def test_local_paths_that_tasks_open(path, inner):
+    assert opened(path)[1] == inner
+
+
+def test_a_scheme_that_tasks_cannot_open_is_refused():
+    with pytest.raises(ValueError, match="wasbs://c@host/a.zip: tasks cannot open wasbs: files"):
+        opened("wasbs://c@host/a.zip")
+
+
 def links(spark, **feeds):
     return spark.createDataFrame(
         [(feed, 0, 200, body if isinstance(body, str) else json.dumps(body)) for feed, body in feeds.items()], LANDED
