@@ -13,12 +13,12 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-import pyarrow.fs
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.operators.lookup import BROADCAST_BYTES, width
+from feedloom.sources.streams import opened
 from feedloom.workspace import new_path, settle
 
 # Fixed values of the formats.
@@ -163,7 +163,7 @@ class ArchiveWriter:
         self.sink = None
 
     def start(self) -> None:
-        fs, path = pa.fs.FileSystem.from_uri(self.path)
+        fs, path = opened(self.path)
         fs.create_dir(path.rpartition("/")[0], recursive=True)
         self.sink = fs.open_output_stream(path, compression=None)
         dictionary = trained(self.waiting)
@@ -269,7 +269,7 @@ def reader(on_error: str) -> Callable:
             return {"path": path, "position": position, "error": str(fault)}
 
         position = 0
-        fs, inner = pa.fs.FileSystem.from_uri(path)
+        fs, inner = opened(path)
         with fs.open_input_stream(inner, compression=None) as source:
             found = frames(source)
             while True:
@@ -352,8 +352,10 @@ def write_archives(
     all responses. An empty table gives no archive. Other columns are not written.
 
     An archive's name is new for each attempt of a task, and only attempts that ended are
-    listed, so files of lost or repeated tasks are never read.
+    listed, so files of lost or repeated tasks are never read. A folder that tasks cannot
+    open by themselves (`sources.streams`) is refused before anything is read.
     """
+    opened(folder)
     records = with_record_types(pages, page_id, url, html, min_bytes)
     return settle(records.mapInArrow(archiver(folder, date, archive_bytes), WRITTEN), "archives")
 

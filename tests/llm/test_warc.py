@@ -117,3 +117,9 @@ def test_broken_archives_stop_or_are_reported(spark, tmp_path, cut):
         read_warc(paths).collect()
     found = read_warc(paths, on_error="report").collect()
     assert [row["error"] is None for row in found] == [True, False, True, False]
+
+
+def test_a_folder_that_tasks_cannot_open_is_refused_at_the_start(spark):
+    pages = spark.createDataFrame([(1, "u", "x")], "page_id bigint, url string, html string")
+    with pytest.raises(ValueError, match="tasks cannot open wasbs: files"):
+        write_archives(pages, "wasbs://c@host/warc")
