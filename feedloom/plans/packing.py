@@ -7,15 +7,16 @@ the other columns are skewed.
 from __future__ import annotations
 
 import io
+import itertools
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from operator import itemgetter
 
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType
 
 from feedloom.plans.feeds import SLOT_FIELDS, SLOT_KEYS
 from feedloom.sources.streams import opened
@@ -218,24 +219,40 @@ def single_records(df: DataFrame, feed: Column, record: Column) -> DataFrame:
 
 
 def archives(df: DataFrame, path: Column, columns: list[str], line: Column | None = None) -> DataFrame:
-    """One zip per path: a CSV of the path's rows first, or of the lines given instead, another member after it."""
+    """One zip per path: a CSV of the path's rows first, or of the lines given instead, another member after it.
 
-    def pack(header: str, lines: list[str]) -> bytes:
-        packed = io.BytesIO()
-        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
-            archive.writestr("data.csv", "\n".join([header, *lines]) + "\n")
-            archive.writestr("other.csv", "a,b\n1,2\n")
-        return packed.getvalue()
-
-    @F.pandas_udf(BinaryType())
-    def zipped(headers: pd.Series, lines: pd.Series) -> pd.Series:
-        return pd.Series([pack(header, rows) for header, rows in zip(headers, lines)])
+    Lines come to a task sorted by path and go into the zip as they come: the task holds one
+    Arrow batch of them and one zip, however many paths it has and however long they are.
+    """
+    header = ",".join(columns)
+    schema = pa.schema([("path", pa.string()), ("content", pa.binary())])
 
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str]]:
+        """(path, text) of the rows of a batch that have the same path."""
+        for batch in batches:
+            found = pc.run_end_encode(batch.column("path"))
+            starts = pa.concat_arrays([pa.array([0], pa.int32()), found.run_ends])
+            texts = pc.binary_join(pa.ListArray.from_arrays(starts, batch.column("text")), "")
+            yield from zip(found.values.to_pylist(), texts.to_pylist())
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for path, own in itertools.groupby(runs(batches), itemgetter(0)):
+            packed = io.BytesIO()
+            with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+                with archive.open("data.csv", "w", force_zip64=True) as member:
+                    member.write(f"{header}\n".encode())
+                    for _, text in own:
+                        member.write(text.encode())
+                archive.writestr("other.csv", "a,b\n1,2\n")
+            arrays = [pa.array([path], pa.string()), pa.array([packed.getvalue()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    line = F.to_csv(F.struct(*columns)) if line is None else line
     return (
-        df.select(path.alias("path"), (F.to_csv(F.struct(*columns)) if line is None else line).alias("line"))
-        .groupBy("path")
-        .agg(F.collect_list("line").alias("lines"))
-        .select("path", zipped(F.lit(",".join(columns)), "lines").alias("content"))
+        df.select(path.alias("path"), F.coalesce(F.concat(line, F.lit("\n")), F.lit("")).alias("text"))
+        .repartition("path")
+        .sortWithinPartitions("path")
+        .mapInArrow(pack, "path string, content binary")
     )
 
 
